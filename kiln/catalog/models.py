@@ -1 +1,204 @@
-"""Model-based queries (rows-only checks: iterative or randomised fits)."""
+"""Model-based queries.  Their checks are rows-only: the fits are iterative or
+randomised (seeded), so no SQL oracle reproduces them exactly."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from kiln.catalog.core import customer_features, customer_with_nulls, events_with_nulls
+from kiln.catalog.registry import query, rounded, table
+
+CUST_FEATS = ["inc", "spd", "age"]
+
+
+def scaled_customer_features(spark, d):
+    from kiln.operators.scale import fit_standard_scale
+    f = customer_features(spark, d).fillna(0.0, subset=["spd"])
+    return fit_standard_scale(f, CUST_FEATS).transform(f)
+
+
+def supervised_frame(spark, d):
+    """documents x labels: numeric and text features, target ``quality``."""
+    docs = table(spark, d, "documents")
+    lab = table(spark, d, "labels")
+    return docs.join(lab, "doc_id").select(
+        "doc_id", "n_chars", F.size(F.split("text", r"\s+")).alias("n_words"), "lang", "source",
+        F.col("toxic").cast("long").alias("toxic"), F.col("quality").cast("long").alias("quality"))
+
+
+SUP_FEATS = ["n_chars", "n_words", "toxic"]
+
+
+@query("k_sweep_elbow")
+def k_sweep_elbow(spark, d):
+    """CLU-02/03: inertia for k = 2..10 (best of 10 starts) and the Kneedle knee."""
+    from kiln.operators.cluster import assemble, choose_k, k_sweep
+    vec = assemble(scaled_customer_features(spark, d), CUST_FEATS)
+    curve = k_sweep(vec, "KMeans")
+    k = choose_k(curve, "KMeans")
+    return rounded(spark.createDataFrame([(kk, v, kk == k) for kk, v in curve],
+                                         "k long, inertia double, chosen boolean"), 4)
+
+
+@query("kmeans_personas")
+def kmeans_personas(spark, d):
+    """CLU-01/06/07: k-means (k=5, best of 10), clusters relabelled by size, personas long form."""
+    from kiln.operators.cluster import fit_clusters, persona_traits, relabel_by_size
+    _m, labeled, _ = fit_clusters(scaled_customer_features(spark, d), CUST_FEATS, "KMeans", k=5)
+    labeled = relabel_by_size(labeled)
+    traits = persona_traits(labeled, CUST_FEATS)
+    sizes = labeled.groupBy("cluster").agg(F.count(F.lit(1)).alias("sample_size"),
+                                           F.avg("certainty").alias("mean_certainty"))
+    return rounded(traits.join(sizes, "cluster"))
+
+
+@query("gmm_certainty")
+def gmm_certainty(spark, d):
+    """DIM-01 + CLU-04/05/06: PCA(5) of the embeddings, GMM k by min BIC over 2..6, certainty."""
+    from kiln.operators.cluster import assemble, choose_k, fit_clusters, k_sweep, pca
+    reduced, _ = pca(table(spark, d, "embeddings"), ["embedding"], components=5, keep=["vec_id"])
+    cols = [f"PC{i}" for i in range(1, 6)]
+    curve = k_sweep(assemble(reduced, cols), "GMM", ks=range(2, 7))
+    _m, labeled, _ = fit_clusters(reduced, cols, "GMM", k=choose_k(curve, "GMM"))
+    return rounded(labeled.select("vec_id", "cluster", "certainty"))
+
+
+@query("pca_retain")
+def pca_retain(spark, d):
+    """DIM-01: components kept for 95 % variance; long form (vec_id, component, score)."""
+    from kiln.operators.cluster import pca
+    out, _ratios = pca(table(spark, d, "embeddings"), ["embedding"], retain=0.95, keep=["vec_id"])
+    pcs = [c for c in out.columns if c.startswith("PC")]
+    long = out.select("vec_id", F.explode(F.array(*[F.struct(F.lit(c).alias("component"), F.col(c).alias("score"))
+                                                    for c in pcs])).alias("p")).select("vec_id", "p.*")
+    return rounded(long)
+
+
+@query("cluster_coords")
+def cluster_coords(spark, d):
+    """DIM-02: 2-D PCA coordinates per labelled row (the data behind the plot)."""
+    from kiln.operators.cluster import pca
+    out, _ = pca(table(spark, d, "embeddings"), ["embedding"], components=2, keep=["vec_id", "label"])
+    return rounded(out)
+
+
+@query("silhouette")
+def silhouette_q(spark, d):
+    """CLU-09: silhouette of the fixed labels (squared Euclidean, Spark's O(n k) form)."""
+    from kiln.operators.cluster import assemble
+    from pyspark.ml.evaluation import ClusteringEvaluator
+    vec = assemble(table(spark, d, "embeddings"), ["embedding"])
+    s = ClusteringEvaluator(predictionCol="label", featuresCol="features").evaluate(vec)
+    return rounded(vec.agg(F.count_distinct("label").cast("long").alias("k")).select(
+        "k", F.lit(s).alias("silhouette")))
+
+
+@query("bisecting")
+def bisecting(spark, d):
+    """CLU-11: divisive hierarchical clustering of customer features, k=4."""
+    from kiln.operators.cluster import bisecting_kmeans
+    _m, out = bisecting_kmeans(scaled_customer_features(spark, d), CUST_FEATS, 4)
+    return out.select("c_custkey", F.col("cluster").cast("long"))
+
+
+@query("score_new")
+def score_new(spark, d):
+    """SCO-01: fit clean + k-means on customers, name clusters with the segment
+    ladder over cluster means, then score the customer rows."""
+    from pyspark.ml import PipelineModel
+
+    from kiln.operators.cluster import fit_clusters
+    from kiln.operators.features import segment_name
+    from kiln.operators.scale import fit_standard_scale
+    from kiln.operators.score import score
+    raw = customer_features(spark, d).fillna(0.0, subset=["spd"])
+    prep = PipelineModel([fit_standard_scale(raw, CUST_FEATS)])
+    model, labeled, _ = fit_clusters(prep.transform(raw), CUST_FEATS, "KMeans", k=5)
+    means = raw.join(labeled.select("c_custkey", "cluster"), "c_custkey").groupBy("cluster").agg(
+        *[F.avg(c).alias(c) for c in CUST_FEATS])
+    personas = means.select("cluster", segment_name(F.col("inc"), F.col("spd"), F.col("age")).alias("persona"))
+    return rounded(score(raw, prep, model, CUST_FEATS, personas).select("c_custkey", "cluster", "persona"))
+
+
+@query("importance_filter")
+def importance_filter_q(spark, d):
+    """SEL-05: permutation importance (50-tree forest, 3 repeats); weak < 0.02, best kept."""
+    from kiln.operators.model_select import importance_filter
+    imp, weak = importance_filter(supervised_frame(spark, d), SUP_FEATS, "quality", 0.02)
+    return rounded(spark.createDataFrame([(c, v, c in weak) for c, v in imp],
+                                         "feature string, importance double, weak boolean"))
+
+
+@query("predictive_power")
+def predictive_power_q(spark, d):
+    """SEL-06: predictive power score of each feature for quality."""
+    from kiln.operators.model_select import predictive_power
+    pps = predictive_power(supervised_frame(spark, d), SUP_FEATS, "quality")
+    return rounded(spark.createDataFrame(pps, "feature string, pps double"))
+
+
+@query("sulov_select")
+def sulov_select_q(spark, d):
+    """SEL-07: SULOV by mutual information (limit 0.70), then boosted-tree importances."""
+    from kiln.operators.model_select import sulov_select
+    f = supervised_frame(spark, d).withColumn("n_chars_x2", F.col("n_chars") * 2 + 1)
+    feats = SUP_FEATS + ["n_chars_x2"]
+    keep, mi = sulov_select(f, feats, "quality")
+    return rounded(spark.createDataFrame([(c, v, c in keep) for c, v in mi],
+                                         "feature string, mi double, selected boolean"))
+
+
+@query("rfe")
+def rfe_q(spark, d):
+    """SEL-09: recursive elimination with a 30-tree forest down to 2 features."""
+    from kiln.operators.model_select import rfe
+    keep = rfe(supervised_frame(spark, d), SUP_FEATS, "quality", n=2)
+    return spark.createDataFrame([(c, c in keep) for c in SUP_FEATS], "feature string, selected boolean")
+
+
+@query("supervised_clean")
+def supervised_clean(spark, d):
+    """Supervised silver: audit (ids, thresholds, duplicates) then the cleaning chain."""
+    from kiln.plans import supervised as S
+    f = supervised_frame(spark, d)
+    plan = S.audit(f, "quality", with_pps=False)
+    return rounded(S.clean(f, "quality", plan, order_by="doc_id", with_importance=False))
+
+
+@query("supervised_gold")
+def supervised_gold(spark, d):
+    """FE-09: engineered features aligned to the base columns, imputed, robust-scaled."""
+    from kiln.plans import supervised as S
+    o = table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority",
+                                         F.col("o_orderstatus"))
+    li = table(spark, d, "lineitem").groupBy("l_orderkey").agg(
+        F.max("l_shipdate").alias("l_last_shipdate"), F.sum("l_quantity").alias("l_quantity"))
+    silver = o.join(li, o.o_orderkey == li.l_orderkey).drop("l_orderkey")
+    plan = {"selected_features": ["o_totalprice", "l_quantity", "o_totalprice_ratio_l_quantity",
+                                  "l_last_shipdate_minus_o_orderdate_days", "o_orderpriority"],
+            "base_columns": ["o_totalprice", "l_quantity", "o_totalprice_ratio_l_quantity",
+                             "l_last_shipdate_minus_o_orderdate_days", "o_orderdate_year", "o_orderpriority"],
+            "target_column": "o_orderstatus", "target_exists": True}
+    out, _ = S.gold_features(silver, plan, order_by="o_orderkey")
+    return rounded(out)
+
+
+@query("timeseries_clean")
+def timeseries_clean(spark, d):
+    """Time-series silver: audit (ids by uniqueness), forward/back fill per user, ids dropped."""
+    from kiln.plans import timeseries as TS
+    e = events_with_nulls(spark, d)
+    plan = TS.audit(e, "ts", position="event_id")
+    return rounded(TS.clean(e, plan, ["ts"], "user_id"))
+
+
+@query("clean_contract_events")
+def clean_contract_events(spark, d):
+    """Clustering silver of events: policy picks user_id as subject, value gets log/scale."""
+    from kiln.plans.clustering import audit_and_clean
+    e = table(spark, d, "events").drop("props")
+    silver, _c, _m = audit_and_clean(e)
+    return rounded(silver)
+
+
+__all__ = ["customer_with_nulls"]

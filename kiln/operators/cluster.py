@@ -9,6 +9,7 @@ aggregation over (cluster, feature) groups with map-side combine.
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 from pyspark import StorageLevel
@@ -37,15 +38,29 @@ def assemble(df: DataFrame, cols, out: str = "features") -> DataFrame:
 
 
 # ---------------------------------------------------------------- k-means / GMM
+def parallelism(spark) -> int:
+    """Concurrent model fits (Spark runs jobs from several driver threads)."""
+    return int(spark.conf.get("kiln.ml.parallelism", "8"))
+
+
+def _run_all(fn, items, workers: int):
+    if workers <= 1 or len(items) <= 1:
+        return [fn(x) for x in items]
+    with ThreadPoolExecutor(max_workers=min(workers, len(items))) as ex:
+        return list(ex.map(fn, items))
+
+
+def _fit_kmeans(vec, k, seed, max_iter, features):
+    return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=features, tol=1e-4).fit(vec)
+
+
 def kmeans(vec: DataFrame, k: int, seed: int = SEED, n_init: int = N_INIT, max_iter: int = 300,
            features: str = "features"):
-    """CLU-01: best (lowest inertia) of ``n_init`` k-means|| runs."""
-    best = None
-    for s in range(n_init):
-        m = KMeans(k=k, seed=seed + s, maxIter=max_iter, featuresCol=features, tol=1e-4).fit(vec)
-        if best is None or m.summary.trainingCost < best.summary.trainingCost:
-            best = m
-    return best
+    """CLU-01: best (lowest inertia, then lowest seed) of ``n_init`` k-means|| runs,
+    fitted as concurrent Spark jobs over the cached vectors."""
+    models = _run_all(lambda s: _fit_kmeans(vec, k, seed + s, max_iter, features), list(range(n_init)),
+                      parallelism(vec.sparkSession))
+    return min(zip(models, range(n_init)), key=lambda t: (t[0].summary.trainingCost, t[1]))[0]
 
 
 def gmm(vec: DataFrame, k: int, seed: int = SEED, features: str = "features", max_iter: int = 100):
@@ -95,14 +110,21 @@ def k_sweep(vec: DataFrame, algo: str = "KMeans", ks=K_RANGE, seed: int = SEED,
     vec = vec.select(features).persist(StorageLevel.MEMORY_AND_DISK)
     n = vec.count()
     d = len(vec.first()[features]) if n else 0
-    out = []
-    for k in ks:
-        if algo == "GMM":
-            out.append((k, bic(gmm(vec, k, seed, features), n, d)))
-        else:
-            out.append((k, kmeans(vec, k, seed, n_init, features=features).summary.trainingCost))
+    ks = list(ks)
+    par = parallelism(vec.sparkSession)
+    if algo == "GMM":
+        costs = _run_all(lambda k: bic(gmm(vec, k, seed, features), n, d), ks, par)
+    else:  # one flat pool over every (k, start) pair; best start per k
+        pairs = [(k, s) for k in ks for s in range(n_init)]
+        cost = _run_all(lambda p: _fit_kmeans(vec, p[0], seed + p[1], 300, features).summary.trainingCost,
+                        pairs, par)
+        best: dict[int, tuple] = {}
+        for (k, s), c in zip(pairs, cost):
+            if k not in best or (c, s) < best[k]:
+                best[k] = (c, s)
+        costs = [best[k][0] for k in ks]
     vec.unpersist()
-    return out
+    return list(zip(ks, costs))
 
 
 def choose_k(curve, algo: str = "KMeans") -> int:
