@@ -9,9 +9,11 @@ than a bounded number of values in any task or on the driver.
 * Larger columns use histogram refinement: each pass is one distributed
   ``groupBy(column, interval, bucket).agg(count, min, max)`` with map-side
   combine; the driver keeps only the bucket table and narrows every target
-  rank to one bucket.  When an interval holds <= ``collect_limit`` values it
-  is fetched sorted and the order statistic is read off.  With 1024 buckets a
-  10^12-row column needs about three passes.
+  rank to one bucket.  When an interval holds <= ``collect_limit`` values they
+  are fetched by a narrow filter job and the order statistic is read off.
+  With 4096 buckets a 10^12-row column needs about three passes.
+* Small inputs are spread over the cores and cached for the passes
+  (``kiln.session.PassInput``); large inputs are re-scanned with pruning.
 """
 
 from __future__ import annotations
@@ -22,9 +24,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-EXACT_MAP_LIMIT = 2_000_000
-COLLECT_LIMIT = 50_000
-BUCKETS = 1024
+EXACT_MAP_LIMIT = 100_000
+COLLECT_LIMIT = 20_000
+BUCKETS = 4096
 
 
 def qcol(name: str) -> Column:
@@ -59,13 +61,15 @@ def _targets(n: int, probs: Sequence[float]) -> list[tuple[int, int, float]]:
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
               exact_map_limit: int = EXACT_MAP_LIMIT, collect_limit: int = COLLECT_LIMIT,
-              buckets: int = BUCKETS, exact: bool = True,
-              accuracy: int = 10000) -> dict[str, list[float | None]]:
+              buckets: int = BUCKETS, exact: bool = True, accuracy: int = 10000,
+              stats: dict | None = None) -> dict[str, list[float | None]]:
     """Exact linear-interpolated quantiles of numeric columns (nulls skipped).
 
     Returns ``{col: [q(p) for p in probs]}``; an all-null column gives Nones.
+    ``stats`` may carry already computed ``{col: (count, min, max)}``.
     ``exact=False`` uses ``percentile_approx(accuracy)`` in one pass.
     """
+    from kiln.session import PassInput
     cols = list(cols)
     probs = [float(p) for p in probs]
     if not cols:
@@ -76,28 +80,33 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                        for i, c in enumerate(cols)]).first()
         return {c: list(row[f"q{i}"]) if row[f"q{i}"] is not None else [None] * len(probs)
                 for i, c in enumerate(cols)}
-
-    base = df.select(*[x[c].alias(f"v{i}") for i, c in enumerate(cols)])
-    stats = base.agg(*[e for i in range(len(cols)) for e in (
-        F.count(f"v{i}").alias(f"n{i}"), F.min(f"v{i}").alias(f"lo{i}"),
-        F.max(f"v{i}").alias(f"hi{i}"))]).first()
-    result: dict[str, list[float | None]] = {}
-    small, big = [], []
-    for i, c in enumerate(cols):
-        n = stats[f"n{i}"]
-        if n == 0:
-            result[c] = [None] * len(probs)
-        elif n <= exact_map_limit:
-            small.append(i)
+    with PassInput(df.select(*[x[c].alias(f"v{i}") for i, c in enumerate(cols)])) as base:
+        if stats is None:
+            r = base.agg(*[e for i in range(len(cols)) for e in (
+                F.count(f"v{i}").alias(f"n{i}"), F.min(f"v{i}").alias(f"lo{i}"),
+                F.max(f"v{i}").alias(f"hi{i}"))]).first()
+            st = {i: (r[f"n{i}"], r[f"lo{i}"], r[f"hi{i}"]) for i in range(len(cols))}
         else:
-            big.append(i)
-    if small:
-        row = base.agg(*[F.percentile(F.col(f"v{i}"), F.array(*[F.lit(p) for p in probs])).alias(f"p{i}")
-                         for i in small]).first()
-        for i in small:
-            result[cols[i]] = [float(v) for v in row[f"p{i}"]]
-    if big:
-        result.update(_refine(base, cols, big, stats, probs, collect_limit, buckets))
+            st = {i: stats[c] for i, c in enumerate(cols)}
+        result: dict[str, list[float | None]] = {}
+        small, big = [], []
+        for i, c in enumerate(cols):
+            n = st[i][0]
+            if not n:
+                result[c] = [None] * len(probs)
+            elif st[i][1] == st[i][2]:
+                result[c] = [float(st[i][1])] * len(probs)
+            elif n <= exact_map_limit:
+                small.append(i)
+            else:
+                big.append(i)
+        if small:
+            row = base.agg(*[F.percentile(F.col(f"v{i}"), F.array(*[F.lit(p) for p in probs])).alias(f"p{i}")
+                             for i in small]).first()
+            for i in small:
+                result[cols[i]] = [float(v) for v in row[f"p{i}"]]
+        if big:
+            result.update(_refine(base, cols, big, st, probs, collect_limit, buckets))
     return {c: result[c] for c in cols}
 
 
@@ -107,10 +116,10 @@ def _refine(base: DataFrame, cols, idx, stats, probs, collect_limit, buckets):
     state: dict[int, dict[int, list]] = {}
     wanted: dict[int, list[tuple[int, int, float]]] = {}
     for i in idx:
-        n = stats[f"n{i}"]
+        n, lo, hi = stats[i]
         wanted[i] = _targets(n, probs)
         ranks = sorted({k for t in wanted[i] for k in t[:2]})
-        state[i] = {k: [stats[f"lo{i}"], stats[f"hi{i}"], 0, n] for k in ranks}
+        state[i] = {k: [lo, hi, 0, n] for k in ranks}
     found: dict[tuple[int, int], float] = {}
     while True:
         open_iv: dict[int, list[tuple]] = {}
@@ -148,53 +157,68 @@ def _interval_id(v: Column, ivs) -> Column:
 
 
 def _collect_pass(base, small, state, found):
-    exprs = []
+    """Fetch the (bounded) values of every small interval with one narrow job:
+    filter + project, no aggregate, so no task merges other tasks' values."""
+    parts = []
     for i, ivs in small.items():
         if not ivs:
             continue
         v = F.col(f"v{i}")
-        for j, (lo, hi, _b, _c) in enumerate(ivs):
-            exprs.append(F.sort_array(F.collect_list(F.when((v >= F.lit(lo)) & (v <= F.lit(hi)), v)))
-                         .alias(f"c{i}_{j}"))
-    row = base.agg(*exprs).first()
+        parts.append(F.struct(F.lit(i).alias("c"), _interval_id(v, ivs).alias("iv"), v.alias("v")))
+    rows = (base.select(F.explode(F.array(*parts)).alias("s")).select("s.*")
+            .where(F.col("iv").isNotNull()).collect())
+    vals: dict[tuple[int, int], list[float]] = {}
+    for r in rows:
+        vals.setdefault((r["c"], r["iv"]), []).append(r["v"])
     for i, ivs in small.items():
         for j, (lo, hi, below, _c) in enumerate(ivs):
-            vals = row[f"c{i}_{j}"]
+            got = sorted(vals.get((i, j), []))
             for k, st in state[i].items():
                 if st[0] == lo and st[1] == hi and (i, k) not in found:
-                    found[(i, k)] = float(vals[k - below])
+                    found[(i, k)] = float(got[k - below])
 
 
 def _histogram_pass(base, large, state, buckets):
-    parts = []
+    """One refinement pass: bucket counts per (column, interval) with map-side
+    combine, running counts by a window over each (column, interval) -- at
+    most ``buckets`` rows each -- and only the buckets that hold a wanted rank
+    come back to the driver (one row per target)."""
+    from pyspark.sql import Window
+    parts, wanted = [], []
     for i, ivs in large.items():
         if not ivs:
             continue
         v = F.col(f"v{i}")
         iid = _interval_id(v, ivs)
         lo_e = hi_e = None
-        for j, (lo, hi, _b, _c) in enumerate(ivs):
+        for j, (lo, hi, below, _c) in enumerate(ivs):
             lo_e = F.when(iid == j, F.lit(lo)) if lo_e is None else lo_e.when(iid == j, F.lit(lo))
             hi_e = F.when(iid == j, F.lit(hi)) if hi_e is None else hi_e.when(iid == j, F.lit(hi))
+            for k, st in state[i].items():
+                if st[0] == lo and st[1] == hi:
+                    wanted.append((i, j, k - below))
         b = F.least(F.floor((v - lo_e) / (hi_e - lo_e) * buckets), F.lit(buckets - 1)).cast("int")
         parts.append(F.struct(F.lit(i).alias("c"), iid.alias("iv"), b.alias("b"), v.alias("v")))
     hist = (base.select(F.explode(F.array(*parts)).alias("s")).select("s.*")
             .where(F.col("iv").isNotNull())
             .groupBy("c", "iv", "b").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"),
-                                         F.max("v").alias("mx"))
-            .collect())
+                                         F.max("v").alias("mx")))
+    cum = F.sum("n").over(Window.partitionBy("c", "iv").orderBy("b"))
+    hist = hist.withColumn("start", cum - F.col("n"))
+    cond = F.lit(False)
+    for i, j, r in wanted:
+        cond = cond | ((F.col("c") == i) & (F.col("iv") == j) & (F.col("start") <= r) & (F.col("start") + F.col("n") > r))
+    rows = hist.where(cond).collect()
     table: dict[tuple[int, int], list] = {}
-    for r in hist:
-        table.setdefault((r["c"], r["iv"]), []).append((r["b"], r["n"], r["mn"], r["mx"]))
+    for r in rows:
+        table.setdefault((r["c"], r["iv"]), []).append((r["start"], r["n"], r["mn"], r["mx"]))
     for i, ivs in large.items():
         for j, (lo, hi, below, _cnt) in enumerate(ivs):
-            rows = sorted(table.get((i, j), []))
             for k, st in state[i].items():
                 if st[0] != lo or st[1] != hi:
                     continue
-                acc = below
-                for _b, n, mn, mx in rows:
-                    if k < acc + n:
-                        state[i][k] = [mn, mx, acc, n]
+                r = k - below
+                for start, n, mn, mx in table.get((i, j), []):
+                    if start <= r < start + n:
+                        state[i][k] = [mn, mx, below + start, n]
                         break
-                    acc += n

@@ -80,8 +80,13 @@ def _clean(v):
 
 def profile(df: DataFrame, exact_quantiles: bool = True, with_mad: bool = True) -> DataFrame:
     """Profile every column of ``df``; returns PROFILE_SCHEMA rows ordered by position."""
+    from kiln.session import PassInput
+    with PassInput(nan_to_null(df)) as src:
+        return _profile(src, exact_quantiles, with_mad)
+
+
+def _profile(df: DataFrame, exact_quantiles: bool, with_mad: bool) -> DataFrame:
     spark = df.sparkSession
-    df = nan_to_null(df)
     fields = df.schema.fields
     types = [semantic_type(f.dataType) for f in fields]
     num_idx = [i for i, t in enumerate(types) if t == "Numeric"]
@@ -127,7 +132,8 @@ def profile(df: DataFrame, exact_quantiles: bool = True, with_mad: bool = True)
 
     # 3. quantiles and MAD
     num_cols = [fields[i].name for i in num_idx]
-    qs = quantiles(df, num_cols, PROBS, exact=exact_quantiles) if num_cols else {}
+    st = {fields[i].name: (m[f"cnt{i}"], m[f"min{i}"], m[f"max{i}"]) for i in num_idx}
+    qs = quantiles(df, num_cols, PROBS, exact=exact_quantiles, stats=st) if num_cols else {}
     mad = {}
     if with_mad and num_cols:
         dev = df.select(*[F.abs(qcol(c).cast("double") - F.lit(qs[c][2])).alias(c)
@@ -137,7 +143,7 @@ def profile(df: DataFrame, exact_quantiles: bool = True, with_mad: bool = True)
     rows = []
     for i, f in enumerate(fields):
         cnt = m[f"cnt{i}"]
-        nd, nu, ent = dist.get(i, (None, None, None))
+        nd, nu, ent = dist.get(i, (None, None, None) if types[i] == "Unsupported" else (0, 0, None))
         rec = dict(position=i, column=f.name, type=types[i],
                    is_integral=isinstance(f.dataType, INTEGRAL_TYPES), n=n, count=cnt,
                    n_missing=n - cnt, p_missing=(n - cnt) / n if n else 0.0,

@@ -84,9 +84,16 @@ def fit_yeo_johnson(df: DataFrame, cols, lo: float = -5.0, hi: float = 5.0,
     lambdas: dict[str, float] = {}
     if not cols:
         return ColumnRules.of("yeo_johnson", {"lambdas": {}})
+    from kiln.session import PassInput
     parts = [F.struct(F.lit(i).alias("i"), qcol(c).cast("double").alias("x")) for i, c in enumerate(cols)]
-    long = (df.select(F.explode(F.array(*parts)).alias("p")).select("p.*")
-            .where(F.col("x").isNotNull() & ~F.isnan("x")))
+    with PassInput(df.select(F.explode(F.array(*parts)).alias("p")).select("p.*")
+                   .where(F.col("x").isNotNull() & ~F.isnan("x"))) as long:
+        lambdas.update(_search_lambdas(long, cols, lo, hi, points, tol))
+    return ColumnRules.of("yeo_johnson", {"lambdas": lambdas})
+
+
+def _search_lambdas(long: DataFrame, cols, lo, hi, points, tol) -> dict[str, float]:
+    lambdas: dict[str, float] = {}
     # constant or empty columns: lambda 1 (identity-like); found by one small agg
     spread = long.groupBy("i").agg((F.max("x") - F.min("x")).alias("r")).collect()
     active = {r["i"] for r in spread if r["r"] is not None and r["r"] > 0}
@@ -113,4 +120,4 @@ def fit_yeo_johnson(df: DataFrame, cols, lo: float = -5.0, hi: float = 5.0,
         grids = nxt if step * (points - 1) / 2.0 > tol else {}
     for i in active:
         lambdas[cols[i]] = best[i]
-    return ColumnRules.of("yeo_johnson", {"lambdas": lambdas})
+    return lambdas

@@ -80,7 +80,7 @@ def save_plan(spark: SparkSession, doc: dict, path: str) -> None:
 
 def load_plan(spark: SparkSession, path: str) -> dict:
     """SRC-02: read a JSON plan written by save_plan (or any single JSON document)."""
-    text = spark.read.option("wholetext", True).text(path).first()["value"]
+    text = spark.read.text(path, wholetext=True).first()["value"]
     return json.loads(text)
 
 
