@@ -114,15 +114,10 @@ def k_sweep(vec: DataFrame, algo: str = "KMeans", ks=K_RANGE, seed: int = SEED,
     par = parallelism(vec.sparkSession)
     if algo == "GMM":
         costs = _run_all(lambda k: bic(gmm(vec, k, seed, features), n, d), ks, par)
-    else:  # one flat pool over every (k, start) pair; best start per k
-        pairs = [(k, s) for k in ks for s in range(n_init)]
-        cost = _run_all(lambda p: _fit_kmeans(vec, p[0], seed + p[1], 300, features).summary.trainingCost,
-                        pairs, par)
-        best: dict[int, tuple] = {}
-        for (k, s), c in zip(pairs, cost):
-            if k not in best or (c, s) < best[k]:
-                best[k] = (c, s)
-        costs = [best[k][0] for k in ks]
+    else:  # every (k, start) model advances in the same pass (kiln.operators.multikmeans)
+        from kiln.operators.multikmeans import multi_kmeans
+        fits = multi_kmeans(vec, [(k, seed + s) for k in ks for s in range(n_init)], features)
+        costs = [min(fits[(k, seed + s)][1] for s in range(n_init)) for k in ks]
     vec.unpersist()
     return list(zip(ks, costs))
 

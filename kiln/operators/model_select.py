@@ -70,7 +70,8 @@ def _score(pred: DataFrame, clf: bool) -> float:
 
 
 def permute_column(base: DataFrame, col: str, seed: int, buckets: int = 64) -> DataFrame:
-    """Replace ``col`` by a random permutation of its values within hash buckets."""
+    """Replace ``col`` by a random permutation of its values within hash buckets
+    (callers size ``buckets`` so a bucket holds ~2M rows at most)."""
     b = (F.xxhash64("__rid", F.lit(seed)) % buckets + buckets) % buckets
     w1 = Window.partitionBy("__bk").orderBy(F.xxhash64("__rid", F.lit(seed + 1)), "__rid")
     w2 = Window.partitionBy("__bk").orderBy(F.xxhash64("__rid", F.lit(seed + 2)), "__rid")
@@ -88,11 +89,12 @@ def permutation_importance(df: DataFrame, features, target: str, repeats: int =
     asm = VectorAssembler(inputCols=list(features), outputCol="__x")
     model = _forest(clf, trees, seed).fit(asm.transform(base))
     ref = _score(model.transform(asm.transform(base)), clf)
+    buckets = max(64, -(-base.count() // 2_000_000))
     out = []
     for c in features:
         drops = []
         for r in range(repeats):
-            perm = permute_column(base, c, seed + 17 * r)
+            perm = permute_column(base, c, seed + 17 * r, buckets)
             drops.append(ref - _score(model.transform(asm.transform(perm)), clf))
         out.append((c, sum(drops) / len(drops)))
     return out
@@ -154,7 +156,13 @@ def mutual_information(df: DataFrame, features, target: str, bins: int = 10) ->
         w = (hi - lo) / bins if hi > lo else 1.0
         b = F.least(F.floor((qcol(c) - F.lit(lo)) / F.lit(w)), F.lit(bins - 1))
         parts.append(F.struct(F.lit(c).alias("f"), b.cast("long").alias("b")))
-    long = df.where(qcol(target).isNotNull()).select(qcol(target).cast("string").alias("y"),
+    y = qcol(target)
+    if semantic_type(df.schema[target].dataType) == "Numeric" and \
+            df.agg(F.count_distinct(y)).first()[0] > 20:  # continuous target: equal-width bins too
+        ylo, yhi = df.agg(F.min(y), F.max(y)).first()
+        yw = (yhi - ylo) / bins if yhi > ylo else 1.0
+        y = F.least(F.floor((y - F.lit(ylo)) / F.lit(yw)), F.lit(bins - 1))
+    long = df.where(qcol(target).isNotNull()).select(y.cast("string").alias("y"),
                                                      F.explode(F.array(*parts)).alias("p")) \
         .select("y", "p.f", "p.b").where(F.col("b").isNotNull())
     joint = long.groupBy("f", "b", "y").count()
