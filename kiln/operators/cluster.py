@@ -105,21 +105,26 @@ def kneedle(xs, ys, sensitivity: float = 1.0, default: int | None = DEFAULT_K):
 
 
 def k_sweep(vec: DataFrame, algo: str = "KMeans", ks=K_RANGE, seed: int = SEED, n_init: int = N_INIT,
-            features: str = "features") -> list[tuple[int, float]]:
-    """CLU-02: (k, inertia) for KMeans or (k, BIC) for GMM over ``ks``."""
-    vec = vec.select(features).persist(StorageLevel.MEMORY_AND_DISK)
-    n = vec.count()
-    d = len(vec.first()[features]) if n else 0
+            features: str = "features", return_models: bool = False):
+    """CLU-02: (k, inertia) for KMeans or (k, BIC) for GMM over ``ks``.
+
+    KMeans: all k x n_init models advance together, one pass per iteration
+    (kiln.operators.multikmeans); ``return_models`` also gives the best
+    centres per k so the chosen model needs no refit."""
     ks = list(ks)
-    par = parallelism(vec.sparkSession)
     if algo == "GMM":
-        costs = _run_all(lambda k: bic(gmm(vec, k, seed, features), n, d), ks, par)
-    else:  # every (k, start) model advances in the same pass (kiln.operators.multikmeans)
-        from kiln.operators.multikmeans import multi_kmeans
-        fits = multi_kmeans(vec, [(k, seed + s) for k in ks for s in range(n_init)], features)
-        costs = [min(fits[(k, seed + s)][1] for s in range(n_init)) for k in ks]
-    vec.unpersist()
-    return list(zip(ks, costs))
+        vec = vec.select(features).persist(StorageLevel.MEMORY_AND_DISK)
+        n = vec.count()
+        d = len(vec.first()[features]) if n else 0
+        costs = _run_all(lambda k: bic(gmm(vec, k, seed, features), n, d), ks, parallelism(vec.sparkSession))
+        vec.unpersist()
+        curve = list(zip(ks, costs))
+        return (curve, {}) if return_models else curve
+    from kiln.operators.multikmeans import best_models, multi_kmeans
+    fits = multi_kmeans(vec, [(k, seed + s) for k in ks for s in range(n_init)], features)
+    best = best_models(fits, ks)
+    curve = [(k, best[k][1]) for k in ks]
+    return (curve, best) if return_models else curve
 
 
 def choose_k(curve, algo: str = "KMeans") -> int:
@@ -141,22 +146,40 @@ def fit_clusters(df: DataFrame, cols, algo: str = "KMeans", k: int | None = None
     """CLU-01..06: sweep (unless k given), choose k, fit; returns (model, labeled, curve).
 
     ``labeled`` has ``cluster`` (int) and ``certainty`` (max membership
-    probability; 1.0 for k-means) next to the input columns."""
+    probability; 1.0 for k-means) next to the input columns.  The k-means
+    model is a persistable nearest-centre transformer (kiln ColumnRules)."""
+    from kiln.operators.multikmeans import best_models, centroid_model, multi_kmeans
     vec = assemble(df, cols).persist(StorageLevel.MEMORY_AND_DISK)
     curve = []
-    if k is None:
-        curve = k_sweep(vec, algo, seed=seed, n_init=n_init)
-        k = choose_k(curve, algo)
     if algo == "GMM":
+        if k is None:
+            curve = k_sweep(vec, "GMM", seed=seed)
+            k = choose_k(curve, "GMM")
         model = gmm(vec, k, seed)
         out = model.transform(vec).withColumn("certainty", F.array_max(vector_to_array("probability")))
+        out = out.withColumnRenamed("prediction", "cluster").drop("features", "probability")
+        return model, out, curve
+    if k is None:
+        curve, best = k_sweep(vec, "KMeans", seed=seed, n_init=n_init, return_models=True)
+        k = choose_k(curve, "KMeans")
     else:
-        model = kmeans(vec, k, seed, n_init)
-        out = model.transform(vec).withColumn("certainty", F.lit(1.0))
-    out = out.withColumnRenamed("prediction", "cluster").drop("features", "probability")
+        fits = multi_kmeans(vec, [(k, seed + s) for s in range(n_init)])
+        best = best_models(fits, [k])
+    centres, inertia = best[k]
+    model = centroid_model(centres, "features", "cluster", inertia)
+    out = model.transform(vec).withColumn("certainty", F.lit(1.0)).drop("features")
     return model, out, curve
 
 
+def predict(model, df: DataFrame, features: str, prediction: str) -> DataFrame:
+    """Apply a fitted cluster model (kiln centroid model or Spark ML model)."""
+    from kiln.operators.base import ColumnRules
+    if isinstance(model, ColumnRules):
+        spec = dict(model.params_dict, inputCol=features, predictionCol=prediction)
+        return ColumnRules.of(model.getOrDefault(model.kind), spec).transform(df)
+    return model.setFeaturesCol(features).setPredictionCol(prediction).transform(df)
+
+
 def bisecting_kmeans(df: DataFrame, cols, k: int, seed: int = SEED):
     """CLU-11: hierarchical (divisive) alternative to agglomerative clustering."""
     vec = assemble(df, cols)

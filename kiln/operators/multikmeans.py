@@ -27,17 +27,25 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kiln.operators.base import ColumnRules, register
 from kiln.session import materialize
 
 EXP_SALT = 0x5bd1e995
 
 
 def _points(vec: DataFrame, features: str) -> tuple[DataFrame, int]:
-    pts = vec.select(vector_to_array(F.col(features)).alias("x")) \
+    """(rid, x0..x{d-1}) as plain double columns (cheap Arrow batches),
+    checkpointed so row ids are stable for every pass."""
+    first = vec.select(features).first()
+    d = len(first[features]) if first is not None else 0
+    arr = vector_to_array(F.col(features))
+    pts = vec.select(*[arr[j].alias(f"x{j}") for j in range(d)]) \
         .withColumn("rid", F.monotonically_increasing_id())
-    pts = materialize(pts)
-    d = len(pts.select("x").first()["x"])
-    return pts, d
+    return materialize(pts), d
+
+
+def _xs(pdf: pd.DataFrame, d: int) -> np.ndarray:
+    return pdf[[f"x{j}" for j in range(d)]].to_numpy(dtype=np.float64)
 
 
 def _stack(centres: dict[int, np.ndarray]):
@@ -63,7 +71,7 @@ def _sq_dist(x: np.ndarray, c: np.ndarray) -> np.ndarray:
 
 
 def _seed_pass(pts: DataFrame, centres: dict[int, np.ndarray], need: list[int], step: int,
-               seeds: dict[int, int]) -> dict[int, list[float]]:
+               seeds: dict[int, int], d: int) -> dict[int, list[float]]:
     """Pick one new centre for every model in ``need`` (k-means++ draw)."""
     spark = pts.sparkSession
     have = {m: centres[m] for m in need if m in centres and len(centres[m])}
@@ -76,7 +84,7 @@ def _seed_pass(pts: DataFrame, centres: dict[int, np.ndarray], need: list[int],
         for pdf in batches:
             if pdf.empty:
                 continue
-            x = np.vstack(pdf["x"].to_numpy())
+            x = _xs(pdf, d)
             rid = pdf["rid"].to_numpy().astype(np.uint64)
             if have_:
                 dist = _sq_dist(x, stacked)
@@ -115,7 +123,7 @@ def _lloyd_pass(pts: DataFrame, centres: dict[int, np.ndarray], d: int):
         for pdf in batches:
             if pdf.empty:
                 continue
-            x = np.vstack(pdf["x"].to_numpy())
+            x = _xs(pdf, d)
             dist = _sq_dist(x, stacked)
             for m in ids:
                 cols = np.flatnonzero(owner == m)
@@ -145,8 +153,8 @@ def multi_kmeans(vec: DataFrame, configs: list[tuple[int, int]], features: str =
     """Fit k-means for every (k, seed) in ``configs`` together.
     Returns {(k, seed): (centres, inertia)}."""
     pts, d = _points(vec, features)
-    var = np.array(pts.select(F.posexplode("x")).groupBy("pos").agg(F.var_pop("col").alias("v"))
-                   .orderBy("pos").toPandas()["v"])
+    vr = pts.agg(*[F.var_pop(f"x{j}").alias(f"v{j}") for j in range(d)]).first()
+    var = np.array([vr[f"v{j}"] or 0.0 for j in range(d)])
     thr = tol * float(var.mean()) if len(var) else 0.0
     models = dict(enumerate(configs))
     seeds = {m: s * 7919 + k for m, (k, s) in models.items()}
@@ -155,7 +163,7 @@ def multi_kmeans(vec: DataFrame, configs: list[tuple[int, int]], features: str =
         need = [m for m, (k, _s) in models.items() if len(centres[m]) < k]
         if not need:
             break
-        picked = _seed_pass(pts, centres, need, step, seeds)
+        picked = _seed_pass(pts, centres, need, step, seeds, d)
         for m in need:
             if m in picked:
                 centres[m] = np.vstack([centres[m], np.array(picked[m])[None, :]])
@@ -188,3 +196,30 @@ def multi_kmeans(vec: DataFrame, configs: list[tuple[int, int]], features: str =
         inertia[m] = float(agg[(agg["m"] == m) & (agg["c"] == -1)]["v"].sum())
     pts.unpersist()
     return {models[m]: (centres[m], inertia[m]) for m in models}
+
+
+# ---------------------------------------------------------------- fitted model
+@register("nearest_centre")
+def _apply_nearest(spec: dict, df: DataFrame) -> DataFrame:
+    """cluster = index of the nearest centre (squared Euclidean, first on ties),
+    computed with array expressions on the JVM: works in batch and streaming."""
+    x = vector_to_array(F.col(spec["inputCol"]))
+    d2 = [F.aggregate(F.zip_with(x, F.array(*[F.lit(float(v)) for v in c]), lambda a, b: (a - b) * (a - b)),
+                      F.lit(0.0), lambda acc, y: acc + y) for c in spec["centres"]]
+    arr = F.array(*d2)
+    return df.withColumn(spec["predictionCol"], (F.array_position(arr, F.array_min(arr)) - 1).cast("int"))
+
+
+def centroid_model(centres: np.ndarray, input_col: str = "features", prediction_col: str = "prediction",
+                   inertia: float | None = None) -> ColumnRules:
+    return ColumnRules.of("nearest_centre", {"centres": np.asarray(centres).tolist(), "inputCol": input_col,
+                                             "predictionCol": prediction_col, "inertia": inertia})
+
+
+def best_models(fits: dict, ks) -> dict[int, tuple[np.ndarray, float]]:
+    """Best start (lowest inertia, then lowest seed) for each k."""
+    out = {}
+    for (k, s), (c, inertia) in sorted(fits.items(), key=lambda t: (t[0][0], t[1][1], t[0][1])):
+        if k in ks and k not in out:
+            out[k] = (c, inertia)
+    return out

@@ -13,7 +13,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.operators.cluster import assemble
+from kiln.operators.cluster import assemble, predict
 
 
 def attach_persona(scored: DataFrame, personas: DataFrame, cluster: str = "cluster",
@@ -30,7 +30,7 @@ def score(df: DataFrame, prep: PipelineModel, model, feature_cols, personas: Dat
     raw = {c: f"__raw{i}" for i, c in enumerate(df.columns)}
     carried = df.select("*", *[F.col(f"`{c}`").alias(r) for c, r in raw.items()])
     vec = assemble(prep.transform(carried), feature_cols, "__features")
-    pred = model.setFeaturesCol("__features").setPredictionCol(cluster).transform(vec)
+    pred = predict(model, vec, "__features", cluster)
     out = pred.select(*[F.col(r).alias(c) for c, r in raw.items()], F.col(cluster).cast("int").alias(cluster))
     if personas is not None:
         out = attach_persona(out, personas, cluster)
