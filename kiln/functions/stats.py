@@ -179,46 +179,46 @@ def _collect_pass(base, small, state, found):
 
 
 def _histogram_pass(base, large, state, buckets):
-    """One refinement pass: bucket counts per (column, interval) with map-side
-    combine, running counts by a window over each (column, interval) -- at
-    most ``buckets`` rows each -- and only the buckets that hold a wanted rank
-    come back to the driver (one row per target)."""
-    from pyspark.sql import Window
-    parts, wanted = [], []
+    """One refinement pass: bucket (count, min, max) per (column, interval)
+    with map-side combine.  The result is bounded by columns x intervals x
+    buckets whatever the data size; it comes back through Arrow and the
+    running counts are taken with numpy."""
+    import numpy as np
+    parts = []
     for i, ivs in large.items():
         if not ivs:
             continue
         v = F.col(f"v{i}")
-        iid = _interval_id(v, ivs)
-        lo_e = hi_e = None
-        for j, (lo, hi, below, _c) in enumerate(ivs):
-            lo_e = F.when(iid == j, F.lit(lo)) if lo_e is None else lo_e.when(iid == j, F.lit(lo))
-            hi_e = F.when(iid == j, F.lit(hi)) if hi_e is None else hi_e.when(iid == j, F.lit(hi))
-            for k, st in state[i].items():
-                if st[0] == lo and st[1] == hi:
-                    wanted.append((i, j, k - below))
-        b = F.least(F.floor((v - lo_e) / (hi_e - lo_e) * buckets), F.lit(buckets - 1)).cast("int")
+        if len(ivs) == 1:
+            lo, hi = ivs[0][0], ivs[0][1]
+            iid = F.when((v >= F.lit(lo)) & (v <= F.lit(hi)), F.lit(0))
+            b = F.when(iid.isNotNull(), F.least(F.floor((v - F.lit(lo)) * F.lit(buckets / (hi - lo))),
+                                                F.lit(buckets - 1)).cast("int"))
+        else:
+            iid = _interval_id(v, ivs)
+            lo_e = hi_e = None
+            for j, (lo, hi, _b, _c) in enumerate(ivs):
+                lo_e = F.when(iid == j, F.lit(lo)) if lo_e is None else lo_e.when(iid == j, F.lit(lo))
+                hi_e = F.when(iid == j, F.lit(hi)) if hi_e is None else hi_e.when(iid == j, F.lit(hi))
+            b = F.least(F.floor((v - lo_e) / (hi_e - lo_e) * buckets), F.lit(buckets - 1)).cast("int")
         parts.append(F.struct(F.lit(i).alias("c"), iid.alias("iv"), b.alias("b"), v.alias("v")))
-    hist = (base.select(F.explode(F.array(*parts)).alias("s")).select("s.*")
+    hist = (base.select(F.inline(F.array(*parts)))
             .where(F.col("iv").isNotNull())
             .groupBy("c", "iv", "b").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"),
-                                         F.max("v").alias("mx")))
-    cum = F.sum("n").over(Window.partitionBy("c", "iv").orderBy("b"))
-    hist = hist.withColumn("start", cum - F.col("n"))
-    cond = F.lit(False)
-    for i, j, r in wanted:
-        cond = cond | ((F.col("c") == i) & (F.col("iv") == j) & (F.col("start") <= r) & (F.col("start") + F.col("n") > r))
-    rows = hist.where(cond).collect()
-    table: dict[tuple[int, int], list] = {}
-    for r in rows:
-        table.setdefault((r["c"], r["iv"]), []).append((r["start"], r["n"], r["mn"], r["mx"]))
+                                         F.max("v").alias("mx"))
+            .toPandas().sort_values(["c", "iv", "b"]))
+    groups = {key: g for key, g in hist.groupby(["c", "iv"], sort=False)}
     for i, ivs in large.items():
         for j, (lo, hi, below, _cnt) in enumerate(ivs):
+            g = groups.get((i, j))
+            if g is None:
+                continue
+            n = g["n"].to_numpy()
+            ends = np.cumsum(n)
             for k, st in state[i].items():
                 if st[0] != lo or st[1] != hi:
                     continue
                 r = k - below
-                for start, n, mn, mx in table.get((i, j), []):
-                    if start <= r < start + n:
-                        state[i][k] = [mn, mx, below + start, n]
-                        break
+                pos = int(np.searchsorted(ends, r, side="right"))
+                state[i][k] = [float(g["mn"].iloc[pos]), float(g["mx"].iloc[pos]), below + int(ends[pos] - n[pos]),
+                               int(n[pos])]
