@@ -639,26 +639,31 @@ PART_TEXT = ["p_name", "p_brand", "p_type"]
 PART_NUM = ["p_partkey", "p_size", "p_retailprice"]
 
 
-def _validate_sql():
-    cols = ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
-    parts = [f"SELECT 'single_value' AS \"check\", '{c}' AS \"column\", count(DISTINCT {c})::DOUBLE AS value, 1.0::DOUBLE AS \"limit\", count(DISTINCT {c}) > 1 AS passed FROM part" for c in cols]
+def _validate_sql(tbl="part", cols=("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"),
+                  text=PART_TEXT, nums=PART_NUM, label=None):
+    parts = [f"SELECT 'single_value' AS \"check\", '{c}' AS \"column\", count(DISTINCT {c})::DOUBLE AS value, 1.0::DOUBLE AS \"limit\", count(DISTINCT {c}) > 1 AS passed FROM {tbl}" for c in cols]
     nulls = ", ".join(f"'{s}'" for s in ["", "null", "none", "nan", "na", "n/a", "-", "?"])
-    for c in PART_TEXT:
-        parts.append(f"SELECT 'special_characters', '{c}', round(count_if(regexp_matches({c}, '^[^\\p{{L}}\\p{{N}}]+$')) / count({c}), 6), 0.001::DOUBLE, count_if(regexp_matches({c}, '^[^\\p{{L}}\\p{{N}}]+$')) / count({c}) <= 0.001 FROM part")
-        parts.append(f"SELECT 'mixed_nulls', '{c}', (count(DISTINCT CASE WHEN lower(trim({c})) IN ({nulls}) THEN lower(trim({c})) END) + CASE WHEN count_if({c} IS NULL) > 0 THEN 1 ELSE 0 END)::DOUBLE, 1.0::DOUBLE, (count(DISTINCT CASE WHEN lower(trim({c})) IN ({nulls}) THEN lower(trim({c})) END) + CASE WHEN count_if({c} IS NULL) > 0 THEN 1 ELSE 0 END) <= 1 FROM part")
-        parts.append(f"SELECT 'mixed_types', '{c}', round(least(p, 1 - p), 6), 0.2::DOUBLE, NOT (least(p, 1 - p) >= 0.01 AND least(p, 1 - p) <= 0.2) FROM (SELECT count_if(try_cast({c} AS DOUBLE) IS NOT NULL) / count({c}) AS p FROM part)")
-        parts.append(f"SELECT 'string_mismatch', '{c}', count(*)::DOUBLE, 0.0::DOUBLE, count(*) = 0 FROM (SELECT regexp_replace(lower({c}), '[^\\p{{L}}\\p{{N}}]', '', 'g') AS k FROM part WHERE {c} IS NOT NULL GROUP BY 1 HAVING count(DISTINCT {c}) > 1)")
+    for c in text:
+        parts.append(f"SELECT 'special_characters', '{c}', round(count_if(regexp_matches({c}, '^[^\\p{{L}}\\p{{N}}]+$')) / count({c}), 6), 0.001::DOUBLE, count_if(regexp_matches({c}, '^[^\\p{{L}}\\p{{N}}]+$')) / count({c}) <= 0.001 FROM {tbl}")
+        parts.append(f"SELECT 'mixed_nulls', '{c}', (count(DISTINCT CASE WHEN lower(trim({c})) IN ({nulls}) THEN lower(trim({c})) END) + CASE WHEN count_if({c} IS NULL) > 0 THEN 1 ELSE 0 END)::DOUBLE, 1.0::DOUBLE, (count(DISTINCT CASE WHEN lower(trim({c})) IN ({nulls}) THEN lower(trim({c})) END) + CASE WHEN count_if({c} IS NULL) > 0 THEN 1 ELSE 0 END) <= 1 FROM {tbl}")
+        parts.append(f"SELECT 'mixed_types', '{c}', round(least(p, 1 - p), 6), 0.2::DOUBLE, NOT (least(p, 1 - p) >= 0.01 AND least(p, 1 - p) <= 0.2) FROM (SELECT count_if(try_cast({c} AS DOUBLE) IS NOT NULL) / count({c}) AS p FROM {tbl})")
+        parts.append(f"SELECT 'string_mismatch', '{c}', count(*)::DOUBLE, 0.0::DOUBLE, count(*) = 0 FROM (SELECT regexp_replace(lower({c}), '[^\\p{{L}}\\p{{N}}]', '', 'g') AS k FROM {tbl} WHERE {c} IS NOT NULL GROUP BY 1 HAVING count(DISTINCT {c}) > 1)")
         parts.append(f"""SELECT 'string_length', '{c}', round(count_if(len < q1 - 1.5 * (q3 - q1) OR len > q3 + 1.5 * (q3 - q1)) / count(*), 6), 0.05::DOUBLE,
   count_if(len < q1 - 1.5 * (q3 - q1) OR len > q3 + 1.5 * (q3 - q1)) / count(*) <= 0.05
-FROM (SELECT length({c}) AS len, (SELECT quantile_cont(length({c}), 0.25) FROM part) AS q1, (SELECT quantile_cont(length({c}), 0.75) FROM part) AS q3 FROM part)""")
-    parts.append("SELECT 'duplicates', '*', round(1 - (SELECT count(*) FROM (SELECT DISTINCT * FROM part)) / count(*), 6), 0.05::DOUBLE, 1 - (SELECT count(*) FROM (SELECT DISTINCT * FROM part)) / count(*) <= 0.05 FROM part")
-    for c in PART_NUM:
+FROM (SELECT length({c}) AS len, (SELECT quantile_cont(length({c}), 0.25) FROM {tbl}) AS q1, (SELECT quantile_cont(length({c}), 0.75) FROM {tbl}) AS q3 FROM {tbl})""")
+    allc = ", ".join(list(cols) + ([label] if label else []))
+    parts.append(f"SELECT 'duplicates', '*', round(1 - (SELECT count(*) FROM (SELECT DISTINCT {allc} FROM {tbl})) / count(*), 6), 0.05::DOUBLE, 1 - (SELECT count(*) FROM (SELECT DISTINCT {allc} FROM {tbl})) / count(*) <= 0.05 FROM {tbl}")
+    if label:
+        feats = ", ".join(cols)
+        parts.append(f"""SELECT 'conflicting_labels', '{label}', round(coalesce(sum(CASE WHEN lo <> hi THEN n END), 0) / sum(n), 6), 0.0::DOUBLE,
+  coalesce(sum(CASE WHEN lo <> hi THEN n END), 0) / sum(n) <= 0 FROM (SELECT count(*) AS n, min({label}) AS lo, max({label}) AS hi FROM {tbl} GROUP BY {feats})""")
+    for c in nums:
         parts.append(f"""SELECT 'outliers', '{c}', round(count_if(x < q1 - 1.5 * (q3 - q1) OR x > q3 + 1.5 * (q3 - q1)) / count(*), 6), 0.05::DOUBLE,
   count_if(x < q1 - 1.5 * (q3 - q1) OR x > q3 + 1.5 * (q3 - q1)) / count(*) <= 0.05
-FROM (SELECT {c} AS x, (SELECT quantile_cont({c}, 0.25) FROM part) AS q1, (SELECT quantile_cont({c}, 0.75) FROM part) AS q3 FROM part)""")
-    for i, a in enumerate(PART_NUM):
-        for b in PART_NUM[i + 1:]:
-            parts.append(f"SELECT 'feature_correlation', '{a}|{b}', round(abs(corr({a}, {b})), 6), 0.9::DOUBLE, abs(corr({a}, {b})) < 0.9 FROM part")
+FROM (SELECT {c} AS x, (SELECT quantile_cont({c}, 0.25) FROM {tbl}) AS q1, (SELECT quantile_cont({c}, 0.75) FROM {tbl}) AS q3 FROM {tbl})""")
+    for i, a in enumerate(nums):
+        for b in nums[i + 1:]:
+            parts.append(f"SELECT 'feature_correlation', '{a}|{b}', round(abs(corr({a}, {b})), 6), 0.9::DOUBLE, abs(corr({a}, {b})) < 0.9 FROM {tbl}")
     return _union(parts)
 
 
@@ -668,6 +673,25 @@ def validate_suite(spark, d):
     return rounded(validate(table(spark, d, "part")))
 
 
+LABELED_SQL = """(SELECT d.lang, d.source, d.n_chars, l.toxic::BIGINT AS toxic, l.quality::BIGINT AS quality
+  FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"""
+
+
+def labeled_frame(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "lang", "source", "n_chars")
+    lab = table(spark, d, "labels")
+    return docs.join(lab, "doc_id").select("lang", "source", "n_chars", F.col("toxic").cast("long"),
+                                           F.col("quality").cast("long"))
+
+
+@query("validate_labeled", _validate_sql(LABELED_SQL, ("lang", "source", "n_chars", "toxic"), ["lang", "source"],
+                                         ["n_chars", "toxic"], label="quality"))
+def validate_labeled(spark, d):
+    """VAL suite with a label: adds the conflicting-label share (VAL-08)."""
+    from kiln.operators.validate import validate
+    return rounded(validate(labeled_frame(spark, d), label="quality"))
+
+
 # ====================================================================== ordered series
 EV_NULL_SQL = "(SELECT event_id, user_id, ts, CASE WHEN event_id % 4 = 0 THEN NULL ELSE value END AS value FROM events)"
 

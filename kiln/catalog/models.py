@@ -148,6 +148,15 @@ def sulov_select_q(spark, d):
                                          "feature string, mi double, selected boolean"))
 
 
+@query("validate_pps")
+def validate_pps(spark, d):
+    """VAL-10/11: feature-label and identifier-label predictive power findings."""
+    from kiln.operators.validate import validate
+    f = supervised_frame(spark, d).drop("lang", "source")
+    out = validate(f, label="quality", with_pps=True, id_cols=["doc_id"])
+    return rounded(out.where(F.col("check").endswith("_pps")))
+
+
 @query("rfe")
 def rfe_q(spark, d):
     """SEL-09: recursive elimination with a 30-tree forest down to 2 features."""

@@ -21,13 +21,23 @@ SPECIAL_ONLY = r"^[^\p{L}\p{N}]+$"
 LIMITS = {"single_value": 1.0, "special_characters": 0.001, "mixed_nulls": 1.0,
           "mixed_types_low": 0.01, "mixed_types_high": 0.2, "string_mismatch": 0.0,
           "duplicates": 0.05, "string_length": 0.05, "conflicting_labels": 0.0,
-          "outliers": 0.05, "feature_correlation": 0.9}
+          "outliers": 0.05, "feature_correlation": 0.9, "feature_label_pps": 0.8}
 FENCE = 1.5
 
 SCHEMA = "check string, column string, value double, limit double, passed boolean"
 
 
-def validate(df: DataFrame, label: str | None = None, limits: dict | None = None) -> DataFrame:
+def validate(df: DataFrame, label: str | None = None, limits: dict | None = None,
+             with_pps: bool = False, id_cols=()) -> DataFrame:
+    """Findings table.  With a ``label``: conflicting labels (VAL-08) and, when
+    ``with_pps``, feature-label PPS < 0.8 (VAL-10) and identifier-label PPS
+    = 0 (VAL-11) from shallow-tree predictive power scores."""
+    from kiln.session import PassInput
+    with PassInput(df) as src:
+        return _validate(src, label, limits, with_pps, id_cols)
+
+
+def _validate(df: DataFrame, label, limits, with_pps, id_cols) -> DataFrame:
     lim = {**LIMITS, **(limits or {})}
     spark = df.sparkSession
     cols = [c for c in df.columns if c != label]
@@ -104,6 +114,17 @@ def validate(df: DataFrame, label: str | None = None, limits: dict | None = None
         v = (r["b"] or 0) / r["n"] if r["n"] else 0.0
         rows.append(("conflicting_labels", label, v, lim["conflicting_labels"], v <= lim["conflicting_labels"]))
 
+    # VAL-10/11 predictive power of features / identifiers for the label
+    if label and with_pps:
+        from kiln.operators.model_select import predictive_power
+        ids = [c for c in id_cols if c in df.columns and c != label]
+        feats = [c for c in num if c not in ids]
+        for c, v in predictive_power(df, feats + ids, label):
+            if c in ids:
+                rows.append(("identifier_label_pps", c, v, 0.0, v <= 0.0))
+            else:
+                rows.append(("feature_label_pps", c, v, lim["feature_label_pps"], v < lim["feature_label_pps"]))
+
     # VAL-09 outliers: rows outside the IQR fences, per numeric column
     if num:
         q = quantiles(df, num, [0.25, 0.75])
