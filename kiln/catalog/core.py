@@ -819,3 +819,60 @@ SELECT bin, round((SELECT lo FROM m) + bin * ((SELECT hi - lo FROM m) / 10), 6)
 def histogram_q(spark, d):
     from kiln.operators.profile import histogram
     return rounded(histogram(table(spark, d, "events"), "value", 10))
+
+
+# ====================================================================== small single-operator keys
+@query("trait_labels", """WITH s AS (SELECT avg(c_acctbal) AS m, stddev_pop(c_acctbal) AS sd FROM customer)
+SELECT c_custkey, round((c_acctbal - (SELECT m FROM s)) / (SELECT sd FROM s), 6) AS z,
+  CASE WHEN (c_acctbal - (SELECT m FROM s)) / (SELECT sd FROM s) > 0.5 THEN 'High'
+       WHEN (c_acctbal - (SELECT m FROM s)) / (SELECT sd FROM s) < -0.5 THEN 'Low' ELSE 'Average' END AS trait
+FROM customer""")
+def trait_labels(spark, d):
+    """FE-12 on standardised account balances."""
+    from kiln.operators.features import trait
+    from kiln.operators.scale import fit_standard_scale
+    c = table(spark, d, "customer").select("c_custkey", "c_acctbal")
+    z = fit_standard_scale(c, ["c_acctbal"]).transform(c).withColumnRenamed("c_acctbal", "z")
+    return rounded(z.withColumn("trait", trait(F.col("z"))))
+
+
+@query("problem_type", _union([
+    f"""SELECT '{t}' AS target, count(DISTINCT {t})::BIGINT AS n_distinct,
+  CASE WHEN {num} AND count(DISTINCT {t}) > 20 THEN 'regression' ELSE 'classification' END AS gold_rule,
+  CASE WHEN count(DISTINCT {t}) < 20 OR NOT {num} THEN 'classification' ELSE 'regression' END AS silver_rule
+FROM lineitem""" for t, num in (("l_linenumber", "TRUE"), ("l_quantity", "TRUE"), ("l_discount", "TRUE"),
+                                ("l_returnflag", "FALSE"))]))
+def problem_type_q(spark, d):
+    """PLAN-08 under both rules (they differ at exactly 20 classes)."""
+    from kiln.plans.rules import problem_type
+    li = table(spark, d, "lineitem")
+    out = []
+    for t in ("l_linenumber", "l_quantity", "l_discount", "l_returnflag"):
+        nd = li.agg(F.count_distinct(t)).first()[0]
+        out.append((t, nd, problem_type(li, t, "gold"), problem_type(li, t, "silver")))
+    return spark.createDataFrame(out, "target string, n_distinct long, gold_rule string, silver_rule string")
+
+
+@query("cluster_means", f"""SELECT cluster::BIGINT AS cluster, feature, round(avg(x), 6) AS mean FROM {EMB_LONG_SQL} GROUP BY 1, 2""")
+def cluster_means_q(spark, d):
+    """AGG-01 / CLU-08: raw (unscaled) mean of every dimension per label, long form."""
+    from kiln.operators.cluster import long_features
+    lf = long_features(table(spark, d, "embeddings"), ["embedding"], cluster="label")
+    return rounded(lf.groupBy("cluster", "feature").agg(F.avg("x").alias("mean")))
+
+
+@query("complete_rows", f"SELECT event_id, user_id, round(value, 6) AS value FROM {EV_NULL_SQL} WHERE value IS NOT NULL")
+def complete_rows_q(spark, d):
+    """FLT-01: rows with no null feature (the training input filter)."""
+    from kiln.operators.dedup import complete_rows
+    e = events_with_nulls(spark, d).select("event_id", "user_id", "value")
+    return rounded(complete_rows(e, ["value"]))
+
+
+@query("align_schema", "SELECT o_totalprice, 0::BIGINT AS o_missing_feature, o_orderkey FROM orders")
+def align_schema_q(spark, d):
+    """PRJ-05: exactly the expected columns in order, absent ones as literal 0."""
+    from kiln.functions.names import align_schema
+    o = table(spark, d, "orders")
+    return rounded(align_schema(o, ["o_totalprice", "o_missing_feature", "o_orderkey"], fill=0)
+                   .withColumn("o_missing_feature", F.col("o_missing_feature").cast("long")))

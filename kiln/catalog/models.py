@@ -211,3 +211,13 @@ def clean_contract_events(spark, d):
 
 
 __all__ = ["customer_with_nulls"]
+
+
+@query("corr_filter_greedy")
+def corr_filter_greedy(spark, d):
+    """SEL-03: greedy correlation filter (|r| > 0.8, first kept evicts the rest)."""
+    from kiln.catalog.core import SEL_COLS, selection_frame
+    from kiln.operators.select import corr_filter
+    kept = set(corr_filter(selection_frame(spark, d), SEL_COLS, 0.8, greedy=True))
+    return spark.createDataFrame([(i, c, c in kept) for i, c in enumerate(SEL_COLS)],
+                                 "position long, column string, kept boolean")

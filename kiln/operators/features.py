@@ -58,14 +58,11 @@ def build_interactions(df: DataFrame, specs: list[dict], clip: bool = True) -> D
         if not level:
             return df
         df = df.withColumns({s["name"]: interaction_expr(s) for s in level})
-        if clip:
-            by_pct: dict[float, list[str]] = {}
-            for s in level:
-                pct = s.get("outlier_clipping_percentile", DEFAULT_CLIP_PCT) / 100.0
-                by_pct.setdefault(pct, []).append(s["name"])
-            caps = {}
-            for p, names in by_pct.items():
-                caps.update({c: q[0] for c, q in quantiles(df, names, [p]).items()})
+        if clip:  # one quantile job for the whole level (every column's own percentile)
+            pct = {s["name"]: s.get("outlier_clipping_percentile", DEFAULT_CLIP_PCT) / 100.0 for s in level}
+            probs = sorted(set(pct.values()))
+            q = quantiles(df, list(pct), probs)
+            caps = {c: q[c][probs.index(p)] for c, p in pct.items()}
             df = df.withColumns({c: F.when(qcol(c) > F.lit(v), F.lit(v)).otherwise(qcol(c))
                                  for c, v in caps.items() if v is not None})
         return df

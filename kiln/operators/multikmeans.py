@@ -41,7 +41,8 @@ def _points(vec: DataFrame, features: str) -> tuple[DataFrame, int]:
     arr = vector_to_array(F.col(features))
     pts = vec.select(*[arr[j].alias(f"x{j}") for j in range(d)]) \
         .withColumn("rid", F.monotonically_increasing_id())
-    return materialize(pts), d
+    from pyspark import StorageLevel
+    return materialize(pts).persist(StorageLevel.MEMORY_AND_DISK), d
 
 
 def _xs(pdf: pd.DataFrame, d: int) -> np.ndarray:
