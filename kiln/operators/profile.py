@@ -78,14 +78,21 @@ def _clean(v):
     return None if math.isnan(v) else v
 
 
-def profile(df: DataFrame, exact_quantiles: bool = True, with_mad: bool = True) -> DataFrame:
-    """Profile every column of ``df``; returns PROFILE_SCHEMA rows ordered by position."""
+def profile(df: DataFrame, exact_quantiles: bool = True, with_mad: bool = True,
+            exact_distinct: bool = True, rsd: float = 0.01) -> DataFrame:
+    """Profile every column of ``df``; returns PROFILE_SCHEMA rows ordered by position.
+
+    ``exact_distinct=False`` replaces the value-count shuffle by HyperLogLog
+    sketches inside the moments pass (``approx_count_distinct(rsd)``):
+    n_distinct is then approximate, n_unique and entropy are null and
+    is_unique means "distinct estimate within rsd of the count"."""
     from kiln.session import PassInput
     with PassInput(nan_to_null(df)) as src:
-        return _profile(src, exact_quantiles, with_mad)
+        return _profile(src, exact_quantiles, with_mad, exact_distinct, rsd)
 
 
-def _profile(df: DataFrame, exact_quantiles: bool, with_mad: bool) -> DataFrame:
+def _profile(df: DataFrame, exact_quantiles: bool, with_mad: bool, exact_distinct: bool = True,
+             rsd: float = 0.01) -> DataFrame:
     spark = df.sparkSession
     fields = df.schema.fields
     types = [semantic_type(f.dataType) for f in fields]
@@ -96,6 +103,8 @@ def _profile(df: DataFrame, exact_quantiles: bool, with_mad: bool) -> DataFrame:
     for i, f in enumerate(fields):
         c = qcol(f.name)
         aggs.append(F.count(c).alias(f"cnt{i}"))
+        if not exact_distinct and types[i] != "Unsupported":
+            aggs.append(F.approx_count_distinct(c, rsd).alias(f"hll{i}"))
         if i in num_idx:
             x = c.cast("double")
             finite = F.when(~x.isin(float("inf"), float("-inf")), x)
@@ -119,6 +128,12 @@ def _profile(df: DataFrame, exact_quantiles: bool, with_mad: bool) -> DataFrame:
         parts.append(F.struct(F.lit(i).alias("i"), dv.alias("d"), sv.alias("s"),
                               c.isNull().alias("null")))
     dist = {}
+    if not exact_distinct:
+        for i in range(len(fields)):
+            if types[i] != "Unsupported":
+                nd = m[f"hll{i}"]
+                dist[i] = (min(nd, m[f"cnt{i}"]), None, None)
+        parts = []
     if parts:
         vc = (df.select(F.explode(F.array(*parts)).alias("p")).select("p.*")
               .where(~F.col("null")).groupBy("i", "d", "s").count())
@@ -148,7 +163,9 @@ def _profile(df: DataFrame, exact_quantiles: bool, with_mad: bool) -> DataFrame:
                    is_integral=isinstance(f.dataType, INTEGRAL_TYPES), n=n, count=cnt,
                    n_missing=n - cnt, p_missing=(n - cnt) / n if n else 0.0,
                    n_distinct=nd, p_distinct=(nd / cnt) if (nd is not None and cnt) else 0.0,
-                   n_unique=nu, is_unique=bool(cnt > 0 and nd == cnt) if nd is not None else False,
+                   n_unique=nu,
+                   is_unique=(bool(cnt > 0 and nd == cnt) if exact_distinct else bool(cnt > 0 and nd >= cnt * (1 - rsd)))
+                   if nd is not None else False,
                    entropy=ent)
         if i in num_idx:
             mean, std = _clean(m[f"mean{i}"]), _clean(m[f"std{i}"])

@@ -173,7 +173,7 @@ def plan_timeseries(df: DataFrame, profile: DataFrame, order_by: str, partition_
     ids = [r["column"] for r in profile.where("is_unique").orderBy("position").collect()]
     return {"config": dict(TIMESERIES_CONFIG), "id_cols": ids,
             "temporal_consistency": {
-                "is_sorted": is_ordered(df, order_by, partition_by),
+                "is_sorted": is_ordered(df, order_by, None, partition_by),
                 "has_date_column": any(c.lower() in ("date", "time", "timestamp") for c in df.columns)}}
 
 

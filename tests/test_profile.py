@@ -38,3 +38,11 @@ def test_skew_kurtosis_bias_corrected(spark):
     g1, g2 = m3 / m2 ** 1.5, m4 / m2 ** 2 - 3
     assert math.isclose(p["skewness"], g1 * math.sqrt(n * (n - 1)) / (n - 2), rel_tol=1e-9)
     assert math.isclose(p["kurtosis"], ((n + 1) * g2 + 6) * (n - 1) / ((n - 2) * (n - 3)), rel_tol=1e-9)
+
+
+def test_profile_approx_distinct(spark):
+    rows = [(i, i % 10, f"s{i % 3}") for i in range(5000)]
+    df = spark.createDataFrame(rows, "id long, m long, s string")
+    p = {r["column"]: r for r in profile(df, exact_distinct=False).collect()}
+    assert abs(p["id"]["n_distinct"] - 5000) <= 150 and p["id"]["is_unique"]
+    assert p["m"]["n_distinct"] == 10 and not p["m"]["is_unique"] and p["m"]["n_unique"] is None
