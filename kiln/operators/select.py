@@ -58,14 +58,19 @@ def variance_filter(df: DataFrame, cols, threshold: float = 0.01, keep=()) -> li
 
 
 def corr_filter(df: DataFrame, cols, threshold: float = 0.85, keep=(), greedy: bool = False,
-                matrix: np.ndarray | None = None) -> list[str]:
+                matrix: np.ndarray | None = None, order: str = "given") -> list[str]:
     """SEL-02 (non-greedy) / SEL-03 (greedy) correlation filter; returns survivors.
 
     non-greedy: drop j when any earlier i (dropped or not) has |r| > threshold,
     unless j is force-kept.  greedy: scan in order; a kept column evicts every
-    later column correlated above the threshold with it.
+    later column correlated above the threshold with it.  ``order="name"``
+    scans in sorted column-name order (the survivors keep the input order).
     """
     cols = list(cols)
+    if order == "name":
+        by_name = sorted(cols)
+        got = set(corr_filter(df, by_name, threshold, keep, greedy))
+        return [c for c in cols if c in got]
     if greedy and len(cols) < 2:
         return cols
     m = np.abs(correlation_matrix(df, cols) if matrix is None else matrix)

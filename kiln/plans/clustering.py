@@ -70,3 +70,41 @@ def audit_and_clean(df: DataFrame, policy_overrides: dict | None = None):
     contract = contract_dict(plan)
     silver, model = fit_cleaning(df, contract)
     return silver, contract, model
+
+
+def fit_gold(silver: DataFrame, plan: dict, clip: bool = True, scaler: str | None = None):
+    """Clustering gold path: interactions -> numeric features -> variance and
+    correlation filters (force-kept interactions survive) -> imputation ->
+    PowerTransformer (Yeo-Johnson + standardise) or robust scaling -> PCA when
+    the plan asks for it.  Features are the plan's base metrics plus the
+    interactions, the entity key excluded and carried through unscaled.
+    Returns (gold DataFrame, fitted PipelineModel, feature list)."""
+    from kiln.functions.names import select_types
+    from kiln.operators.cluster import pca
+    from kiln.operators.features import build_interactions
+    from kiln.operators.scale import fit_power_transform
+    from kiln.operators.select import corr_filter, variance_filter
+    key = plan.get("subject_id")
+    inter = plan.get("priority_interactions", []) or []
+    df = build_interactions(silver, inter, clip=clip)
+    base = plan.get("base_metrics") or select_types(silver, ("Numeric",))
+    feats = [c for c in list(base) + [i["name"] for i in inter] if c in df.columns and c != key]
+    feats = list(dict.fromkeys(feats))
+    sel = plan.get("selection_params", {}) or {}
+    keep = sel.get("force_keep", []) or []
+    feats = variance_filter(df, feats, sel.get("variance_threshold", 0.01), keep)
+    feats = corr_filter(df, feats, sel.get("correlation_threshold", 0.85), keep)
+    prep = plan.get("preprocessing", {}) or {}
+    stages = [fit_impute(df, feats, prep.get("imputation", "median"))]
+    df = stages[0].transform(df)
+    kind = scaler or prep.get("scaler") or plan.get("scaling") or "PowerTransformer"
+    scale = fit_power_transform(df, feats) if kind == "PowerTransformer" else [fit_robust_scale(df, feats)]
+    for st in scale:
+        df = st.transform(df)
+    stages += scale
+    carry = [key] if key and key in df.columns else []
+    pca_cfg = prep.get("pca", {}) or {}
+    if pca_cfg.get("method") == "PCA":
+        out, _ = pca(df, feats, retain=pca_cfg.get("variance_retention_threshold", 0.95), keep=carry)
+        return out, PipelineModel(stages), [c for c in out.columns if c not in carry]
+    return df.select(*carry, *feats), PipelineModel(stages), feats

@@ -26,6 +26,7 @@ from kiln.operators.select import corr_filter, vif_filter
 from kiln.plans.rules import id_columns, split_columns, thresholds
 
 GREEDY_CORR = 0.8  # fixed value: silver correlation filter threshold
+GREEDY_ORDER = "name"  # scan order of the greedy filter (evidence: the iris silver golden)
 
 
 def audit(df: DataFrame, target: str, with_pps: bool = True) -> dict:
@@ -70,7 +71,7 @@ def clean(df: DataFrame, target: str, plan: dict, order_by: str | None = None,
     if final_num:
         out = fit_impute(out, final_num, "median").transform(out)
         if len(final_num) >= 2:
-            keep = corr_filter(out, final_num, GREEDY_CORR, greedy=True)
+            keep = corr_filter(out, final_num, GREEDY_CORR, greedy=True, order=GREEDY_ORDER)
             out = drop_columns(out, [c for c in final_num if c not in keep])
     if final_cat:
         out = fit_impute(out, final_cat, "constant", "Missing").transform(out)
