@@ -62,3 +62,24 @@ def test_mall_elbow_and_cluster_means(spark):
     for cl, exp in personas.items():
         for feat, v in exp.items():
             assert abs(means[int(cl)][feat] - v) < 1e-12, (cl, feat)
+
+
+def test_mall_silver_one_hot(spark):
+    from kiln.operators.encode import fit_one_hot
+    from kiln.sources.io import read_table
+    raw = read_table(spark, f"{REF}/dataset/mall_customers.csv")
+    got = fit_one_hot(raw, ["Gender"]).transform(raw).toPandas().sort_values("CustomerID").reset_index(drop=True)
+    exp = pd.read_csv(f"{REF}/dataset/cleaned/mall_customers/silver_cleaned_data.csv").sort_values("CustomerID")
+    exp = exp.reset_index(drop=True)
+    assert sorted(got.columns) == sorted(exp.columns)
+    for c in exp.columns:
+        assert (got[c].astype(float) == exp[c].astype(float)).all(), c
+
+
+def test_iris_gold_robust_scale(spark):
+    from kiln.operators.scale import fit_robust_scale
+    from kiln.sources.io import read_table
+    silver = read_table(spark, f"{REF}/dataset/cleaned/iris/silver_cleaned_data.csv")
+    got = fit_robust_scale(silver, ["PetalWidthCm"]).transform(silver).select("PetalWidthCm").toPandas()
+    exp = pd.read_csv(f"{REF}/dataset/cleaned/iris/gold_feature_engineered_data.csv")
+    assert np.allclose(sorted(got["PetalWidthCm"]), sorted(exp["PetalWidthCm"]), rtol=0, atol=1e-12)
