@@ -31,6 +31,7 @@ from kiln.operators.base import ColumnRules, register
 from kiln.session import materialize
 
 EXP_SALT = 0x5bd1e995
+DRIVER_REDUCE_ROWS = 200_000  # partial results up to this size are summed on the driver
 
 
 def _points(vec: DataFrame, features: str) -> tuple[DataFrame, int]:
@@ -104,10 +105,18 @@ def _seed_pass(pts: DataFrame, centres: dict[int, np.ndarray], need: list[int],
             if rows:
                 yield pd.DataFrame(rows, columns=["m", "key", "x"])
 
-    best = (pts.mapInPandas(run, "m int, key double, x array<double>")
-            .groupBy("m").agg(F.min_by("x", "key").alias("x")).collect())
+    partial = pts.mapInPandas(run, "m int, key double, x array<double>")
+    if pts.rdd.getNumPartitions() * len(need) <= DRIVER_REDUCE_ROWS:
+        rows = partial.collect()  # one row per (partition, model): bounded, reduce here
+        best: dict[int, tuple] = {}
+        for r in rows:
+            if r["m"] not in best or r["key"] < best[r["m"]][0]:
+                best[r["m"]] = (r["key"], r["x"])
+        bc.unpersist()
+        return {m: x for m, (_k, x) in best.items()}
+    got = partial.groupBy("m").agg(F.min_by("x", "key").alias("x")).collect()
     bc.unpersist()
-    return {r["m"]: r["x"] for r in best}
+    return {r["m"]: r["x"] for r in got}
 
 
 def _lloyd_pass(pts: DataFrame, centres: dict[int, np.ndarray], d: int):
@@ -143,8 +152,13 @@ def _lloyd_pass(pts: DataFrame, centres: dict[int, np.ndarray], d: int):
             out.append((m, -1, -1, cost[m]))
         yield pd.DataFrame(out, columns=["m", "c", "j", "v"])
 
-    agg = (pts.mapInPandas(run, "m int, c int, j int, v double")
-           .groupBy("m", "c", "j").agg(F.sum("v").alias("v")).toPandas())
+    partial = pts.mapInPandas(run, "m int, c int, j int, v double")
+    width = sum(len(c) * (d + 1) + 1 for c in centres.values())
+    if pts.rdd.getNumPartitions() * width <= DRIVER_REDUCE_ROWS:
+        # few, small partial results: fetch them (Arrow) and sum here
+        agg = partial.toPandas().groupby(["m", "c", "j"], as_index=False)["v"].sum()
+    else:  # distributed reduce; the result is models x k x d rows whatever the data size
+        agg = partial.groupBy("m", "c", "j").agg(F.sum("v").alias("v")).toPandas()
     bc.unpersist()
     return agg
 
