@@ -128,8 +128,15 @@ def k_sweep(vec: DataFrame, algo: str = "KMeans", ks=K_RANGE, seed: int = SEED,
 
 
 def choose_k(curve, algo: str = "KMeans") -> int:
+    """Knee of the inertia curve (KMeans) or minimum BIC (GMM).  A BIC minimum
+    at the largest k tried usually means the sweep was too short: warn."""
     if algo == "GMM":
-        return min(curve, key=lambda t: t[1])[0]
+        k = min(curve, key=lambda t: t[1])[0]
+        if len(curve) > 1 and k == max(kk for kk, _ in curve):
+            import warnings
+            warnings.warn(f"BIC is lowest at the sweep boundary k={k}; consider a wider k range "
+                          "or a minimum cluster size", stacklevel=2)
+        return k
     return kneedle([k for k, _ in curve], [v for _, v in curve])
 
 

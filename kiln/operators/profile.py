@@ -151,9 +151,11 @@ def _profile(df: DataFrame, exact_quantiles: bool, with_mad: bool, exact_distinc
     qs = quantiles(df, num_cols, PROBS, exact=exact_quantiles, stats=st) if num_cols else {}
     mad = {}
     if with_mad and num_cols:
-        dev = df.select(*[F.abs(qcol(c).cast("double") - F.lit(qs[c][2])).alias(c)
-                          for c in num_cols if qs[c][2] is not None])
-        mad = {c: v[0] for c, v in quantiles(dev, dev.columns, [0.5], exact=exact_quantiles).items()}
+        live = [c for c in num_cols if qs[c][2] is not None]
+        dev = df.select(*[F.abs(qcol(c).cast("double") - F.lit(qs[c][2])).alias(c) for c in live])
+        # |x - median| lies in [0, max(max - median, median - min)]; the count is known
+        dst = {c: (st[c][0], 0.0, max(st[c][2] - qs[c][2], qs[c][2] - st[c][1])) for c in live}
+        mad = {c: v[0] for c, v in quantiles(dev, live, [0.5], exact=exact_quantiles, stats=dst).items()}
 
     rows = []
     for i, f in enumerate(fields):

@@ -134,8 +134,13 @@ def id_columns(profile: DataFrame, n_rows_col: str = "n") -> DataFrame:
         .select("position", "column")
 
 
-def thresholds(n_var: int, strong_features: int | None = None) -> dict:
-    """Dynamic (pps, vif) thresholds; the raise needs >15 features with pps > 0.1."""
+def thresholds(n_var: int, strong_features: int | None = None, preserve_on_flagged: bool = False,
+               n_flagged: int | None = None, n_features: int | None = None) -> dict:
+    """Dynamic (pps, vif) thresholds; the raise needs >15 features with pps > 0.1.
+
+    ``preserve_on_flagged`` adds the documented second trigger: raise as well
+    when more than 80 % of ``n_features`` are flagged weak or fewer than 10
+    would survive."""
     if n_var > 50:
         pps, vif = 0.05, 5.0
     elif n_var < 15:
@@ -143,7 +148,10 @@ def thresholds(n_var: int, strong_features: int | None = None) -> dict:
     else:
         pps, vif = 0.02, 10.0
     initial = (pps, vif)
-    if strong_features is not None and strong_features > 15 and vif < 20.0:
+    raise_ = strong_features is not None and strong_features > 15 and vif < 20.0
+    if preserve_on_flagged and n_flagged is not None and n_features:
+        raise_ = raise_ or n_flagged > 0.8 * n_features or (n_features - n_flagged) < 10
+    if raise_:
         pps, vif = 0.001, 25.0
     return {"pps_threshold": pps, "vif_threshold": vif, "initial": initial}
 

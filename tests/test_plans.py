@@ -34,3 +34,9 @@ def test_problem_type_boundary(spark):
     assert problem_type(df20, "y", "gold") == "classification"
     assert problem_type(df21, "y", "gold") == "regression"
     assert problem_type(df20, "y", "silver") == "regression"
+
+
+def test_preserve_on_flagged():
+    assert thresholds(20, preserve_on_flagged=True, n_flagged=17, n_features=20)["vif_threshold"] == 25.0
+    assert thresholds(20, preserve_on_flagged=True, n_flagged=2, n_features=20)["vif_threshold"] == 10.0
+    assert thresholds(20, preserve_on_flagged=True, n_flagged=2, n_features=11)["vif_threshold"] == 25.0
