@@ -143,6 +143,8 @@ def customer_with_nulls(spark, d):
                     .alias("c_mktsegment"))
 
 
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
 CUSTOMER_PLAN = [("c_custkey", "Numeric", True), ("c_name", "Text", False), ("c_nationkey", "Numeric", True),
                  ("c_acctbal", "Numeric", False), ("c_mktsegment", "Text", False)]
 
@@ -287,9 +289,6 @@ def rare_label(spark, d):
     return fit_rare_label(p, ["p_brand"], tol=0.04, min_categories=10).transform(p)
 
 
-SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
-
-
 @query("one_hot", "SELECT c_custkey, " + ", ".join(
     f"CASE WHEN c_mktsegment = '{s}' THEN 1 ELSE 0 END::BIGINT AS c_mktsegment_{s}" for s in SEGMENTS)
     + " FROM customer")
@@ -367,9 +366,27 @@ def power_transform(spark, d):
     return rounded(PipelineModel(fit_power_transform(c, ["c_acctbal"])).transform(c))
 
 
-@query("clean_contract")
+CLEAN_CONTRACT_SQL = f"""WITH c AS {CUSTOMER_NULLS_SQL},
+i AS (SELECT c_name, c_nationkey, coalesce(c_acctbal, (SELECT avg(c_acctbal) FROM c)) AS c_acctbal,
+             coalesce(c_mktsegment, 'Missing') AS seg FROM c),
+f AS (SELECT c_name AS v FROM i WHERE c_name IS NOT NULL GROUP BY 1
+      HAVING count(*) / (SELECT count(c_name) FROM i) >= 0.05),
+q AS (SELECT quantile_cont(c_nationkey, 0.5) AS mn, quantile_cont(c_nationkey, 0.75) - quantile_cont(c_nationkey, 0.25) AS iqn,
+             quantile_cont(c_acctbal, 0.5) AS ma, quantile_cont(c_acctbal, 0.75) - quantile_cont(c_acctbal, 0.25) AS iqa FROM i)
+SELECT CASE WHEN c_name IS NULL THEN NULL
+            WHEN (SELECT count(DISTINCT c_name) FROM i) <= 10 OR c_name IN (SELECT v FROM f) THEN c_name ELSE 'Rare' END AS c_name,
+  round((c_nationkey - (SELECT mn FROM q)) / (SELECT CASE WHEN iqn = 0 THEN 1 ELSE iqn END FROM q), 6) AS c_nationkey,
+  round((c_acctbal - (SELECT ma FROM q)) / (SELECT CASE WHEN iqa = 0 THEN 1 ELSE iqa END FROM q), 6) AS c_acctbal,
+  """ + ", ".join(f"CASE WHEN seg = '{v}' THEN 1 ELSE 0 END::BIGINT AS c_mktsegment_{v}"
+                  for v in SEGMENTS + ["Missing"]) + " FROM i"
+
+
+@query("clean_contract", CLEAN_CONTRACT_SQL)
 def clean_contract(spark, d):
-    """Rows-only: profile -> policy -> contract -> silver of customer (with nulls)."""
+    """Flagship: profile -> policy -> contract -> silver of customer (with nulls).
+    The contract chosen here (drop c_custkey; mean-impute and robust-scale
+    c_acctbal; robust-scale c_nationkey; rare-label c_name; impute + one-hot
+    c_mktsegment) is itself checked by ``plan_cleaning_contract``."""
     from kiln.plans.clustering import audit_and_clean
     silver, _contract, _model = audit_and_clean(customer_with_nulls(spark, d))
     return rounded(silver)

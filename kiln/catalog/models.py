@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kiln.catalog.core import customer_features, customer_with_nulls, events_with_nulls
+from kiln.catalog.core import EV_NULL_SQL, customer_features, customer_with_nulls, events_with_nulls
 from kiln.catalog.registry import query, rounded, table
 
 CUST_FEATS = ["inc", "spd", "age"]
@@ -82,7 +82,23 @@ def cluster_coords(spark, d):
     return rounded(out)
 
 
-@query("silhouette")
+SILHOUETTE_SQL = """WITH l AS (SELECT vec_id, label, pos, x::DOUBLE AS x
+    FROM (SELECT vec_id, label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings)),
+pn AS (SELECT vec_id, label, sum(x * x) AS nn FROM l GROUP BY 1, 2),
+cs AS (SELECT label, pos, sum(x) AS s FROM l GROUP BY 1, 2),
+cq AS (SELECT label, count(*) AS n, sum(nn) AS q FROM pn GROUP BY 1),
+dt AS (SELECT l.vec_id, cs.label AS cl, sum(l.x * cs.s) AS d FROM l JOIN cs ON l.pos = cs.pos GROUP BY 1, 2),
+md AS (SELECT pn.vec_id, pn.label, dt.cl, cq.n, (cq.n * pn.nn - 2 * dt.d + cq.q) AS tot
+    FROM pn JOIN dt ON pn.vec_id = dt.vec_id JOIN cq ON cq.label = dt.cl),
+s AS (SELECT vec_id, label, max(CASE WHEN cl = label THEN n END) AS own_n,
+    max(CASE WHEN cl = label AND n > 1 THEN tot / (n - 1) END) AS a, min(CASE WHEN cl <> label THEN tot / n END) AS b
+    FROM md GROUP BY 1, 2)
+SELECT count(DISTINCT label)::BIGINT AS k,
+  round(avg(CASE WHEN own_n = 1 THEN 0 WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1 ELSE 0 END), 6) AS silhouette
+FROM s"""
+
+
+@query("silhouette", SILHOUETTE_SQL)
 def silhouette_q(spark, d):
     """CLU-09: silhouette of the fixed labels (squared Euclidean, Spark's O(n k) form)."""
     from kiln.operators.cluster import assemble
@@ -192,22 +208,38 @@ def supervised_gold(spark, d):
     return rounded(out)
 
 
-@query("timeseries_clean")
+TS_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
+@query("timeseries_clean", f"""SELECT user_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, round(coalesce(value,
+  last_value(value IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+  first_value(value IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)), 6) AS value
+FROM {EV_NULL_SQL}""")
 def timeseries_clean(spark, d):
     """Time-series silver: audit (ids by uniqueness), forward/back fill per user, ids dropped."""
     from kiln.plans import timeseries as TS
     e = events_with_nulls(spark, d)
     plan = TS.audit(e, "ts", position="event_id")
-    return rounded(TS.clean(e, plan, ["ts"], "user_id"))
+    out = TS.clean(e, plan, ["ts"], "user_id")
+    return rounded(out.withColumn("ts", F.date_format("ts", TS_FMT)))
+
+
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 
-@query("clean_contract_events")
+@query("clean_contract_events", """WITH q AS (SELECT quantile_cont(value, 0.5) AS m,
+    quantile_cont(value, 0.75) - quantile_cont(value, 0.25) AS iq FROM events)
+SELECT strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id,
+  round((value - (SELECT m FROM q)) / (SELECT CASE WHEN iq = 0 THEN 1 ELSE iq END FROM q), 6) AS value, """
+       + ", ".join(f"CASE WHEN event_type = '{t}' THEN 1 ELSE 0 END::BIGINT AS event_type_{t}" for t in EVENT_TYPES)
+       + " FROM events")
 def clean_contract_events(spark, d):
-    """Clustering silver of events: policy picks user_id as subject, value gets log/scale."""
+    """Clustering silver of events: the policy makes user_id the subject and
+    event_id garbage; value is protected (no clip / transform) and robust-scaled."""
     from kiln.plans.clustering import audit_and_clean
     e = table(spark, d, "events").drop("props")
     silver, _c, _m = audit_and_clean(e)
-    return rounded(silver)
+    return rounded(silver.withColumn("ts", F.date_format("ts", TS_FMT)))
 
 
 __all__ = ["customer_with_nulls"]
