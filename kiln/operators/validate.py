@@ -63,7 +63,9 @@ def _validate(df: DataFrame, label, limits, with_pps, id_cols) -> DataFrame:
             aggs += [F.count(x).alias(f"n{i}"),
                      F.count_if(x.rlike(SPECIAL_ONLY)).alias(f"sp{i}"),
                      F.count_if(x.isNull()).alias(f"nl{i}"),
-                     F.count_distinct(F.when(norm.isin(NULL_SPELLINGS), norm)).alias(f"ns{i}"),
+                     # spellings present: one count_if per spelling (no count_distinct -> no Expand)
+                     sum(F.when(F.count_if(norm == sp) > 0, 1).otherwise(0) for sp in NULL_SPELLINGS)
+                     .alias(f"ns{i}"),
                      F.count_if(x.try_cast("double").isNotNull()).alias(f"num{i}")]
         r = df.agg(*aggs).first()
         for i, c in enumerate(text):
