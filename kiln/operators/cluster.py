@@ -1,9 +1,11 @@
 """Dimensionality reduction, clustering and personas (DIM-01/02, CLU-01..12).
 
-Model fitting uses Spark ML (k-means||, Gaussian mixture, bisecting k-means,
-PCA via the distributed covariance); everything around the models -- k
-choice, BIC, certainty, personas, Calinski-Harabasz -- is DataFrame
-aggregation over (cluster, feature) groups with map-side combine.
+k-means (sweep and final fit) runs on the multi-model engine in
+``kiln.operators.multikmeans`` (every model advances in the same pass); the
+Spark ML ``KMeans`` path stays available as :func:`kmeans`.  Gaussian
+mixtures, bisecting k-means and PCA use Spark ML.  Everything around the
+models -- k choice, BIC, certainty, personas, Calinski-Harabasz -- is
+DataFrame aggregation over (cluster, feature) groups with map-side combine.
 """
 
 from __future__ import annotations
@@ -56,8 +58,9 @@ def _fit_kmeans(vec, k, seed, max_iter, features):
 
 def kmeans(vec: DataFrame, k: int, seed: int = SEED, n_init: int = N_INIT, max_iter: int = 300,
            features: str = "features"):
-    """CLU-01: best (lowest inertia, then lowest seed) of ``n_init`` k-means|| runs,
-    fitted as concurrent Spark jobs over the cached vectors."""
+    """CLU-01 with Spark ML: best (lowest inertia, then lowest seed) of
+    ``n_init`` k-means|| runs, fitted as concurrent Spark jobs over cached
+    vectors.  :func:`fit_clusters` uses the multi-model engine instead."""
     models = _run_all(lambda s: _fit_kmeans(vec, k, seed + s, max_iter, features), list(range(n_init)),
                       parallelism(vec.sparkSession))
     return min(zip(models, range(n_init)), key=lambda t: (t[0].summary.trainingCost, t[1]))[0]
