@@ -148,77 +148,89 @@ def _refine(base: DataFrame, cols, idx, stats, probs, collect_limit, buckets):
     return out
 
 
-def _interval_id(v: Column, ivs) -> Column:
-    e = None
-    for j, (lo, hi, _b, _c) in enumerate(ivs):
-        cond = (v >= F.lit(lo)) & (v <= F.lit(hi))
-        e = F.when(cond, F.lit(j)) if e is None else e.when(cond, F.lit(j))
-    return e
+def _interval_table(groups: dict[int, list]):
+    """Flatten per-column intervals into array literals (folded by Catalyst
+    into single array constants, which codegen references instead of
+    inlining -- the generated code is identical for every refinement pass).
+
+    Returns (cols, off, cnt, los, his) where column position k covers flat
+    intervals off[k] .. off[k] + cnt[k] - 1."""
+    cols, off, cnt, los, his = [], [], [], [], []
+    for i, ivs in groups.items():
+        if not ivs:
+            continue
+        cols.append(i)
+        off.append(len(los))
+        cnt.append(len(ivs))
+        for lo, hi, _b, _c in ivs:
+            los.append(float(lo))
+            his.append(float(hi))
+    return cols, off, cnt, los, his
+
+
+def _long_with_interval(base, groups):
+    """(k, g, v): k = position of the column, g = flat interval index holding
+    v (rows outside every open interval are dropped)."""
+    cols, off, cnt, los, his = _interval_table(groups)
+    lo_a, hi_a = F.lit(los), F.lit(his)
+    off_a, cnt_a = F.lit(off), F.lit(cnt)
+    long = base.select(F.inline(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"v{i}").alias("v"))
+                                         for k, i in enumerate(cols)])))
+    if all(c == 1 for c in cnt):  # one open interval per column (the usual first pass)
+        g = F.when((F.col("v") >= F.element_at(lo_a, F.col("k") + 1))
+                   & (F.col("v") <= F.element_at(hi_a, F.col("k") + 1)), F.col("k")).otherwise(F.lit(-1))
+    else:
+        first = F.element_at(off_a, F.col("k") + 1)
+        idx = F.sequence(first, first + F.element_at(cnt_a, F.col("k") + 1) - 1)
+        g = F.aggregate(idx, F.lit(-1), lambda acc, j: F.when(
+            (F.col("v") >= F.element_at(lo_a, j + 1)) & (F.col("v") <= F.element_at(hi_a, j + 1)), j)
+            .otherwise(acc))
+    out = long.where(F.col("v").isNotNull()).withColumn("g", g).where(F.col("g") >= 0)
+    return out, cols, off, los, his
 
 
 def _collect_pass(base, small, state, found):
     """Fetch the (bounded) values of every small interval with one narrow job:
     filter + project, no aggregate, so no task merges other tasks' values."""
-    parts = []
-    for i, ivs in small.items():
-        if not ivs:
-            continue
-        v = F.col(f"v{i}")
-        parts.append(F.struct(F.lit(i).alias("c"), _interval_id(v, ivs).alias("iv"), v.alias("v")))
-    rows = (base.select(F.explode(F.array(*parts)).alias("s")).select("s.*")
-            .where(F.col("iv").isNotNull()).collect())
-    vals: dict[tuple[int, int], list[float]] = {}
-    for r in rows:
-        vals.setdefault((r["c"], r["iv"]), []).append(r["v"])
-    for i, ivs in small.items():
-        for j, (lo, hi, below, _c) in enumerate(ivs):
-            got = sorted(vals.get((i, j), []))
-            for k, st in state[i].items():
-                if st[0] == lo and st[1] == hi and (i, k) not in found:
-                    found[(i, k)] = float(got[k - below])
+    rows, cols, off, _los, _his = _long_with_interval(base, small)
+    got_rows = rows.select("k", "g", "v").collect()
+    vals: dict[int, list[float]] = {}
+    for r in got_rows:
+        vals.setdefault(r["g"], []).append(r["v"])
+    for k, i in enumerate(cols):
+        for j, (lo, hi, below, _c) in enumerate(small[i]):
+            got = sorted(vals.get(off[k] + j, []))
+            for rk, st in state[i].items():
+                if st[0] == lo and st[1] == hi and (i, rk) not in found:
+                    found[(i, rk)] = float(got[rk - below])
 
 
 def _histogram_pass(base, large, state, buckets):
-    """One refinement pass: bucket (count, min, max) per (column, interval)
-    with map-side combine.  The result is bounded by columns x intervals x
-    buckets whatever the data size; it comes back through Arrow and the
-    running counts are taken with numpy."""
+    """One refinement pass: bucket (count, min, max) per open interval with
+    map-side combine.  The result is bounded by intervals x buckets whatever
+    the data size; it comes back through Arrow and the running counts are
+    taken with numpy."""
     import numpy as np
-    parts = []
-    for i, ivs in large.items():
-        if not ivs:
-            continue
-        v = F.col(f"v{i}")
-        if len(ivs) == 1:
-            lo, hi = ivs[0][0], ivs[0][1]
-            iid = F.when((v >= F.lit(lo)) & (v <= F.lit(hi)), F.lit(0))
-            b = F.when(iid.isNotNull(), F.least(F.floor((v - F.lit(lo)) * F.lit(buckets / (hi - lo))),
-                                                F.lit(buckets - 1)).cast("int"))
-        else:
-            iid = _interval_id(v, ivs)
-            lo_e = hi_e = None
-            for j, (lo, hi, _b, _c) in enumerate(ivs):
-                lo_e = F.when(iid == j, F.lit(lo)) if lo_e is None else lo_e.when(iid == j, F.lit(lo))
-                hi_e = F.when(iid == j, F.lit(hi)) if hi_e is None else hi_e.when(iid == j, F.lit(hi))
-            b = F.least(F.floor((v - lo_e) / (hi_e - lo_e) * buckets), F.lit(buckets - 1)).cast("int")
-        parts.append(F.struct(F.lit(i).alias("c"), iid.alias("iv"), b.alias("b"), v.alias("v")))
-    hist = (base.select(F.inline(F.array(*parts)))
-            .where(F.col("iv").isNotNull())
-            .groupBy("c", "iv", "b").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"),
-                                         F.max("v").alias("mx"))
-            .toPandas().sort_values(["c", "iv", "b"]))
-    groups = {key: g for key, g in hist.groupby(["c", "iv"], sort=False)}
-    for i, ivs in large.items():
-        for j, (lo, hi, below, _cnt) in enumerate(ivs):
-            g = groups.get((i, j))
-            if g is None:
+    rows, cols, off, los, his = _long_with_interval(base, large)
+    scale = [buckets / (h - lo) for lo, h in zip(los, his)]
+    lo_g = F.element_at(F.lit(los), F.col("g") + 1)
+    sc_g = F.element_at(F.lit(scale), F.col("g") + 1)
+    b = F.least(F.floor((F.col("v") - lo_g) * sc_g), F.lit(buckets - 1)).cast("int")
+    hist = (rows.groupBy("g", b.alias("b"))
+            .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx"))
+            .toPandas().sort_values(["g", "b"]))
+    groups = {key: grp for key, grp in hist.groupby("g", sort=False)}
+    for k, i in enumerate(cols):
+        for j, (lo, hi, below, _cnt) in enumerate(large[i]):
+            grp = groups.get(off[k] + j)
+            if grp is None:
                 continue
-            n = g["n"].to_numpy()
+            n = grp["n"].to_numpy()
             ends = np.cumsum(n)
-            for k, st in state[i].items():
+            for rk, st in state[i].items():
                 if st[0] != lo or st[1] != hi:
                     continue
-                r = k - below
+                r = rk - below
                 pos = int(np.searchsorted(ends, r, side="right"))
-                state[i][k] = [float(g["mn"].iloc[pos]), float(g["mx"].iloc[pos]), below + int(ends[pos] - n[pos]),
-                               int(n[pos])]
+                state[i][rk] = [float(grp["mn"].iloc[pos]), float(grp["mx"].iloc[pos]),
+                                below + int(ends[pos] - n[pos]), int(n[pos])]
