@@ -30,6 +30,16 @@ from pyspark.sql import functions as F
 from kiln.operators.base import ColumnRules, register
 from kiln.session import materialize
 
+# The per-partition functions of this module run inside Python workers: ship
+# them by value with each task so executors need numpy/pandas but not kiln.
+try:
+    import sys as _sys
+
+    from pyspark import cloudpickle as _cloudpickle
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # noqa: BLE001 - older cloudpickle: ship kiln with --py-files instead
+    pass
+
 EXP_SALT = 0x5bd1e995
 DRIVER_REDUCE_ROWS = 200_000  # partial results up to this size are summed on the driver
 
