@@ -181,9 +181,20 @@ def rfe_q(spark, d):
     return spark.createDataFrame([(c, c in keep) for c in SUP_FEATS], "feature string, selected boolean")
 
 
-@query("supervised_clean")
+SUPERVISED_CLEAN_SQL = r"""WITH s AS (SELECT d.doc_id, len(regexp_split_to_array(d.text, '\s+'))::BIGINT AS n_words, d.lang, d.source,
+    l.toxic::BIGINT AS toxic, l.quality::BIGINT AS quality FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+f AS (SELECT DISTINCT n_words, lang, source, toxic, quality FROM s),
+b AS (SELECT n_words, lang, source, toxic FROM f GROUP BY 1, 2, 3, 4 HAVING min(quality) <> max(quality))
+SELECT * FROM f WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.n_words = f.n_words AND b.lang = f.lang
+  AND b.source = f.source AND b.toxic = f.toxic)"""
+
+
+@query("supervised_clean", SUPERVISED_CLEAN_SQL)
 def supervised_clean(spark, d):
-    """Supervised silver: audit (ids, thresholds, duplicates) then the cleaning chain."""
+    """Supervised silver: audit (ids, thresholds, duplicates) then the cleaning chain.
+    Here the split drops doc_id (unique), VIF (threshold 20) drops n_chars
+    (r = 0.997 with n_words; see ``vif_filter``), the greedy filter keeps
+    n_words and toxic; keep-first dedup and conflicting labels finish it."""
     from kiln.plans import supervised as S
     f = supervised_frame(spark, d)
     plan = S.audit(f, "quality", with_pps=False)

@@ -11,10 +11,20 @@ from kiln.operators.base import ColumnRules, register
 
 @register("fill")
 def _apply_fill(spec: dict, df: DataFrame) -> DataFrame:
+    """coalesce(column, fill).  An integral column keeps its type when the
+    fill value is a whole number; otherwise it widens to double."""
+    from kiln.functions.names import INTEGRAL_TYPES
     fill = {c: v for c, v in spec["fill"].items() if c in df.columns}
     if not fill:
         return df
-    return df.withColumns({c: F.coalesce(qcol(c), F.lit(v)) for c, v in fill.items()})
+    out = {}
+    for c, v in fill.items():
+        dt = df.schema[c].dataType
+        if isinstance(dt, INTEGRAL_TYPES) and isinstance(v, (int, float)) and float(v).is_integer():
+            out[c] = F.coalesce(qcol(c), F.lit(int(v)).cast(dt))
+        else:
+            out[c] = F.coalesce(qcol(c), F.lit(v))
+    return df.withColumns(out)
 
 
 def fit_impute(df: DataFrame, cols, method: str = "median", value=None,
