@@ -201,7 +201,25 @@ def supervised_clean(spark, d):
     return rounded(S.clean(f, "quality", plan, order_by="doc_id", with_importance=False))
 
 
-@query("supervised_gold")
+GOLD_SELECTED = ["o_totalprice", "l_quantity", "o_totalprice_ratio_l_quantity",
+                 "l_last_shipdate_minus_o_orderdate_days", "o_orderpriority"]
+
+SUPERVISED_GOLD_SQL = """WITH li AS (SELECT l_orderkey, max(l_shipdate) AS l_last_shipdate, sum(l_quantity) AS l_quantity
+    FROM lineitem GROUP BY 1),
+j AS (SELECT o.o_orderkey, o.o_totalprice, o.o_orderdate, o.o_orderpriority, o.o_orderstatus, li.l_last_shipdate,
+    li.l_quantity FROM orders o JOIN li ON o.o_orderkey = li.l_orderkey),
+pc AS (SELECT o_orderpriority AS lvl, dense_rank() OVER (ORDER BY min(o_orderkey), o_orderpriority) - 1 AS code
+    FROM j WHERE o_orderpriority IS NOT NULL GROUP BY 1),
+f AS (SELECT j.o_totalprice, j.l_quantity, j.o_totalprice / (j.l_quantity + 1e-5) AS o_totalprice_ratio_l_quantity,
+    floor((epoch_us(j.l_last_shipdate) - epoch_us(j.o_orderdate)) / 86400000000.0) AS l_last_shipdate_minus_o_orderdate_days,
+    coalesce(pc.code, -1) AS o_orderpriority, j.o_orderstatus FROM j LEFT JOIN pc ON j.o_orderpriority = pc.lvl)
+SELECT """ + ", ".join(
+    f"round(({c} - (SELECT quantile_cont({c}, 0.5) FROM f)) / (SELECT CASE WHEN quantile_cont({c}, 0.75) - "
+    f"quantile_cont({c}, 0.25) = 0 THEN 1 ELSE quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) END FROM f), 6) AS {c}"
+    for c in GOLD_SELECTED) + ", o_orderstatus FROM f"
+
+
+@query("supervised_gold", SUPERVISED_GOLD_SQL)
 def supervised_gold(spark, d):
     """FE-09: engineered features aligned to the base columns, imputed, robust-scaled."""
     from kiln.plans import supervised as S
@@ -210,8 +228,7 @@ def supervised_gold(spark, d):
     li = table(spark, d, "lineitem").groupBy("l_orderkey").agg(
         F.max("l_shipdate").alias("l_last_shipdate"), F.sum("l_quantity").alias("l_quantity"))
     silver = o.join(li, o.o_orderkey == li.l_orderkey).drop("l_orderkey")
-    plan = {"selected_features": ["o_totalprice", "l_quantity", "o_totalprice_ratio_l_quantity",
-                                  "l_last_shipdate_minus_o_orderdate_days", "o_orderpriority"],
+    plan = {"selected_features": GOLD_SELECTED,
             "base_columns": ["o_totalprice", "l_quantity", "o_totalprice_ratio_l_quantity",
                              "l_last_shipdate_minus_o_orderdate_days", "o_orderdate_year", "o_orderpriority"],
             "target_column": "o_orderstatus", "target_exists": True}
