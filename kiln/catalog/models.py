@@ -273,11 +273,31 @@ def clean_contract_events(spark, d):
 __all__ = ["customer_with_nulls"]
 
 
-@query("corr_filter_greedy")
+def _greedy_sql():
+    from kiln.catalog.core import SEL_COLS, SEL_SQL_BASE
+    pairs = " UNION ALL ".join(
+        f"SELECT '{a}' AS a, '{b}' AS b, corr({a}, {b}) AS r FROM {SEL_SQL_BASE}"
+        for a in SEL_COLS for b in SEL_COLS if a != b)
+    names = ", ".join(f"({i}, '{c}')" for i, c in enumerate(SEL_COLS))
+    return f"""WITH RECURSIVE p AS ({pairs}),
+c AS (SELECT pos, name, row_number() OVER (ORDER BY name) AS k FROM (VALUES {names}) t(pos, name)),
+walk(k, kept) AS (
+  SELECT 0, []::VARCHAR[]
+  UNION ALL
+  SELECT w.k + 1, CASE WHEN EXISTS (SELECT 1 FROM p JOIN c ON p.b = c.name
+                                    WHERE c.k = w.k + 1 AND list_contains(w.kept, p.a) AND abs(p.r) > 0.8)
+                       THEN w.kept ELSE list_append(w.kept, (SELECT name FROM c WHERE c.k = w.k + 1)) END
+  FROM walk w WHERE w.k < (SELECT count(*) FROM c))
+SELECT c.pos::BIGINT AS position, c.name AS "column",
+  list_contains((SELECT kept FROM walk ORDER BY k DESC LIMIT 1), c.name) AS kept FROM c"""
+
+
+@query("corr_filter_greedy", _greedy_sql())
 def corr_filter_greedy(spark, d):
-    """SEL-03: greedy correlation filter (|r| > 0.8, first kept evicts the rest)."""
+    """SEL-03: greedy correlation filter (|r| > 0.8, scanned in name order: a
+    kept column evicts every later one correlated above the threshold)."""
     from kiln.catalog.core import SEL_COLS, selection_frame
     from kiln.operators.select import corr_filter
-    kept = set(corr_filter(selection_frame(spark, d), SEL_COLS, 0.8, greedy=True))
+    kept = set(corr_filter(selection_frame(spark, d), SEL_COLS, 0.8, greedy=True, order="name"))
     return spark.createDataFrame([(i, c, c in kept) for i, c in enumerate(SEL_COLS)],
                                  "position long, column string, kept boolean")
