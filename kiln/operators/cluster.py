@@ -166,6 +166,7 @@ def fit_clusters(df: DataFrame, cols, algo: str = "KMeans", k: int | None = None
             curve = k_sweep(vec, "GMM", seed=seed)
             k = choose_k(curve, "GMM")
         model = gmm(vec, k, seed)
+        vec.unpersist()
         out = model.transform(vec).withColumn("certainty", F.array_max(vector_to_array("probability")))
         out = out.withColumnRenamed("prediction", "cluster").drop("features", "probability")
         return model, out, curve
@@ -177,6 +178,7 @@ def fit_clusters(df: DataFrame, cols, algo: str = "KMeans", k: int | None = None
         best = best_models(fits, [k])
     centres, inertia = best[k]
     model = centroid_model(centres, "features", "cluster", inertia)
+    vec.unpersist()  # the labeled frame below is lazy and recomputes vectors deterministically
     out = model.transform(vec).withColumn("certainty", F.lit(1.0)).drop("features")
     return model, out, curve
 

@@ -64,7 +64,7 @@ def audit_and_clean(df: DataFrame, policy_overrides: dict | None = None):
     """profile -> policy -> contract -> silver, all on Spark."""
     from kiln.operators.profile import profile
     from kiln.plans.rules import contract_dict, derive_policy, plan_cleaning
-    prof = profile(df).cache()
+    prof = profile(df)
     roles = derive_policy(prof, policy_overrides)
     plan = plan_cleaning(prof, roles)
     contract = contract_dict(plan)
