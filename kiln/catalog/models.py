@@ -55,11 +55,10 @@ def kmeans_personas(spark, d):
 @query("gmm_certainty")
 def gmm_certainty(spark, d):
     """DIM-01 + CLU-04/05/06: PCA(5) of the embeddings, GMM k by min BIC over 2..6, certainty."""
-    from kiln.operators.cluster import assemble, choose_k, fit_clusters, k_sweep, pca
+    from kiln.operators.cluster import fit_clusters, pca
     reduced, _ = pca(table(spark, d, "embeddings"), ["embedding"], components=5, keep=["vec_id"])
     cols = [f"PC{i}" for i in range(1, 6)]
-    curve = k_sweep(assemble(reduced, cols), "GMM", ks=range(2, 7))
-    _m, labeled, _ = fit_clusters(reduced, cols, "GMM", k=choose_k(curve, "GMM"))
+    _m, labeled, _curve = fit_clusters(reduced, cols, "GMM", ks=range(2, 7))
     return rounded(labeled.select("vec_id", "cluster", "certainty"))
 
 

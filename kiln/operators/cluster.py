@@ -119,10 +119,10 @@ def k_sweep(vec: DataFrame, algo: str = "KMeans", ks=K_RANGE, seed: int = SEED,
         vec = vec.select(features).persist(StorageLevel.MEMORY_AND_DISK)
         n = vec.count()
         d = len(vec.first()[features]) if n else 0
-        costs = _run_all(lambda k: bic(gmm(vec, k, seed, features), n, d), ks, parallelism(vec.sparkSession))
+        models = _run_all(lambda k: gmm(vec, k, seed, features), ks, parallelism(vec.sparkSession))
         vec.unpersist()
-        curve = list(zip(ks, costs))
-        return (curve, {}) if return_models else curve
+        curve = [(k, bic(m, n, d)) for k, m in zip(ks, models)]
+        return (curve, dict(zip(ks, models))) if return_models else curve
     from kiln.operators.multikmeans import best_models, multi_kmeans
     fits = multi_kmeans(vec, [(k, seed + s) for k in ks for s in range(n_init)], features)
     best = best_models(fits, ks)
@@ -152,7 +152,7 @@ def relabel_by_size(df: DataFrame, cluster: str = "cluster") -> DataFrame:
 
 
 def fit_clusters(df: DataFrame, cols, algo: str = "KMeans", k: int | None = None,
-                 seed: int = SEED, n_init: int = N_INIT):
+                 seed: int = SEED, n_init: int = N_INIT, ks=K_RANGE):
     """CLU-01..06: sweep (unless k given), choose k, fit; returns (model, labeled, curve).
 
     ``labeled`` has ``cluster`` (int) and ``certainty`` (max membership
@@ -162,16 +162,18 @@ def fit_clusters(df: DataFrame, cols, algo: str = "KMeans", k: int | None = None
     vec = assemble(df, cols).persist(StorageLevel.MEMORY_AND_DISK)
     curve = []
     if algo == "GMM":
-        if k is None:
-            curve = k_sweep(vec, "GMM", seed=seed)
+        if k is None:  # the sweep's model for the chosen k is reused, not refitted
+            curve, fitted = k_sweep(vec, "GMM", ks=ks, seed=seed, return_models=True)
             k = choose_k(curve, "GMM")
-        model = gmm(vec, k, seed)
+            model = fitted[k]
+        else:
+            model = gmm(vec, k, seed)
         vec.unpersist()
         out = model.transform(vec).withColumn("certainty", F.array_max(vector_to_array("probability")))
         out = out.withColumnRenamed("prediction", "cluster").drop("features", "probability")
         return model, out, curve
     if k is None:
-        curve, best = k_sweep(vec, "KMeans", seed=seed, n_init=n_init, return_models=True)
+        curve, best = k_sweep(vec, "KMeans", ks=ks, seed=seed, n_init=n_init, return_models=True)
         k = choose_k(curve, "KMeans")
     else:
         fits = multi_kmeans(vec, [(k, seed + s) for s in range(n_init)])
