@@ -42,6 +42,7 @@ except Exception:  # noqa: BLE001 - older cloudpickle: ship kiln with --py-files
 
 EXP_SALT = 0x5bd1e995
 DRIVER_REDUCE_ROWS = 200_000  # partial results up to this size are summed on the driver
+ROWS_PER_TASK = 50_000
 
 
 def _points(vec: DataFrame, features: str) -> tuple[DataFrame, int]:
@@ -53,7 +54,14 @@ def _points(vec: DataFrame, features: str) -> tuple[DataFrame, int]:
     pts = vec.select(*[arr[j].alias(f"x{j}") for j in range(d)]) \
         .withColumn("rid", F.monotonically_increasing_id())
     from pyspark import StorageLevel
-    return materialize(pts).persist(StorageLevel.MEMORY_AND_DISK), d
+    pts = materialize(pts)
+    # every pass pays per-task overhead: keep ~ROWS_PER_TASK rows per task (large
+    # inputs keep their partitioning; coalesce moves no data across the network)
+    n = pts.count()
+    want = max(1, -(-n // ROWS_PER_TASK))
+    if want < pts.rdd.getNumPartitions():
+        pts = pts.coalesce(want)
+    return pts.persist(StorageLevel.MEMORY_AND_DISK), d
 
 
 def _xs(pdf: pd.DataFrame, d: int) -> np.ndarray:
