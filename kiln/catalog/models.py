@@ -300,3 +300,20 @@ def corr_filter_greedy(spark, d):
     kept = set(corr_filter(selection_frame(spark, d), SEL_COLS, 0.8, greedy=True, order="name"))
     return spark.createDataFrame([(i, c, c in kept) for i, c in enumerate(SEL_COLS)],
                                  "position long, column string, kept boolean")
+
+
+@query("segment_customers")
+def segment_customers(spark, d):
+    """The whole clustering path in one call on customer joined with its order
+    aggregates: profile, policy, contract, silver, gold, k sweep + knee, personas."""
+    from kiln.plans.clustering import segment
+    c = table(spark, d, "customer")
+    o = table(spark, d, "orders").groupBy("o_custkey").agg(
+        F.count("o_orderkey").alias("n_orders"), F.sum("o_totalprice").alias("total_spent"))
+    df = c.join(o, c.c_custkey == o.o_custkey, "left").drop("o_custkey").fillna(0, subset=["n_orders", "total_spent"])
+    res = segment(df, strategy={"interaction_priorities": [
+        {"pair": ["total_spent", "n_orders"], "logic": "ratio", "name": "spend_per_order",
+         "error_handling": "zero_fill"}]}, algo="KMeans")
+    p = res["personas"]
+    return rounded(p.select("cluster", F.explode("dominant_traits").alias("feature", "trait"), "sample_size",
+                            "mean_certainty"))

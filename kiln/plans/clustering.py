@@ -108,3 +108,29 @@ def fit_gold(silver: DataFrame, plan: dict, clip: bool = True, scaler: str | Non
         out, _ = pca(df, feats, retain=pca_cfg.get("variance_retention_threshold", 0.95), keep=carry)
         return out, PipelineModel(stages), [c for c in out.columns if c not in carry]
     return df.select(*carry, *feats), PipelineModel(stages), feats
+
+
+def segment(df: DataFrame, strategy: dict | None = None, algo: str | None = None,
+            policy_overrides: dict | None = None, k: int | None = None, clip: bool = True) -> dict:
+    """The whole clustering path as one call (the reference's launch scripts):
+    profile -> policy -> contract -> silver -> gold plan -> gold features ->
+    k sweep / fit -> personas.  Every stage runs on Spark; the returned dict
+    holds the plans (small documents) and the lazy DataFrames / fitted models."""
+    from kiln.operators.cluster import fit_clusters, personas
+    from kiln.operators.profile import profile
+    from kiln.plans.rules import contract_dict, derive_policy, plan_cleaning, plan_gold, policy_dict
+    prof = profile(df)
+    roles = derive_policy(prof, policy_overrides)
+    policy = policy_dict(roles)
+    contract = contract_dict(plan_cleaning(prof, roles))
+    silver, clean_model = fit_cleaning(df, contract)
+    gold_plan = plan_gold(profile(silver, with_mad=False), policy, strategy or {})
+    if algo:
+        gold_plan["recommended_algorithm"] = algo
+    gold, gold_model, feats = fit_gold(silver, gold_plan, clip=clip)
+    algo_used = gold_plan["recommended_algorithm"]
+    model, labeled, curve = fit_clusters(gold, feats, "GMM" if algo_used == "GMM" else "KMeans", k=k)
+    return {"policy": policy, "contract": contract, "gold_plan": gold_plan, "silver": silver,
+            "gold": gold, "features": feats, "curve": curve, "model": model, "labeled": labeled,
+            "personas": personas(labeled, feats), "prep": PipelineModel(list(clean_model.stages)
+                                                                         + list(gold_model.stages))}

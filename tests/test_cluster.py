@@ -50,3 +50,15 @@ def test_pca_retains_variance(spark):
     out, ratios = pca(df, ["a", "b", "c"], retain=0.95)
     assert out.columns == ["PC1"] and ratios[0] > 0.95
     assert abs(out.agg({"PC1": "avg"}).first()[0]) < 1e-9
+
+
+def test_segment_one_call(spark):
+    from pyspark.sql import functions as F
+
+    from kiln.plans.clustering import segment
+    df = _blobs(spark).withColumn("ClientID", (F.col("id") % 40)).drop("id")
+    res = segment(df, algo="KMeans", k=3)
+    assert res["policy"]["subject_id"] == "ClientID"
+    assert set(res["features"]) == {"x", "y"}
+    p = res["personas"].collect()
+    assert len(p) == 3 and sum(r["sample_size"] for r in p) == 180
