@@ -71,8 +71,10 @@ def _apply_one_hot(spec: dict, df: DataFrame) -> DataFrame:
 
 
 def fit_one_hot(df: DataFrame, cols, levels: dict | None = None,
-                max_levels: int = MAX_ONE_HOT_LEVELS) -> ColumnRules:
-    """All levels kept, columns ``{col}_{level}`` in sorted level order, source removed."""
+                max_levels: int = MAX_ONE_HOT_LEVELS, order_by: str | None = None) -> ColumnRules:
+    """All levels kept, columns ``{col}_{level}``, source removed.  Level order:
+    sorted, or with ``order_by`` the order of first appearance (the reference's
+    order).  Level counts are checked before anything is collected."""
     cols = [c for c in cols if c in df.columns]
     found = dict(levels or {})
     todo = [c for c in cols if c not in found]
@@ -82,9 +84,18 @@ def fit_one_hot(df: DataFrame, cols, levels: dict | None = None,
         too_wide = [todo[i] for i, n in sizes.items() if n > max_levels]
         if too_wide:
             raise ValueError(f"one-hot of {too_wide}: more than {max_levels} levels; use rare_label first")
-        got = vc.select("i", "v").collect()
-        for i, c in enumerate(todo):
-            found[c] = sorted(r["v"] for r in got if r["i"] == i)
+        if order_by is None:
+            got = vc.select("i", "v").collect()
+            for i, c in enumerate(todo):
+                found[c] = sorted(r["v"] for r in got if r["i"] == i)
+        else:
+            parts = [F.struct(F.lit(i).alias("i"), qcol(c).cast("string").alias("v")) for i, c in enumerate(todo)]
+            first = (df.select(qcol(order_by).alias("__o"), F.explode(F.array(*parts)).alias("p"))
+                     .select("__o", "p.*").where(F.col("v").isNotNull())
+                     .groupBy("i", "v").agg(F.min("__o").alias("first")).collect())
+            for i, c in enumerate(todo):
+                found[c] = [r["v"] for r in sorted((r for r in first if r["i"] == i),
+                                                   key=lambda r: (r["first"], r["v"]))]
     return ColumnRules.of("one_hot", {"levels": {c: found[c] for c in cols}})
 
 
