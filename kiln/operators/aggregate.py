@@ -22,15 +22,20 @@ def entity_aggregate(df: DataFrame, key: str, sum_cols=(), mean_cols=(), mode_co
                      suffix: bool = False) -> DataFrame:
     """AGG-05: per ``key``: sum / mean / mode of the listed columns.
 
-    ``mode`` (Spark's ``mode`` aggregate) keeps a value->count map per group in
-    the partial aggregate; for very high-cardinality mode columns use
-    :func:`entity_mode`, which is two plain count aggregates.
+    Sums and means are one partial aggregate.  Modes use :func:`entity_mode`
+    (count per (key, value), then the top value per key -- both partial
+    aggregates) rather than Spark's ``mode``, whose per-group value map would
+    put all distinct values of a hot key into one task; the per-key results
+    are joined on the key (one row per key on every side).
     """
     name = (lambda c, s: f"{c}_{s}") if suffix else (lambda c, s: c)
     aggs = ([F.sum(qcol(c)).alias(name(c, "sum")) for c in sum_cols]
-            + [F.avg(qcol(c)).alias(name(c, "mean")) for c in mean_cols]
-            + [mode_expr(c).alias(name(c, "mode")) for c in mode_cols])
-    return df.groupBy(qcol(key).alias(key)).agg(*aggs)
+            + [F.avg(qcol(c)).alias(name(c, "mean")) for c in mean_cols])
+    keys = df.select(qcol(key).alias(key)).distinct() if not aggs else None
+    out = df.groupBy(qcol(key).alias(key)).agg(*aggs) if aggs else keys
+    for c in mode_cols:
+        out = out.join(entity_mode(df, key, c, name(c, "mode")), key, "left")
+    return out
 
 
 def entity_mode(df: DataFrame, key: str, col: str, out: str | None = None) -> DataFrame:

@@ -202,9 +202,10 @@ def detect_gaps(df: DataFrame, order_by: str, partition_by=None, step=None,
              else qcol(order_by) - prev).alias("delta")
     d = pv.select(*[qcol(k) for k in keys], prev.alias("prev"), qcol(order_by).alias("cur"), delta) \
         .where(F.col("prev").isNotNull())
-    if step is None:
-        row = d.agg(F.mode("delta", deterministic=True).alias("m")).first()
-        step = row["m"]
+    if step is None:  # most frequent delta, smallest on ties: counts, then a min over (-count, delta)
+        row = (d.groupBy("delta").count()
+               .agg(F.min(F.struct((-F.col("count")).alias("nc"), F.col("delta").alias("v"))).alias("m")).first())
+        step = row["m"]["v"] if row["m"] is not None else None
     if step is None or step == 0:
         return d.limit(0).withColumn("step", F.lit(step)).withColumn("missing_steps", F.lit(0))
     return (d.where(F.col("delta") > step).withColumn("step", F.lit(step))
