@@ -24,6 +24,9 @@ from pyspark.sql import functions as F
 from kiln.functions.stats import qcol
 
 
+ROWS_PER_SEGMENT = 2_000_000
+
+
 def _as_list(x):
     if x is None:
         return []
@@ -46,10 +49,12 @@ def _segment(df: DataFrame, order, keys, buckets: int | None) -> DataFrame:
     order column share a bucket, so buckets are contiguous in (keys, order).
     Nulls (sorted first) get bucket -1.  No sampling: re-running any branch of
     the plan -- or a lost task -- reproduces exactly the same buckets."""
-    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     x = _order_number(df, order[0])
-    mm = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).first()
+    mm = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(F.lit(1)).alias("n")).first()
     lo, hi = mm["lo"], mm["hi"]
+    # default: at least the shuffle-partition count and one segment per ROWS_PER_SEGMENT rows
+    n = buckets or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                       -(-(mm["n"] or 0) // ROWS_PER_SEGMENT))
     if lo is None or hi <= lo:
         b = F.when(x.isNull(), F.lit(-1)).otherwise(F.lit(0))
     else:
