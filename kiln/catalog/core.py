@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kiln.catalog.registry import query, rounded, table
-from kiln.functions.stats import qcol
 
 LI_NUM = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
           "l_discount", "l_tax"]

@@ -15,7 +15,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.functions.names import columns_like, drop_columns, select_types, semantic_type
+from kiln.functions.names import columns_like, drop_columns, select_types
 from kiln.functions.stats import qcol
 from kiln.operators.aggregate import duplicate_ratio
 from kiln.operators.dedup import dedup_signal, drop_conflicting_labels
