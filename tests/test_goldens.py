@@ -84,3 +84,15 @@ def test_iris_gold_robust_scale(spark):
     got = fit_robust_scale(silver, ["PetalWidthCm"]).transform(silver).select("PetalWidthCm").toPandas()
     exp = pd.read_csv(f"{REF}/dataset/cleaned/iris/gold_feature_engineered_data.csv")
     assert np.allclose(sorted(got["PetalWidthCm"]), sorted(exp["PetalWidthCm"]), rtol=0, atol=1e-12)
+
+
+def test_titanic_silver_integrity(spark):
+    from pyspark.sql import functions as F
+
+    from kiln.operators.validate import validate
+    from kiln.sources.io import read_table
+    silver = read_table(spark, f"{REF}/dataset/cleaned/titanic/silver_cleaned_data.csv")
+    res = {(r["check"], r["column"]): r for r in validate(silver, label="Survived").collect()}
+    assert res[("duplicates", "*")]["value"] == 0.0
+    assert res[("conflicting_labels", "Survived")]["value"] == 0.0
+    assert silver.where(F.col("Embarked") == "Missing").count() == 2
