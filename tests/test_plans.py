@@ -40,3 +40,22 @@ def test_preserve_on_flagged():
     assert thresholds(20, preserve_on_flagged=True, n_flagged=17, n_features=20)["vif_threshold"] == 25.0
     assert thresholds(20, preserve_on_flagged=True, n_flagged=2, n_features=20)["vif_threshold"] == 10.0
     assert thresholds(20, preserve_on_flagged=True, n_flagged=2, n_features=11)["vif_threshold"] == 25.0
+
+
+def test_validate_strategy_and_gold_plan(spark):
+    from kiln.plans.rules import plan_gold, validate_strategy
+    rows = [(i, i % 7, float(i % 5), float(i % 3)) for i in range(100)]
+    prof = profile(spark.createDataFrame(rows, "row_id long, CustomerID long, a double, b double"))
+    bad = {"subject_id": "row_id", "interaction_priorities": [
+        {"pair": ["a", "zz"], "logic": "division", "name": "x"}] * 16}
+    errs = validate_strategy(bad, prof)
+    assert any("logic" in e for e in errs) and any("unknown column zz" in e for e in errs)
+    assert any("1:1" in e for e in errs) and any("PCA" in e for e in errs)
+    good = {"interaction_priorities": [{"pair": ["a", "b"], "logic": "ratio", "name": "a_per_b"}],
+            "feature_selection": {"max_correlation_threshold": 0.9}}
+    assert validate_strategy(good, prof) == []
+    gp = plan_gold(prof, {"subject_id": "CustomerID"}, good)
+    assert gp["subject_id"] == "CustomerID" and "CustomerID" not in gp["base_metrics"]
+    assert gp["selection_params"] == {"correlation_threshold": 0.9, "variance_threshold": 0.01,
+                                      "force_keep": ["a_per_b"]}
+    assert gp["preprocessing"]["scaler"] == "PowerTransformer" and gp["recommended_algorithm"] == "KMeans"
