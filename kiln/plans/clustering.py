@@ -19,8 +19,9 @@ from kiln.operators.scale import fit_robust_scale, fit_standard_scale
 from kiln.operators.transform import fit_log, fit_yeo_johnson
 
 
-def fit_cleaning(df: DataFrame, contract: dict) -> tuple[DataFrame, PipelineModel]:
-    """Returns (silver DataFrame, fitted PipelineModel of the steps after the drop)."""
+def fit_cleaning(df: DataFrame, contract: dict, scale: bool = True) -> tuple[DataFrame, PipelineModel]:
+    """Returns (silver DataFrame, fitted PipelineModel of the steps after the drop).
+    ``scale=False`` stops before the scalers (see :func:`fit_scaling`)."""
     df = drop_columns(df, contract.get("drop_features", []))
     stages = []
 
@@ -48,11 +49,23 @@ def fit_cleaning(df: DataFrame, contract: dict) -> tuple[DataFrame, PipelineMode
         step(fit_log(df, tr["log"]))
     if tr.get("yeo_johnson"):
         step(fit_yeo_johnson(df, tr["yeo_johnson"]))
+    if scale:
+        scaled, scalers = fit_scaling(df, contract)
+        stages += list(scalers.stages)
+        df = scaled
+    return df, PipelineModel(stages)
+
+
+def fit_scaling(df: DataFrame, contract: dict) -> tuple[DataFrame, PipelineModel]:
+    """The contract's robust / standard scalers (the last cleaning step)."""
+    stages = []
     sc = contract.get("scaling", {})
     if sc.get("robust"):
-        step(fit_robust_scale(df, sc["robust"]))
+        stages.append(fit_robust_scale(df, sc["robust"]))
+        df = stages[-1].transform(df)
     if sc.get("standard"):
-        step(fit_standard_scale(df, sc["standard"]))
+        stages.append(fit_standard_scale(df, sc["standard"]))
+        df = stages[-1].transform(df)
     return df, PipelineModel(stages)
 
 
@@ -72,7 +85,8 @@ def audit_and_clean(df: DataFrame, policy_overrides: dict | None = None):
     return silver, contract, model
 
 
-def fit_gold(silver: DataFrame, plan: dict, clip: bool = True, scaler: str | None = None):
+def fit_gold(silver: DataFrame, plan: dict, clip: bool = True, scaler: str | None = None,
+             interactions_ready: bool = False):
     """Clustering gold path: interactions -> numeric features -> variance and
     correlation filters (force-kept interactions survive) -> imputation ->
     PowerTransformer (Yeo-Johnson + standardise) or robust scaling -> PCA when
@@ -86,7 +100,7 @@ def fit_gold(silver: DataFrame, plan: dict, clip: bool = True, scaler: str | Non
     from kiln.operators.select import corr_filter, variance_filter
     key = plan.get("subject_id")
     inter = plan.get("priority_interactions", []) or []
-    df = build_interactions(silver, inter, clip=clip)
+    df = silver if interactions_ready else build_interactions(silver, inter, clip=clip)
     base = plan.get("base_metrics") or select_types(silver, ("Numeric",))
     feats = [c for c in list(base) + [i["name"] for i in inter] if c in df.columns and c != key]
     feats = list(dict.fromkeys(feats))
@@ -111,11 +125,17 @@ def fit_gold(silver: DataFrame, plan: dict, clip: bool = True, scaler: str | Non
 
 
 def segment(df: DataFrame, strategy: dict | None = None, algo: str | None = None,
-            policy_overrides: dict | None = None, k: int | None = None, clip: bool = True) -> dict:
+            policy_overrides: dict | None = None, k: int | None = None, clip: bool = True,
+            interactions_on: str = "unscaled") -> dict:
     """The whole clustering path as one call (the reference's launch scripts):
     profile -> policy -> contract -> silver -> gold plan -> gold features ->
     k sweep / fit -> personas.  Every stage runs on Spark; the returned dict
-    holds the plans (small documents) and the lazy DataFrames / fitted models."""
+    holds the plans (small documents) and the lazy DataFrames / fitted models.
+
+    ``interactions_on="unscaled"`` (default) builds the strategy's interactions
+    from the cleaned but not yet scaled columns, so ratios do not divide by
+    scaled values that cross zero; ``"scaled"`` reproduces the reference, which
+    builds them from the scaled silver table."""
     from kiln.operators.cluster import fit_clusters, personas
     from kiln.operators.profile import profile
     from kiln.plans.rules import contract_dict, derive_policy, plan_cleaning, plan_gold, policy_dict
@@ -123,11 +143,20 @@ def segment(df: DataFrame, strategy: dict | None = None, algo: str | None = None
     roles = derive_policy(prof, policy_overrides)
     policy = policy_dict(roles)
     contract = contract_dict(plan_cleaning(prof, roles))
-    silver, clean_model = fit_cleaning(df, contract)
-    gold_plan = plan_gold(profile(silver, with_mad=False), policy, strategy or {})
+    strategy = strategy or {}
+    if interactions_on == "unscaled":
+        from kiln.operators.features import build_interactions
+        unscaled, clean_model = fit_cleaning(df, contract, scale=False)
+        with_inter = build_interactions(unscaled, strategy.get("interaction_priorities", []) or [], clip=clip)
+        silver, scalers = fit_scaling(with_inter, contract)
+        clean_model = PipelineModel(list(clean_model.stages) + list(scalers.stages))
+    else:
+        silver, clean_model = fit_cleaning(df, contract)
+    gold_plan = plan_gold(profile(silver, with_mad=False), policy, strategy)
     if algo:
         gold_plan["recommended_algorithm"] = algo
-    gold, gold_model, feats = fit_gold(silver, gold_plan, clip=clip)
+    gold, gold_model, feats = fit_gold(silver, gold_plan, clip=clip,
+                                       interactions_ready=interactions_on == "unscaled")
     algo_used = gold_plan["recommended_algorithm"]
     model, labeled, curve = fit_clusters(gold, feats, "GMM" if algo_used == "GMM" else "KMeans", k=k)
     return {"policy": policy, "contract": contract, "gold_plan": gold_plan, "silver": silver,

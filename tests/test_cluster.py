@@ -62,3 +62,21 @@ def test_segment_one_call(spark):
     assert set(res["features"]) == {"x", "y"}
     p = res["personas"].collect()
     assert len(p) == 3 and sum(r["sample_size"] for r in p) == 180
+
+
+def test_segment_interactions_on_unscaled(spark):
+    from pyspark.sql import functions as F
+
+    from kiln.operators.features import build_interactions
+    from kiln.plans.clustering import segment
+    df = _blobs(spark).withColumn("ClientID", (F.col("id") % 40)).drop("id") \
+        .withColumn("w", F.col("x") + 10.0)
+    strat = {"interaction_priorities": [{"pair": ["w", "y"], "logic": "multiplication", "name": "wy"}]}
+    exp = build_interactions(df, strat["interaction_priorities"]).agg(F.avg("wy")).first()[0]
+    res = segment(df, strategy=strat, algo="KMeans", k=3)
+    assert "wy" in res["features"]
+    got = res["silver"].agg(F.avg("wy")).first()[0]
+    assert abs(got - exp) < 1e-9                      # built from the unscaled columns (capped at p99)
+    res2 = segment(df, strategy=strat, algo="KMeans", k=3, interactions_on="scaled")
+    # in parity mode the interaction is built later, by the gold step, from the scaled silver
+    assert "wy" in res2["features"] and "wy" not in res2["silver"].columns
