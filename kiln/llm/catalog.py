@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from kiln.llm import common
-from kiln.llm import decontaminate  # noqa: F401
+from kiln.llm import decontaminate, toxicity  # noqa: F401
 
 
 def all_queries() -> dict:
