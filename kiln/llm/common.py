@@ -41,3 +41,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def fold_case(text: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def worker_state() -> dict:
+    """A dictionary that lives as long as the Python worker, for what tasks would build again."""
+    import sys
+    import types
+
+    return vars(sys.modules.setdefault("kiln_worker_state", types.ModuleType("kiln_worker_state")))
