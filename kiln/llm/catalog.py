@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from kiln.llm import common
-from kiln.llm import decontaminate, jaccard, mixing, tokens, toxicity  # noqa: F401
+from kiln.llm import decontaminate, jaccard, mixing, quality, tokens, toxicity  # noqa: F401
 
 
 def all_queries() -> dict:
