@@ -38,9 +38,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def fold_case(text: Column) -> Column:
-    """Lower-case A-Z only."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+BROADCAST_ROWS = 1_000_000
+
+
+def sized(keys: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """A written table of a few fixed-size keys, to be broadcast if it has ``limit`` rows at most; else joins shuffle it."""
+    keys = written(keys, "keys")
+    return F.broadcast(keys) if keys.count() <= limit else keys
+
+
+def text_hash() -> Column:
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
 def worker_state() -> dict:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.llm.common import query, table, written
+from kiln.llm.common import query, table, text_hash, written
 from kiln.llm.words import NOT_ALNUM, Words, leftmost_minimum
 
 SPAN = 13
@@ -76,8 +76,8 @@ def training_windows(span: int, k: int, short: list[int], slots: bytes):
                 lists.append(listed(part, *(np.concatenate(x) for x in zip(*found))))
             if counts:
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array(np.concatenate(counts), pa.int64()), pa.concat_arrays(lists)],
-                    names=["doc_id", "n_words", "windows"])
+                    [batch.column("doc_id"), batch.column("text_hash"), pa.array(np.concatenate(counts), pa.int64()), pa.concat_arrays(lists)],
+                    names=["doc_id", "text_hash", "n_words", "windows"])
     return run
 
 
@@ -100,7 +100,7 @@ def benchmark_windows(span: int, k: int):
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: int = K) -> DataFrame:
-    """One row per document row: doc_id, n_words, n_hit (words inside a window that occurs
+    """One row per document row: doc_id, text_hash, n_words, n_hit (words inside a window that occurs
     in an item), items (sorted ids as text), contaminated (a twentieth of the words or more)."""
     if not 0 < k <= span:
         raise ValueError("k must lie between 1 and span")
@@ -110,8 +110,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: in
     slots = np.zeros(1 << SLOT_BITS, bool)
     slots[items.select(F.shiftrightunsigned("fp", 64 - SLOT_BITS).cast("int").alias("s")).distinct().toPandas()["s"].to_numpy(np.int64)] = True  # 2**22 at most
     short = sorted(r["len"] for r in items.filter(F.col("len") < span).select("len").distinct().collect())  # span - 1 at most
-    seen = written(docs.select("doc_id", F.col("text").cast("string").alias("text"))
-                   .mapInArrow(training_windows(span, k, short, np.packbits(slots).tobytes()), f"doc_id bigint, n_words bigint, windows {WINDOWS_DDL}")
+    seen = written(docs.select("doc_id", text_hash().alias("text_hash"), F.col("text").cast("string").alias("text"))
+                   .mapInArrow(training_windows(span, k, short, np.packbits(slots).tobytes()), f"doc_id bigint, text_hash bigint, n_words bigint, windows {WINDOWS_DDL}")
                    .withColumn("row", F.monotonically_increasing_id()), "windows")
     hits = (seen.filter(F.size("windows") > 0).select("row", F.inline("windows"))
             .join(items, ["fp", "win", "len"])
@@ -122,7 +122,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: in
         F.greatest(x["to"], (s["pos"] + s["len"]).cast("long")).alias("to")))["words"]
     n_hit = F.coalesce(F.col("hit"), F.lit(0)).cast("long")
     return (seen.join(hits.select("row", union.alias("hit"), "items"), "row", "left")
-            .select("doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+            .select("doc_id", "text_hash", "n_words", n_hit.alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"),
                     ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated")))
 
 

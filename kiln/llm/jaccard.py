@@ -31,9 +31,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.llm.common import query, table, written
+from kiln.llm.common import query, table, text_hash, written
 from kiln.llm.graph import components
-from kiln.llm.words import WHITE, Words, mix
+from kiln.llm.words import WHITE, Words, distinct, mix
 
 SHINGLE = 5
 HEAVY = 1 << 16
@@ -82,8 +82,8 @@ def describe(size: int):
             lows += len(v)
         tokens, n = np.unique(np.concatenate(tokens), return_counts=True)
         many = n >= LOCAL_USES
-        return pa.RecordBatch.from_arrays([pa.nulls(many.sum(), pa.int64()), pa.array(n[many].astype(np.int64)), pa.array(tokens[many].view(np.int64)), pa.array(np.ones(many.sum(), bool))],
-                                          names=["doc_id", "n", "v", "is_token"])
+        return pa.RecordBatch.from_arrays([*(pa.nulls(many.sum(), pa.int64()) for _ in range(2)), pa.array(n[many].astype(np.int64)), pa.array(tokens[many].view(np.int64)), pa.array(np.ones(many.sum(), bool))],
+                                          names=["doc_id", "text_hash", "n", "v", "is_token"])
 
     def run(batches):
         words, held, waiting = Words(WHITE), [], 0
@@ -91,8 +91,8 @@ def describe(size: int):
             for part in words.slices(batch.column("text")):
                 text, token = sets(words, part, size)
                 n, v = set_sizes_and_ids(len(part), text, token)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(part.at, len(part)), pa.array(n.astype(np.int64)), pa.array(v), pa.array(np.zeros(len(n), bool))],
-                                                 names=["doc_id", "n", "v", "is_token"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(x).slice(part.at, len(part)) for x in ("doc_id", "text_hash")), pa.array(n.astype(np.int64)), pa.array(v), pa.array(np.zeros(len(n), bool))],
+                                                 names=["doc_id", "text_hash", "n", "v", "is_token"])
                 held.append((v, text, token))
                 waiting += len(token)
                 if waiting >= BUFFER:
@@ -128,7 +128,9 @@ def prefixes(size: int, t: int, heavy: np.ndarray, buckets: int):
         names, place = np.unique(v, return_inverse=True)
         rows = []
         for i in some:
-            used, at = np.unique(place[ends[i]: ends[i + 1]], return_inverse=True)
+            part = place[ends[i]: ends[i + 1]]
+            used = distinct(part)
+            at = np.searchsorted(used, part)
             rows.append((short[ends[i]: ends[i + 1]].tobytes(), at.astype(np.uint16 if len(used) < 65536 else np.uint32).tobytes(), names[used].tobytes()))
         return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *(pa.array([r[j] for r in rows], pa.binary()) for j in range(3))], names=["bucket", "tokens", "at", "names"])
 
@@ -187,7 +189,7 @@ def shared_tokens(batches):
 def check_pairs(size: int, t: int):
     """Links between a leader's set, first in its run of rows, and the sets that follow."""
     def run(batches):
-        words, leader, base = Words(WHITE), None, None
+        words, leader, base = Words(WHITE), None, np.empty(0, np.uint64)
         for batch in batches:
             leads, salts, firsts, vs = (batch.column(x).to_pylist() for x in ("lead", "salt", "is_lead", "v"))
             a, b = [], []
@@ -223,12 +225,13 @@ def links(pairs: DataFrame, texts: DataFrame, size: int, t: int) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, size: int = SHINGLE, threshold: float = 0.75) -> DataFrame:
-    """One row per document row: doc_id, n_shingles, component_id (smallest linked id)."""
+    """One row per document row: doc_id, text_hash, n_shingles, component_id (the smallest id
+    that links reach), first (whether it is the component's first by id and text hash)."""
     spark, t = docs.sparkSession, round(threshold * 100)
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    described = written(docs.mapInArrow(describe(size), "doc_id bigint, n bigint, v bigint, is_token boolean"), "sets")
+    described = written(docs.withColumn("text_hash", text_hash()).mapInArrow(describe(size), "doc_id bigint, text_hash bigint, n bigint, v bigint, is_token boolean"), "sets")
     rows = described.filter(~F.col("is_token"))
-    vertices = rows.filter((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy("v").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
+    vertices = rows.filter((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy("v").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"), F.first("n").alias("n")).withColumn("doc_id", F.col("first.doc_id"))
     heavy = (described.filter("is_token").groupBy("v").agg(F.sum("n").alias("uses")).orderBy(F.desc("uses"), "v").limit(HEAVY).toPandas())   # HEAVY rows at most
     heavy = heavy["v"].to_numpy(np.int64)[::-1].copy().view(np.uint64)
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -263,11 +266,12 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, threshold: float =
     linked = linked.union(written(links(more, texts, size, t), "more-links"))
 
     found = components(linked).select(F.col("node").alias("v"), F.col("root").alias("g"))
-    named = vertices.join(found, "v", "left").select("v", F.coalesce("g", "v").alias("g"), "doc_id")
-    component = named.join(named.groupBy("g").agg(F.min("doc_id").alias("component_id")), "g").select("v", "component_id")
+    named = vertices.join(found, "v", "left").select("v", F.coalesce("g", "v").alias("g"), "first")
+    component = named.join(named.groupBy("g").agg(F.min("first").alias("least")), "g").select("v", "least")
+    alone = F.col("doc_id").isNull() | (F.col("n") == 0)
     return (rows.join(component, "v", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))).alias("component_id")))
+            .select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("least.doc_id")).alias("component_id"),
+                    (alone | ((F.col("doc_id") == F.col("least.doc_id")) & (F.col("text_hash") == F.col("least.text_hash")))).alias("first")))
 
 
 ORACLE = r"""
@@ -284,4 +288,4 @@ JOIN (SELECT a doc_id, min(b) component_id FROM r GROUP BY a) USING (doc_id)
 
 @query("op9_jaccard_components", ORACLE)
 def op9(spark, sf_dir):
-    return jaccard_components(table(spark, sf_dir, "documents"))
+    return jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")

@@ -2,10 +2,11 @@
 
 A text's features are the character n-grams (3 to 5, with word borders) of its
 distinct words, hashed to 2**18 buckets; a feature's value is the number of
-distinct words that hold it.  Counts by class over all labelled texts give each
-feature its log-count ratio; features whose ratio is not clear of chance (z of 3
-or more) are left out.  A logistic regression is fitted on value x ratio of a
-bounded sample of labelled rows (``SAMPLE``, the rows with the smallest id hash).
+distinct words that hold it.  Both steps of the fit use a bounded sample of the
+labelled rows (about ``SAMPLE``, by a hash of the id): counts by class give each
+feature its log-count ratio, features whose ratio is below ``LEAST_RATIO`` or not
+clear of chance (z of ``LEAST_Z``) are left out, and a logistic regression is fitted on value x
+ratio.  The sample's labels are broadcast, so fitting shuffles no text but theirs.
 
 The weight of a text is the sum over its distinct words, so scoring is one pass.
 What is broadcast is one weight a bucket, whatever the corpus.
@@ -24,14 +25,16 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from kiln.llm.common import query, table
-from kiln.llm.words import WHITE, Words, mix
+from kiln.llm.common import query, table, written
+from kiln.llm.words import WHITE, Words, distinct, mix
 
 BITS = 18
 SIZES = (3, 4, 5)
-SAMPLE = 20_000
+SAMPLE = 40_000
 LEAST_Z = 3.0
+LEAST_RATIO = 1.0
 REGULARISATION = 1e-4
 BORDER = np.uint64(0x110000)
 STEP = np.uint64(0xD1342543DE82EF95)
@@ -47,7 +50,7 @@ class Grams:
         """For each slice: texts' first index and number, (text, word) pairs once each, (word, bucket) pairs."""
         for part in self.words.slices(texts):
             _, first, word = np.unique(part.hashes, return_index=True, return_inverse=True)
-            pairs = np.unique(part.text_of() * max(1, len(first)) + word)
+            pairs = distinct(part.text_of() * max(1, len(first)) + word)
             yield (part.at, len(part), *np.divmod(pairs, max(1, len(first))), *self.buckets(part, first))
 
     def buckets(self, part, first):
@@ -90,12 +93,12 @@ def class_counts(batches):
 
 
 def clear_ratios(counts) -> np.ndarray:
-    """Log-count ratio of each bucket, 0 where it could be chance."""
+    """Log-count ratio of each bucket, 0 where it could be chance or is small."""
     ratio = np.zeros(1 << BITS)
     counts = counts[counts["bucket"] >= 0]
     n, p = counts["negative"].to_numpy() + 1, counts["positive"].to_numpy() + 1
     r = np.log(p / p.sum()) - np.log(n / n.sum())
-    clear = np.abs(r) >= LEAST_Z * np.sqrt(1 / p + 1 / n)
+    clear = np.abs(r) >= np.maximum(LEAST_RATIO, LEAST_Z * np.sqrt(1 / p + 1 / n))
     ratio[counts["bucket"].to_numpy()[clear]] = r[clear]
     return ratio
 
@@ -139,14 +142,13 @@ def scores(weights: np.ndarray, intercept: float):
                 total = intercept + np.bincount(text, of_word[pair_word], n)
                 out.append(1 / (1 + np.exp(-np.clip(total, -700, 700))))
             if out:
-                kept = [c for i, c in enumerate(batch.columns) if batch.schema.names[i] != "text"]
-                yield pa.RecordBatch.from_arrays([*kept, pa.array(np.concatenate(out))], names=[*(x for x in batch.schema.names if x != "text"), "score"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(out))], names=[*batch.schema.names, "score"])
     return run
 
 
-def fit(labelled: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, float]:
-    """Weight of each bucket and the intercept, from rows (doc_id, text, toxic 0 or 1)."""
-    counts = (labelled.select("text", "toxic").mapInArrow(class_counts, "bucket int, negative double, positive double")
+def fit(labelled: DataFrame) -> tuple[np.ndarray, float]:
+    """Weight of each bucket and the intercept, from rows (text, toxic 0 or 1)."""
+    counts = (labelled.mapInArrow(class_counts, "bucket int, negative double, positive double")
               .groupBy("bucket").agg(F.sum("negative").alias("negative"), F.sum("positive").alias("positive"))).toPandas()  # a row a bucket
     texts = counts[counts["bucket"] < 0][["negative", "positive"]].sum()
     prior = (texts["positive"] + 0.5) / (texts.sum() + 1)
@@ -154,11 +156,9 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, float]:
     size = int((ratio != 0).sum())
     if not size:
         return np.zeros(1 << BITS, np.float32), float(np.log(prior / (1 - prior)))
-    sparse = F.udf(lambda i, v: Vectors.sparse(size, i, v), VectorUDT())      # of SAMPLE rows at most
-    order = F.xxhash64("doc_id")
-    rows = labelled.select("doc_id", "toxic").orderBy(order, "doc_id").limit(sample).select("doc_id").distinct()
-    points = (labelled.join(F.broadcast(rows), "doc_id", "left_semi").select("text", "toxic").repartition(labelled.sparkSession.sparkContext.defaultParallelism)
-              .mapInArrow(scaled_features(ratio), "label double, i array<int>, v array<double>").select("label", sparse("i", "v").alias("features")).persist())
+    sparse = F.udf(lambda i, v: Vectors.sparse(size, i, v), VectorUDT())      # of SAMPLE rows
+    points = (labelled.mapInArrow(scaled_features(ratio), "label double, i array<int>, v array<double>")
+              .select("label", sparse("i", "v").alias("features")).persist())
     try:
         model = LogisticRegression(maxIter=60, regParam=REGULARISATION, standardization=False).fit(points)
     finally:
@@ -172,15 +172,25 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """The columns of ``docs`` but text, with held_out, score and predicted (1 from 0.5 on)."""
+def sampled(labels: DataFrame, size: int) -> DataFrame:
+    """About ``size`` labels at most, by a hash of the id: the same rows in every run."""
     known = labels.filter(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"))).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
-    labelled = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(known, "doc_id")
-    weights, intercept = fit(labelled, sample)
-    return (docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(scores(weights, intercept), "doc_id bigint, score double")
-            .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")))
+    share = min(1.0, size / max(1, known.count()))
+    return known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+
+
+def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, column: str = "score") -> DataFrame:
+    """The rows of ``docs`` with the score of their text added as a column (in place of one of that name)."""
+    docs = docs.drop(column)
+    text = F.col("text").cast("string").alias("text")
+    known = F.broadcast(sampled(labels, sample))                              # SAMPLE rows
+    labelled = written(docs.select("doc_id", text).join(known, "doc_id").select("text", "toxic").repartition("text"), "labelled")
+    weights, intercept = fit(labelled)
+    scored = docs.withColumn("text", text)
+    return scored.mapInArrow(scores(weights, intercept), T.StructType([*scored.schema.fields, T.StructField(column, T.DoubleType())]))
 
 
 @query("op7_toxicity")
 def op7(spark, sf_dir):
-    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    scored = toxicity(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -111,6 +111,14 @@ class Words:
         return mix((sums[k:] - sums[:-k]) * self.word_down[: n - k + 1] + np.uint64(k))
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values."""
+    values = np.sort(values)
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    return values[new]
+
+
 def leftmost_minimum(values: np.ndarray, width: int) -> np.ndarray:
     """Position of the smallest value in each run of ``width`` values (the leftmost of equals)."""
     at, span = np.arange(len(values)), 1
