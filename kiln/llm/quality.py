@@ -33,16 +33,17 @@ LEAST_PRECISION = 0.9
 LEAST_CASES = 4
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
-#: What rules are made of; rounded, so that their quantiles are exact in bounded memory.
-STATISTICS = {
-    "words_log2": F.round(F.log2(F.col("n_words") + 1), 2),
-    "word_length": F.round(F.col("word_chars") / F.greatest("n_words", F.lit(1)), 2),
-    "symbol_share": F.round(F.col("n_symbols") / F.greatest("word_chars", F.lit(1)), 4),
-    "upper_share": F.round(F.col("n_upper") / F.greatest("word_chars", F.lit(1)), 4),
-    "mark_share": F.round(F.col("n_marks") / F.greatest("word_chars", F.lit(1)), 4),
-    "dup_line_share": F.round(F.col("n_dup_lines") / F.greatest("n_lines", F.lit(1)), 4),
-    "repeat_share": F.round(F.col("n_repeat_words") / F.greatest("n_words", F.lit(1)), 4),
-}
+STATISTICS = ("words_log2", "word_length", "symbol_share", "upper_share", "mark_share", "dup_line_share", "repeat_share")
+
+
+def rule_statistics() -> dict:
+    """What rules are made of; rounded, so that their quantiles are exact in bounded memory."""
+    def share(part: str, whole: str) -> Column:
+        return F.round(F.col(part) / F.greatest(whole, F.lit(1)), 4)
+
+    return dict(zip(STATISTICS, (
+        F.round(F.log2(F.col("n_words") + 1), 2), F.round(F.col("word_chars") / F.greatest("n_words", F.lit(1)), 2), share("n_symbols", "word_chars"),
+        share("n_upper", "word_chars"), share("n_marks", "word_chars"), share("n_dup_lines", "n_lines"), share("n_repeat_words", "n_words"))))
 
 
 def let(value: Column, body) -> Column:
@@ -173,7 +174,7 @@ def verdict(rules: list) -> Column:
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document row: doc_id, the base counts, base_failed, kept."""
-    counted = written(statistics(docs), "statistics").withColumns(STATISTICS)
+    counted = written(statistics(docs), "statistics").withColumns(rule_statistics())
     known = labels.filter(F.col("quality").isin(0, 1)).select("doc_id", (1 - F.col("quality")).cast("long").alias("bad"))
     rules = learn(counted.filter(~base_failed()).join(known, "doc_id").withColumn("grow", F.crc32(F.col("doc_id").cast("string")) % 3 != 0))
     return counted.select("doc_id", *BASE, base_failed().alias("base_failed"), (~base_failed() & verdict(rules)).alias("kept"))

@@ -101,14 +101,16 @@ class Words:
 
     def windows(self, hashes: np.ndarray, k: int) -> np.ndarray:
         """Hash of each run of k consecutive words; runs may cross texts, see ``Slice.left``."""
+        return self.runs(hashes, np.arange(max(0, len(hashes) - k + 1)), k)
+
+    def runs(self, hashes: np.ndarray, starts: np.ndarray, sizes) -> np.ndarray:
+        """Hash of the run of ``sizes`` words from each start; equal runs of words hash alike."""
         n = len(hashes)
-        if n < k:
-            return np.empty(0, np.uint64)
         if n > len(self.word_up):
             self.word_up, self.word_down = powers(WORD_BASE, n * 5 // 4), powers(WORD_BASE_INVERSE, n * 5 // 4)
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum(hashes * self.word_up[:n], out=sums[1:])
-        return mix((sums[k:] - sums[:-k]) * self.word_down[: n - k + 1] + np.uint64(k))
+        return mix((sums[starts + sizes] - sums[starts]) * self.word_down[starts] + np.asarray(sizes).astype(np.uint64))
 
 
 def distinct(values: np.ndarray) -> np.ndarray:
