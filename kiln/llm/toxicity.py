@@ -184,7 +184,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, column: s
     docs = docs.drop(column)
     text = F.col("text").cast("string").alias("text")
     known = F.broadcast(sampled(labels, sample))                              # SAMPLE rows
-    labelled = written(docs.select("doc_id", text).join(known, "doc_id").select("text", "toxic").repartition("text"), "labelled")
+    labelled = written(docs.select("doc_id", text).join(known, "doc_id").repartition("doc_id").select("text", "toxic"), "labelled")
     weights, intercept = fit(labelled)
     scored = docs.withColumn("text", text)
     return scored.mapInArrow(scores(weights, intercept), T.StructType([*scored.schema.fields, T.StructField(column, T.DoubleType())]))
