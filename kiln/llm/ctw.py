@@ -8,13 +8,13 @@ probability is half its own estimate and half the product of its children's.  A
 is scored with the counts of the training texts fixed: the next bit's probability
 mixes the estimates along the path by the nodes' posterior weights.
 
-Texts are dealt to blocks of about ``BLOCK_BYTES`` by a hash.  A block sends its
-distinct words and (DEPTH + 1)-byte strings with counts, packed by bucket; a bucket
-sums them over all blocks, grows the context trees below the two nearest bytes, which
-lie whole in one bucket, and answers each block with what it asked for.  The two upper
-levels have 256 x 255 nodes at most and are the only part that is broadcast.  So a
-task holds one block or one bucket, and what is shuffled follows the distinct strings
-of the blocks.
+Texts are dealt to blocks of about ``BLOCK_BYTES`` by a hash, as compressed batches.
+A block sends its distinct words and (DEPTH + 1)-byte strings with counts, packed by
+bucket; a bucket sums them over all blocks, grows the context trees below the two
+nearest bytes, which lie whole in one bucket, and answers each block's rows in their
+order, so that codes need not come back.  The two upper levels have 256 x 255 nodes at
+most and are the only part that is broadcast.  So a task holds one block or one bucket,
+and what is shuffled follows the distinct strings of the blocks.
 
 Defined cases: null and empty texts hold the end alone; rows with a null id train;
 equal rows count each; with no training text all estimates are those of empty counts;
@@ -31,8 +31,9 @@ from pyspark.sql import functions as F
 from kiln.llm.common import query, table, written
 from kiln.llm.words import WHITE, Words, mix
 
-DEPTH = 3
-BLOCK_BYTES = 24 << 20
+DEPTH = 5
+BLOCK_BYTES = 32 << 20
+PACK_BYTES = 16 << 20        # of texts that a task gathers before it packs them by block
 END = 0xFF                                    # no byte of UTF-8
 END_WORD = np.uint64(0x9FB21C651E98DF25)
 WORDS, STRINGS, TEXTS = 0, 1, 2
@@ -86,75 +87,137 @@ def summed(codes: np.ndarray, counts: np.ndarray):
     return names, np.bincount(place, counts, len(names)).astype(np.int64)
 
 
+def pack(batches):
+    """Rows of one block as a compressed Arrow stream."""
+    def packed(held):
+        rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        block = np.asarray(rows.column("block"))
+        by = np.argsort(block, kind="stable")
+        names, ends = np.unique(block[by], return_index=True)
+        rows, streams = rows.select(["doc_id", "held_out", "text"]).take(pa.array(by)), []
+        for low, high in zip(ends, np.append(ends[1:], len(by))):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_batch(rows.slice(low, high - low))
+            streams.append(sink.getvalue().to_pybytes())
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(streams, pa.binary())], names=["block", "rows"])
+
+    held, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.nbytes
+        if size >= PACK_BYTES:
+            yield packed(held)
+            held, size = [], 0
+    if held:
+        yield packed(held)
+
+
+def unpacked(stream):
+    yield from pa.ipc.open_stream(pa.py_buffer(stream.as_buffer()))
+
+
+class Block:
+    """Words and strings of one block's texts."""
+
+    def __init__(self, words: Words, depth: int, buckets: int, keep: bool):
+        self.words, self.depth, self.buckets, self.keep = words, depth, buckets, keep
+        self.found, self.parts = ([], []), []
+
+    def add(self, rows) -> None:
+        train = (~rows.column("held_out").to_numpy(zero_copy_only=False)).astype(np.int64)
+        for part in self.words.slices(rows.column("text")):
+            learn = train[part.at: part.at + len(part)]
+            self.found[WORDS].append(summed(np.append(part.hashes, END_WORD), np.append(learn[part.text_of()], learn.sum())))
+            text, code = strings(part, self.depth)
+            both = np.sort(code << 1 | learn[text])
+            code, learned = both >> 1, both & 1
+            first = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
+            self.found[STRINGS].append((code[first], np.add.reduceat(learned, first)))
+            if self.keep:
+                self.parts.append((rows.slice(part.at, len(part)), part))
+
+    def distinct(self, kind: int):
+        """Distinct codes by bucket and code, their training counts, and each bucket's end."""
+        codes, counts = summed(*(np.concatenate(x) for x in zip(*self.found[kind])))
+        key = codes if kind == WORDS else (codes >> (8 * (self.depth - 1))).astype(np.uint64)      # strings by the two nearest bytes
+        bucket = (mix(key) % np.uint64(self.buckets)).astype(np.int64)
+        by = np.argsort(bucket, kind="stable")
+        return codes[by], counts[by], np.searchsorted(bucket[by], np.arange(self.buckets + 1))
+
+
 def requests(buckets: int, depth: int):
     """Packed distinct words and strings of each block with their training counts.  A block's rows follow each other."""
-    def packed(block, held):
+    def asked(name, block):
         for kind in (WORDS, STRINGS):
-            codes, counts = summed(*(np.concatenate(x) for x in zip(*held[kind])))
-            key = codes if kind == WORDS else (codes >> (8 * (depth - 1))).astype(np.uint64)      # strings by the two nearest bytes
-            bucket = (mix(key) % np.uint64(buckets)).astype(np.int64)
-            by = np.argsort(bucket, kind="stable")
-            ends = np.searchsorted(bucket[by], np.arange(buckets + 1))
-            codes, counts = codes[by].view(np.int64), counts[by].astype(np.uint32)
-            some = np.flatnonzero(np.diff(ends))
+            codes, counts, ends = block.distinct(kind)
+            codes, some = codes.view(np.int64), np.flatnonzero(np.diff(ends))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(some), block), pa.int32()), pa.array(np.full(len(some), kind), pa.int32()), pa.array(some, pa.int32()),
-                 *(pa.array([x[ends[i]: ends[i + 1]].tobytes() for i in some], pa.binary()) for x in (codes, counts))],
+                [pa.array(np.full(len(some), name), pa.int32()), pa.array(np.full(len(some), kind), pa.int32()), pa.array(some, pa.int32()),
+                 pa.array([narrow(codes[ends[i]: ends[i + 1]], kind) for i in some], pa.binary()),
+                 pa.array([counts[ends[i]: ends[i + 1]].astype(np.uint32).tobytes() for i in some], pa.binary())],
                 names=["block", "kind", "bucket", "codes", "counts"])
 
     def run(batches):
-        words, block, held = Words(WHITE), None, None
+        words, name, block = Words(WHITE), None, None
         for batch in batches:
-            blocks, train = np.asarray(batch.column("block")), ~batch.column("held_out").to_numpy(zero_copy_only=False)
-            ends = np.append(np.flatnonzero(blocks[1:] != blocks[:-1]) + 1, len(blocks))
-            for low, high in zip(np.append(0, ends[:-1]), ends):
-                if low == high:
-                    continue
-                if blocks[low] != block:
-                    if held:
-                        yield from packed(block, held)
-                    block, held = blocks[low], ([], [])
-                for part in words.slices(batch.column("text").slice(low, high - low)):
-                    learn = train[low + part.at: low + part.at + len(part)].astype(np.int64)
-                    held[WORDS].append(summed(np.append(part.hashes, END_WORD), np.append(learn[part.text_of()], learn.sum())))
-                    text, code = strings(part, depth)
-                    both = np.sort(code << 1 | learn[text])
-                    code, learned = both >> 1, both & 1
-                    first = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
-                    held[STRINGS].append((code[first], np.add.reduceat(learned, first)))
-        if held:
-            yield from packed(block, held)
+            for b, stream in zip(batch.column("block").to_pylist(), batch.column("rows")):
+                if b != name:
+                    if block:
+                        yield from asked(name, block)
+                    name, block = b, Block(words, depth, buckets, keep=False)
+                for rows in unpacked(stream):
+                    block.add(rows)
+        if block:
+            yield from asked(name, block)
     return run
 
 
-def gathered(batches, wide=np.int64):
-    """A bucket's rows: their blocks, the distinct codes, each code's place there, training counts and each row's end."""
-    blocks, codes, counts = [], [], []
+STRING_BYTES = 6
+
+
+def narrow(codes: np.ndarray, kind: int) -> bytes:
+    """Codes as bytes; strings of 6 bytes at most take no more."""
+    return codes.tobytes() if kind == WORDS else np.ascontiguousarray(codes[:, None].view(np.uint8)[:, :STRING_BYTES]).tobytes()
+
+
+def widened(raw, kind: int) -> np.ndarray:
+    if kind == WORDS:
+        return np.frombuffer(raw, np.int64)
+    raw = np.frombuffer(raw, np.uint8).reshape(-1, STRING_BYTES)
+    out = np.zeros((len(raw), 8), np.uint8)
+    out[:, :STRING_BYTES] = raw
+    return out.view(np.int64)[:, 0]
+
+
+def gathered(batches, kind: int):
+    """A task's rows: (block, bucket) of each, the distinct codes, each code's place there, training counts and each row's end."""
+    rows, codes, counts = [], [], []
     for batch in batches:
-        blocks += batch.column("block").to_pylist()
-        codes += [np.frombuffer(x.as_buffer(), wide) for x in batch.column("codes")]
+        rows += zip(batch.column("block").to_pylist(), batch.column("bucket").to_pylist())
+        codes += [widened(x.as_buffer(), kind) for x in batch.column("codes")]
         counts += [np.frombuffer(x.as_buffer(), np.uint32) for x in batch.column("counts")]
-    if not blocks:
+    if not rows:
         return None
     names, place = np.unique(np.concatenate(codes), return_inverse=True)
-    return blocks, names, place, np.bincount(place, np.concatenate(counts), len(names)), np.cumsum([len(c) for c in codes])
+    return rows, names, place, np.bincount(place, np.concatenate(counts), len(names)), np.cumsum([len(c) for c in codes])
 
 
-def answers(blocks, names, place, ends, kind, values):
-    """What each block asked for: codes and their values."""
-    low = np.append(0, ends[:-1])
+def answers(rows, place, ends, kind, values):
+    """The values of each row's codes, in their order."""
     return pa.RecordBatch.from_arrays(
-        [pa.array(blocks, pa.int32()), pa.array([kind] * len(blocks), pa.int32()), pa.array([names[place[a:b]].tobytes() for a, b in zip(low, ends)], pa.binary()),
-         pa.array([values[place[a:b]].tobytes() for a, b in zip(low, ends)], pa.binary())], names=["block", "kind", "codes", "values"])
+        [pa.array([x[0] for x in rows], pa.int32()), pa.array([kind] * len(rows), pa.int32()), pa.array([x[1] for x in rows], pa.int32()),
+         pa.array([values[place[a:b]].tobytes() for a, b in zip(np.append(0, ends[:-1]), ends)], pa.binary())], names=["block", "kind", "bucket", "values"])
 
 
 def word_answers(batches):
-    """Each block's words with their training counts; under block -1 the bucket's tokens and distinct words."""
-    found = gathered(batches)
+    """The training counts of each row's words; under block -1 the task's tokens and distinct words."""
+    found = gathered(batches, WORDS)
     if found:
-        blocks, names, place, counts, ends = found
-        yield answers(blocks, names, place, ends, WORDS, counts.astype(np.int64))
-        yield answers([-1], np.array([int(counts.sum())]), np.zeros(1, np.int64), np.ones(1, np.int64), WORDS, np.array([int((counts > 0).sum())]))
+        rows, names, place, counts, ends = found
+        yield answers(rows, place, ends, WORDS, counts.astype(np.int64))
+        yield answers([(-1, -1)], np.arange(2), np.array([2]), WORDS, np.array([int(counts.sum()), int((counts > 0).sum())]))
 
 
 class Trees:
@@ -201,7 +264,7 @@ class Trees:
 def upper_nodes(depth: int):
     """Sums over a bucket's second-level nodes by nearest byte and place: counts and weighted log probability."""
     def run(batches):
-        found = gathered(batches)
+        found = gathered(batches, STRINGS)
         if found:
             _, names, _, counts, _ = found
             keys, zeros, ones, total = Trees(names, counts, depth).top
@@ -227,88 +290,85 @@ def upper_levels(nodes):
 
 def string_answers(depth: int, own: np.ndarray, rest: np.ndarray):
     def run(batches):
-        found = gathered(batches)
+        found = gathered(batches, STRINGS)
         if found:
-            blocks, names, place, counts, ends = found
-            yield answers(blocks, names, place, ends, STRINGS, Trees(names, counts, depth).log10(names, own, rest))
+            rows, names, place, counts, ends = found
+            yield answers(rows, place, ends, STRINGS, Trees(names, counts, depth).log10(names, own, rest))
     return run
 
 
-def scores(tokens: int, types: int, depth: int):
-    """Scores of a block's texts, which follow the answers that the block has got."""
-    def tables(held):
-        out = []
+def scores(tokens: int, types: int, depth: int, buckets: int):
+    """Scores of a block's texts.  The answers that the block has got come first, by kind and bucket."""
+    def scored(block, values):
+        known = []
         for kind, wide in ((WORDS, np.int64), (STRINGS, np.float64)):
-            codes = np.concatenate([np.frombuffer(c, np.int64) for c, _ in held[kind]])
-            values = np.concatenate([np.frombuffer(v, wide) for _, v in held[kind]])
+            codes = block.distinct(kind)[0].view(np.int64)
+            answer = np.concatenate([np.frombuffer(x, wide) for x in values[kind]])
             by = np.argsort(codes)
-            out.append((codes[by], values[by]))
-        return out
+            known.append((codes[by], answer[by]))
+        for rows, part in block.parts:
+            n = len(part)
+            text = np.append(part.text_of(), np.arange(n))
+            names, at = np.unique(np.append(part.hashes, np.full(n, END_WORD)).view(np.int64), return_inverse=True)
+            count = known[WORDS][1][np.searchsorted(known[WORDS][0], names)]
+            base = np.bincount(text, np.log10((count + 0.5) / (tokens + 0.5 * (types + 1)))[at], n)
+            seen = np.bincount(text, (count > 0)[at], n)
+            of, code = strings(part, depth)
+            shift = max(1, n.bit_length())
+            both = np.sort(code.astype(np.uint64) << np.uint64(shift) | of.astype(np.uint64))
+            code, of = (both >> np.uint64(shift)).astype(np.int64), (both & np.uint64((1 << shift) - 1)).astype(np.int64)
+            new = np.append(True, code[1:] != code[:-1])
+            value = known[STRINGS][1][np.searchsorted(known[STRINGS][0], code[new])]
+            total = np.bincount(of, value[np.cumsum(new) - 1], n)
+            yield pa.RecordBatch.from_arrays(
+                [rows.column("doc_id"), rows.column("held_out"), pa.array(part.counts + 1, pa.int64()), pa.array(seen.astype(np.int64)),
+                 pa.array(np.full(n, tokens), pa.int64()), pa.array(base), pa.array(total), pa.array(-total * np.log2(10) / (np.diff(part.offsets) + 1))],
+                names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"])
 
     def run(batches):
-        words, block, held, known = Words(WHITE), None, None, None
+        words, name, block, values = Words(WHITE), None, None, None
         for batch in batches:
-            key = np.asarray(batch.column("block")).astype(np.int64) * 4 + np.asarray(batch.column("kind"))
-            ends = np.append(np.flatnonzero(key[1:] != key[:-1]) + 1, len(key))
-            for low, high in zip(np.append(0, ends[:-1]), ends):
-                if low == high:
-                    continue
-                if key[low] // 4 != block:
-                    block, held, known = key[low] // 4, ([], []), None
-                if key[low] % 4 != TEXTS:
-                    run_of = batch.slice(low, high - low)
-                    held[key[low] % 4].extend(zip(run_of.column("codes").to_pylist(), run_of.column("values").to_pylist()))
-                    continue
-                if known is None:
-                    known, held = tables(held), None
-                for part in words.slices(batch.column("text").slice(low, high - low)):
-                    n = len(part)
-                    text = np.append(part.text_of(), np.arange(n))
-                    names, at = np.unique(np.append(part.hashes, np.full(n, END_WORD)).view(np.int64), return_inverse=True)
-                    count = known[0][1][np.searchsorted(known[0][0], names)]
-                    base = np.bincount(text, np.log10((count + 0.5) / (tokens + 0.5 * (types + 1)))[at], n)
-                    seen = np.bincount(text, (count > 0)[at], n)
-                    of, code = strings(part, depth)
-                    shift = max(1, n.bit_length())
-                    both = np.sort(code << shift | of)
-                    code, of = both >> shift, both & ((1 << shift) - 1)
-                    new = np.append(True, code[1:] != code[:-1])
-                    value = known[1][1][np.searchsorted(known[1][0], code[new])]
-                    total = np.bincount(of, value[np.cumsum(new) - 1], n)
-                    at = low + part.at
-                    size = np.diff(part.offsets)
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column("doc_id").slice(at, n), batch.column("held_out").slice(at, n), pa.array(part.counts + 1, pa.int64()), pa.array(seen.astype(np.int64)),
-                         pa.array(np.full(n, tokens), pa.int64()), pa.array(base), pa.array(total), pa.array(-total * np.log2(10) / (size + 1))],
-                        names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"])
+            for b, kind, value, stream in zip(*(batch.column(x) for x in ("block", "kind", "values", "rows"))):
+                if b.as_py() != name:
+                    if block:
+                        yield from scored(block, values)
+                    name, block, values = b.as_py(), Block(words, depth, buckets, keep=True), ([], [])
+                if kind.as_py() == TEXTS:
+                    for rows in unpacked(stream):
+                        block.add(rows)
+                else:
+                    values[kind.as_py()].append(value.as_py())
+        if block:
+            yield from scored(block, values)
     return run
 
 
 def score(docs: DataFrame, held_out, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per document row: doc_id, held_out (as the given column says; else it trains), n_tokens,
     n_known, train_tokens, base_score, score (log10 probability of the text), bits_per_byte."""
-    if depth < 2:
-        raise ValueError("depth is 2 or more")
+    if not 2 <= depth <= 5:
+        raise ValueError("depth is 2 to 5: a string and a text's number share 64 bits")
     spark = docs.sparkSession
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     total = docs.agg(F.sum(F.octet_length(text) + 1)).first()[0] or 0
     blocks = -(-total // block_bytes) or 1
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    docs = docs.select("doc_id", held_out.alias("held_out"), text.alias("text"), F.pmod(F.xxhash64("doc_id", text), F.lit(blocks)).cast("int").alias("block"))
-    asked = written(docs.repartition("block").sortWithinPartitions("block").mapInArrow(requests(buckets, depth), "block int, kind int, bucket int, codes binary, counts binary"), "requests")
-    schema = "block int, kind int, codes binary, values binary"
+    packed = (docs.select("doc_id", held_out.alias("held_out"), text.alias("text"), F.pmod(F.xxhash64("doc_id", text), F.lit(blocks)).cast("int").alias("block"))
+              .mapInArrow(pack, "block int, rows binary"))
+    asked = written(packed.repartition("block").sortWithinPartitions("block").mapInArrow(requests(buckets, depth), "block int, kind int, bucket int, codes binary, counts binary"), "requests")
+    schema = "block int, kind int, bucket int, values binary"
     of_words = written(asked.filter(F.col("kind") == WORDS).repartition("bucket").mapInArrow(word_answers, schema), "words")
-    sums = [(int.from_bytes(r["codes"], "little"), int.from_bytes(r["values"], "little")) for r in of_words.filter("block < 0").select("codes", "values").collect()]     # a row a task
-    tokens, types = (sum(x[i] for x in sums) for i in (0, 1))
+    sums = [np.frombuffer(r["values"], np.int64) for r in of_words.filter("block < 0").select("values").collect()]                  # a row a task
+    tokens, types = (sum(int(x[i]) for x in sums) for i in (0, 1))
     of_strings = asked.filter(F.col("kind") == STRINGS).repartition("bucket")
     nodes = (of_strings.mapInArrow(upper_nodes(depth), "nearest int, place int, zeros double, ones double, below double")
              .groupBy("nearest", "place").agg(*(F.sum(x).alias(x) for x in ("zeros", "ones", "below")))).toPandas()              # 256 x 255 rows at most
     strings_known = of_strings.mapInArrow(string_answers(depth, *upper_levels(nodes)), schema)
-    rows = (of_words.filter("block >= 0").unionAll(strings_known)
-            .select("block", "kind", "codes", "values", F.lit(None).cast("bigint").alias("doc_id"), F.lit(None).cast("boolean").alias("held_out"), F.lit(None).cast("string").alias("text"))
-            .unionAll(docs.select("block", F.lit(TEXTS), F.lit(None).cast("binary"), F.lit(None).cast("binary"), "doc_id", "held_out", "text")))
-    return (rows.repartition("block").sortWithinPartitions("block", "kind")
-            .mapInArrow(scores(tokens, types, depth), "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, bits_per_byte double"))
+    none = F.lit(None).cast("binary")
+    rows = (of_words.filter("block >= 0").unionAll(strings_known).withColumn("rows", none)
+            .unionAll(packed.select("block", F.lit(TEXTS), F.lit(0), none, "rows")))
+    return (rows.repartition("block").sortWithinPartitions("block", "kind", "bucket")
+            .mapInArrow(scores(tokens, types, depth, buckets), "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, bits_per_byte double"))
 
 
 @query("op5_context_tree")
