@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from kiln.llm import common
-from kiln.llm import ctw, decontaminate, jaccard, licenses, mixing, quality, substrings, tokens, toxicity  # noqa: F401
+from kiln.llm import chat, ctw, decontaminate, jaccard, licenses, mixing, quality, substrings, tokens, toxicity  # noqa: F401
 
 
 def all_queries() -> dict:
