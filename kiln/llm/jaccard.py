@@ -7,17 +7,20 @@ only its first ``n - ceil(t n) + l`` tokens, l = n // 4, are shuffled: sets that
 link share at least min(l) of these, so whatever shares fewer is out.
 
 1. Vertices that share too few tokens with any other drop out.
-2. Groups: each token's smallest vertex leads; a vertex joins the leaders with
-   which it shares enough tokens, if the sets prove to link.  Groups that touch
-   are one.
-3. Token-group matrix: the union of each group's tokens, as (token, group) rows.
-   A vertex of another group is a query; the tokens it has in the union bound
-   its overlap with any member.  Only groups that reach the bound are opened,
-   and there only members that share enough tokens themselves.
-
-Every reported link is checked on the whole sets, so hashes of shortened tokens
-cost time only.  No step emits the pairs of a group: copies are one vertex, near
-copies become one group in step 2, and step 3 looks between groups alone.
+2. Groups: a vertex joins the leader with which it shares most tokens; a token's leader
+   is its most typical vertex (the one whose tokens have the most uses).  Members whose
+   sets link with the leader's are one component from here on.
+3. Token-group matrix: the union of each group's tokens, as (token, group) rows.  The
+   tokens that a vertex has in a group's union bound its overlap with any member, so
+   only the groups that reach the bound can hold a link.  Of two groups the smaller one
+   asks; a vertex asks its own group only if it isn't in the leader's component.
+4. A group's members are dealt out by ``CHUNK``.  A query meets the union of a chunk's
+   whole sets first, and only chunks that reach the bound are opened: one count over the
+   chunk's inverted tokens gives the overlap with every member.
+
+Every reported link is checked on the whole sets, so hashes of shortened tokens cost
+time only.  No step emits the pairs of a group: copies are one vertex, a query reports
+one link a component, and what the leader links is asked about no more.
 
 Defined cases: null and empty texts have empty sets and link with nothing; rows
 with a null id have no component; rows that repeat an id are kept, each with the
@@ -31,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.llm.common import query, table, text_hash, written
+from kiln.llm.common import query, sized, table, text_hash, written
 from kiln.llm.graph import components
 from kiln.llm.words import WHITE, Words, distinct, mix
 
@@ -39,7 +42,7 @@ SHINGLE = 5
 HEAVY = 1 << 16
 LOCAL_USES = 4           # a token in so many sets of one buffer may be heavy
 BUFFER = 2_000_000       # tokens a task gathers before it writes them out
-PER_LEADER = 512         # members checked with one copy of their leader's text
+CHUNK = 512              # members that a query is checked against at once
 TOKEN_BYTES = 6
 
 
@@ -108,11 +111,25 @@ def needed(n, t: int):
     return (n * t + 99) // 100
 
 
-def shared_least(n):
-    """Least number of prefix tokens that a set of n shares with a linked set of n or more."""
+def spare(n):
+    """Tokens of a prefix beyond those that a linked set may lack."""
     return np.maximum(1, n // 4)
 
 
+def least_shared(n, t: int, low=None, high=None):
+    """Column: the least number of prefix tokens that a set of n shares with a linked set of low to high tokens.
+
+    A linked set of m has a = t (n + m) / (100 + t) of its tokens in common; the k-th common token lies in a
+    prefix of length p while n - a + k <= p, so min(p - n, q - m) + a are in both.  That has its
+    least value at one end of the sizes; 3 make up for rounding.
+    """
+    low = F.ceil(n * t / 100) if low is None else F.greatest(low, F.ceil(n * t / 100))
+    high = F.floor(n * 100 / t) if high is None else F.least(high, F.floor(n * 100 / t))
+    kept = lambda x: F.greatest(F.lit(1), F.floor(x / 4)) - F.ceil(x * t / 100)
+    shared = lambda m: F.least(kept(n), kept(m)) + F.ceil((n + m) * t / (100 + t))
+    return F.greatest(F.lit(1), F.least(shared(low), shared(high)) - 3)
+
+
 def prefixes(size: int, t: int, heavy: np.ndarray, buckets: int):
     """Rows of packed (token, vertex) entries, by bucket of the token.  ``heavy`` has the heavy tokens, most used last."""
     order = np.argsort(heavy)
@@ -147,7 +164,7 @@ def prefixes(size: int, t: int, heavy: np.ndarray, buckets: int):
                     key[hot] = np.uint64(1 << 63) + order[at[hot]].astype(np.uint64)
                     by = np.lexsort((key, text))
                     token = token[by]
-                keep = n - needed(n, t) + shared_least(n)
+                keep = n - needed(n, t) + spare(n)
                 first = np.arange(len(token)) - np.repeat(np.cumsum(n) - n, n) < np.repeat(keep, n)
                 held.append((token[first], np.repeat(v, n)[first]))
                 waiting += int(first.sum())
@@ -186,12 +203,36 @@ def shared_tokens(batches):
     yield pa.RecordBatch.from_arrays([pa.array(token[some].view(np.int64)), pa.array(vertex[some])], names=["token", "v"])
 
 
-def check_pairs(size: int, t: int):
-    """Links between a leader's set, first in its run of rows, and the sets that follow."""
+class Chunk:
+    """Some members of a group: their tokens, inverted."""
+
+    def __init__(self, vs, components, held):
+        self.vs, self.components = np.array(vs), np.array(components)
+        self.sizes = np.array([len(x) for x in held])
+        member, token = np.repeat(np.arange(len(held)), self.sizes), np.concatenate(held)
+        by = np.argsort(token, kind="stable")
+        self.token, self.member = token[by], member[by]
+
+    def links(self, mine: np.ndarray, component: int, t: int):
+        """A member of each other component that a set links with."""
+        low, high = np.searchsorted(self.token, mine), np.searchsorted(self.token, mine, side="right")
+        n = len(mine)
+        least = max(needed(n, t), -(-t * (n + max(int(self.sizes.min()), needed(n, t))) // (100 + t)))
+        if np.count_nonzero(high > low) < least:                       # not even the chunk's union has enough
+            return self.vs[:0]
+        each = high - low
+        at = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each) + np.repeat(low, each)
+        both = np.bincount(self.member[at], minlength=len(self.vs))
+        found = np.flatnonzero((100 * both >= t * (n + self.sizes - both)) & (self.components != component))
+        return self.vs[found[np.unique(self.components[found], return_index=True)[1]]]
+
+
+def check_groups(size: int, t: int):
+    """Links between queries and the members of their chunk, which come first in its run of rows."""
     def run(batches):
-        words, leader, base = Words(WHITE), None, np.empty(0, np.uint64)
+        words, name, chunk, held = Words(WHITE), None, None, ([], [], [])
         for batch in batches:
-            leads, salts, firsts, vs = (batch.column(x).to_pylist() for x in ("lead", "salt", "is_lead", "v"))
+            groups, salts, asks, vs, components = (batch.column(x).to_pylist() for x in ("g", "salt", "asks", "v", "component"))
             a, b = [], []
             for part in words.slices(batch.column("text")):
                 text, token = sets(words, part, size)
@@ -201,27 +242,29 @@ def check_pairs(size: int, t: int):
                     row, mine = part.at + i, token[ends[i] - n[i]: ends[i]]
                     if v[i] != vs[row]:
                         continue                                # another text with the same id
-                    if firsts[row]:
-                        leader, base = (leads[row], salts[row]), mine
-                    elif leader == (leads[row], salts[row]) and len(mine) * 100 >= t * len(base) and len(base) * 100 >= t * len(mine):
-                        at = np.minimum(np.searchsorted(base, mine), len(base) - 1)
-                        both = int((base[at] == mine).sum())
-                        if 100 * both >= t * (len(mine) + len(base) - both):
-                            a.append(vs[row])
-                            b.append(leads[row])
+                    if (groups[row], salts[row]) != name:
+                        name, chunk, held = (groups[row], salts[row]), None, ([], [], [])
+                    if not asks[row]:
+                        for column, value in zip(held, (vs[row], components[row], mine)):
+                            column.append(value)
+                    elif held[0]:
+                        chunk = chunk or Chunk(*held)
+                        other = chunk.links(mine, components[row], t)
+                        a += [vs[row]] * len(other)
+                        b += other.tolist()
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
     return run
 
 
-def links(pairs: DataFrame, texts: DataFrame, size: int, t: int) -> DataFrame:
-    """The pairs (v, lead) whose sets link.  A leader's text is sent once for each PER_LEADER members."""
-    share = pairs.groupBy("lead").agg(F.ceil(F.count("*") / PER_LEADER).alias("shares"))
-    dealt = pairs.join(share, "lead").select("lead", F.pmod(F.xxhash64("v"), "shares").alias("salt"), "v")
-    leads = dealt.select("lead", "salt").distinct().join(texts.withColumnRenamed("v", "lead"), "lead")
-    rows = (leads.select("lead", "salt", F.lit(True).alias("is_lead"), F.col("lead").alias("v"), "text")
-            .union(dealt.join(texts, "v").select("lead", "salt", F.lit(False), "v", "text")))
-    return (rows.repartition("lead", "salt").sortWithinPartitions("lead", "salt", F.desc("is_lead"))
-            .mapInArrow(check_pairs(size, t), "a bigint, b bigint").distinct())
+def links(queries: DataFrame, members: DataFrame, texts: DataFrame, size: int, t: int) -> DataFrame:
+    """Links (a, b) of queries (v, g, component) with members (v, g, component) of their groups g."""
+    chunks = members.groupBy("g").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
+    asked = queries.join(chunks, "g").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
+    dealt = members.join(queries.select("g").distinct(), "g", "left_semi").join(chunks, "g").withColumn("salt", F.pmod(F.xxhash64("v"), F.col("chunks")))
+    rows = dealt.withColumn("asks", F.lit(False)).unionByName(asked.withColumn("asks", F.lit(True)))
+    return (rows.join(texts, "v").select("g", "salt", "asks", "v", "component", "text")
+            .repartition("g", "salt").sortWithinPartitions("g", "salt", "asks")
+            .mapInArrow(check_groups(size, t), "a bigint, b bigint").distinct())
 
 
 def jaccard_components(docs: DataFrame, size: int = SHINGLE, threshold: float = 0.75) -> DataFrame:
@@ -238,32 +281,32 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, threshold: float =
     shared = written(docs.filter(F.col("doc_id").isNotNull()).mapInArrow(prefixes(size, t, heavy, buckets), "bucket int, tokens binary, at binary, names binary")
                      .repartition("bucket").mapInArrow(shared_tokens, "token bigint, v bigint"), "tokens")
 
-    least = F.greatest(F.lit(1), F.floor(F.col("n") / 4))
-    alive = written(shared.groupBy("v").count().join(vertices, "v").filter(F.col("count") >= F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * t / 100) / 4))).select("v", "n", "doc_id"), "alive")
-    tokens = written(shared.join(alive.select("v", least.alias("least"), "n"), "v").select("token", "v", "n", "least"), "alive-tokens")
-    texts = written(docs.join(alive.select("v", "doc_id"), "doc_id").select("v", "text"), "texts")
-
-    near = F.col("share") >= F.least("least", F.greatest(F.lit(1), F.floor(F.col("lead_n") / 4)))
-    led = tokens.groupBy("token").agg(F.min(F.struct("v", "n")).alias("lead"))
-    pairs = (tokens.join(led, "token").filter(F.col("v") != F.col("lead.v"))
-             .groupBy("v", F.col("lead.v").alias("lead")).agg(F.count("*").alias("share"), F.first("least").alias("least"), F.first("lead.n").alias("lead_n"))
-             .filter(near & (F.col("lead") != F.col("v"))).select("v", "lead"))
-    linked = written(links(pairs, texts, size, t), "links")
-
-    group = components(linked).select(F.col("node").alias("v"), F.col("root").alias("g"))
-    member = written(tokens.join(group, "v", "left").withColumn("g", F.coalesce("g", "v")), "groups")
-    mixed = member.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high")).filter("low < high").select("token")
-    member = written(member.join(mixed, "token"), "mixed")
-    matrix = member.groupBy("token", F.col("g").alias("to")).agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    fits = (F.col("low") * t <= F.col("n") * 100) & (F.col("n") * t <= F.col("high") * 100)
-    bound = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * t / 100) / 4))
-    opened = (member.join(matrix, "token").filter((F.col("g") < F.col("to")) & fits)
-              .groupBy("v", "to", "n").agg(F.count("*").alias("share")).filter(F.col("share") >= bound).select("v", "to"))
-    theirs = member.select("token", F.col("v").alias("lead"), F.col("n").alias("lead_n"), F.col("g").alias("to"))
-    more = (member.join(opened, "v").join(theirs, ["token", "to"])
-            .groupBy("v", "lead").agg(F.count("*").alias("share"), F.first("least").alias("least"), F.first("lead_n").alias("lead_n"))
-            .filter(near).select("v", "lead"))
-    linked = linked.union(written(links(more, texts, size, t), "more-links"))
+    uses = shared.groupBy("token").agg(F.log2(F.count("*")).alias("uses"))
+    alive = written(shared.join(uses, "token").groupBy("v").agg(F.count("*").alias("share"), F.sum("uses").alias("typical")).join(vertices, "v")
+                    .filter(F.col("share") >= least_shared(F.col("n"), t)).select("v", "n", "doc_id", (F.col("typical") / F.col("n")).alias("typical")), "alive")
+    tokens = written(shared.join(alive.select("v", "n", "typical"), "v"), "alive-tokens")
+    texts = written(docs.join(sized(alive.select("v", "doc_id")), "doc_id").select("v", "text"), "texts")
+
+    led = tokens.groupBy("token").agg(F.max(F.struct("typical", "v")).alias("lead"))
+    groups = written(tokens.join(led, "token").groupBy("v", F.col("lead.typical").alias("typical"), F.col("lead.v").alias("g")).agg(F.count("*").alias("share"))
+                     .groupBy("v").agg(F.max(F.struct("share", "typical", "g"))["g"].alias("g")), "groups")
+    leaders = groups.select(F.col("g").alias("v"), "g", F.col("g").alias("component")).distinct()
+    linked = written(links(groups.filter("v <> g").withColumn("component", F.col("v")), leaders, texts, size, t), "links")
+
+    found = components(linked).select(F.col("node").alias("v"), F.col("root").alias("component"))
+    members = written(groups.join(found, "v", "left").select("v", "g", F.coalesce("component", "v").alias("component")).join(alive.select("v", "n"), "v"), "members")
+    of_leader = members.select(F.col("v").alias("g"), F.col("component").alias("main"))
+    kinds = (members.groupBy("g").agg(F.count("*").alias("size"), F.min("n").alias("low"), F.max("n").alias("high"), F.min("component").alias("one"), F.max("component").alias("other"))
+             .join(of_leader, "g"))
+    rows_of = written(tokens.select("token", "v").join(members, "v").join(kinds.select("g", "size"), "g"), "matrix")
+    matrix = rows_of.select("token", F.col("g").alias("to"), F.col("size").alias("to_size")).distinct()
+    smaller = F.struct("size", "g") <= F.struct(F.col("to_size").alias("size"), F.col("to").alias("g"))
+    asking = (rows_of.join(matrix, "token").filter(smaller).groupBy("v", "g", "component", "n", "to").agg(F.count("*").alias("share"))
+              .join(kinds.select(F.col("g").alias("to"), "low", "high", "one", "other", "main"), "to")
+              .filter(~((F.col("component") == F.col("one")) & (F.col("component") == F.col("other"))) & ((F.col("g") != F.col("to")) | (F.col("component") != F.col("main")))
+                      & (F.col("low") * t <= F.col("n") * 100) & (F.col("n") * t <= F.col("high") * 100) & (F.col("share") >= least_shared(F.col("n"), t, F.col("low"), F.col("high"))))
+              .select("v", F.col("to").alias("g"), "component"))
+    linked = linked.union(written(links(written(asking, "queries"), members.select("v", "g", "component"), texts, size, t), "more-links"))
 
     found = components(linked).select(F.col("node").alias("v"), F.col("root").alias("g"))
     named = vertices.join(found, "v", "left").select("v", F.coalesce("g", "v").alias("g"), "first")
