@@ -51,6 +51,46 @@ def text_hash() -> Column:
     return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
+CHUNK_BITS = 15
+
+
+def bit_chunks(batches):
+    """Packed bits of each chunk of slots; a chunk's rows are in one task."""
+    import numpy as np
+    import pyarrow as pa
+
+    chunks: dict = {}
+    for batch in batches:
+        slots = np.asarray(batch.column("slot")).astype(np.int64)
+        for chunk in np.unique(slots >> CHUNK_BITS).tolist():
+            bits = chunks.setdefault(chunk, np.zeros(1 << CHUNK_BITS, bool))
+            bits[slots[slots >> CHUNK_BITS == chunk] & ((1 << CHUNK_BITS) - 1)] = True
+    yield pa.RecordBatch.from_pydict({"chunk": list(chunks), "bits": [np.packbits(b, bitorder="little").tobytes() for b in chunks.values()]},
+                                     pa.schema([("chunk", pa.int32()), ("bits", pa.binary())]))
+
+
+def bit_table(hashes: DataFrame, bits: int) -> bytes:
+    """A table of 2**bits bits that has the leading bits of the one column's 64-bit hashes; what the driver gets has that size at most."""
+    slot = F.shiftrightunsigned(hashes.columns[0], 64 - bits).cast("int")
+    rows = hashes.select(slot.alias("slot")).distinct().withColumn("chunk", F.shiftright("slot", CHUNK_BITS)).repartition("chunk").select("slot")
+    out = bytearray(1 << (bits - 3))
+    for r in rows.mapInArrow(bit_chunks, "chunk int, bits binary").collect():
+        out[r["chunk"] << (CHUNK_BITS - 3): (r["chunk"] + 1) << (CHUNK_BITS - 3)] = r["bits"]
+    return bytes(out)
+
+
+def has_bit(table: bytes, bits: int):
+    """Which 64-bit hashes a bit table may hold."""
+    import numpy as np
+
+    packed = np.frombuffer(table, np.uint8)
+
+    def test(hashes):
+        slot = (hashes >> np.uint64(64 - bits)).astype(np.int64)
+        return (packed[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
+    return test
+
+
 def worker_state() -> dict:
     """A dictionary that lives as long as the Python worker, for what tasks would build again."""
     import sys

@@ -15,7 +15,7 @@
 
 Work and shuffle follow the number of anchors, about a twelfth of the words, and
 never the pairs of a group.  The bit table that keeps single anchors from the second
-shuffle has a fixed size (2**23 bits); where it fills up, more is shuffled.
+shuffle has a fixed size (2**25 bits); where it fills up, more is shuffled.
 
 Defined cases: null and empty texts have no words; texts shorter than a window lose
 nothing; equal rows, with or without equal ids, repeat each other; null ids are kept;
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.llm.common import query, sized, table, written
+from kiln.llm.common import bit_table, has_bit, query, sized, table, written
 from kiln.llm.fmindex import repeated_windows
 from kiln.llm.words import WHITE, Words, leftmost_minimum
 
@@ -37,8 +37,7 @@ WIDTH = 35
 ANCHOR = 10
 MOST_SEGMENTS = 20_000
 SHARD_WORDS = 500_000
-SLOT_BITS = 23
-SHIFT = np.uint64(64 - SLOT_BITS)
+SLOT_BITS = 25
 
 
 def anchored(words: Words, part, width: int, size: int):
@@ -66,12 +65,12 @@ def anchors(width: int, size: int):
 def segments(width: int, size: int, slots: bytes):
     """Segments whose anchor may occur twice: anchor, segment (its words' hash), row, start in the text, windows."""
     def run(batches):
-        words, many = Words(WHITE, lower=False), np.unpackbits(np.frombuffer(slots, np.uint8)).astype(bool)
+        words, many = Words(WHITE, lower=False), has_bit(slots, SLOT_BITS)
         for batch in batches:
             rows = np.asarray(batch.column("row"))
             for part in words.slices(batch.column("text")):
                 anchor, start, n = anchored(words, part, width, size)
-                keep = many[(anchor >> SHIFT).astype(np.int64)]
+                keep = many(anchor)
                 anchor, start, n = anchor[keep], start[keep], n[keep]
                 text = np.searchsorted(part.first, start, side="right") - 1
                 yield pa.RecordBatch.from_arrays(
@@ -145,13 +144,9 @@ def repeated(docs: DataFrame, width: int = WIDTH, size: int = ANCHOR) -> DataFra
 
     ``docs`` has row, a hash of the row's id and text, and text.
     """
-    many = (docs.mapInArrow(anchors(width, size), "anchor bigint").groupBy("anchor").count().filter("count > 1")
-            .select(F.shiftrightunsigned("anchor", 64 - SLOT_BITS).cast("int").alias("s")).distinct().toPandas())      # 2**23 at most
-    slots = np.zeros(1 << SLOT_BITS, bool)
-    slots[many["s"].to_numpy(np.int64)] = True
-    seen = written(docs.mapInArrow(segments(width, size, np.packbits(slots).tobytes()), "anchor bigint, segment bigint, row bigint, start int, n int"), "segments")
-    kinds = seen.groupBy("anchor", "segment").agg(F.count("*").alias("uses"), F.min(F.struct("row", "start", "n")).alias("at"))
-    kinds = written(kinds, "kinds")
+    many = docs.mapInArrow(anchors(width, size), "anchor bigint").groupBy("anchor").count().filter("count > 1").select("anchor")
+    seen = written(docs.mapInArrow(segments(width, size, bit_table(many, SLOT_BITS)), "anchor bigint, segment bigint, row bigint, start int, n int"), "segments")
+    kinds = written(seen.groupBy("anchor", "segment").agg(F.count("*").alias("uses"), F.min(F.struct("row", "start", "n")).alias("at")), "kinds")
 
     copies = (seen.join(kinds.filter("uses > 1").select("anchor", "segment"), ["anchor", "segment"])
               .select("row", "start", (F.col("n") + width - 1).alias("size")))
