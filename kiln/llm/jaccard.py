@@ -188,11 +188,15 @@ def shared_tokens(batches):
             place = np.frombuffer(at.as_buffer(), np.uint16 if len(at.as_buffer()) == 2 * len(raw) else np.uint32)
             vertex.append(np.frombuffer(names.as_buffer(), np.int64)[place])
     token, vertex = np.concatenate(token), np.concatenate(vertex)
+    if not len(token):
+        return
     by = np.argsort(token, kind="stable")
     token, vertex = token[by], vertex[by]
     same = token[1:] == token[:-1]
     some = np.append(same, False) | np.append(False, same)                # drop what one row holds
     token, vertex = token[some], vertex[some]
+    if not len(token):
+        return
     by = np.lexsort((vertex, token))
     token, vertex = token[by], vertex[by]
     new = np.ones(len(token), bool)
@@ -298,7 +302,7 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, threshold: float =
     of_leader = members.select(F.col("v").alias("g"), F.col("component").alias("main"))
     kinds = (members.groupBy("g").agg(F.count("*").alias("size"), F.min("n").alias("low"), F.max("n").alias("high"), F.min("component").alias("one"), F.max("component").alias("other"))
              .join(of_leader, "g"))
-    rows_of = written(tokens.select("token", "v").join(members, "v").join(kinds.select("g", "size"), "g"), "matrix")
+    rows_of = written(tokens.select("token", "v").join(members.join(kinds.select("g", "size"), "g"), "v"), "matrix")
     matrix = rows_of.select("token", F.col("g").alias("to"), F.col("size").alias("to_size")).distinct()
     smaller = F.struct("size", "g") <= F.struct(F.col("to_size").alias("size"), F.col("to").alias("g"))
     asking = (rows_of.join(matrix, "token").filter(smaller).groupBy("v", "g", "component", "n", "to").agg(F.count("*").alias("share"))
