@@ -4,16 +4,14 @@ The important piece is :func:`quantiles`: exact, linearly interpolated
 quantiles (pandas / DuckDB ``quantile_cont`` semantics) that never hold more
 than a bounded number of values in any task or on the driver.
 
-* Small columns (non-null count <= ``exact_map_limit``) use Spark's exact
-  ``percentile`` aggregate, whose per-value count map is then bounded.
-* Larger columns use histogram refinement: each pass is one distributed
-  ``groupBy(column, interval, bucket).agg(count, min, max)`` with map-side
-  combine; the driver keeps only the bucket table and narrows every target
-  rank to one bucket.  When an interval holds <= ``collect_limit`` values they
-  are fetched by a narrow filter job and the order statistic is read off.
-  With 4096 buckets a 10^12-row column needs about three passes.
-* Small inputs are spread over the cores and cached for the passes
-  (``kiln.session.PassInput``); large inputs are re-scanned with pruning.
+One path serves every size: histogram refinement.  Each pass is one distributed
+``groupBy(interval, bucket).agg(count, min, max)`` with map-side combine; the
+driver keeps only the bucket table and narrows every target rank to the values
+between one bucket's minimum and maximum.  An interval's smallest and largest
+value always fall into different buckets, so every pass narrows every interval.
+When an interval holds <= ``collect_limit`` values, an executor sorts them and
+returns only the wanted order statistics.  -inf, inf and NaN are placed by their
+counts (NaN last) and never enter the histogram.
 """
 
 from __future__ import annotations
@@ -24,7 +22,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-EXACT_MAP_LIMIT = 100_000
 COLLECT_LIMIT = 20_000
 BUCKETS = 4096
 
@@ -45,7 +42,11 @@ def g2_from_g2pop(g2: Column, n: Column) -> Column:
 
 
 def _interp(lo: float, hi: float, frac: float) -> float:
-    return lo if frac == 0 else lo + (hi - lo) * frac
+    if frac == 0 or lo == hi:
+        return lo
+    if math.isinf(lo) or math.isinf(hi):  # between an infinity and a number: the infinity
+        return lo + hi if math.isinf(lo) and math.isinf(hi) else (lo if math.isinf(lo) else hi)
+    return lo + (hi - lo) * frac
 
 
 def _targets(n: int, probs: Sequence[float]) -> list[tuple[int, int, float]]:
@@ -60,13 +61,11 @@ def _targets(n: int, probs: Sequence[float]) -> list[tuple[int, int, float]]:
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-              exact_map_limit: int = EXACT_MAP_LIMIT, collect_limit: int = COLLECT_LIMIT,
-              buckets: int = BUCKETS, exact: bool = True, accuracy: int = 10000,
-              stats: dict | None = None) -> dict[str, list[float | None]]:
+              collect_limit: int = COLLECT_LIMIT, buckets: int = BUCKETS, exact: bool = True,
+              accuracy: int = 10000) -> dict[str, list[float | None]]:
     """Exact linear-interpolated quantiles of numeric columns (nulls skipped).
 
     Returns ``{col: [q(p) for p in probs]}``; an all-null column gives Nones.
-    ``stats`` may carry already computed ``{col: (count, min, max)}``.
     ``exact=False`` uses ``percentile_approx(accuracy)`` in one pass.
     """
     from kiln.session import PassInput
@@ -80,52 +79,47 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                        for i, c in enumerate(cols)]).first()
         return {c: list(row[f"q{i}"]) if row[f"q{i}"] is not None else [None] * len(probs)
                 for i, c in enumerate(cols)}
+    inf = float("inf")
     with PassInput(df.select(*[x[c].alias(f"v{i}") for i, c in enumerate(cols)])) as base:
-        if stats is None:
-            r = base.agg(*[e for i in range(len(cols)) for e in (
-                F.count(f"v{i}").alias(f"n{i}"), F.min(f"v{i}").alias(f"lo{i}"),
-                F.max(f"v{i}").alias(f"hi{i}"))]).first()
-            st = {i: (r[f"n{i}"], r[f"lo{i}"], r[f"hi{i}"]) for i in range(len(cols))}
-        else:
-            st = {i: stats[c] for i, c in enumerate(cols)}
+        aggs = []
+        for i in range(len(cols)):
+            v = F.col(f"v{i}")
+            finite = F.when((v > -inf) & (v < inf), v)
+            aggs += [F.count(v).alias(f"n{i}"), F.count_if(v == -inf).alias(f"neg{i}"), F.count(finite).alias(f"fin{i}"),
+                     F.count_if(v == inf).alias(f"pos{i}"), F.min(finite).alias(f"lo{i}"), F.max(finite).alias(f"hi{i}")]
+        r = base.agg(*aggs).first()
+        found: dict[tuple[int, int], float] = {}
+        state: dict[int, dict[int, list]] = {}   # column: rank -> interval [lo, hi, rank below, count]
+        wanted: dict[int, list[tuple[int, int, float]]] = {}
         result: dict[str, list[float | None]] = {}
-        small, big = [], []
         for i, c in enumerate(cols):
-            n = st[i][0]
+            n, neg, fin, pos = (r[f"{k}{i}"] for k in ("n", "neg", "fin", "pos"))
             if not n:
                 result[c] = [None] * len(probs)
-            elif st[i][1] == st[i][2]:
-                result[c] = [float(st[i][1])] * len(probs)
-            elif n <= exact_map_limit:
-                small.append(i)
-            else:
-                big.append(i)
-        if small:
-            row = base.agg(*[F.percentile(F.col(f"v{i}"), F.array(*[F.lit(p) for p in probs])).alias(f"p{i}")
-                             for i in small]).first()
-            for i in small:
-                result[cols[i]] = [float(v) for v in row[f"p{i}"]]
-        if big:
-            result.update(_refine(base, cols, big, st, probs, collect_limit, buckets))
+                continue
+            wanted[i] = _targets(n, probs)
+            state[i] = {}
+            for k in sorted({k for t in wanted[i] for k in t[:2]}):
+                if k < neg:
+                    found[(i, k)] = -inf
+                elif k >= neg + fin:
+                    found[(i, k)] = inf if k < neg + fin + pos else float("nan")
+                else:
+                    state[i][k] = [r[f"lo{i}"], r[f"hi{i}"], neg, fin]
+        _refine(base, state, found, collect_limit, buckets)
+    for i, targets in wanted.items():
+        result[cols[i]] = [_interp(found[(i, k1)], found[(i, k2)], frac) for k1, k2, frac in targets]
     return {c: result[c] for c in cols}
 
 
-def _refine(base: DataFrame, cols, idx, stats, probs, collect_limit, buckets):
-    """Histogram refinement for large columns (see module doc)."""
-    # per column: rank -> interval state [lo, hi, rank_below, count_in]
-    state: dict[int, dict[int, list]] = {}
-    wanted: dict[int, list[tuple[int, int, float]]] = {}
-    for i in idx:
-        n, lo, hi = stats[i]
-        wanted[i] = _targets(n, probs)
-        ranks = sorted({k for t in wanted[i] for k in t[:2]})
-        state[i] = {k: [lo, hi, 0, n] for k in ranks}
-    found: dict[tuple[int, int], float] = {}
+def _refine(base: DataFrame, state, found, collect_limit, buckets):
+    """Narrow the interval of every wanted rank to one value (see module doc)."""
+    before = None
     while True:
         open_iv: dict[int, list[tuple]] = {}
-        for i in idx:
+        for i, ranks in state.items():
             ivs = {}
-            for k, (lo, hi, below, cnt) in state[i].items():
+            for k, (lo, hi, below, cnt) in ranks.items():
                 if (i, k) in found:
                     continue
                 if lo == hi:
@@ -135,17 +129,16 @@ def _refine(base: DataFrame, cols, idx, stats, probs, collect_limit, buckets):
             if ivs:
                 open_iv[i] = sorted((lo, hi, b, c) for (lo, hi), (b, c) in ivs.items())
         if not open_iv:
-            break
+            return
+        if open_iv == before:
+            raise RuntimeError(f"quantile intervals no longer narrow: {open_iv}")
+        before = open_iv
         small = {i: [iv for iv in ivs if iv[3] <= collect_limit] for i, ivs in open_iv.items()}
         large = {i: [iv for iv in ivs if iv[3] > collect_limit] for i, ivs in open_iv.items()}
         if any(small.values()):
-            _collect_pass(base, small, state, found)
+            _pick_pass(base, small, state, found)
         if any(large.values()):
             _histogram_pass(base, large, state, buckets)
-    out = {}
-    for i in idx:
-        out[cols[i]] = [_interp(found[(i, k1)], found[(i, k2)], frac) for k1, k2, frac in wanted[i]]
-    return out
 
 
 def _interval_table(groups: dict[int, list]):
@@ -189,20 +182,23 @@ def _long_with_interval(base, groups):
     return out, cols, off, los, his
 
 
-def _collect_pass(base, small, state, found):
-    """Fetch the (bounded) values of every small interval with one narrow job:
-    filter + project, no aggregate, so no task merges other tasks' values."""
-    rows, cols, off, _los, _his = _long_with_interval(base, small)
-    got_rows = rows.select("k", "g", "v").collect()
-    vals: dict[int, list[float]] = {}
-    for r in got_rows:
-        vals.setdefault(r["g"], []).append(r["v"])
+def _pick_pass(base, small, state, found):
+    """Sort the bounded values of every small interval in an executor and
+    return only the wanted order statistics."""
+    rows, cols, off, los, _his = _long_with_interval(base, small)
+    picks: list[list[tuple[int, int]]] = [[] for _ in los]
     for k, i in enumerate(cols):
         for j, (lo, hi, below, _c) in enumerate(small[i]):
-            got = sorted(vals.get(off[k] + j, []))
-            for rk, st in state[i].items():
-                if st[0] == lo and st[1] == hi and (i, rk) not in found:
-                    found[(i, rk)] = float(got[rk - below])
+            picks[off[k] + j] = [(rk, rk - below) for rk, st in state[i].items()
+                                 if st[0] == lo and st[1] == hi and (i, rk) not in found]
+    places = F.element_at(F.array(*[F.array(*[F.lit(at + 1) for _rk, at in p]) for p in picks]), F.col("g") + 1)
+    got = (rows.groupBy("g").agg(F.sort_array(F.collect_list("v")).alias("vs"))
+           .select("g", F.transform(places, lambda at: F.element_at("vs", at)).alias("q")).collect())
+    by_g = {r["g"]: r["q"] for r in got}
+    for k, i in enumerate(cols):
+        for j in range(len(small[i])):
+            for (rk, _at), v in zip(picks[off[k] + j], by_g[off[k] + j]):
+                found[(i, rk)] = float(v)
 
 
 def _histogram_pass(base, large, state, buckets):
@@ -212,10 +208,17 @@ def _histogram_pass(base, large, state, buckets):
     taken with numpy."""
     import numpy as np
     rows, cols, off, los, his = _long_with_interval(base, large)
-    scale = [buckets / (h - lo) for lo, h in zip(los, his)]
+    scale = []
+    for lo, h in zip(los, his):
+        half = h / 2 - lo / 2                       # h - lo itself may overflow
+        sc = buckets / half if half > 0 else math.inf
+        scale.append(sc if math.isfinite(sc) else 0.0)
     lo_g = F.element_at(F.lit(los), F.col("g") + 1)
+    hi_g = F.element_at(F.lit(his), F.col("g") + 1)
     sc_g = F.element_at(F.lit(scale), F.col("g") + 1)
-    b = F.least(F.floor((F.col("v") - lo_g) * sc_g), F.lit(buckets - 1)).cast("int")
+    inner = F.floor((F.col("v") / 2 - lo_g / 2) * sc_g).cast("int")
+    b = (F.when(F.col("v") == lo_g, 0).when(F.col("v") == hi_g, buckets)
+         .otherwise(F.greatest(F.lit(0), F.least(inner, F.lit(buckets - 1)))))
     hist = (rows.groupBy("g", b.alias("b"))
             .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx"))
             .toPandas().sort_values(["g", "b"]))

@@ -123,9 +123,9 @@ def _profile(df: DataFrame, exact_quantiles: bool, with_mad: bool, exact_distinc
         if types[i] == "Unsupported":
             continue
         c = qcol(f.name)
-        dv = c.cast("double") if i in num_idx else F.lit(None).cast("double")
-        sv = F.lit(None).cast("string") if i in num_idx else c.cast("string")
-        parts.append(F.struct(F.lit(i).alias("i"), dv.alias("d"), sv.alias("s"),
+        # values are counted by a 128-bit hash of their own type: exact for large ids, and no
+        # text longer than the hash is shuffled
+        parts.append(F.struct(F.lit(i).alias("i"), F.xxhash64(F.lit(1), c).alias("d"), F.xxhash64(F.lit(2), c).alias("s"),
                               c.isNull().alias("null")))
     dist = {}
     if not exact_distinct:
@@ -147,15 +147,12 @@ def _profile(df: DataFrame, exact_quantiles: bool, with_mad: bool, exact_distinc
 
     # 3. quantiles and MAD
     num_cols = [fields[i].name for i in num_idx]
-    st = {fields[i].name: (m[f"cnt{i}"], m[f"min{i}"], m[f"max{i}"]) for i in num_idx}
-    qs = quantiles(df, num_cols, PROBS, exact=exact_quantiles, stats=st) if num_cols else {}
+    qs = quantiles(df, num_cols, PROBS, exact=exact_quantiles) if num_cols else {}
     mad = {}
     if with_mad and num_cols:
         live = [c for c in num_cols if qs[c][2] is not None]
         dev = df.select(*[F.abs(qcol(c).cast("double") - F.lit(qs[c][2])).alias(c) for c in live])
-        # |x - median| lies in [0, max(max - median, median - min)]; the count is known
-        dst = {c: (st[c][0], 0.0, max(st[c][2] - qs[c][2], qs[c][2] - st[c][1])) for c in live}
-        mad = {c: v[0] for c, v in quantiles(dev, live, [0.5], exact=exact_quantiles, stats=dst).items()}
+        mad = {c: v[0] for c, v in quantiles(dev, live, [0.5], exact=exact_quantiles).items()}
 
     rows = []
     for i, f in enumerate(fields):

@@ -74,15 +74,7 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-SMALL_INPUT_BYTES = 512 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of the optimized plan (None if unavailable)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001
-        return None
+CACHE_INPUTS = "spark.kiln.cacheInputs"
 
 
 def reads_cache(df: DataFrame) -> bool:
@@ -99,29 +91,23 @@ class PassInput:
     """Input for operators that scan the same rows several times (profile,
     quantile refinement, Yeo-Johnson search, cleaning fits).
 
-    A small input (Catalyst estimate <= SMALL_INPUT_BYTES) is spread over the
-    cores and cached once, so every pass reads memory with full parallelism.
-    A large input is returned as is: each pass re-scans the source with column
-    pruning and nothing is shuffled or pinned in memory.  Use as a context
-    manager; the cache is released on exit.
+    By default each pass re-scans the source with column pruning and nothing is
+    pinned.  A caller who knows that the input fits sets ``spark.kiln.cacheInputs``
+    to true: the input is then spread over the cores and cached for the passes.
+    Use as a context manager; the cache is released on exit.
     """
 
-    def __init__(self, df: DataFrame, small_bytes: int = SMALL_INPUT_BYTES):
+    def __init__(self, df: DataFrame):
         self.src = df
-        self.small_bytes = small_bytes
-        self.df = df
         self._cached = None
 
     def __enter__(self) -> DataFrame:
-        if self.src.isStreaming or reads_cache(self.src):
+        spark = self.src.sparkSession
+        if self.src.isStreaming or spark.conf.get(CACHE_INPUTS, "false").lower() != "true" or reads_cache(self.src):
             return self.src
-        size = estimated_bytes(self.src)
-        if size is not None and size <= self.small_bytes:
-            from pyspark import StorageLevel
-            par = self.src.sparkSession.sparkContext.defaultParallelism
-            self._cached = self.src.repartition(par).persist(StorageLevel.MEMORY_AND_DISK)
-            self.df = self._cached
-        return self.df
+        from pyspark import StorageLevel
+        self._cached = self.src.repartition(spark.sparkContext.defaultParallelism).persist(StorageLevel.MEMORY_AND_DISK)
+        return self._cached
 
     def __exit__(self, *exc):
         if self._cached is not None:

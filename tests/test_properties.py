@@ -21,7 +21,7 @@ def test_quantiles_refinement_equals_numpy(spark, shape):
     v = SHAPES[shape](r)
     df = spark.createDataFrame([(float(x),) for x in v], "x double")
     probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
-    got = quantiles(df, ["x"], probs, exact_map_limit=0, collect_limit=25, buckets=8)["x"]
+    got = quantiles(df, ["x"], probs, collect_limit=25, buckets=8)["x"]
     exp = [float(np.quantile(v, p)) for p in probs]
     assert np.allclose(got, exp, rtol=1e-12, atol=0), (got, exp)
 
