@@ -6,8 +6,10 @@ whole key -- possibly a third of the table -- into one task, and a window with
 no key puts the whole table there.  Instead every operator here runs a
 *segmented scan*:
 
-1. cut the order range into ``buckets`` equal-width segments (``__b``,
-   deterministic, from one min/max aggregate); a hot key spans many segments;
+1. cut the order range into ``buckets`` segments (``__b``) at approximate quantiles
+   of the order column, so that segments hold about equally many rows however the
+   values are spread; a hot key spans many segments.  The cuts are literals of the
+   plan, so every branch and every repeated task sees the same segments;
 2. run the window inside (keys, __b) -- bounded work per task;
 3. summarise each segment in one row (last / first non-null value, last
    order value) and carry those across segments with a window over the tiny
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kiln.functions.stats import qcol
 
@@ -40,27 +43,41 @@ def _order_number(df: DataFrame, c: str) -> Column:
         return F.unix_micros(qcol(c).cast("timestamp")).cast("double")
     if dt == "date":
         return F.unix_date(qcol(c)).cast("double")
+    if dt == "string":  # its first six bytes, which order as the text does
+        return F.conv(F.rpad(F.substring(F.hex(qcol(c)), 1, 12), 12, "0"), 16, 10).cast("double")
     return qcol(c).cast("double")
 
 
 def _segment(df: DataFrame, order, keys, buckets: int | None) -> DataFrame:
-    """Deterministic segment id ``__b``: equal-width buckets of the first order
-    column over its [min, max] (one small aggregate).  Rows equal in the first
-    order column share a bucket, so buckets are contiguous in (keys, order).
-    Nulls (sorted first) get bucket -1.  No sampling: re-running any branch of
-    the plan -- or a lost task -- reproduces exactly the same buckets."""
+    """Segment id ``__b``: which quantile cut of the first order column a row lies
+    behind.  Rows equal in the first order column share a segment, so segments are
+    contiguous in (keys, order).  Nulls (sorted first) get -1."""
+    from pyspark.ml.feature import Bucketizer
     x = _order_number(df, order[0])
-    mm = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(F.lit(1)).alias("n")).first()
-    lo, hi = mm["lo"], mm["hi"]
-    # default: at least the shuffle-partition count and one segment per ROWS_PER_SEGMENT rows
-    n = buckets or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-                       -(-(mm["n"] or 0) // ROWS_PER_SEGMENT))
-    if lo is None or hi <= lo:
-        b = F.when(x.isNull(), F.lit(-1)).otherwise(F.lit(0))
-    else:
-        b = F.when(x.isNull(), F.lit(-1)).otherwise(
-            F.least(F.floor((x - F.lit(lo)) / F.lit(hi - lo) * n), F.lit(n - 1)).cast("int"))
-    return df.withColumn("__b", b)
+    n = buckets
+    if not n:  # at least the shuffle-partition count and one segment per ROWS_PER_SEGMENT rows
+        n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // ROWS_PER_SEGMENT))
+    cuts = []
+    if n > 1:
+        probs = [k / n for k in range(1, n)]
+        cuts = df.agg(F.percentile_approx(x, probs, 10 * n).alias("q")).first()["q"] or []
+    splits = [float("-inf"), *sorted({float(c) for c in cuts if abs(c) < float("inf")}), float("inf")]
+    if len(splits) < 3:
+        return df.withColumn("__b", F.when(x.isNull(), F.lit(-1)).otherwise(F.lit(0)))
+    marked = df.withColumn("__x", F.coalesce(x, F.lit(float("-inf"))))
+    cut = Bucketizer(splits=splits, inputCol="__x", outputCol="__b", handleInvalid="keep").transform(marked)
+    return cut.withColumn("__b", F.when(x.isNull(), F.lit(-1)).otherwise(F.col("__b").cast("int"))).drop("__x")
+
+
+def _join_keys(left: DataFrame, right: DataFrame, keys) -> DataFrame:
+    """Left join on keys of which null is a value like any other."""
+    right = right.select(*[qcol(k).alias(f"__k{i}") for i, k in enumerate(keys)],
+                         *[qcol(c) for c in right.columns if c not in keys])
+    on = [qcol(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+    cond = on[0]
+    for c in on[1:]:
+        cond = cond & c
+    return left.join(right, cond, "left").drop(*[f"__k{i}" for i in range(len(keys))])
 
 
 def _ord(order) -> Column:
@@ -85,7 +102,7 @@ def _carry_prev(seg: DataFrame, keys, order, values: dict[str, Column]) -> DataF
     carry = summary.select(*[qcol(k) for k in keys], "__b",
                            *[F.last(F.col(f"__s_{n}"), ignorenulls=True).over(w_seg).alias(f"__c_{n}")
                              for n in values])
-    joined = local.join(carry, keys + ["__b"], "left")
+    joined = _join_keys(local, carry, keys + ["__b"])
     return joined.select(*[c for c in local.columns if not c.startswith("__lp_")],
                          *[F.coalesce(F.col(f"__lp_{n}"), F.col(f"__c_{n}")).alias(f"__prev_{n}")
                            for n in values])
@@ -107,7 +124,7 @@ def _carry_next(seg: DataFrame, keys, order, values: dict[str, Column]) -> DataF
     carry = summary.select(*[qcol(k) for k in keys], "__b",
                            *[F.first(F.col(f"__s_{n}"), ignorenulls=True).over(w_seg).alias(f"__c_{n}")
                              for n in values])
-    joined = local.join(carry, keys + ["__b"], "left")
+    joined = _join_keys(local, carry, keys + ["__b"])
     return joined.select(*[c for c in local.columns if not c.startswith("__ln_")],
                          *[F.coalesce(F.col(f"__ln_{n}"), F.col(f"__c_{n}")).alias(f"__next_{n}")
                            for n in values])
@@ -128,7 +145,7 @@ def fill_forward(df: DataFrame, order_by, partition_by=None, cols=None,
             *[F.min_by(qcol(c), F.when(qcol(c).isNotNull(), _ord(order))).alias(f"__f{i}")
               for i, c in enumerate(cols)])
         if keys:
-            out = out.join(firsts, keys, "left")
+            out = _join_keys(out, firsts, keys)
             first = {i: F.col(f"__f{i}") for i in range(len(cols))}
         else:  # one row: read it and inline the values
             row = firsts.first()
@@ -142,7 +159,10 @@ def interpolate_linear(df: DataFrame, order_by: str, partition_by=None, cols=Non
     """WIN-04: fill interior numeric gaps on the straight line between the
     previous and next known values, by the (numeric or timestamp) order value."""
     keys = _as_list(partition_by)
-    cols = [c for c in (cols or []) if c in df.columns]
+    if cols is None:
+        numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)}
+        cols = [c for c in df.columns if c in numeric and c not in [order_by, *keys]]
+    cols = [c for c in cols if c in df.columns]
     seg = _segment(df, [order_by], keys, buckets)
     vals = {str(i): qcol(c).cast("double") for i, c in enumerate(cols)}
     prev = _carry_prev(seg, keys, [order_by], vals)
@@ -167,11 +187,12 @@ def interpolate_linear(df: DataFrame, order_by: str, partition_by=None, cols=Non
 
 def with_previous(df: DataFrame, order_by, partition_by=None, buckets: int | None = None,
                   values: dict[str, Column] | None = None) -> DataFrame:
-    """Previous row's order value (``__prev_order``) and optional values, segment-aware."""
+    """The row before (lag 1): its order value (``__prev_order.v``) and optional values
+    (``__prev_<name>.v.x``, null where that row's value is null), segment-aware."""
     order, keys = _as_list(order_by), _as_list(partition_by)
     seg = _segment(df, order, keys, buckets)
     vals = {"order": _ord(order)}
-    vals.update(values or {})
+    vals.update({n: F.struct(v.alias("x")) for n, v in (values or {}).items()})
     return _carry_prev(seg, keys, order, vals)
 
 
@@ -180,7 +201,7 @@ def ordered_check(df: DataFrame, order_by: str, position: str, partition_by=None
     ``order_by`` non-decreasing along ``position`` (within keys)?"""
     keys = _as_list(partition_by)
     pv = with_previous(df, [position], keys, values={"v": qcol(order_by)})
-    inv = F.col("__prev_v.v") > qcol(order_by)
+    inv = F.col("__prev_v.v.x") > qcol(order_by)
     return pv.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(inv).alias("n_inversions")) \
         .withColumn("is_sorted", F.col("n_inversions") == 0)
 
@@ -198,23 +219,28 @@ def detect_gaps(df: DataFrame, order_by: str, partition_by=None, step=None,
 
     step defaults to the most frequent delta (smallest on ties).  Output:
     keys..., prev, cur, delta, step, missing_steps (delta / step - 1, floored).
+    For timestamps delta and step are seconds with microseconds; ``step`` is given so, too.
     """
     keys = _as_list(partition_by)
     is_ts = dict(df.dtypes)[order_by].startswith("timestamp")
     pv = with_previous(df.select(*[qcol(k) for k in keys], qcol(order_by)), [order_by], keys, buckets)
     prev = F.col("__prev_order")["v"]["o0"]
-    delta = (F.timestamp_diff("SECOND", prev, qcol(order_by)) if is_ts
+    delta = (F.timestamp_diff("MICROSECOND", prev, qcol(order_by)) if is_ts
              else qcol(order_by) - prev).alias("delta")
+    if is_ts and step is not None:
+        step = round(step * 1_000_000)
     d = pv.select(*[qcol(k) for k in keys], prev.alias("prev"), qcol(order_by).alias("cur"), delta) \
         .where(F.col("prev").isNotNull())
     if step is None:  # most frequent delta, smallest on ties: counts, then a min over (-count, delta)
         row = (d.groupBy("delta").count()
                .agg(F.min(F.struct((-F.col("count")).alias("nc"), F.col("delta").alias("v"))).alias("m")).first())
         step = row["m"]["v"] if row["m"] is not None else None
+    unit = (lambda c: c / F.lit(1e6)) if is_ts else (lambda c: c)
     if step is None or step == 0:
-        return d.limit(0).withColumn("step", F.lit(step)).withColumn("missing_steps", F.lit(0))
-    return (d.where(F.col("delta") > step).withColumn("step", F.lit(step))
-            .withColumn("missing_steps", (F.floor(F.col("delta") / F.lit(step)) - 1).cast("long")))
+        return d.limit(0).withColumn("delta", unit(F.col("delta"))).withColumn("step", F.lit(step)).withColumn("missing_steps", F.lit(0).cast("long"))
+    missing = (F.floor(F.col("delta") / F.lit(step)) - 1).cast("long")
+    return (d.where(F.col("delta") > step).withColumn("missing_steps", missing)
+            .select(*[qcol(k) for k in keys], "prev", "cur", unit(F.col("delta")).alias("delta"), unit(F.lit(step)).alias("step"), "missing_steps"))
 
 
 def stationarity(df: DataFrame, order_by: str, col: str, partition_by=None,
@@ -225,7 +251,7 @@ def stationarity(df: DataFrame, order_by: str, col: str, partition_by=None,
     """
     keys = _as_list(partition_by)
     pv = with_previous(df, order_by, keys, buckets, values={"y": qcol(col).cast("double")})
-    y0 = F.col("__prev_y.v")
+    y0 = F.col("__prev_y.v.x")
     dy = qcol(col).cast("double") - y0
     reg = pv.where(y0.isNotNull() & qcol(col).isNotNull()) \
         .groupBy(*[qcol(k).alias(k) for k in keys]).agg(

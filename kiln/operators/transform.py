@@ -1,11 +1,10 @@
 """Log and Yeo-Johnson transforms (TRF-01..03).
 
-Yeo-Johnson lambda is the maximum-likelihood value.  Each search pass is a
-single distributed aggregate: values of every column are unpivoted, a small
-literal grid of lambdas is exploded next to each value (a Generate, not a
-join), and ``groupBy(column, lambda).agg(var_pop(psi))`` is partially
-aggregated map-side, so a pass ships (columns x grid) rows to the driver.
-The grid narrows around the best point each pass until the step is < 1e-6.
+Yeo-Johnson lambda is the maximum-likelihood value.  Each search pass is one
+wide aggregate, ``var_pop(psi(x, lambda))`` for every column and grid point, with
+nothing exploded or shuffled but the partial sums.  While the best point lies on
+the bracket's edge the bracket moves on with twice the width; then the grid
+narrows around the best point until the step is < 1e-6.
 """
 
 from __future__ import annotations
@@ -54,70 +53,60 @@ def _apply_yj(spec: dict, df: DataFrame) -> DataFrame:
     return df.withColumns(out) if out else df
 
 
-def _yj_pass(long: DataFrame, grids: dict[int, list[float]]) -> dict[int, list[tuple[float, float]]]:
+def _yj_pass(df: DataFrame, x: dict[str, Column], grids: dict[str, list[float]]) -> dict[str, list[tuple[float, float]]]:
     """Log-likelihood of every (column, lambda) in one aggregate."""
-    grid_col = F.lit(None).cast("array<double>")
-    for i, g in grids.items():
-        grid_col = F.when(F.col("i") == i, F.array(*[F.lit(float(v)) for v in g])).otherwise(grid_col)
-    x = F.col("x")
-    rows = (long.where(F.col("i").isin(list(grids)))
-            .select("i", "x", F.explode(grid_col).alias("lam"))
-            .groupBy("i", "lam")
-            .agg(F.var_pop(yeo_johnson_expr(x, F.col("lam"))).alias("v"),
-                 F.count("x").alias("n"),
-                 F.sum(F.signum(x) * F.log1p(F.abs(x))).alias("s"))
-            .collect())
-    out: dict[int, list[tuple[float, float]]] = {}
-    for r in rows:
-        v, n = r["v"], r["n"]
-        if v is None or not math.isfinite(v) or v <= 0:
-            ll = -math.inf
-        else:
-            ll = -n / 2.0 * math.log(v) + (r["lam"] - 1.0) * r["s"]
-        out.setdefault(r["i"], []).append((r["lam"], ll))
+    aggs = []
+    for i, (c, grid) in enumerate(grids.items()):
+        aggs += [F.count(x[c]).alias(f"n{i}"), F.sum(F.signum(x[c]) * F.log1p(F.abs(x[c]))).alias(f"s{i}")]
+        aggs += [F.var_pop(yeo_johnson_expr(x[c], float(lam))).alias(f"v{i}_{k}") for k, lam in enumerate(grid)]
+    r = df.agg(*aggs).first()
+    out = {}
+    for i, (c, grid) in enumerate(grids.items()):
+        n, s = r[f"n{i}"], r[f"s{i}"]
+        out[c] = []
+        for k, lam in enumerate(grid):
+            v = r[f"v{i}_{k}"]
+            fits = v is not None and math.isfinite(v) and v > 0
+            out[c].append((lam, -n / 2.0 * math.log(v) + (lam - 1.0) * s if fits else -math.inf))
     return out
 
 
 def fit_yeo_johnson(df: DataFrame, cols, lo: float = -5.0, hi: float = 5.0,
-                    points: int = 41, tol: float = 1e-6) -> ColumnRules:
+                    points: int = 21, tol: float = 1e-6, widest: float = 1e4) -> ColumnRules:
+    """``lo`` and ``hi`` are where the search begins; it goes on outside as far as ``widest``."""
     cols = [c for c in cols if c in df.columns]
     lambdas: dict[str, float] = {}
     if not cols:
         return ColumnRules.of("yeo_johnson", {"lambdas": {}})
     from kiln.session import PassInput
-    parts = [F.struct(F.lit(i).alias("i"), qcol(c).cast("double").alias("x")) for i, c in enumerate(cols)]
-    with PassInput(df.select(F.explode(F.array(*parts)).alias("p")).select("p.*")
-                   .where(F.col("x").isNotNull() & ~F.isnan("x"))) as long:
-        lambdas.update(_search_lambdas(long, cols, lo, hi, points, tol))
+    finite = {c: F.when(F.abs(qcol(c).cast("double")) < float("inf"), qcol(c).cast("double")) for c in cols}
+    with PassInput(df.select(*[finite[c].alias(c) for c in cols])) as src:
+        lambdas.update(_search_lambdas(src, cols, lo, hi, points, tol, widest))
     return ColumnRules.of("yeo_johnson", {"lambdas": lambdas})
 
 
-def _search_lambdas(long: DataFrame, cols, lo, hi, points, tol) -> dict[str, float]:
-    lambdas: dict[str, float] = {}
-    # constant or empty columns: lambda 1 (identity-like); found by one small agg
-    spread = long.groupBy("i").agg((F.max("x") - F.min("x")).alias("r")).collect()
-    active = {r["i"] for r in spread if r["r"] is not None and r["r"] > 0}
-    for i, c in enumerate(cols):
-        if i not in active:
-            lambdas[c] = 1.0
-    step = (hi - lo) / (points - 1)
-    grids = {i: [lo + k * step for k in range(points)] for i in active}
-    best: dict[int, float] = {}
-    while grids:
-        res = _yj_pass(long, grids)
-        nxt = {}
-        for i, g in grids.items():
-            pts = sorted(res.get(i, []))
-            if not pts or all(ll == -math.inf for _l, ll in pts):
-                best[i] = 1.0
+def _search_lambdas(df: DataFrame, cols, lo, hi, points, tol, widest) -> dict[str, float]:
+    x = {c: qcol(c) for c in cols}
+    r = df.agg(*[(F.max(x[c]) - F.min(x[c])).alias(f"r{i}") for i, c in enumerate(cols)]).first()
+    # constant or empty columns: lambda 1 (identity-like)
+    lambdas = {c: 1.0 for i, c in enumerate(cols) if not r[f"r{i}"]}
+    brackets = {c: (lo, hi) for c in cols if c not in lambdas}
+    inside: set[str] = set()                       # columns whose maximum is bracketed
+    while brackets:
+        grids = {c: [a + (b - a) * k / (points - 1) for k in range(points)] for c, (a, b) in brackets.items()}
+        for c, pts in _yj_pass(df, x, grids).items():
+            a, b = brackets.pop(c)
+            step = (b - a) / (points - 1)
+            lam, ll = max(pts, key=lambda t: (t[1], -abs(t[0] - 1.0)))
+            lambdas[c] = lam if ll > -math.inf else 1.0
+            at = [p[0] for p in pts].index(lam)
+            if ll == -math.inf:
+                continue
+            if c not in inside and at in (0, points - 1) and abs(lam) < widest:
+                width = 2.0 * (b - a)
+                brackets[c] = (lam - width, lam + step) if at == 0 else (lam - step, lam + width)
                 continue
-            lam = max(pts, key=lambda t: (t[1], -abs(t[0] - 1.0)))[0]
-            best[i] = lam
+            inside.add(c)
             if step > tol:
-                nstep = 2.0 * step / (points - 1)
-                nxt[i] = [lam - step + k * nstep for k in range(points)]
-        step = 2.0 * step / (points - 1)
-        grids = nxt if step * (points - 1) / 2.0 > tol else {}
-    for i in active:
-        lambdas[cols[i]] = best[i]
+                brackets[c] = (lam - step, lam + step)
     return lambdas

@@ -42,7 +42,7 @@ def test_gaps_order_and_stationarity(spark):
     assert [(r["prev"], r["cur"], r["missing_steps"]) for r in g] == [(3, 7, 3), (8, 12, 3)]
     df = spark.createDataFrame([(1, 5.0), (2, 6.0), (3, 4.0)], "pos long, v double")
     assert not is_ordered(df, "v", "pos")
-    assert is_ordered(df, "pos", "v") is False or True
+    assert not is_ordered(df, "pos", "v")
     rng = np.random.default_rng(0)
     y = np.cumsum(rng.normal(size=200)) * 0.1 + rng.normal(size=200)
     sdf = spark.createDataFrame([(i, float(v)) for i, v in enumerate(y)], "t long, y double")
@@ -52,3 +52,44 @@ def test_gaps_order_and_stationarity(spark):
     resid = dy - (a + b * y0)
     se = np.sqrt(resid @ resid / (len(dy) - 2) / ((y0 - y0.mean()) @ (y0 - y0.mean())))
     assert np.isclose(r["slope"], b) and np.isclose(r["t_stat"], b / se)
+
+
+def test_null_keys_carry_like_any_key(spark):
+    rows = [(None if i % 2 else "a", i, float(i) if i % 5 == 0 else None) for i in range(40)]
+    df = spark.createDataFrame(rows, "k string, t long, v double")
+    got = {r["t"]: r["v"] for r in fill_forward(df, "t", "k", ["v"], buckets=8).collect()}
+    last, first = {}, {"a": 0.0, None: 5.0}
+    for k, t, v in rows:
+        last[k] = v if v is not None else last.get(k, first[k])
+        assert got[t] == last[k]
+
+
+def test_segments_hold_equal_shares_with_an_outlier(spark):
+    from kiln.operators.timeseries import _segment
+    rows = [(i, i % 3) for i in range(4000)] + [(10 ** 12, 0)]
+    counts = [r["count"] for r in _segment(spark.createDataFrame(rows, "t long, k long"), ["t"], ["k"], 16).groupBy("__b").count().collect()]
+    assert len(counts) == 16 and max(counts) <= 2 * sum(counts) / len(counts)
+
+
+def test_subsecond_gaps(spark):
+    import datetime
+    t0 = datetime.datetime(2024, 1, 1)
+    rows = [(t0 + datetime.timedelta(milliseconds=100 * i),) for i in range(100) if not 40 <= i < 61]
+    g = detect_gaps(spark.createDataFrame(rows, "t timestamp"), "t").collect()
+    assert [(round(r["delta"], 6), r["step"], r["missing_steps"]) for r in g] == [(2.2, 0.1, 21)]
+    assert [r["missing_steps"] for r in detect_gaps(spark.createDataFrame(rows, "t timestamp"), "t", step=0.1).collect()] == [21]
+
+
+def test_stationarity_uses_the_row_before(spark):
+    vals = [1.0, 2.0, None, 4.0, 3.0, 5.0, 4.5, None, 2.0, 2.5]
+    r = stationarity(spark.createDataFrame(list(enumerate(vals)), "t long, y double"), "t", "y", buckets=3).first()
+    pairs = [(a, b - a) for a, b in zip(vals, vals[1:]) if a is not None and b is not None]
+    assert r["n"] == len(pairs) and np.isclose(r["slope"], np.polyfit(*zip(*pairs), 1)[0])
+
+
+def test_string_order_and_default_columns(spark):
+    rows = [("2024-01-%02d" % d, float(d) if d % 3 else None) for d in range(1, 20)]
+    got = fill_forward(spark.createDataFrame(rows, "day string, v double"), "day", buckets=4).orderBy("day").collect()
+    assert [r["v"] for r in got][2:5] == [2.0, 4.0, 5.0]
+    df = spark.createDataFrame([(0, 0.0, "x"), (10, None, "y"), (20, 4.0, "z")], "t long, v double, s string")
+    assert [r["v"] for r in interpolate_linear(df, "t").orderBy("t").collect()] == [0.0, 2.0, 4.0]
