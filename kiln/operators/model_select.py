@@ -6,8 +6,12 @@
   rows by two independent random ranks (a uniform permutation within every
   bucket, computed by windows over bounded buckets and one equi-join).  No row
   is sampled or dropped.
-* predictive power score: a shallow decision tree per feature, 4 folds by a
-  hash of the row id (every row is in exactly one test fold).
+* predictive power score: a decision tree per feature (``max_depth`` is a
+  parameter), 4 folds by a hash of the row (every row is in exactly one fold).
+* Features of any type take part: numbers, booleans and times as numbers, text by
+  the rank of its level's frequency when it has at most ``MOST_LEVELS`` levels,
+  else by a hash to ``HASHED_LEVELS`` codes.  Labels of a classification are
+  indexed, whatever their values.
 * SULOV: mutual information from (bin, label) counts; of each pair with
   |r| > limit the lower-MI feature goes; then boosted-tree importances.
 * RFE: forest importances, drop the weakest until ``n`` remain.
@@ -32,6 +36,7 @@ from kiln.functions.stats import qcol, quantiles
 from kiln.session import materialize
 
 SEED = 42
+SUBSETS = 5
 
 
 def is_classification(df: DataFrame, target: str) -> bool:
@@ -41,21 +46,48 @@ def is_classification(df: DataFrame, target: str) -> bool:
     return df.agg(F.count_distinct(qcol(target)).alias("n")).first()["n"] < 20
 
 
+MOST_LEVELS = 256
+HASHED_LEVELS = 4096
+
+
+def encoded(df: DataFrame, features) -> DataFrame:
+    """``df`` with the features as doubles (nulls stay), by their type; see the module doc."""
+    kinds = {c: semantic_type(df.schema[c].dataType) for c in features}
+    text = [c for c in features if kinds[c] not in ("Numeric", "Boolean", "DateTime")]
+    out = {}
+    for c in features:
+        if kinds[c] == "DateTime":
+            out[c] = F.unix_micros(qcol(c).cast("timestamp")).cast("double")
+        elif c not in text:
+            out[c] = qcol(c).cast("double")
+    if text:
+        sizes = df.agg(*[F.approx_count_distinct(qcol(c).cast("string")).alias(str(i)) for i, c in enumerate(text)]).first()
+        for i, c in enumerate(text):
+            v = qcol(c).cast("string")
+            if sizes[str(i)] <= MOST_LEVELS:
+                levels = df.where(v.isNotNull()).groupBy(v.alias("v")).count().orderBy(F.desc("count"), "v").limit(2 * MOST_LEVELS)
+                names = [r["v"] for r in levels.collect()]
+                at = F.array_position(F.array(*[F.lit(x) for x in names]), v)
+                out[c] = F.when(v.isNotNull(), at.cast("double")) if names else F.lit(None).cast("double")
+            else:
+                out[c] = F.pmod(F.xxhash64(v), F.lit(HASHED_LEVELS)).cast("double") + F.when(v.isNotNull(), 0.0)
+    return df.withColumns(out) if out else df
+
+
 def _prepare(df: DataFrame, features, target: str, clf: bool) -> DataFrame:
-    """Median-filled features, numeric label, stable row id; checkpointed so
-    ids and randomness survive recomputation."""
-    med = quantiles(df, features, [0.5])
-    cols = [F.coalesce(qcol(c).cast("double"), F.lit(med[c][0] if med[c][0] is not None else 0.0)).alias(c)
-            for c in features]
+    """Median-filled numeric features, label, and a hash of the row as id; checkpointed."""
     src = df.where(qcol(target).isNotNull())
-    if semantic_type(df.schema[target].dataType) == "Numeric":
-        label = qcol(target).cast("double")
-    else:  # string labels -> indices (StringIndexer: one distributed count, k labels)
+    if clf:  # labels -> 0..k-1 (StringIndexer: one distributed count, k labels)
         from pyspark.ml.feature import StringIndexer
-        src = StringIndexer(inputCol=target, outputCol="__yi", stringOrderType="alphabetAsc").fit(src).transform(src)
-        label = F.col("__yi")
-    base = src.select(*cols, label.alias("__y")).withColumn("__rid", F.monotonically_increasing_id())
-    return materialize(base)
+        src = src.withColumn("__yt", qcol(target).cast("string"))
+        src = StringIndexer(inputCol="__yt", outputCol="__y", stringOrderType="alphabetAsc").fit(src).transform(src)
+    else:
+        src = src.withColumn("__y", qcol(target).cast("double"))
+    src = src.withColumn("__rid", F.xxhash64(*[qcol(c) for c in df.columns]))
+    src = encoded(src, features)
+    med = quantiles(src, features, [0.5])
+    cols = [F.coalesce(qcol(c), F.lit(med[c][0] if med[c][0] is not None else 0.0)).alias(c) for c in features]
+    return materialize(src.select(*cols, "__y", "__rid"))
 
 
 def _forest(clf: bool, trees: int, seed: int = SEED):
@@ -179,12 +211,14 @@ def mutual_information(df: DataFrame, features, target: str, bins: int = 10) ->
 def sulov_select(df: DataFrame, features, target: str, limit: float = 0.70, trees: int = 20,
                  seed: int = SEED) -> tuple[list[str], list[tuple[str, float]]]:
     """SEL-07: SULOV (drop the lower-MI feature of each |r| > limit pair), then
-    keep features with non-zero boosted-tree importance (forest when the
-    classifier is not binary).  Returns (selected, [(feature, mi)])."""
+    boosted trees on ``SUBSETS`` ever shorter tails of the list; a feature with
+    importance in any of them stays (forest when the classifier is not binary).  Returns (selected, [(feature, mi)])."""
     from kiln.operators.select import correlation_matrix
     features = list(features)
-    mi = dict(mutual_information(df, features, target))
-    m = correlation_matrix(df, features)
+    clf = is_classification(df, target)
+    as_numbers = encoded(df.withColumn("__t", qcol(target)), features)
+    mi = dict(mutual_information(as_numbers, features, "__t"))
+    m = correlation_matrix(as_numbers, features)
     dropped = set()
     for i, j in combinations(range(len(features)), 2):
         if abs(m[i, j]) > limit:
@@ -192,18 +226,21 @@ def sulov_select(df: DataFrame, features, target: str, limit: float = 0.70, tree
             dropped.add(a if mi[a] < mi[b] else b)
     keep = [c for c in features if c not in dropped]
     if len(keep) > 1:
-        clf = is_classification(df, target)
         base = _prepare(df, keep, target, clf)
-        asm = VectorAssembler(inputCols=keep, outputCol="__x").transform(base)
         n_classes = base.select("__y").distinct().count() if clf else 0
-        if clf and n_classes > 2:
-            est = RandomForestClassifier(numTrees=trees, seed=seed, labelCol="__y", featuresCol="__x")
-        elif clf:
-            est = GBTClassifier(maxIter=trees, seed=seed, labelCol="__y", featuresCol="__x")
-        else:
-            est = GBTRegressor(maxIter=trees, seed=seed, labelCol="__y", featuresCol="__x")
-        imp = est.fit(asm).featureImportances.toArray()
-        keep = [c for c, v in zip(keep, imp) if v > 0] or keep[:1]
+        found = set()
+        for at in range(0, len(keep), max(1, -(-len(keep) // SUBSETS))):  # ever shorter tails of the list
+            part = keep[at:]
+            asm = VectorAssembler(inputCols=part, outputCol="__x").transform(base)
+            if clf and n_classes > 2:
+                est = RandomForestClassifier(numTrees=trees, seed=seed, labelCol="__y", featuresCol="__x")
+            elif clf:
+                est = GBTClassifier(maxIter=trees, seed=seed, labelCol="__y", featuresCol="__x")
+            else:
+                est = GBTRegressor(maxIter=trees, seed=seed, labelCol="__y", featuresCol="__x")
+            imp = est.fit(asm).featureImportances.toArray()
+            found |= {c for c, v in zip(part, imp) if v > 0}
+        keep = [c for c in keep if c in found] or keep[:1]
     return keep, sorted(mi.items(), key=lambda t: -t[1])
 
 

@@ -16,7 +16,9 @@ pass serves all models at once:
   ``groupBy(model, cluster, dim).sum`` returns the new centres (models x k x d
   rows).  Converged models drop out of later passes.
 
-Inputs are row ids + vectors, checkpointed once so ids and hashes are stable.
+Inputs are vectors less the column means (so distances keep their digits on large
+offsets) with a hash of the vector as row id, checkpointed once: seeds depend on
+the data alone, not on its partitions; equal points count once in the seeding.
 """
 
 from __future__ import annotations
@@ -41,27 +43,21 @@ except Exception:  # noqa: BLE001 - older cloudpickle: ship kiln with --py-files
     pass
 
 EXP_SALT = 0x5bd1e995
-DRIVER_REDUCE_ROWS = 200_000  # partial results up to this size are summed on the driver
-ROWS_PER_TASK = 50_000
 
 
-def _points(vec: DataFrame, features: str) -> tuple[DataFrame, int]:
-    """(rid, x0..x{d-1}) as plain double columns (cheap Arrow batches),
-    checkpointed so row ids are stable for every pass."""
+def _points(vec: DataFrame, features: str) -> tuple[DataFrame, int, np.ndarray]:
+    """(rid, x0..x{d-1}) as plain double columns (cheap Arrow batches), and the means they are less."""
     first = vec.select(features).first()
-    d = len(first[features]) if first is not None else 0
+    if first is None:
+        raise ValueError("k-means needs at least one row")
+    d = len(first[features])
     arr = vector_to_array(F.col(features))
-    pts = vec.select(*[arr[j].alias(f"x{j}") for j in range(d)]) \
-        .withColumn("rid", F.monotonically_increasing_id())
-    from pyspark import StorageLevel
-    pts = materialize(pts)
-    # every pass pays per-task overhead: keep ~ROWS_PER_TASK rows per task (large
-    # inputs keep their partitioning; coalesce moves no data across the network)
-    n = pts.count()
-    want = max(1, -(-n // ROWS_PER_TASK))
-    if want < pts.rdd.getNumPartitions():
-        pts = pts.coalesce(want)
-    return pts.persist(StorageLevel.MEMORY_AND_DISK), d
+    raw = vec.select(*[arr[j].alias(f"x{j}") for j in range(d)])
+    row = raw.agg(*[F.avg(f"x{j}").alias(f"m{j}") for j in range(d)]).first()
+    means = np.array([row[f"m{j}"] for j in range(d)], float)
+    pts = raw.select(*[(F.col(f"x{j}") - F.lit(float(means[j]))).alias(f"x{j}") for j in range(d)],
+                     F.xxhash64(*[f"x{j}" for j in range(d)]).alias("rid"))
+    return materialize(pts), d, means
 
 
 def _xs(pdf: pd.DataFrame, d: int) -> np.ndarray:
@@ -105,7 +101,7 @@ def _seed_pass(pts: DataFrame, centres: dict[int, np.ndarray], need: list[int],
             if pdf.empty:
                 continue
             x = _xs(pdf, d)
-            rid = pdf["rid"].to_numpy().astype(np.uint64)
+            rid = pdf["rid"].to_numpy().astype(np.int64).view(np.uint64)
             if have_:
                 dist = _sq_dist(x, stacked)
             rows = []
@@ -124,14 +120,6 @@ def _seed_pass(pts: DataFrame, centres: dict[int, np.ndarray], need: list[int],
                 yield pd.DataFrame(rows, columns=["m", "key", "x"])
 
     partial = pts.mapInPandas(run, "m int, key double, x array<double>")
-    if pts.rdd.getNumPartitions() * len(need) <= DRIVER_REDUCE_ROWS:
-        rows = partial.collect()  # one row per (partition, model): bounded, reduce here
-        best: dict[int, tuple] = {}
-        for r in rows:
-            if r["m"] not in best or r["key"] < best[r["m"]][0]:
-                best[r["m"]] = (r["key"], r["x"])
-        bc.unpersist()
-        return {m: x for m, (_k, x) in best.items()}
     got = partial.groupBy("m").agg(F.min_by("x", "key").alias("x")).collect()
     bc.unpersist()
     return {r["m"]: r["x"] for r in got}
@@ -171,12 +159,8 @@ def _lloyd_pass(pts: DataFrame, centres: dict[int, np.ndarray], d: int):
         yield pd.DataFrame(out, columns=["m", "c", "j", "v"])
 
     partial = pts.mapInPandas(run, "m int, c int, j int, v double")
-    width = sum(len(c) * (d + 1) + 1 for c in centres.values())
-    if pts.rdd.getNumPartitions() * width <= DRIVER_REDUCE_ROWS:
-        # few, small partial results: fetch them (Arrow) and sum here
-        agg = partial.toPandas().groupby(["m", "c", "j"], as_index=False)["v"].sum()
-    else:  # distributed reduce; the result is models x k x d rows whatever the data size
-        agg = partial.groupBy("m", "c", "j").agg(F.sum("v").alias("v")).toPandas()
+    # the result is models x k x d rows whatever the data size
+    agg = partial.groupBy("m", "c", "j").agg(F.sum("v").alias("v")).toPandas()
     bc.unpersist()
     return agg
 
@@ -185,7 +169,7 @@ def multi_kmeans(vec: DataFrame, configs: list[tuple[int, int]], features: str =
                  max_iter: int = 300, tol: float = 1e-4) -> dict[tuple[int, int], tuple[np.ndarray, float]]:
     """Fit k-means for every (k, seed) in ``configs`` together.
     Returns {(k, seed): (centres, inertia)}."""
-    pts, d = _points(vec, features)
+    pts, d, means = _points(vec, features)
     vr = pts.agg(*[F.var_pop(f"x{j}").alias(f"v{j}") for j in range(d)]).first()
     var = np.array([vr[f"v{j}"] or 0.0 for j in range(d)])
     thr = tol * float(var.mean()) if len(var) else 0.0
@@ -227,8 +211,7 @@ def multi_kmeans(vec: DataFrame, configs: list[tuple[int, int]], features: str =
     agg = _lloyd_pass(pts, centres, d)
     for m in models:
         inertia[m] = float(agg[(agg["m"] == m) & (agg["c"] == -1)]["v"].sum())
-    pts.unpersist()
-    return {models[m]: (centres[m], inertia[m]) for m in models}
+    return {models[m]: (centres[m] + means, inertia[m]) for m in models}
 
 
 # ---------------------------------------------------------------- fitted model

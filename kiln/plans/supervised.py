@@ -37,7 +37,7 @@ def audit(df: DataFrame, target: str, with_pps: bool = True) -> dict:
     weak, strong = [], None
     if with_pps:
         from kiln.operators.model_select import predictive_power
-        feats = [c for c in select_types(df, ("Numeric",)) if c != target and c not in ids]
+        feats = [c for c in select_types(df, ("Numeric", "Boolean", "DateTime", "Text")) if c != target and c not in ids]
         pps = predictive_power(df, feats, target) if feats else []
         weak = [c for c, v in pps if v < th["pps_threshold"]]
         strong = len([c for c, v in pps if v > 0.1])
@@ -73,8 +73,9 @@ def clean(df: DataFrame, target: str, plan: dict, order_by: str | None = None,
         if len(final_num) >= 2:
             keep = corr_filter(out, final_num, GREEDY_CORR, greedy=True, order=GREEDY_ORDER)
             out = drop_columns(out, [c for c in final_num if c not in keep])
-    if final_cat:
-        out = fit_impute(out, final_cat, "constant", "Missing").transform(out)
+    final_text = [c for c in final_cat if out.schema[c].dataType.simpleString() == "string"]
+    if final_text:  # other types have no room for a word: their nulls stay
+        out = fit_impute(out, final_text, "constant", "Missing").transform(out)
     ids = [c for c in plan.get("id_cols", []) if c in out.columns]
     hidden = ["__order"] if order_by else []
     out = dedup_signal(out, ids + hidden, hidden[0] if hidden else (ids[0] if ids else None))
@@ -131,20 +132,25 @@ def gold_features(silver: DataFrame, plan: dict, order_by: str | None = None) ->
 
 def plan_gold_supervised(silver: DataFrame, target: str, max_features: int = 30,
                          order_by: str | None = None) -> dict:
-    """Gold audit: id-named columns out, SULOV + boosted trees (fallback: top
-    correlated), then RFE to at most ``max_features``."""
-    from kiln.functions.names import resolve_column
+    """Gold audit over columns of every type: names trimmed, id-named columns out, SULOV
+    + boosted trees, then RFE to at most ``max_features``.  With fewer than two labels
+    the most correlated columns stand in."""
+    from kiln.functions.names import resolve_column, strip_names
     from kiln.operators.model_select import rfe, sulov_select
     from kiln.operators.select import top_correlated
     from kiln.plans.rules import problem_type
+    silver = strip_names(silver)
     target = resolve_column(silver, target)
     ids = [c for c in columns_like(silver, "id") if c != target]
     clean = drop_columns(silver, ids)
-    nums = [c for c in select_types(clean, ("Numeric",)) if c != target]
-    try:
-        selected, _mi = sulov_select(clean, nums, target)
-    except Exception:  # noqa: BLE001 - documented fallback, as the reference
-        selected = [c for c, _ in top_correlated(clean, target, nums, max_features)]
+    feats = [c for c in select_types(clean, ("Numeric", "Boolean", "DateTime", "Text")) if c != target]
+    labels = clean.where(qcol(target).isNotNull()).select(target).distinct().limit(2).count()
+    if labels < 2:  # nothing to tell apart: no model can be fitted
+        nums = [c for c in select_types(clean, ("Numeric",)) if c != target]
+        ranked = top_correlated(clean, target, nums, max_features) if target in select_types(clean, ("Numeric",)) else []
+        selected = [c for c, _ in ranked] or feats[:max_features]
+    else:
+        selected, _mi = sulov_select(clean, feats, target)
     if len(selected) > 1:
         selected = rfe(clean, selected, target, n=min(max_features, len(selected)))
     return {"selected_features": selected, "base_columns": [c for c in clean.columns if c != target],

@@ -30,7 +30,10 @@ def _infer(df: DataFrame) -> DataFrame:
         x = qcol(c)
         aggs.append(F.count(x).alias(f"n{i}"))
         for t in TYPE_ORDER:
-            cast = x.try_cast(t) if t != "timestamp_ntz" else F.try_to_timestamp(x).cast("timestamp_ntz")
+            if t == "boolean":      # only the words; Y, N, yes and no are text
+                cast = F.when(F.lower(x).isin("true", "false"), True)
+            else:
+                cast = x.try_cast(t) if t != "timestamp_ntz" else F.try_to_timestamp(x).cast("timestamp_ntz")
             aggs.append(F.count(cast).alias(f"{t}{i}"))
     r = df.agg(*aggs).first()
     out = []
@@ -47,12 +50,15 @@ def _infer(df: DataFrame) -> DataFrame:
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "csv", encoding: str = "UTF-8",
-               na_values=None, schema=None, infer: bool = True) -> DataFrame:
-    """SRC-01: header CSV (latin1 via encoding="ISO-8859-1") or parquet/json/orc."""
+               na_values=None, schema=None, infer: bool = True, multi_line: bool = True) -> DataFrame:
+    """SRC-01: header CSV (latin1 via encoding="ISO-8859-1") or parquet/json/orc.
+
+    ``multi_line`` allows line ends inside quotes; then a file is one task's work.
+    Turn it off for large files without such records, which Spark then splits."""
     if fmt != "csv":
         df = spark.read.format(fmt).load(path) if schema is None else spark.read.schema(schema).format(fmt).load(path)
         return nan_to_null(df)
-    reader = spark.read.option("header", True).option("encoding", encoding).option("multiLine", False)
+    reader = spark.read.option("header", True).option("encoding", encoding).option("multiLine", multi_line).option("escape", '"')
     if schema is not None:
         return nan_to_null(reader.schema(schema).csv(path))
     raw = reader.option("inferSchema", False).csv(path)

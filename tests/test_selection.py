@@ -33,3 +33,18 @@ def test_vif_drops_the_collinear_column(spark):
     dropped, kept = vif_filter(df, ["a", "b", "c", "d"], 10.0)
     assert len(dropped) >= 1 and all(v <= 10.0 for _c, v in kept)
     assert top_correlated(df, "a", ["a", "b", "c", "d"], n=1)[0][0] == "b"
+
+
+def test_correlation_in_one_gram_pass_with_nulls_and_constants(spark):
+    import numpy as np
+    import pandas as pd
+    from kiln.operators.select import correlation_matrix
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(300, 12)) @ rng.normal(size=(12, 12)) + 1e6
+    x[:, 11] = 3.0
+    x[rng.random(x.shape) < 0.1] = np.nan
+    names = [f"c{i}" for i in range(12)]
+    rows = [tuple(None if np.isnan(v) else float(v) for v in r) for r in x]
+    got = correlation_matrix(spark.createDataFrame(rows, ", ".join(f"{c} double" for c in names)).repartition(3), names)
+    want = pd.DataFrame(x, columns=names).corr().to_numpy()
+    assert np.allclose(got[:11, :11], want[:11, :11], atol=1e-8) and np.isnan(got[11, :11]).all()
