@@ -32,8 +32,9 @@ from kiln.llm.common import query, table, written
 from kiln.llm.words import WHITE, Words, mix
 
 DEPTH = 5
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 24 << 20
 PACK_BYTES = 16 << 20        # of texts that a task gathers before it packs them by block
+SLICE_BYTES = 1 << 20
 END = 0xFF                                    # no byte of UTF-8
 END_WORD = np.uint64(0x9FB21C651E98DF25)
 WORDS, STRINGS, TEXTS = 0, 1, 2
@@ -127,7 +128,7 @@ class Block:
 
     def add(self, rows) -> None:
         train = (~rows.column("held_out").to_numpy(zero_copy_only=False)).astype(np.int64)
-        for part in self.words.slices(rows.column("text")):
+        for part in self.words.slices(rows.column("text"), SLICE_BYTES):
             learn = train[part.at: part.at + len(part)]
             self.found[WORDS].append(summed(np.append(part.hashes, END_WORD), np.append(learn[part.text_of()], learn.sum())))
             text, code = strings(part, self.depth)
@@ -136,6 +137,7 @@ class Block:
             first = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
             self.found[STRINGS].append((code[first], np.add.reduceat(learned, first)))
             if self.keep:
+                part.starts = part.ends = None                       # hashes and bytes are enough
                 self.parts.append((rows.slice(part.at, len(part)), part))
 
     def distinct(self, kind: int):
