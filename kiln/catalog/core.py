@@ -274,7 +274,8 @@ def null_cells_q(spark, d):
     e = table(spark, d, "events").select(
         F.when(F.col("event_id") % 4 == 0, F.lit(None)).otherwise(F.col("value")).alias("v"),
         F.when(F.col("event_id") % 6 == 0, F.lit(None)).otherwise(F.col("event_type")).alias("t"))
-    return e.agg((F.count_if(F.col("v").isNull()) + F.count_if(F.col("t").isNull())).cast("long").alias("null_cells"))
+    from kiln.operators.impute import null_cells
+    return spark.createDataFrame([(null_cells(e),)], "null_cells bigint")
 
 
 # ====================================================================== encoding
@@ -872,9 +873,16 @@ def problem_type_q(spark, d):
 @query("cluster_means", f"""SELECT cluster::BIGINT AS cluster, feature, round(avg(x), 6) AS mean FROM {EMB_LONG_SQL} GROUP BY 1, 2""")
 def cluster_means_q(spark, d):
     """AGG-01 / CLU-08: raw (unscaled) mean of every dimension per label, long form."""
+    from kiln.operators.aggregate import cluster_means
     from kiln.operators.cluster import long_features
-    lf = long_features(table(spark, d, "embeddings"), ["embedding"], cluster="label")
-    return rounded(lf.groupBy("cluster", "feature").agg(F.avg("x").alias("mean")))
+    emb = table(spark, d, "embeddings")
+    names = [r["feature"] for r in long_features(emb.limit(1), ["embedding"], cluster="label").select("feature").distinct().collect()]
+    size = len(names)
+    wide = emb.select("label", *[F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(size)])
+    means = cluster_means(wide, "label", [f"x{i}" for i in range(size)])
+    order = sorted(names, key=lambda f: int("".join(ch for ch in str(f) if ch.isdigit()) or 0))
+    pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"x{i}").alias("mean")) for i, f in enumerate(order)]))
+    return rounded(means.select(F.col("label").alias("cluster"), pairs.alias("p")).select("cluster", "p.feature", "p.mean"))
 
 
 @query("complete_rows", f"SELECT event_id, user_id, round(value, 6) AS value FROM {EV_NULL_SQL} WHERE value IS NOT NULL")

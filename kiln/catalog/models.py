@@ -100,11 +100,10 @@ FROM s"""
 @query("silhouette", SILHOUETTE_SQL)
 def silhouette_q(spark, d):
     """CLU-09: silhouette of the fixed labels (squared Euclidean, Spark's O(n k) form)."""
-    from kiln.operators.cluster import assemble
-    from pyspark.ml.evaluation import ClusteringEvaluator
-    vec = assemble(table(spark, d, "embeddings"), ["embedding"])
-    s = ClusteringEvaluator(predictionCol="label", featuresCol="features").evaluate(vec)
-    return rounded(vec.agg(F.count_distinct("label").cast("long").alias("k")).select(
+    from kiln.operators.cluster import silhouette
+    emb = table(spark, d, "embeddings")
+    s = silhouette(emb, ["embedding"], cluster="label")
+    return rounded(emb.agg(F.count_distinct("label").cast("long").alias("k")).select(
         "k", F.lit(s).alias("silhouette")))
 
 

@@ -14,7 +14,7 @@ import json
 from collections.abc import Callable
 
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Transformer
+from pyspark.ml import Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
@@ -58,15 +58,4 @@ class ColumnRules(Transformer, DefaultParamsReadable, DefaultParamsWritable):
 
 def _ensure_loaded():
     # rule families register on import
-    from kiln.operators import encode, impute, outliers, scale, transform  # noqa: F401
-
-
-class SimpleEstimator(Estimator):
-    """Estimator whose fit is a plain Python function returning ColumnRules."""
-
-    def __init__(self, fit_fn: Callable[[DataFrame], ColumnRules]):
-        super().__init__()
-        self._fit_fn = fit_fn
-
-    def _fit(self, df: DataFrame) -> ColumnRules:
-        return self._fit_fn(df)
+    from kiln.operators import cluster, encode, features, impute, multikmeans, outliers, scale, transform  # noqa: F401

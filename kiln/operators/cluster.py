@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kiln.functions.stats import qcol
+from kiln.operators.base import ColumnRules, register
 from kiln.operators.features import trait
 
 K_RANGE = range(2, 11)   # fixed value: the reference sweeps k = 2..10
@@ -263,31 +264,40 @@ def silhouette(labeled: DataFrame, cols, cluster: str = "cluster", metric: str =
 
 
 # ---------------------------------------------------------------- PCA
-def pca(df: DataFrame, cols, retain: float = 0.95, keep=(), components: int | None = None):
-    """DIM-01: centre, fit PCA on all dims, keep the fewest components whose
-    cumulative explained-variance ratio exceeds ``retain``; columns PC1..PCm;
-    each component's largest-magnitude loading made positive.  ``keep``
-    columns are carried through.  Returns (DataFrame, explained ratios)."""
+@register("pca")
+def _apply_pca(spec: dict, df: DataFrame) -> DataFrame:
+    cols, mean = spec["cols"], spec["mean"]
+    x = qcol(cols[0]).cast("array<double>") if spec["array"] else F.array(*[qcol(c).cast("double") for c in cols])
+    out = {}
+    for i, w in enumerate(spec["components"]):
+        shift = sum(a * b for a, b in zip(w, mean))
+        out[f"PC{i + 1}"] = F.aggregate(F.zip_with(x, F.lit(w), lambda a, b: a * b), F.lit(-float(shift)), lambda acc, y: acc + y)
+    return df.withColumns(out)
+
+
+def fit_pca(df: DataFrame, cols, retain: float = 0.95, components: int | None = None):
+    """DIM-01 as a fitted step (columns PC1..PCm): centre, fit PCA on all dims, keep the
+    fewest components whose cumulative explained-variance ratio exceeds ``retain``;
+    each component's largest-magnitude loading made positive.  Returns (step, ratios)."""
     cols = list(cols)
-    vec = assemble(df, cols, "__raw")
-    d = len(cols) if not (len(cols) == 1 and dict(df.dtypes)[cols[0]].startswith("array")) \
-        else len(vec.select("__raw").first()["__raw"])
+    is_array = len(cols) == 1 and dict(df.dtypes)[cols[0]].startswith("array")
+    vec = assemble(df, cols, "__raw").select("__raw")
+    d = len(vec.first()["__raw"]) if is_array else len(cols)
     mean = np.array(vec.select(vector_to_array("__raw").alias("a")).agg(
         F.array(*[F.avg(F.col("a")[i]) for i in range(d)]).alias("m")).first()["m"], dtype=float)
     centred = vec.withColumn("__c", array_to_vector(F.transform(vector_to_array("__raw"),
                                                                  lambda x, i: x - F.lit(mean.tolist())[i])))
     model = PCA(k=d, inputCol="__c", outputCol="__pc").fit(centred)
     ratios = np.array(model.explainedVariance.toArray())
-    if components is None:
-        m = int(np.searchsorted(np.cumsum(ratios), retain, side="right") + 1)
-        m = min(m, d)
-    else:
-        m = components
+    m = components if components is not None else min(d, int(np.searchsorted(np.cumsum(ratios), retain, side="right") + 1))
     pcs = model.pc.toArray()[:, :m]
     signs = np.sign(pcs[np.argmax(np.abs(pcs), axis=0), range(m)])
     signs[signs == 0] = 1.0
-    arr = vector_to_array("__pc")
-    out = model.transform(centred).select(*[qcol(c) for c in keep],
-                                          *[(arr[i] * F.lit(float(signs[i]))).alias(f"PC{i + 1}")
-                                            for i in range(m)])
-    return out, ratios[:m].tolist()
+    step = ColumnRules.of("pca", {"cols": cols, "array": is_array, "mean": mean.tolist(), "components": (pcs * signs).T.tolist()})
+    return step, ratios[:m].tolist()
+
+
+def pca(df: DataFrame, cols, retain: float = 0.95, keep=(), components: int | None = None):
+    """DIM-01: the components and ``keep`` columns of :func:`fit_pca`, and the explained ratios."""
+    step, ratios = fit_pca(df, cols, retain, components)
+    return step.transform(df).select(*[qcol(c) for c in keep], *[f"PC{i + 1}" for i in range(len(ratios))]), ratios

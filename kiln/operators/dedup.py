@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 
 from kiln.functions.stats import qcol
 
-BROADCAST_KEYS = 1_000_000
-
 
 def dedup_signal(df: DataFrame, id_cols=(), order_by=None) -> DataFrame:
     """Drop rows whose signal columns (all but ``id_cols``) repeat an earlier
@@ -38,19 +36,15 @@ def drop_conflicting_labels(df: DataFrame, target: str, keys=None) -> DataFrame:
     Conflicting tuples: ``groupBy(keys)`` with ``min(target) <> max(target)``
     (partial aggregate).  They are removed with a left-anti join on plain
     equality, so a tuple with a null never matches and always survives (the
-    reference's groupby drops null keys).  The key set is broadcast only after
-    counting it; otherwise a shuffle join whose hot keys AQE splits.
+    reference's groupby drops null keys).  Spark picks the join by the key set's
+    size; AQE splits hot keys of a shuffle join.
     """
     keys = list(keys) if keys else [c for c in df.columns if c != target]
     bad = (df.groupBy(*[qcol(k).alias(k) for k in keys])
            .agg(F.min(qcol(target)).alias("__lo"), F.max(qcol(target)).alias("__hi"))
            .where(F.col("__lo") != F.col("__hi")).select(*[qcol(k).alias(f"__b{i}") for i, k in enumerate(keys)]))
-    n_bad = bad.count()
-    if n_bad == 0:
-        return df
-    right = F.broadcast(bad) if n_bad <= BROADCAST_KEYS else bad
     cond = [qcol(k) == F.col(f"__b{i}") for i, k in enumerate(keys)]
-    return df.join(right, cond, "left_anti")
+    return df.join(bad, cond, "left_anti")
 
 
 def complete_rows(df: DataFrame, cols=None) -> DataFrame:

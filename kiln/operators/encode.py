@@ -100,30 +100,25 @@ def fit_one_hot(df: DataFrame, cols, levels: dict | None = None,
 
 
 # ---------------------------------------------------------------- factorize
-BROADCAST_LEVELS = 1_000_000
-LEVELS_PER_TASK = 1_000_000
+LEVELS_PER_TASK = 100_000
 
 
-def _dense_codes(firsts: DataFrame, n_levels: int) -> DataFrame:
+def _dense_codes(firsts: DataFrame) -> DataFrame:
     """(level, code) with code = rank of (first, level) from 0.
 
-    Up to BROADCAST_LEVELS levels: one small window (a single task over the
-    level table).  Beyond: a distributed rank -- range-sort the levels, count
-    rows per partition (one row each), turn the counts into offsets with a
-    window over that tiny table, add the within-partition row number.  The
-    sorted table is checkpointed first so the range bounds are computed once.
+    A distributed rank: range-sort the levels, count rows per partition (one row
+    each), turn the counts into offsets with a window over that tiny table, add the
+    within-partition row number.  The sorted table is checkpointed first so the
+    range bounds are computed once.
     """
-    if n_levels <= BROADCAST_LEVELS:
-        return firsts.select("__lvl", (F.dense_rank().over(Window.orderBy("__first", "__lvl")) - 1)
-                             .alias("__code"))
     from kiln.session import materialize
-    parts = max(1, -(-n_levels // LEVELS_PER_TASK))
+    parts = max(1, -(-firsts.count() // LEVELS_PER_TASK))
     ranked = materialize(firsts.repartitionByRange(parts, "__first", "__lvl")
                          .withColumn("__pid", F.spark_partition_id()))
     offsets = ranked.groupBy("__pid").count().select(
         "__pid", (F.sum("count").over(Window.orderBy("__pid")) - F.col("count")).alias("__off"))
     local = F.row_number().over(Window.partitionBy("__pid").orderBy("__first", "__lvl")) - 1
-    return (ranked.withColumn("__local", local).join(F.broadcast(offsets), "__pid")
+    return (ranked.withColumn("__local", local).join(offsets, "__pid")
             .select("__lvl", (F.col("__off") + F.col("__local")).alias("__code")))
 
 
@@ -131,17 +126,13 @@ def factorize(df: DataFrame, cols, order_by: str, suffix: str = "") -> DataFrame
     """Code levels by first appearance in ``order_by`` order, null -> -1 (ENC-03).
 
     Per column: level -> min(order_by) (partial aggregate), rank of those
-    minima (:func:`_dense_codes`), joined back.  The code table is broadcast
-    only when its counted size is under BROADCAST_LEVELS; otherwise a shuffle
-    join (AQE splits skew).
+    minima (:func:`_dense_codes`), joined back; Spark picks the join.
     """
     out = df
     for c in cols:
         firsts = (df.where(qcol(c).isNotNull()).groupBy(qcol(c).alias("__lvl"))
                   .agg(F.min(qcol(order_by)).alias("__first")))
-        n_levels = firsts.count()
-        codes = _dense_codes(firsts, n_levels)
-        right = F.broadcast(codes) if n_levels <= BROADCAST_LEVELS else codes
+        right = _dense_codes(firsts)
         name = f"{c}{suffix}"
         out = (out.join(right, qcol(c) == F.col("__lvl"), "left")
                .withColumn(name, F.coalesce(F.col("__code"), F.lit(-1)).cast("long"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kiln.functions.stats import qcol, quantiles
+from kiln.operators.base import ColumnRules, register
 
 # Fixed values of the reference's feature rules.
 RATIO_EPS = 1e-6          # interaction ratio: c1 / (c2 + 1e-6)
@@ -46,26 +47,44 @@ def interaction_expr(spec: dict) -> Column:
     raise ValueError(f"interaction {spec.get('name')}: unknown logic {spec['logic']!r}")
 
 
+@register("interactions")
+def _apply_interactions(spec: dict, df: DataFrame) -> DataFrame:
+    for one in spec["specs"]:
+        if all(c in df.columns for c in one["pair"]):
+            cap, name = one.get("cap"), one["name"]
+            df = df.withColumn(name, interaction_expr(one))
+            if cap is not None:
+                df = df.withColumn(name, F.when(qcol(name) > F.lit(cap), F.lit(cap)).otherwise(qcol(name)))
+    return df
+
+
 def build_interactions(df: DataFrame, specs: list[dict], clip: bool = True) -> DataFrame:
-    """FE-03: apply specs in order (later pairs may use earlier results).
+    """FE-03: the table with its interactions, see :func:`fit_interactions`."""
+    return fit_interactions(df, specs, clip).transform(df)
+
+
+def fit_interactions(df: DataFrame, specs: list[dict], clip: bool = True) -> ColumnRules:
+    """FE-03 as a fitted step: specs in order (later pairs may use earlier results) with their caps.
 
     A spec whose columns are absent at its turn is skipped.  Each result is
     capped at its ``outlier_clipping_percentile`` (default 99) unless ``clip``
-    is False.  Consecutive independent specs form one level: one projection
-    plus one quantile job for all their caps.
+    is False.  Consecutive independent specs form one level: one quantile job
+    for all their caps.
     """
+    fitted: list[dict] = []
+
     def flush(df, level):
         if not level:
             return df
-        df = df.withColumns({s["name"]: interaction_expr(s) for s in level})
+        caps = {}
         if clip:  # one quantile job for the whole level (every column's own percentile)
+            built = df.withColumns({s["name"]: interaction_expr(s) for s in level})
             pct = {s["name"]: s.get("outlier_clipping_percentile", DEFAULT_CLIP_PCT) / 100.0 for s in level}
             probs = sorted(set(pct.values()))
-            q = quantiles(df, list(pct), probs)
+            q = quantiles(built, list(pct), probs)
             caps = {c: q[c][probs.index(p)] for c, p in pct.items()}
-            df = df.withColumns({c: F.when(qcol(c) > F.lit(v), F.lit(v)).otherwise(qcol(c))
-                                 for c, v in caps.items() if v is not None})
-        return df
+        fitted.extend({**s, "cap": caps.get(s["name"])} for s in level)
+        return _apply_interactions({"specs": fitted[-len(level):]}, df)
 
     level: list[dict] = []
     for s in specs:
@@ -77,7 +96,8 @@ def build_interactions(df: DataFrame, specs: list[dict], clip: bool = True) -> D
         have = set(df.columns) | {t["name"] for t in level}
         if a in have and b in have:
             level.append(s)
-    return flush(df, level)
+    flush(df, level)
+    return ColumnRules.of("interactions", {"specs": fitted})
 
 
 def pairwise(df: DataFrame, cols, minus: bool = True, ratio: bool = True) -> DataFrame:

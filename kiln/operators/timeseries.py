@@ -206,10 +206,11 @@ def ordered_check(df: DataFrame, order_by: str, position: str, partition_by=None
         .withColumn("is_sorted", F.col("n_inversions") == 0)
 
 
-def is_ordered(df: DataFrame, order_by, position: str | None = None, partition_by=None) -> bool:
-    """WIN-03: True when no row follows a larger ``order_by`` value in ``position`` order."""
+def is_ordered(df: DataFrame, order_by, position: str | None = None, partition_by=None) -> bool | None:
+    """WIN-03: True when no row follows a larger ``order_by`` value in ``position`` order;
+    None without a position, as rows then have no order."""
     if position is None:
-        return True
+        return None
     return bool(ordered_check(df, order_by, position, partition_by).first()["is_sorted"])
 
 

@@ -94,13 +94,14 @@ def fit_gold(silver: DataFrame, plan: dict, clip: bool = True, scaler: str | Non
     interactions, the entity key excluded and carried through unscaled.
     Returns (gold DataFrame, fitted PipelineModel, feature list)."""
     from kiln.functions.names import select_types
-    from kiln.operators.cluster import pca
-    from kiln.operators.features import build_interactions
+    from kiln.operators.cluster import fit_pca
+    from kiln.operators.features import fit_interactions
     from kiln.operators.scale import fit_power_transform
     from kiln.operators.select import corr_filter, variance_filter
     key = plan.get("subject_id")
     inter = plan.get("priority_interactions", []) or []
-    df = silver if interactions_ready else build_interactions(silver, inter, clip=clip)
+    stages = [] if interactions_ready else [fit_interactions(silver, inter, clip=clip)]
+    df = silver if interactions_ready else stages[0].transform(silver)
     base = plan.get("base_metrics") or select_types(silver, ("Numeric",))
     feats = [c for c in list(base) + [i["name"] for i in inter] if c in df.columns and c != key]
     feats = list(dict.fromkeys(feats))
@@ -109,8 +110,8 @@ def fit_gold(silver: DataFrame, plan: dict, clip: bool = True, scaler: str | Non
     feats = variance_filter(df, feats, sel.get("variance_threshold", 0.01), keep)
     feats = corr_filter(df, feats, sel.get("correlation_threshold", 0.85), keep)
     prep = plan.get("preprocessing", {}) or {}
-    stages = [fit_impute(df, feats, prep.get("imputation", "median"))]
-    df = stages[0].transform(df)
+    stages.append(fit_impute(df, feats, prep.get("imputation", "median")))
+    df = stages[-1].transform(df)
     kind = scaler or prep.get("scaler") or plan.get("scaling") or "PowerTransformer"
     scale = fit_power_transform(df, feats) if kind == "PowerTransformer" else [fit_robust_scale(df, feats)]
     for st in scale:
@@ -119,8 +120,9 @@ def fit_gold(silver: DataFrame, plan: dict, clip: bool = True, scaler: str | Non
     carry = [key] if key and key in df.columns else []
     pca_cfg = prep.get("pca", {}) or {}
     if pca_cfg.get("method") == "PCA":
-        out, _ = pca(df, feats, retain=pca_cfg.get("variance_retention_threshold", 0.95), keep=carry)
-        return out, PipelineModel(stages), [c for c in out.columns if c not in carry]
+        step, ratios = fit_pca(df, feats, retain=pca_cfg.get("variance_retention_threshold", 0.95))
+        names = [f"PC{i + 1}" for i in range(len(ratios))]
+        return step.transform(df).select(*carry, *names), PipelineModel([*stages, step]), names
     return df.select(*carry, *feats), PipelineModel(stages), feats
 
 
@@ -145,11 +147,11 @@ def segment(df: DataFrame, strategy: dict | None = None, algo: str | None = None
     contract = contract_dict(plan_cleaning(prof, roles))
     strategy = strategy or {}
     if interactions_on == "unscaled":
-        from kiln.operators.features import build_interactions
+        from kiln.operators.features import fit_interactions
         unscaled, clean_model = fit_cleaning(df, contract, scale=False)
-        with_inter = build_interactions(unscaled, strategy.get("interaction_priorities", []) or [], clip=clip)
-        silver, scalers = fit_scaling(with_inter, contract)
-        clean_model = PipelineModel(list(clean_model.stages) + list(scalers.stages))
+        inter = fit_interactions(unscaled, strategy.get("interaction_priorities", []) or [], clip=clip)
+        silver, scalers = fit_scaling(inter.transform(unscaled), contract)
+        clean_model = PipelineModel([*clean_model.stages, inter, *scalers.stages])
     else:
         silver, clean_model = fit_cleaning(df, contract)
     gold_plan = plan_gold(profile(silver, with_mad=False), policy, strategy)

@@ -11,12 +11,7 @@ from kiln.plans.rules import plan_timeseries
 
 
 def audit(df: DataFrame, order_by: str, position: str | None = None, partition_by=None) -> dict:
-    prof = profile(df, with_mad=False)
-    plan = plan_timeseries(df, prof, order_by, partition_by)
-    if position is not None:
-        from kiln.operators.timeseries import is_ordered
-        plan["temporal_consistency"]["is_sorted"] = is_ordered(df, order_by, position, partition_by)
-    return plan
+    return plan_timeseries(df, profile(df, with_mad=False), order_by, partition_by, position)
 
 
 def clean(df: DataFrame, plan: dict, order_by, partition_by=None) -> DataFrame:

@@ -50,11 +50,16 @@ def _infer(df: DataFrame) -> DataFrame:
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "csv", encoding: str = "UTF-8",
-               na_values=None, schema=None, infer: bool = True, multi_line: bool = True) -> DataFrame:
+               na_values=None, schema=None, infer: bool = True, multi_line: bool = True,
+               row_id: str | None = None) -> DataFrame:
     """SRC-01: header CSV (latin1 via encoding="ISO-8859-1") or parquet/json/orc.
 
     ``multi_line`` allows line ends inside quotes; then a file is one task's work.
-    Turn it off for large files without such records, which Spark then splits."""
+    Turn it off for large files without such records, which Spark then splits.
+    ``row_id`` names a column that gets each record's place in the order of the files."""
+    if row_id is not None:
+        df = read_table(spark, path, fmt, encoding, na_values, schema, infer, multi_line)
+        return df.withColumn(row_id, F.monotonically_increasing_id())
     if fmt != "csv":
         df = spark.read.format(fmt).load(path) if schema is None else spark.read.schema(schema).format(fmt).load(path)
         return nan_to_null(df)

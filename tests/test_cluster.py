@@ -80,3 +80,22 @@ def test_segment_interactions_on_unscaled(spark):
     res2 = segment(df, strategy=strat, algo="KMeans", k=3, interactions_on="scaled")
     # in parity mode the interaction is built later, by the gold step, from the scaled silver
     assert "wy" in res2["features"] and "wy" not in res2["silver"].columns
+
+
+def test_segment_with_interactions_and_pca_scores_raw_rows(spark, tmp_path):
+    import numpy as np
+    from pyspark.ml import PipelineModel
+    from kiln.operators.score import score
+    from kiln.plans.clustering import segment
+    rng = np.random.default_rng(12)
+    rows = [(float(a), float(b), float(c)) for a, b, c in rng.normal(size=(240, 3)) + rng.choice([0, 9, 18], size=(240, 1)) + 5]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    strategy = {"interaction_priorities": [{"pair": ["a", "b"], "logic": "ratio", "name": "a_per_b"}],
+                "preprocessing_metadata": {"dimensionality_reduction_recommendation": {"method": "PCA", "variance_retention_threshold": 0.9}}}
+    for doc in (strategy, {"interaction_priorities": strategy["interaction_priorities"]}):
+        res = segment(df, doc, k=3)
+        res["prep"].write().overwrite().save(str(tmp_path / "prep"))
+        got = score(df, PipelineModel.load(str(tmp_path / "prep")), res["model"], res["features"])
+        assert got.columns == ["a", "b", "c", "cluster"]
+        want = sorted(r["count"] for r in res["labeled"].groupBy("cluster").count().collect())
+        assert sorted(r["count"] for r in got.groupBy("cluster").count().collect()) == want

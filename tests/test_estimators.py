@@ -99,7 +99,7 @@ def test_factorize_distributed_rank_matches_window(spark, monkeypatch):
     rows = [(i, f"l{(i * 7) % 23}") for i in range(200)]
     df = spark.createDataFrame(rows, "k int, s string")
     a = {r["k"]: r["s_code"] for r in E.factorize(df, ["s"], "k", "_code").collect()}
-    monkeypatch.setattr(E, "BROADCAST_LEVELS", 5)
+    monkeypatch.setattr(E, "LEVELS_PER_TASK", 5)
     monkeypatch.setattr(E, "LEVELS_PER_TASK", 4)
     b = {r["k"]: r["s_code"] for r in E.factorize(df, ["s"], "k", "_code").collect()}
     assert a == b and max(a.values()) == 22
