@@ -46,6 +46,8 @@ SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 LETTER, MARK = "A-Za-zÀ-ÖØ-öø-ÿ", re.escape(".,!?;:*%&$#")
 #: Words, marks after a word, single line ends; else white space and what follows, up to the next white space.
 PIECE = re.compile(rf" ?[{LETTER}]+(?=[ \n{MARK}])|[{MARK}]+(?=[ \n])|\n(?=[{LETTER}])|[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
+SPACED_WORD = re.compile(rf" [{LETTER}]+").fullmatch
+RUN = 1000
 
 
 class Encoder:
@@ -57,27 +59,44 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(tokenizer)
         self.end = struct.pack("<I", end_id)
         self.known: dict[str, bytes] = {}
-
-    def learn(self, pieces: set) -> dict:
-        """Ids of the pieces that are not remembered, which the others join while there is room."""
-        new = [p for p in pieces if p not in self.known]
-        ids = [np.array(x.ids, np.uint32).tobytes() for x in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        fresh = dict(zip(new, ids))
-        self.known.update(islice(fresh.items(), max(0, REMEMBERED - len(self.known))))
-        return fresh
+        self.sizes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)      # bytes of each token
+        for token, i in self.tokenizer.get_vocab().items():
+            self.sizes[i] = len(token)
+
+    def encoded(self, pieces: list[str]) -> dict[str, bytes]:
+        """Packed ids of pieces.  Words with a leading space are encoded in runs, as a token
+        never crosses from one to the next, and the ids are told apart by their sizes."""
+        words = [p for p in pieces if SPACED_WORD(p)]
+        others = [p for p in pieces if not SPACED_WORD(p)]
+        out = {p: np.array(x.ids, np.uint32).tobytes() for p, x in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False))}
+        runs = [words[at: at + RUN] for at in range(0, len(words), RUN)]
+        for run, x in zip(runs, self.tokenizer.encode_batch_fast(["".join(r) for r in runs], add_special_tokens=False)):
+            ids = np.array(x.ids, np.uint32)
+            ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(w.encode()) for w in run])) + 1
+            packed, start = ids.tobytes(), 0
+            for word, end in zip(run, (4 * ends).tolist()):
+                out[word] = packed[start:end]
+                start = end
+        return out
+
+    def join(self, texts: list[list[str]]) -> list[bytes]:
+        """Packed ids of texts that are cut to pieces; new pieces are remembered while there is room."""
+        new = list(set().union(*texts).difference(self.known))
+        self.known.update(self.encoded(new))
+        of = self.known.__getitem__
+        out = [b"".join(map(of, x)) for x in texts]
+        for piece in new[max(0, REMEMBERED - len(self.known) + len(new)):]:
+            del self.known[piece]
+        return out
 
     def packed(self, texts: list) -> list[bytes]:
-        pieces = [PIECE.findall(t or "") for t in texts]
-        fresh = self.learn(set().union(*pieces))
-        known = self.known
-        return [b"".join([known.get(p) or fresh[p] for p in x]) + self.end for x in pieces]
+        return [ids + self.end for ids in self.join([PIECE.findall(t or "") for t in texts])]
 
     def long(self, text: str):
         """Packed ids of a long text, in parts."""
         found = PIECE.finditer(text)
         while pieces := [m[0] for m in islice(found, 200_000)]:
-            fresh = self.learn(set(pieces))
-            yield b"".join([self.known.get(p) or fresh[p] for p in pieces])
+            yield from self.join([pieces])
         yield self.end
 
 
