@@ -26,7 +26,7 @@ def supervised_frame(spark, d):
         F.col("toxic").cast("long").alias("toxic"), F.col("quality").cast("long").alias("quality"))
 
 
-SUP_FEATS = ["n_chars", "n_words", "toxic"]
+SUP_FEATS = ["n_chars", "n_words", "toxic", "lang", "source"]
 
 
 @query("k_sweep_elbow")
@@ -166,7 +166,7 @@ def sulov_select_q(spark, d):
 def validate_pps(spark, d):
     """VAL-10/11: feature-label and identifier-label predictive power findings."""
     from kiln.operators.validate import validate
-    f = supervised_frame(spark, d).drop("lang", "source")
+    f = supervised_frame(spark, d)
     out = validate(f, label="quality", with_pps=True, id_cols=["doc_id"])
     return rounded(out.where(F.col("check").endswith("_pps")))
 

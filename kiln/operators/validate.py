@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kiln.functions.names import select_types
+from kiln.functions.names import semantic_type
 from kiln.functions.stats import qcol, quantiles
 
 # Default limits of the integrity checks and the null spellings.
@@ -120,7 +121,7 @@ def _validate(df: DataFrame, label, limits, with_pps, id_cols) -> DataFrame:
     if label and with_pps:
         from kiln.operators.model_select import predictive_power
         ids = [c for c in id_cols if c in df.columns and c != label]
-        feats = [c for c in num if c not in ids]
+        feats = [f.name for f in df.schema.fields if f.name not in [*ids, label] and semantic_type(f.dataType) != "Unsupported"]
         for c, v in predictive_power(df, feats + ids, label):
             if c in ids:
                 rows.append(("identifier_label_pps", c, v, 0.0, v <= 0.0))

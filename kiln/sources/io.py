@@ -77,7 +77,7 @@ def write_layer(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "p
     """SNK-01/02: write a layer; keys stay ordinary columns."""
     w = df.write.mode(mode).format(fmt)
     if fmt == "csv":
-        w = w.option("header", True)
+        w = w.option("header", True).option("escape", '"')
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
