@@ -167,7 +167,7 @@ def repaired(batches):
                                          names=["conv_id", "turn", "role", "merged", "relabelled", "n_inserted", "cost", "rendered"])
 
 
-def format_chats(turns: DataFrame, stretch: int = STRETCH, fan: int = FAN) -> DataFrame:
+def format_chats(turns: DataFrame, stretch: int = STRETCH, fan: int = FAN) -> DataFrame:  # fan: 2 or more
     """One row per turn: conv_id, turn, role (repaired), merged, relabelled, n_inserted (empty turns before it, or
     at the end after it), cost, rendered (its piece of the chat)."""
     number = F.coalesce(F.col("turn").cast("bigint"), F.lit(-(2 ** 62)))
@@ -176,15 +176,17 @@ def format_chats(turns: DataFrame, stretch: int = STRETCH, fan: int = FAN) -> Da
     keys = ["conv_id", "part"]
     order = ["conv_id", "part", "turn", "role", "text"]
     dealt = turns.repartition(*keys).sortWithinPartitions(*order)
-    levels = [written(dealt.select(*keys, "role").mapInArrow(stretches, NODE), "stretches")]
-    while levels[-1].groupBy("conv_id").count().filter("count > 1").limit(1).count():
-        up = levels[-1].withColumn("up", F.floor(F.col("part") / fan).cast("bigint"))
+    levels, ups = [written(dealt.select(*keys, "role").mapInArrow(stretches, NODE), "stretches")], []
+    while (most := levels[-1].groupBy("conv_id").count().agg(F.max("count")).first()[0] or 1) > 1:
+        # a run of FAN parts has a parent; a conversation's last few parts have one whatever their numbers
+        ups.append(F.lit(0).cast("bigint") if most <= fan else F.floor(F.col("part") / fan).cast("bigint"))
+        up = levels[-1].withColumn("up", ups[-1])
         levels.append(written(up.repartition("conv_id", "up").sortWithinPartitions("conv_id", "up", "part").mapInArrow(parents(len(levels)), NODE), "stretches"))
 
     total = F.array(*(F.struct((F.get("cost", s) + INSERT * len(ENDS[s])).alias("cost"), F.lit(s).alias("last")) for s in (SYSTEM, USER, ASSISTANT)))
     states = levels[-1].select("conv_id", "part", F.lit(START).alias("first"), F.array_min(total)["last"].alias("last"))
-    for level in reversed(levels[:-1]):
-        nodes = level.withColumn("up", F.floor(F.col("part") / fan).cast("bigint"))
+    for level, up in zip(reversed(levels[:-1]), reversed(ups)):
+        nodes = level.withColumn("up", up)
         known = states.select(F.col("conv_id").alias("c"), F.col("part").alias("u"), "first", "last")
         joined = nodes.join(known, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("up") == F.col("u")))
         states = written(joined.select("conv_id", "up", "part", "cost", "first", "last").repartition("conv_id", "up").sortWithinPartitions("conv_id", "up", "part")

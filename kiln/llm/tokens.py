@@ -35,7 +35,7 @@ from kiln.llm.common import query, shared_folder, table, worker_state
 
 END_ID = 2
 LEVEL = 3
-REMEMBERED = 800_000
+REMEMBERED = 400_000
 IDS_MAGIC, TABLE_MAGIC, SEEKABLE_MAGIC = 0x184D2A5D, 0x184D2A5E, 0x8F92EAB1
 CHECKSUMS = 0x80
 ENTRY_BYTES, FOOTER = 12, "<IBI"

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 1 << 20
+SLICE_TEXTS = 2000
 BASE = np.uint64(0x9E3779B97F4A7C15)            # odd, so invertible modulo 2**64
 BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 WORD_BASE = np.uint64(0xD1342543DE82EF95)
@@ -71,15 +72,16 @@ class Words:
         """Slices of a text column in order; null texts have no words."""
         if isinstance(texts, pa.ChunkedArray):
             texts = texts.combine_chunks()
-        texts = texts.cast(pa.large_string()).fill_null("")
-        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset: texts.offset + len(texts) + 1]
-        raw = texts.buffers()[2]
-        data = np.frombuffer(raw, np.uint8) if raw is not None else np.empty(0, np.uint8)
-        at = 0
-        while at < len(texts):
-            to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1)
-            yield self.split(at, data[offsets[at]: offsets[to]], offsets[at: to + 1] - offsets[at])
-            at = to
+        for low in range(0, len(texts), SLICE_TEXTS):
+            some = texts.slice(low, SLICE_TEXTS).cast(pa.large_string()).fill_null("")
+            offsets = np.frombuffer(some.buffers()[1], np.int64)[some.offset: some.offset + len(some) + 1]
+            raw = some.buffers()[2]
+            data = np.frombuffer(raw, np.uint8) if raw is not None else np.empty(0, np.uint8)
+            at = 0
+            while at < len(some):
+                to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1)
+                yield self.split(low + at, data[offsets[at]: offsets[to]], offsets[at: to + 1] - offsets[at])
+                at = to
 
     def split(self, at: int, data: np.ndarray, offsets: np.ndarray) -> Slice:
         n = len(data)
