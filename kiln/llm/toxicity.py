@@ -132,7 +132,7 @@ def scaled_features(ratio: np.ndarray):
     return run
 
 
-def scores(weights: np.ndarray, intercept: float):
+def scores(weights: np.ndarray, intercept: float, column: str):
     def run(batches):
         grams = Grams()
         for batch in batches:
@@ -142,7 +142,7 @@ def scores(weights: np.ndarray, intercept: float):
                 total = intercept + np.bincount(text, of_word[pair_word], n)
                 out.append(1 / (1 + np.exp(-np.clip(total, -700, 700))))
             if out:
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(out))], names=[*batch.schema.names, "score"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(out))], names=[*batch.schema.names, column])
     return run
 
 
@@ -187,7 +187,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, column: s
     labelled = written(docs.select("doc_id", text).join(known, "doc_id").repartition("doc_id").select("text", "toxic"), "labelled")
     weights, intercept = fit(labelled)
     scored = docs.withColumn("text", text)
-    return scored.mapInArrow(scores(weights, intercept), T.StructType([*scored.schema.fields, T.StructField(column, T.DoubleType())]))
+    return scored.mapInArrow(scores(weights, intercept, column), T.StructType([*scored.schema.fields, T.StructField(column, T.DoubleType())]))
 
 
 @query("op7_toxicity")
