@@ -32,7 +32,7 @@ from kiln.llm.common import query, table, written
 from kiln.llm.words import WHITE, Words, mix
 
 DEPTH = 5
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 16 << 20
 PACK_BYTES = 16 << 20        # of texts that a task gathers before it packs them by block
 END = 0xFF                                    # no byte of UTF-8
 END_WORD = np.uint64(0x9FB21C651E98DF25)
@@ -83,8 +83,13 @@ def strings(part, depth: int):
 
 def summed(codes: np.ndarray, counts: np.ndarray):
     """Distinct codes with the sums of their counts."""
-    names, place = np.unique(codes, return_inverse=True)
-    return names, np.bincount(place, counts, len(names)).astype(np.int64)
+    by = np.argsort(codes)
+    codes, counts = codes[by], counts[by]
+    first = np.flatnonzero(np.append(True, codes[1:] != codes[:-1])) if len(codes) else by
+    return codes[first], np.add.reduceat(counts, first) if len(codes) else counts
+
+
+MERGE_AFTER = 8               # slices whose counts wait to be merged
 
 
 def pack(batches):
@@ -135,13 +140,19 @@ class Block:
             code, learned = both >> 1, both & 1
             first = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
             self.found[STRINGS].append((code[first], np.add.reduceat(learned, first)))
+            if len(self.found[WORDS]) > MERGE_AFTER:
+                for kind in (WORDS, STRINGS):
+                    self.found[kind][:] = [self.merged(kind)]
             if self.keep:
                 part.starts = part.ends = None                       # hashes and bytes are enough
                 self.parts.append((rows.slice(part.at, len(part)), part))
 
+    def merged(self, kind: int):
+        return summed(*(np.concatenate(x) for x in zip(*self.found[kind])))
+
     def distinct(self, kind: int):
         """Distinct codes by bucket and code, their training counts, and each bucket's end."""
-        codes, counts = summed(*(np.concatenate(x) for x in zip(*self.found[kind])))
+        codes, counts = self.merged(kind)
         key = codes if kind == WORDS else (codes >> (8 * (self.depth - 1))).astype(np.uint64)      # strings by the two nearest bytes
         bucket = (mix(key) % np.uint64(self.buckets)).astype(np.int64)
         by = np.argsort(bucket, kind="stable")
