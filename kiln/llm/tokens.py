@@ -190,12 +190,12 @@ def shards(folder: str, tokenizer: str, end_id: int):
         name = f"shard-{task.partitionId():06d}.zst"
         own = f"{base}/_{name}-{task.taskAttemptId()}"
         for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            for at in range(0, len(ids), 500):
+            for at in range(0, batch.num_rows, 500):
+                ids, texts = (batch.column(c).slice(at, 500).to_pylist() for c in ("doc_id", "text"))
                 if writer is None:
                     writer = ShardWriter(files.open_output_stream(own))
-                short = [t if t is None or len(t) < LONG_TEXT else "" for t in texts[at: at + 500]]
-                for doc_id, text, packed in zip(ids[at: at + 500], texts[at: at + 500], encoder.packed(short)):
+                short = [t if t is None or len(t) < LONG_TEXT else "" for t in texts]
+                for doc_id, text, packed in zip(ids, texts, encoder.packed(short)):
                     writer.add(doc_id, (packed,) if text is None or len(text) < LONG_TEXT else encoder.long(text))
         if writer is not None:
             writer.close()

@@ -22,7 +22,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -104,8 +104,9 @@ def clear_ratios(counts) -> np.ndarray:
 
 
 def scaled_features(ratio: np.ndarray):
-    """Per text: label, and the features that have a ratio, as sorted indices and values."""
-    place = np.cumsum(ratio != 0) - 1
+    """Per text: label, and the features that have a ratio, as a sparse vector in its storage form."""
+    place, size = np.cumsum(ratio != 0) - 1, int((ratio != 0).sum())
+    names = [f.name for f in VectorUDT.sqlType()]
 
     def run(batches):
         grams = Grams()
@@ -124,11 +125,10 @@ def scaled_features(ratio: np.ndarray):
                 values.append(value * ratio[cell % len(ratio)])
                 ends.extend(ends[-1] + np.searchsorted(cell // len(ratio), np.arange(1, n + 1)))
             if indices:
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("toxic").cast(pa.float64()),
-                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(indices), pa.int32())),
-                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(values).astype(float)))],
-                    names=["label", "i", "v"])
+                n = batch.num_rows
+                lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), x) for x in (pa.array(np.concatenate(indices), pa.int32()), pa.array(np.concatenate(values).astype(float)))]
+                vectors = pa.StructArray.from_arrays([pa.array(np.zeros(n, np.int8)), pa.array(np.full(n, size, np.int32)), *lists], names)
+                yield pa.RecordBatch.from_arrays([batch.column("toxic").cast(pa.float64()), vectors], names=["label", "features"])
     return run
 
 
@@ -156,9 +156,8 @@ def fit(labelled: DataFrame) -> tuple[np.ndarray, float]:
     size = int((ratio != 0).sum())
     if not size:
         return np.zeros(1 << BITS, np.float32), float(np.log(prior / (1 - prior)))
-    sparse = F.udf(lambda i, v: Vectors.sparse(size, i, v), VectorUDT())      # of SAMPLE rows
-    points = (labelled.mapInArrow(scaled_features(ratio), "label double, i array<int>, v array<double>")
-              .select("label", sparse("i", "v").alias("features")).persist())
+    schema = T.StructType([T.StructField("label", T.DoubleType()), T.StructField("features", VectorUDT())])
+    points = labelled.mapInArrow(scaled_features(ratio), schema).persist()      # of SAMPLE rows
     try:
         model = LogisticRegression(maxIter=60, regParam=REGULARISATION, standardization=False).fit(points)
     finally:
