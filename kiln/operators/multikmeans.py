@@ -17,20 +17,21 @@ pass serves all models at once:
   rows).  Converged models drop out of later passes.
 
 Inputs are vectors less the column means (so distances keep their digits on large
-offsets) with a hash of the vector as row id, checkpointed once: seeds depend on
-the data alone, not on its partitions; equal points count once in the seeding.
+offsets) with a hash of the vector as row id, cached once (a lost part is computed
+again with the same ids): seeds depend on the data alone, not on its partitions;
+equal points count once in the seeding.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kiln.operators.base import ColumnRules, register
-from kiln.session import materialize
 
 # The per-partition functions of this module run inside Python workers: ship
 # them by value with each task so executors need numpy/pandas but not kiln.
@@ -57,7 +58,7 @@ def _points(vec: DataFrame, features: str) -> tuple[DataFrame, int, np.ndarray]:
     means = np.array([row[f"m{j}"] for j in range(d)], float)
     pts = raw.select(*[(F.col(f"x{j}") - F.lit(float(means[j]))).alias(f"x{j}") for j in range(d)],
                      F.xxhash64(*[f"x{j}" for j in range(d)]).alias("rid"))
-    return materialize(pts), d, means
+    return pts.persist(StorageLevel.MEMORY_AND_DISK), d, means
 
 
 def _xs(pdf: pd.DataFrame, d: int) -> np.ndarray:
@@ -211,6 +212,7 @@ def multi_kmeans(vec: DataFrame, configs: list[tuple[int, int]], features: str =
     agg = _lloyd_pass(pts, centres, d)
     for m in models:
         inertia[m] = float(agg[(agg["m"] == m) & (agg["c"] == -1)]["v"].sum())
+    pts.unpersist()
     return {models[m]: (centres[m] + means, inertia[m]) for m in models}
 
 
