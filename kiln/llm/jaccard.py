@@ -41,7 +41,7 @@ from kiln.llm.words import WHITE, Words, distinct, mix
 SHINGLE = 5
 HEAVY = 1 << 16
 LOCAL_USES = 4           # a token in so many sets of one buffer may be heavy
-BUFFER = 2_000_000       # tokens a task gathers before it writes them out
+BUFFER = 600_000       # tokens a task gathers before it writes them out
 CHUNK = 512              # members that a query is checked against at once
 TOKEN_BYTES = 6
 

@@ -32,10 +32,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kiln.llm.common import query, shared_folder, table, worker_state
+from kiln.llm.words import give_back
 
 END_ID = 2
 LEVEL = 3
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 IDS_MAGIC, TABLE_MAGIC, SEEKABLE_MAGIC = 0x184D2A5D, 0x184D2A5E, 0x8F92EAB1
 CHECKSUMS = 0x80
 ENTRY_BYTES, FOOTER = 12, "<IBI"
@@ -197,6 +198,7 @@ def shards(folder: str, tokenizer: str, end_id: int):
                 short = [t if t is None or len(t) < LONG_TEXT else "" for t in texts]
                 for doc_id, text, packed in zip(ids, texts, encoder.packed(short)):
                     writer.add(doc_id, (packed,) if text is None or len(text) < LONG_TEXT else encoder.long(text))
+        give_back()
         if writer is not None:
             writer.close()
             size = writer.out.tell()

@@ -32,6 +32,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def give_back() -> None:
+    """Return memory that earlier tasks of this Python worker have freed to the system."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):              # another C library
+        pass
+
+
 def powers(base: np.uint64, n: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     out[:1] = 1
@@ -60,6 +71,7 @@ class Slice:
 
 class Words:
     def __init__(self, separators: np.ndarray = WHITE, lower: bool = True):
+        give_back()
         codes = np.arange(256)
         if lower:
             codes[65:91] += 32
