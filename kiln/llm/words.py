@@ -13,6 +13,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+from kiln.llm.common import worker_state
+
 SLICE_BYTES = 1 << 20
 SLICE_TEXTS = 2000
 BASE = np.uint64(0x9E3779B97F4A7C15)            # odd, so invertible modulo 2**64
@@ -71,6 +73,7 @@ class Slice:
 
 class Words:
     def __init__(self, separators: np.ndarray = WHITE, lower: bool = True):
+        worker_state().clear()                     # what another operator kept in this Python worker
         give_back()
         codes = np.arange(256)
         if lower:
