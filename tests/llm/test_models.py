@@ -6,6 +6,7 @@ import random
 import struct
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 from pathlib import Path
 
 import brute
@@ -268,6 +269,56 @@ def test_mixing(spark, docs, no_docs):
     assert mixing.mix(no_docs).count() == 0 and mixing.mix(docs).count() == docs.count()
 
 
+def fluid_by(weights, blocks, slot):
+    """What each source has of the slots before ``slot`` in the fluid schedule, exactly; weights by Fraction."""
+    low, left = Fraction(0), dict(blocks)
+    while left:
+        rate = sum(weights[s] for s in left)
+        used = sum(blocks[s] for s in blocks if s not in left)
+        v = (slot - used) / rate
+        gone = [s for s in left if blocks[s] <= v * weights[s]]
+        if not gone:
+            return {s: min(Fraction(n), v * weights[s]) for s, n in blocks.items()}
+        for s in gone:
+            left.pop(s)
+    return {s: Fraction(n) for s, n in blocks.items()}
+
+
+@pytest.mark.parametrize("run", [1, 50, 10_000])
+def test_slots_keep_the_weights_at_every_prefix(spark, run):
+    third = {f"s{i:02}": (math.sqrt(17_000), 700) for i in range(19)} | {"big": (math.sqrt(17_000 * 9.5), 6_000)}
+    tiny = {"a": (1.0, 900), "b": (0.7, 2_000), None: (0.0004, 3), "": (0.31, 1)}
+    rng = random.Random(9)
+    mixed = {f"s{i}": (rng.random() ** 3 + 0.01, rng.randrange(1, 300)) for i in range(12)}
+    for case in (third, tiny, mixed):
+        rows = [(s, w, n) for s, (w, n) in case.items()]
+        got = mixing.schedule(spark.createDataFrame(rows, "source string, weight double, blocks bigint"), run).orderBy("slot").collect()
+        blocks, weights = {s: n for s, _, n in rows}, {s: Fraction(w) for s, w, _ in rows}
+        assert [r["slot"] for r in got] == list(range(sum(blocks.values())))
+        assert bag((r["of"], r["k"]) for r in got) == bag((s, k) for s, n in blocks.items() for k in range(n))
+        done = Counter()
+        for r in got:
+            assert r["k"] == done[r["of"]]
+            done[r["of"]] += 1
+            if r["slot"] % 7 == 0 or len(got) < 2_500:
+                target = fluid_by(weights, blocks, r["slot"] + 1)
+                assert all(abs(done[s] - target[s]) < 1 + 1e-6 for s in blocks)
+
+
+def test_mixing_keeps_the_weights(spark):
+    sources = [f"s{i:02}" for i in range(19) for _ in range(420)] + ["big"] * 3_990 + [None] * 3
+    rows = spark.createDataFrame(list(enumerate(sources)), "doc_id bigint, source string")
+    got = mixing.mix(rows, block=1).orderBy("position").collect()
+    blocks, done = Counter(sources), Counter()
+    weights = {s: Fraction(n ** 0.5) for s, n in blocks.items()}
+    assert sorted(r["doc_id"] for r in got) == list(range(len(sources)))
+    for i, r in enumerate(got):
+        done[r["source"]] += 1
+        if i % 7 == 0:
+            target = fluid_by(weights, blocks, i + 1)
+            assert all(abs(done[s] - target[s]) < 1 + 1e-6 for s in blocks)
+
+
 def test_toxicity(spark, docs, no_docs):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     scored = toxicity.toxicity(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text"), labels)
