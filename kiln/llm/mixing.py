@@ -10,7 +10,8 @@ length, and goes on so when sources have run out.
 
 Blocks are rows.  t comes from running sums over ranges of virtual time.  Slots are dealt
 in runs of ``RUN``, or of the longest time from a release to its deadline if that is
-longer, each planned by one task.  A task starts one such time early from the released
+longer, each planned by one task, so a task's rows grow with the number of sources and the
+spread of their weights, but not with the documents.  A task starts one such time early from the released
 blocks that end first: two plans that have filled the same slots and keep all deadlines
 are the same once the blocks pending at their start are due, so the runs join to one plan.
 
@@ -158,11 +159,26 @@ def schedule(sources: DataFrame, run: int = RUN) -> DataFrame:
     return dealt.groupBy("run").applyInPandas(run_slots, f"of {sources.schema['source'].dataType.simpleString()}, k bigint, slot bigint")
 
 
-def repeating(spark, counts: dict, weights: dict, block: int, resolution: int) -> DataFrame:
+def weighted(docs: DataFrame, weights: dict | None, block: int) -> DataFrame:
+    """One row per source: source, n, weight, blocks."""
+    counts = docs.groupBy(F.col("source").cast("string").alias("source")).agg(F.count("*").alias("n"))
+    if weights is None:
+        counts = counts.withColumn("weight", F.sqrt("n"))
+    else:
+        given = {s: float(w) for s, w in weights.items() if w and w > 0}
+        known = docs.sparkSession.createDataFrame(list(given.items()), "of string, weight double")
+        counts = counts.join(known, F.col("source").eqNullSafe(F.col("of")), "left").withColumn("weight", F.coalesce("weight", F.lit(min(given.values(), default=1.0))))
+    return written(counts.select("source", "n", "weight", F.expr(f"(n + {block - 1}) div {block}").alias("blocks")), "sources")
+
+
+def repeating(sources: DataFrame, resolution: int) -> DataFrame:
     """Schedules that repeat: of, and for each phase its first block, first slot, turns and period."""
-    plan = phases(shares(weights, resolution) if counts else {}, {s: -(-n // block) for s, n in counts.items()})
-    return spark.createDataFrame([(s, [x[0] for x in p], [x[1] for x in p], [x[2] for x in p], [x[3] for x in p]) for s, p in plan.items()],
-                                 "of string, firsts array<bigint>, starts array<bigint>, turns array<array<int>>, periods array<int>")
+    rows = sources.limit(MOST_SOURCES + 1).collect()
+    if len(rows) > MOST_SOURCES:
+        raise ValueError(f"more than {MOST_SOURCES} sources for a schedule that repeats")
+    plan = phases(shares({r["source"]: r["weight"] for r in rows}, resolution) if rows else {}, {r["source"]: r["blocks"] for r in rows})
+    return sources.sparkSession.createDataFrame([(s, [x[0] for x in p], [x[1] for x in p], [x[2] for x in p], [x[3] for x in p]) for s, p in plan.items()],
+                                                "of string, firsts array<bigint>, starts array<bigint>, turns array<array<int>>, periods array<int>")
 
 
 def mix(docs: DataFrame, weights: dict | None = None, block: int = BLOCK, resolution: int | None = None) -> DataFrame:
@@ -172,16 +188,8 @@ def mix(docs: DataFrame, weights: dict | None = None, block: int = BLOCK, resolu
     given, or rounded to shares of ``resolution`` slots.  Positions are unique
     and leave gaps only where a source's last block is not full.
     """
-    spark = docs.sparkSession
-    counts = {r["source"]: r["n"] for r in docs.groupBy("source").agg(F.count("*").alias("n")).limit(MOST_SOURCES + 1).collect()}
-    if len(counts) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
-    if weights is None:
-        weights = {s: n ** 0.5 for s, n in counts.items()}
-    elif counts:
-        weights = {s: weights.get(s) or min(w for w in weights.values() if w > 0) for s in counts}
-
-    buckets = -(-sum(counts.values()) // BUCKET_ROWS) or 1
+    sources = weighted(docs, weights, block)
+    buckets = -(-(sources.agg(F.sum("n")).first()[0] or 0) // BUCKET_ROWS) or 1
     rows = docs.withColumn("_bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)))
     offsets = (rows.groupBy("source", "_bucket").agg(F.count("*").alias("_n"))
                .withColumn("_before", F.sum("_n").over(Window.partitionBy("source").orderBy("_bucket")) - F.col("_n"))
@@ -191,12 +199,11 @@ def mix(docs: DataFrame, weights: dict | None = None, block: int = BLOCK, resolu
               .join(offsets, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_bucket") == F.col("_b")))
               .withColumn("_rank", F.col("_rank") + F.col("_before")).withColumn("_block", F.expr(f"_rank div {block}")))
     if resolution is None:
-        sources = spark.createDataFrame([(s, float(weights[s]), -(-n // block)) for s, n in counts.items()], "source string, weight double, blocks bigint")
         slots = sized(schedule(sources)).withColumnsRenamed({"k": "_k", "slot": "_slot"})
         ranked = ranked.join(slots, F.col("source").eqNullSafe(F.col("of")) & (F.col("_block") == F.col("_k")))
         slot = F.col("_slot")
     else:
-        ranked = ranked.join(F.broadcast(repeating(spark, counts, weights, block, resolution)), F.col("source").eqNullSafe(F.col("of")))       # a row a source
+        ranked = ranked.join(F.broadcast(repeating(sources, resolution)), F.col("source").eqNullSafe(F.col("of")))       # a row a source
         phase = F.size(F.filter("firsts", lambda x: x <= F.col("_block"))) - 1
         ranked = ranked.withColumn("_phase", phase).withColumn("_turns", F.get("turns", F.col("_phase"))).withColumn("_k", F.col("_block") - F.get("firsts", F.col("_phase")))
         slot = F.get("starts", F.col("_phase")) + F.expr("_k div size(_turns)") * F.get("periods", F.col("_phase")) + F.get("_turns", F.expr("cast(_k % size(_turns) as int)"))

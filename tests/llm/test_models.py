@@ -319,6 +319,21 @@ def test_mixing_keeps_the_weights(spark):
             assert all(abs(done[s] - target[s]) < 1 + 1e-6 for s in blocks)
 
 
+def test_mixing_of_many_sources(spark):
+    rows = spark.range(14_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("host"), F.when(F.col("id") < 4_000, 0).otherwise(F.col("id") % 5_000)).alias("source"))
+    got = mixing.mix(rows, block=1).orderBy("position").collect()
+    assert [r["slot"] for r in got] == list(range(14_000)) and sorted(r["doc_id"] for r in got) == list(range(14_000))
+    with pytest.raises(ValueError):
+        mixing.mix(rows, block=1, resolution=1000)
+    blocks, done = Counter(r["source"] for r in got), Counter()
+    weights = {s: Fraction(n ** 0.5) for s, n in blocks.items()}
+    for i, r in enumerate(got):
+        done[r["source"]] += 1
+        if i % 700 == 0:
+            target = fluid_by(weights, blocks, i + 1)
+            assert all(abs(done[s] - target[s]) < 1 + 1e-6 for s in blocks)
+
+
 def test_toxicity(spark, docs, no_docs):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     scored = toxicity.toxicity(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text"), labels)
