@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from kiln.llm import common
-from kiln.llm import chat, codes, ctw, decontaminate, jaccard, licenses, mixing, quality, substrings, tokens, toxicity, turns  # noqa: F401
+from kiln.llm import chat, codes, ctw, decontaminate, forest, jaccard, licenses, mixing, quality, substrings, tokens, toxicity, turns  # noqa: F401
 
 
 def all_queries() -> dict:
