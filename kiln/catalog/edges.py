@@ -80,15 +80,71 @@ def detect_gaps_subsecond(spark, d):
     return rounded(detect_gaps(e, "t").select(F.unix_millis("prev").alias("prev_ms"), F.unix_millis("cur").alias("cur_ms"), "delta", "step", "missing_steps"))
 
 
+@query("fill_forward_text_order", """WITH e AS (SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS told, CASE WHEN event_id % 4 = 0 THEN NULL ELSE value END AS value FROM events)
+SELECT event_id, round(coalesce(value, last_value(value IGNORE NULLS) OVER w,
+  first_value(value IGNORE NULLS) OVER (ORDER BY told, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)), 6) AS value
+FROM e WINDOW w AS (ORDER BY told, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+def fill_forward_text_order(spark, d):
+    """WIN-01/02 along times written as text, without a key."""
+    from kiln.operators.timeseries import fill_forward
+    e = table(spark, d, "events").select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("told"), F.when(F.col("event_id") % 4 != 0, F.col("value")).alias("value"))
+    return rounded(fill_forward(e, ["told", "event_id"], None, ["value"], buckets=16).select("event_id", "value"))
+
+
+@query("fill_forward_tied_order", """WITH e AS (SELECT event_id, CASE WHEN event_id % 4 = 0 THEN NULL ELSE value END AS value FROM events)
+SELECT event_id, round(coalesce(value, last_value(value IGNORE NULLS) OVER w,
+  first_value(value IGNORE NULLS) OVER (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)), 6) AS value
+FROM e WINDOW w AS (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+def fill_forward_tied_order(spark, d):
+    """WIN-01/02 where the first order column is the same in every row."""
+    from kiln.operators.timeseries import fill_forward
+    e = table(spark, d, "events").select("event_id", F.lit("same").alias("day"), F.when(F.col("event_id") % 4 != 0, F.col("value")).alias("value"))
+    return rounded(fill_forward(e, ["day", "event_id"], None, ["value"], buckets=16).select("event_id", "value"))
+
+
+DAILY_SQL = "(SELECT o_orderdate::DATE AS day, count(*) AS n, avg(o_totalprice) AS price FROM orders WHERE o_orderkey % 13 <> 0 GROUP BY 1 HAVING day(day) NOT BETWEEN 10 AND 12)"
+
+
+def daily_orders(spark, d):
+    """One row a day of orders, without the 10th to 12th of each month."""
+    o = table(spark, d, "orders").filter("o_orderkey % 13 <> 0")
+    return (o.groupBy(F.col("o_orderdate").cast("date").alias("day")).agg(F.count("*").alias("n"), F.avg("o_totalprice").alias("price"))
+            .filter(~F.dayofmonth("day").between(10, 12)))
+
+
+@query("gaps_daily", f"""WITH g AS (SELECT lag(day) OVER (ORDER BY day) AS prev, day AS cur FROM {DAILY_SQL}),
+s AS (SELECT cur - prev AS step FROM g WHERE prev IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
+SELECT strftime(prev, '%Y-%m-%d') AS prev, strftime(cur, '%Y-%m-%d') AS cur, (cur - prev)::BIGINT AS delta, step::BIGINT AS step, ((cur - prev) // step - 1)::BIGINT AS missing_steps
+FROM g, s WHERE cur - prev > step""")
+def gaps_daily(spark, d):
+    """WIN-05 on a DATE column: days."""
+    from kiln.operators.timeseries import detect_gaps
+    g = detect_gaps(daily_orders(spark, d), "day")
+    return g.select(*[F.date_format(c, "yyyy-MM-dd").alias(c) for c in ("prev", "cur")], *[F.col(c).cast("long").alias(c) for c in ("delta", "step", "missing_steps")])
+
+
+@query("interpolate_daily", f"""WITH e AS (SELECT day, CASE WHEN day(day) % 3 = 0 THEN NULL ELSE price END AS price FROM {DAILY_SQL}),
+w AS (SELECT day, price, last_value(CASE WHEN price IS NOT NULL THEN day END IGNORE NULLS) OVER b AS x0, last_value(price IGNORE NULLS) OVER b AS y0,
+  first_value(CASE WHEN price IS NOT NULL THEN day END IGNORE NULLS) OVER a AS x1, first_value(price IGNORE NULLS) OVER a AS y1
+  FROM e WINDOW b AS (ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), a AS (ORDER BY day ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
+SELECT strftime(day, '%Y-%m-%d') AS day, round(coalesce(price, y0 + (y1 - y0) * (day - x0) / (x1 - x0)), 6) AS price FROM w""")
+def interpolate_daily(spark, d):
+    """WIN-04 on a DATE column."""
+    from kiln.operators.timeseries import interpolate_linear
+    e = daily_orders(spark, d).select("day", F.when(F.dayofmonth("day") % 3 != 0, F.col("price")).alias("price"))
+    return rounded(interpolate_linear(e, "day", None, ["price"]).select(F.date_format("day", "yyyy-MM-dd").alias("day"), "price"))
+
+
 @query("stationarity_null_readings", """WITH e AS (SELECT user_id, ts, event_id, CASE WHEN event_id % 4 = 0 THEN NULL ELSE value END AS value FROM events),
 l AS (SELECT user_id, value - lag(value) OVER w AS dy, lag(value) OVER w AS y0 FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
-r AS (SELECT user_id, regr_count(dy, y0) AS n, regr_slope(dy, y0) AS slope FROM l WHERE y0 IS NOT NULL AND dy IS NOT NULL GROUP BY user_id)
-SELECT user_id, n::BIGINT AS n, round(slope, 6) AS slope FROM r""")
+r AS (SELECT user_id, regr_count(dy, y0) AS n, regr_slope(dy, y0) AS slope, regr_sxx(dy, y0) AS sxx, regr_syy(dy, y0) AS syy, regr_sxy(dy, y0) AS sxy
+  FROM l WHERE y0 IS NOT NULL AND dy IS NOT NULL GROUP BY user_id)
+SELECT user_id, n::BIGINT AS n, round(slope, 6) AS slope, round(CASE WHEN n > 2 AND sxx > 0 THEN slope / sqrt((syy - slope * sxy) / ((n - 2) * sxx)) END, 4) AS t_stat FROM r""")
 def stationarity_null_readings(spark, d):
     """WIN-06: the lag is the row before, null readings included."""
     from kiln.operators.timeseries import stationarity
     e = table(spark, d, "events").select("user_id", "ts", "event_id", F.when(F.col("event_id") % 4 != 0, F.col("value")).alias("value"))
-    return rounded(stationarity(e, ["ts", "event_id"], "value", "user_id").select("user_id", "n", "slope"))
+    return rounded(stationarity(e, ["ts", "event_id"], "value", "user_id"), per_col={"t_stat": 4})
 
 
 @query("csv_round_trip", """SELECT s_suppkey::BIGINT AS s_suppkey, CASE WHEN s_suppkey % 5 <> 0 THEN s_name || chr(10) || '"quoted", line' END AS note,

@@ -6,16 +6,19 @@ whole key -- possibly a third of the table -- into one task, and a window with
 no key puts the whole table there.  Instead every operator here runs a
 *segmented scan*:
 
-1. cut the order range into ``buckets`` segments (``__b``) at approximate quantiles
-   of the order column, so that segments hold about equally many rows however the
-   values are spread; a hot key spans many segments.  The cuts are literals of the
-   plan, so every branch and every repeated task sees the same segments;
+1. range-partition the rows on the whole tuple (keys, order columns, a hash of the row as
+   tie-breaker), whatever the columns' types, and number the parts: segments (``__b``) hold
+   about equally many rows, however the values are spread, tied or nested, and a hot key
+   spans many segments.  Sampled cuts differ from plan to plan, so the numbered table is
+   written once (reliable checkpoint) and every later branch reads the same segments;
 2. run the window inside (keys, __b) -- bounded work per task;
 3. summarise each segment in one row (last / first non-null value, last
    order value) and carry those across segments with a window over the tiny
-   segment table (at most keys x buckets rows);
+   segment table (at most keys + segments rows);
 4. join the carry back on (keys, __b) -- the big side is already partitioned
    on those columns, so only the small side moves.
+
+Rows that tie in all order columns follow each other by the hash of the row (``__t``).
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kiln.functions.stats import qcol
+from kiln.session import materialize
 
 
 ROWS_PER_SEGMENT = 2_000_000
@@ -36,37 +40,17 @@ def _as_list(x):
     return list(x) if isinstance(x, (list, tuple)) else [x]
 
 
-def _order_number(df: DataFrame, c: str) -> Column:
-    """A number that grows with the order column (consistently inside Spark)."""
-    dt = dict(df.dtypes)[c]
-    if dt.startswith("timestamp"):
-        return F.unix_micros(qcol(c).cast("timestamp")).cast("double")
-    if dt == "date":
-        return F.unix_date(qcol(c)).cast("double")
-    if dt == "string":  # its first six bytes, which order as the text does
-        return F.conv(F.rpad(F.substring(F.hex(qcol(c)), 1, 12), 12, "0"), 16, 10).cast("double")
-    return qcol(c).cast("double")
-
-
 def _segment(df: DataFrame, order, keys, buckets: int | None) -> DataFrame:
-    """Segment id ``__b``: which quantile cut of the first order column a row lies
-    behind.  Rows equal in the first order column share a segment, so segments are
-    contiguous in (keys, order).  Nulls (sorted first) get -1."""
-    from pyspark.ml.feature import Bucketizer
-    x = _order_number(df, order[0])
+    """The rows with ``__t`` (tie-breaker) and ``__b``: contiguous, equally large parts of the rows
+    in the order of (keys, order, __t), nulls first; written, so that every branch sees the same."""
     n = buckets
     if not n:  # at least the shuffle-partition count and one segment per ROWS_PER_SEGMENT rows
         n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // ROWS_PER_SEGMENT))
-    cuts = []
-    if n > 1:
-        probs = [k / n for k in range(1, n)]
-        cuts = df.agg(F.percentile_approx(x, probs, 10 * n).alias("q")).first()["q"] or []
-    splits = [float("-inf"), *sorted({float(c) for c in cuts if abs(c) < float("inf")}), float("inf")]
-    if len(splits) < 3:
-        return df.withColumn("__b", F.when(x.isNull(), F.lit(-1)).otherwise(F.lit(0)))
-    marked = df.withColumn("__x", F.coalesce(x, F.lit(float("-inf"))))
-    cut = Bucketizer(splits=splits, inputCol="__x", outputCol="__b", handleInvalid="keep").transform(marked)
-    return cut.withColumn("__b", F.when(x.isNull(), F.lit(-1)).otherwise(F.col("__b").cast("int"))).drop("__x")
+    hashed = [qcol(c) for c, t in df.dtypes if "map<" not in t and "variant" not in t]
+    tied = df.withColumn("__t", F.xxhash64(*hashed))
+    # rows that are equal in everything are alike wherever they lie: the last column spreads them
+    ranged = tied.repartitionByRange(n, *[qcol(c) for c in [*keys, *order]], "__t", F.monotonically_increasing_id())
+    return materialize(ranged.withColumn("__b", F.spark_partition_id()))
 
 
 def _join_keys(left: DataFrame, right: DataFrame, keys) -> DataFrame:
@@ -84,18 +68,30 @@ def _ord(order) -> Column:
     return F.struct(*[qcol(c).alias(f"o{i}") for i, c in enumerate(order)])
 
 
+def _place(order) -> Column:
+    """A row's place among its key's rows: the order columns, then the tie-breaker."""
+    return F.struct(*[qcol(c).alias(f"o{i}") for i, c in enumerate(order)], F.col("__t").alias("t"))
+
+
+def _gap(kind: str, a: Column, b: Column) -> Column:
+    """b - a of an order column: microseconds, days or its own unit, free of time zones."""
+    if kind.startswith("timestamp"):
+        return F.timestamp_diff("MICROSECOND", a, b)
+    return F.date_diff(b, a).cast("bigint") if kind == "date" else b - a
+
+
 def _carry_prev(seg: DataFrame, keys, order, values: dict[str, Column]) -> DataFrame:
     """For each row: the last non-null of each value strictly before it in
     (keys, order), searching earlier segments too.  Adds ``__prev_<name>``
     (struct of value and its order) columns."""
     o = _ord(order)
-    w_in = Window.partitionBy(*[qcol(k) for k in keys], "__b").orderBy(*[qcol(c) for c in order]) \
+    w_in = Window.partitionBy(*[qcol(k) for k in keys], "__b").orderBy(*[qcol(c) for c in order], "__t") \
         .rowsBetween(Window.unboundedPreceding, -1)
     local = seg.select("*", *[F.last(F.when(v.isNotNull(), F.struct(v.alias("v"), o.alias("o"))),
                                      ignorenulls=True).over(w_in).alias(f"__lp_{n}")
                               for n, v in values.items()])
     summary = seg.groupBy(*[qcol(k).alias(k) for k in keys], "__b").agg(
-        *[F.max_by(F.struct(v.alias("v"), o.alias("o")), F.when(v.isNotNull(), o)).alias(f"__s_{n}")
+        *[F.max_by(F.struct(v.alias("v"), o.alias("o")), F.when(v.isNotNull(), _place(order))).alias(f"__s_{n}")
           for n, v in values.items()])
     w_seg = Window.partitionBy(*[qcol(k) for k in keys]).orderBy("__b") \
         .rowsBetween(Window.unboundedPreceding, -1)
@@ -111,13 +107,13 @@ def _carry_prev(seg: DataFrame, keys, order, values: dict[str, Column]) -> DataF
 def _carry_next(seg: DataFrame, keys, order, values: dict[str, Column]) -> DataFrame:
     """Mirror of _carry_prev: first non-null strictly after each row (``__next_<name>``)."""
     o = _ord(order)
-    w_in = Window.partitionBy(*[qcol(k) for k in keys], "__b").orderBy(*[qcol(c) for c in order]) \
+    w_in = Window.partitionBy(*[qcol(k) for k in keys], "__b").orderBy(*[qcol(c) for c in order], "__t") \
         .rowsBetween(1, Window.unboundedFollowing)
     local = seg.select("*", *[F.first(F.when(v.isNotNull(), F.struct(v.alias("v"), o.alias("o"))),
                                       ignorenulls=True).over(w_in).alias(f"__ln_{n}")
                               for n, v in values.items()])
     summary = seg.groupBy(*[qcol(k).alias(k) for k in keys], "__b").agg(
-        *[F.min_by(F.struct(v.alias("v"), o.alias("o")), F.when(v.isNotNull(), o)).alias(f"__s_{n}")
+        *[F.min_by(F.struct(v.alias("v"), o.alias("o")), F.when(v.isNotNull(), _place(order))).alias(f"__s_{n}")
           for n, v in values.items()])
     w_seg = Window.partitionBy(*[qcol(k) for k in keys]).orderBy("__b") \
         .rowsBetween(1, Window.unboundedFollowing)
@@ -141,8 +137,8 @@ def fill_forward(df: DataFrame, order_by, partition_by=None, cols=None,
     out = _carry_prev(seg, keys, order, vals)
     fills = {c: F.coalesce(qcol(c), F.col(f"__prev_{i}.v")) for i, c in enumerate(cols)}
     if leading == "backfill":
-        firsts = df.groupBy(*[qcol(k).alias(k) for k in keys]).agg(
-            *[F.min_by(qcol(c), F.when(qcol(c).isNotNull(), _ord(order))).alias(f"__f{i}")
+        firsts = seg.groupBy(*[qcol(k).alias(k) for k in keys]).agg(
+            *[F.min_by(qcol(c), F.when(qcol(c).isNotNull(), _place(order))).alias(f"__f{i}")
               for i, c in enumerate(cols)])
         if keys:
             out = _join_keys(out, firsts, keys)
@@ -157,7 +153,7 @@ def fill_forward(df: DataFrame, order_by, partition_by=None, cols=None,
 def interpolate_linear(df: DataFrame, order_by: str, partition_by=None, cols=None,
                        buckets: int | None = None) -> DataFrame:
     """WIN-04: fill interior numeric gaps on the straight line between the
-    previous and next known values, by the (numeric or timestamp) order value."""
+    previous and next known values, by the (numeric, date or timestamp) order value."""
     keys = _as_list(partition_by)
     if cols is None:
         numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)}
@@ -168,10 +164,10 @@ def interpolate_linear(df: DataFrame, order_by: str, partition_by=None, cols=Non
     prev = _carry_prev(seg, keys, [order_by], vals)
     both = _carry_next(prev, keys, [order_by], vals)
 
-    is_ts = dict(df.dtypes)[order_by].startswith("timestamp")
+    kind = dict(df.dtypes)[order_by]
 
-    def dist(a: Column, b: Column) -> Column:  # b - a as a number, time-zone free
-        return F.timestamp_diff("MICROSECOND", a, b).cast("double") if is_ts else (b - a).cast("double")
+    def dist(a: Column, b: Column) -> Column:
+        return _gap(kind, a, b).cast("double")
 
     x = qcol(order_by)
     fills = {}
@@ -220,14 +216,14 @@ def detect_gaps(df: DataFrame, order_by: str, partition_by=None, step=None,
 
     step defaults to the most frequent delta (smallest on ties).  Output:
     keys..., prev, cur, delta, step, missing_steps (delta / step - 1, floored).
-    For timestamps delta and step are seconds with microseconds; ``step`` is given so, too.
+    For timestamps delta and step are seconds with microseconds, for dates days; ``step`` is given so, too.
     """
     keys = _as_list(partition_by)
-    is_ts = dict(df.dtypes)[order_by].startswith("timestamp")
+    kind = dict(df.dtypes)[order_by]
+    is_ts = kind.startswith("timestamp")
     pv = with_previous(df.select(*[qcol(k) for k in keys], qcol(order_by)), [order_by], keys, buckets)
     prev = F.col("__prev_order")["v"]["o0"]
-    delta = (F.timestamp_diff("MICROSECOND", prev, qcol(order_by)) if is_ts
-             else qcol(order_by) - prev).alias("delta")
+    delta = _gap(kind, prev, qcol(order_by)).alias("delta")
     if is_ts and step is not None:
         step = round(step * 1_000_000)
     d = pv.select(*[qcol(k) for k in keys], prev.alias("prev"), qcol(order_by).alias("cur"), delta) \

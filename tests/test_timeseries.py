@@ -1,7 +1,7 @@
 import numpy as np
 import pandas as pd
 
-from kiln.operators.timeseries import (detect_gaps, fill_forward, interpolate_linear, is_ordered,
+from kiln.operators.timeseries import (_segment, detect_gaps, fill_forward, interpolate_linear, is_ordered,
                                        stationarity)
 
 
@@ -64,11 +64,51 @@ def test_null_keys_carry_like_any_key(spark):
         assert got[t] == last[k]
 
 
-def test_segments_hold_equal_shares_with_an_outlier(spark):
-    from kiln.operators.timeseries import _segment
-    rows = [(i, i % 3) for i in range(4000)] + [(10 ** 12, 0)]
-    counts = [r["count"] for r in _segment(spark.createDataFrame(rows, "t long, k long"), ["t"], ["k"], 16).groupBy("__b").count().collect()]
-    assert len(counts) == 16 and max(counts) <= 2 * sum(counts) / len(counts)
+def shares(df, order, keys, buckets=16):
+    counts = [r["count"] for r in _segment(df, order, keys, buckets).groupBy("__b").count().collect()]
+    return len(counts), max(counts) / (df.count() / buckets)
+
+
+def test_segments_hold_equal_shares_for_any_order(spark):
+    outlier = spark.createDataFrame([(i, i % 3) for i in range(4000)] + [(10 ** 12, 0)], "t long, k long")
+    assert shares(outlier, ["t"], ["k"])[1] <= 2
+    n = 20_000
+    base = spark.range(n)
+    text = base.selectExpr("date_format(timestamp_seconds(1700000000 + id), 'yyyy-MM-dd HH:mm:ss') AS at", "id")
+    tied = base.selectExpr("'same' AS a", "1 AS b", "id AS c")
+    dates = base.selectExpr("date_add(date'2020-01-01', cast(id % 9 AS int)) AS day", "id AS v")     # nine days only
+    equal = base.selectExpr("'same' AS a", "0 AS v")                                               # rows alike in everything
+    for df, order in ((text, ["at"]), (tied, ["a", "b", "c"]), (dates, ["day"]), (equal, ["a"])):
+        found, largest = shares(df, order, [])
+        assert found == 16 and largest <= 2, (order, found, largest)
+
+
+def test_text_dates_and_ties_fill_as_pandas(spark):
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame({"day": pd.to_datetime("2024-01-01") + pd.to_timedelta(rng.integers(0, 40, 300), "D"), "seq": rng.permutation(300)})
+    pdf["v"] = np.where(rng.random(300) < 0.6, np.nan, rng.normal(size=300))
+    df = spark.createDataFrame([(r.day.date(), f"{r.day:%Y-%m-%d}", int(r.seq), None if np.isnan(r.v) else float(r.v)) for r in pdf.itertuples()],
+                               "day date, txt string, seq long, v double")
+    want = pdf.sort_values(["day", "seq"])["v"].ffill().bfill().tolist()
+    for first in ("day", "txt"):
+        got = fill_forward(df, [first, "seq"], None, ["v"], buckets=7).orderBy(first, "seq").collect()
+        assert np.allclose([r["v"] for r in got], want)
+
+
+def test_daily_gaps_and_interpolation(spark):
+    days = ["2024-02-27", "2024-02-28", "2024-02-29", "2024-03-03", "2024-03-04"]
+    df = spark.createDataFrame([(d, None if i in (1, 3) else float(i)) for i, d in enumerate(days)], "d string, v double").selectExpr("to_date(d) AS d", "v")
+    got = [(str(r["prev"]), str(r["cur"]), r["delta"], r["step"], r["missing_steps"]) for r in detect_gaps(df, "d").collect()]
+    assert got == [("2024-02-29", "2024-03-03", 3, 1, 2)]
+    assert detect_gaps(df, "d", step=3).count() == 0
+    assert [r["v"] for r in interpolate_linear(df, "d", None, ["v"], buckets=3).orderBy("d").collect()] == [0.0, 1.0, 2.0, 3.5, 4.0]
+
+
+def test_clean_sorts_a_series_out_of_order(spark):
+    from kiln.plans import timeseries as TS
+    df = spark.createDataFrame([(3, "c", 1.0), (1, "a", None), (2, "b", 5.0)], "t long, id string, v double").repartition(3)
+    plan = {"id_cols": ["id"], "temporal_consistency": {"is_sorted": False}}
+    assert [tuple(r) for r in TS.clean(df, plan, "t").collect()] == [(1, 5.0), (2, 5.0), (3, 1.0)]
 
 
 def test_subsecond_gaps(spark):
