@@ -172,6 +172,47 @@ def impute_zero(spark, d):
     return rounded(impute(e, ["value"], "zero"))
 
 
+NAN_SQL = """(SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 7 <> 0 THEN l_quantity END AS q, CASE WHEN (l_orderkey + l_linenumber) % 5 <> 0 THEN l_extendedprice END AS p,
+  CASE WHEN l_linenumber % 3 <> 0 THEN l_discount END AS dsc, l_tax, l_suppkey % 11 AS s FROM lineitem)"""
+
+
+def with_nan(spark, d):
+    """Missing numbers as NaN, as frames of other libraries mark them, and as null."""
+    nan, key, line = F.lit(float("nan")), F.col("l_orderkey"), F.col("l_linenumber")
+    return table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.when(key % 7 != 0, F.col("l_quantity")).otherwise(nan).alias("q"),
+        F.when((key + line) % 5 != 0, F.col("l_extendedprice")).when(line % 2 == 0, nan).alias("p"),
+        F.when(line % 3 != 0, F.col("l_discount")).otherwise(nan).alias("dsc"), "l_tax", (F.col("l_suppkey") % 11).alias("s"))
+
+
+@query("correlation_nan", " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS r FROM {NAN_SQL}"
+                                             for i, a in enumerate(("q", "p", "dsc", "l_tax", "s")) for b in ("q", "p", "dsc", "l_tax", "s")[i + 1:]))
+def correlation_nan(spark, d):
+    """AGG-08 with NaN cells, by the block products that wide frames take."""
+    from kiln.operators.gram import correlation_long
+    return rounded(correlation_long(with_nan(spark, d), ["q", "p", "dsc", "l_tax", "s"], block=2, tiles=3, few=0))
+
+
+@query("impute_nan", f"""SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, round(coalesce(q, (SELECT avg(q) FROM {NAN_SQL})), 6) AS q, round(coalesce(p, (SELECT median(p) FROM {NAN_SQL})), 6) AS p,
+  round(coalesce(dsc, 0), 6) AS dsc FROM {NAN_SQL}""")
+def impute_nan(spark, d):
+    """IMP-01/02/04 where NaN marks the missing cells."""
+    from kiln.operators.impute import impute
+    df = with_nan(spark, d).select("l_orderkey", "l_linenumber", "q", "p", "dsc")
+    return rounded(impute(impute(impute(df, ["q"], "mean"), ["p"], "median"), ["dsc"], "zero"))
+
+
+@query("entity_mode_null_key", """WITH e AS (SELECT CASE WHEN user_id % 7 = 0 THEN NULL ELSE user_id END AS u, event_type, value FROM events),
+m AS (SELECT u, event_type, row_number() OVER (PARTITION BY u ORDER BY count(*) DESC, event_type) AS k FROM e GROUP BY u, event_type)
+SELECT a.u, round(a.total, 4) AS "value", m.event_type FROM (SELECT u, sum(value) AS total FROM e GROUP BY u) a JOIN m ON m.u IS NOT DISTINCT FROM a.u AND m.k = 1""")
+def entity_mode_null_key(spark, d):
+    """AGG-05: rows with a null key are an entity with its own sum and mode."""
+    from kiln.operators.aggregate import entity_aggregate
+    u = F.col("user_id")
+    e = table(spark, d, "events").select(F.when(u % 7 != 0, u).alias("u"), "event_type", "value")
+    return rounded(entity_aggregate(e, "u", sum_cols=["value"], mode_cols=["event_type"]), 4)
+
+
 @query("timeseries_audit", """SELECT 'event_id' || CASE WHEN count(DISTINCT ts) = count(*) THEN ',ts' ELSE '' END AS id_cols, count_if(prev > ts) = 0 AS is_sorted, false AS has_date_column, 'forward_fill' AS imputation_strategy
 FROM (SELECT ts, lag(ts) OVER (ORDER BY event_id) AS prev FROM events)""")
 def timeseries_audit(spark, d):

@@ -31,6 +31,18 @@ def qcol(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def known(x: Column) -> Column:
+    """A floating-point column with NaN as null: both mean missing."""
+    return F.when(~F.isnan(x), x)
+
+
+def without_nan(df: DataFrame, cols=None) -> DataFrame:
+    """The frame with NaN as null in the given (default: all) floating-point columns."""
+    kinds = dict(df.dtypes)
+    out = {c: known(qcol(c)) for c in (df.columns if cols is None else cols) if kinds.get(c) in ("double", "float")}
+    return df.withColumns(out) if out else df
+
+
 def g1_from_g1pop(g1: Column, n: Column) -> Column:
     """Bias-corrected sample skewness G1 from Spark's population g1."""
     return F.when(n > 2, g1 * F.sqrt(n * (n - 1)) / (n - 2))

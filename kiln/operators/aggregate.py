@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kiln.functions.stats import qcol
+from kiln.functions.stats import qcol, without_nan
 
 
 def mode_expr(c: str) -> Column:
@@ -26,15 +26,18 @@ def entity_aggregate(df: DataFrame, key: str, sum_cols=(), mean_cols=(), mode_co
     (count per (key, value), then the top value per key -- both partial
     aggregates) rather than Spark's ``mode``, whose per-group value map would
     put all distinct values of a hot key into one task; the per-key results
-    are joined on the key (one row per key on every side).
+    are joined on the key (one row per key on every side; null is a key like any
+    other).  Null and NaN values are missing.
     """
+    df = without_nan(df, [c for c in {*sum_cols, *mean_cols, *mode_cols} if c != key])
     name = (lambda c, s: f"{c}_{s}") if suffix else (lambda c, s: c)
     aggs = ([F.sum(qcol(c)).alias(name(c, "sum")) for c in sum_cols]
             + [F.avg(qcol(c)).alias(name(c, "mean")) for c in mean_cols])
     keys = df.select(qcol(key).alias(key)).distinct() if not aggs else None
     out = df.groupBy(qcol(key).alias(key)).agg(*aggs) if aggs else keys
     for c in mode_cols:
-        out = out.join(entity_mode(df, key, c, name(c, "mode")), key, "left")
+        found = entity_mode(df, key, c, "__m").withColumnRenamed(key, "__k")
+        out = out.join(found, qcol(key).eqNullSafe(F.col("__k")), "left").withColumn(name(c, "mode"), F.col("__m")).drop("__k", "__m")
     return out
 
 

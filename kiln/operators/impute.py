@@ -1,17 +1,17 @@
-"""Imputation (IMP-01..04, AGG-12): fit = one aggregate, transform = coalesce."""
+"""Imputation (IMP-01..04, AGG-12): fit = one aggregate, transform = coalesce.  Null and NaN are missing."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.functions.stats import qcol, quantiles
+from kiln.functions.stats import known, qcol, quantiles, without_nan
 from kiln.operators.base import ColumnRules, register
 
 
 @register("fill")
 def _apply_fill(spec: dict, df: DataFrame) -> DataFrame:
-    """coalesce(column, fill).  An integral column keeps its type when the
+    """coalesce(column, fill), NaN as null.  An integral column keeps its type when the
     fill value is a whole number; otherwise it widens to double."""
     from kiln.functions.names import INTEGRAL_TYPES
     fill = {c: v for c, v in spec["fill"].items() if c in df.columns}
@@ -23,7 +23,8 @@ def _apply_fill(spec: dict, df: DataFrame) -> DataFrame:
         if isinstance(dt, INTEGRAL_TYPES) and isinstance(v, (int, float)) and float(v).is_integer():
             out[c] = F.coalesce(qcol(c), F.lit(int(v)).cast(dt))
         else:
-            out[c] = F.coalesce(qcol(c), F.lit(v))
+            x = known(qcol(c)) if dt.typeName() in ("double", "float") else qcol(c)
+            out[c] = F.coalesce(x, F.lit(v))
     return df.withColumns(out)
 
 
@@ -31,6 +32,7 @@ def fit_impute(df: DataFrame, cols, method: str = "median", value=None,
                exact: bool = True) -> ColumnRules:
     """method: mean | median | constant (``value``, default ``Missing``) | zero."""
     cols = [c for c in cols if c in df.columns]
+    df = without_nan(df, cols)
     if method == "mean":
         row = df.agg(*[F.avg(qcol(c).cast("double")).alias(str(i)) for i, c in enumerate(cols)]).first() \
             if cols else None
@@ -53,7 +55,8 @@ def impute(df: DataFrame, cols, method: str = "median", value=None) -> DataFrame
 
 
 def null_cells(df: DataFrame) -> int:
-    """AGG-10: total null cells, one pass."""
+    """AGG-10: total missing cells (null or NaN), one pass."""
     if not df.columns:
         return 0
+    df = without_nan(df)
     return df.agg(sum(F.count_if(qcol(c).isNull()) for c in df.columns).alias("n")).first()["n"] or 0

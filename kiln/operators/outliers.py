@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.functions.stats import qcol, quantiles
+from kiln.functions.stats import known, qcol, quantiles, without_nan
 from kiln.operators.base import ColumnRules, register
 
 
@@ -16,6 +16,8 @@ def _apply_cap(spec: dict, df: DataFrame) -> DataFrame:
         if c not in df.columns:
             continue
         x = qcol(c)
+        if df.schema[c].dataType.typeName() in ("double", "float"):
+            x = known(x)                       # NaN is larger than any number, and missing
         e = x
         if hi is not None:
             e = F.when(x > F.lit(hi), F.lit(hi)).otherwise(e)
@@ -28,7 +30,7 @@ def _apply_cap(spec: dict, df: DataFrame) -> DataFrame:
 def fit_clip_iqr(df: DataFrame, cols, fold: float = 1.5, tail: str = "right") -> ColumnRules:
     """Winsorize at Q3 + fold*IQR (right), Q1 - fold*IQR (left) or both."""
     cols = [c for c in cols if c in df.columns]
-    q = quantiles(df, cols, [0.25, 0.75])
+    q = quantiles(without_nan(df, cols), cols, [0.25, 0.75])
     bounds = {}
     for c in cols:
         q1, q3 = q[c]
@@ -43,5 +45,5 @@ def fit_clip_iqr(df: DataFrame, cols, fold: float = 1.5, tail: str = "right") ->
 def fit_clip_percentile(df: DataFrame, cols, pct: float = 99.0) -> ColumnRules:
     """Cap above the ``pct`` percentile (linear interpolation); nulls stay null."""
     cols = [c for c in cols if c in df.columns]
-    q = quantiles(df, cols, [pct / 100.0])
+    q = quantiles(without_nan(df, cols), cols, [pct / 100.0])
     return ColumnRules.of("cap", {"bounds": {c: (None, q[c][0]) for c in cols if q[c][0] is not None}})

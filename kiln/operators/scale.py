@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.functions.stats import qcol, quantiles
+from kiln.functions.stats import known, qcol, quantiles, without_nan
 from kiln.operators.base import ColumnRules, register
 
 
@@ -25,7 +25,7 @@ def _apply_affine(spec: dict, df: DataFrame) -> DataFrame:
 
 def fit_robust_scale(df: DataFrame, cols, exact: bool = True) -> ColumnRules:
     cols = [c for c in cols if c in df.columns]
-    q = quantiles(df, cols, [0.25, 0.5, 0.75], exact=exact)
+    q = quantiles(without_nan(df, cols), cols, [0.25, 0.5, 0.75], exact=exact)
     params = {}
     for c in cols:
         q1, med, q3 = q[c]
@@ -41,8 +41,8 @@ def fit_standard_scale(df: DataFrame, cols) -> ColumnRules:
     if not cols:
         return ColumnRules.of("affine", {"method": "standard", "params": {}})
     row = df.agg(*[e for i, c in enumerate(cols) for e in (
-        F.avg(qcol(c).cast("double")).alias(f"m{i}"),
-        F.stddev_pop(qcol(c).cast("double")).alias(f"s{i}"))]).first()
+        F.avg(known(qcol(c).cast("double"))).alias(f"m{i}"),
+        F.stddev_pop(known(qcol(c).cast("double"))).alias(f"s{i}"))]).first()
     params = {}
     for i, c in enumerate(cols):
         m, s = row[f"m{i}"], row[f"s{i}"]

@@ -1,76 +1,23 @@
 """Correlation and statistical feature selection (AGG-07/08, SEL-01..04, SEL-08).
 
-Correlations are pairwise-complete Pearson coefficients from one Gram pass: each
-task multiplies its batches of centred values and null masks, and the products are
-summed by matrix row, so any number of columns needs one scan (after one for the
-means).  The d x d matrix is small and lives on the driver; VIF needs only that
-matrix, so the iterative VIF loop is linear algebra with no further Spark jobs.
+Correlations come from :mod:`kiln.operators.gram`.  The d x d matrix lives on the
+driver; VIF needs only that matrix, so the iterative VIF loop is linear algebra with
+no further Spark jobs.  Null and NaN are missing.
 """
 
 from __future__ import annotations
 
-from itertools import combinations
-
 import numpy as np
-import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.functions.stats import qcol, quantiles
-
-def correlation_matrix(df: DataFrame, cols) -> np.ndarray:
-    """Pairwise-complete Pearson matrix (NaN where undefined, 1 on the diagonal)."""
-    cols = list(cols)
-    d = len(cols)
-    if d < 2:
-        return np.eye(d)
-    raw = df.select(*[qcol(c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)])
-    row = raw.agg(*[F.avg(f"v{i}").alias(f"m{i}") for i in range(d)]).first()
-    centred = raw.select(*[(F.col(f"v{i}") - F.lit(row[f"m{i}"] if row[f"m{i}"] is not None else 0.0)).alias(f"v{i}") for i in range(d)])
-
-    def products(batches):
-        total = np.zeros((4, d, d))
-        for batch in batches:
-            held = np.column_stack([~np.asarray(c.is_null()) for c in batch.columns]).astype(float)
-            x = np.column_stack([np.asarray(c.fill_null(0.0)) for c in batch.columns])
-            total += np.stack([held.T @ held, x.T @ held, (x * x).T @ held, x.T @ x])
-        yield pa.RecordBatch.from_pydict({"i": list(range(d)), "sums": [total[:, i].ravel().tolist() for i in range(d)]}, schema)
-
-    def summed(rows):
-        return pd.DataFrame({"i": rows["i"][:1], "sums": [np.sum(np.stack(rows["sums"].to_numpy()), axis=0)]})
-
-    schema = pa.schema([("i", pa.int32()), ("sums", pa.list_(pa.float64()))])
-    parts = centred.mapInArrow(products, "i int, sums array<double>").groupBy("i").applyInPandas(summed, "i int, sums array<double>").collect()   # d rows
-    n, sx, sxx, sxy = np.stack([np.array(r["sums"]).reshape(4, d) for r in sorted(parts, key=lambda r: r["i"])], axis=1)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        var = sxx - sx * sx / n                                # of i over the rows that hold j, too
-        m = (sxy - sx * sx.T / n) / np.sqrt(var * var.T)
-        m[(n < 2) | (var <= 1e-12 * sxx) | (var.T <= 1e-12 * sxx.T)] = np.nan
-    m = np.clip(m, -1.0, 1.0)
-    np.fill_diagonal(m, 1.0)
-    return m
-
-
-def pair_corr(x, y):
-    """Column: Pearson coefficient over the rows that hold both, null where undefined."""
-    both = x.isNotNull() & y.isNotNull()
-    a, b = F.when(both, x), F.when(both, y)
-    return F.try_divide(F.covar_pop(a, b), F.sqrt(F.var_pop(a)) * F.sqrt(F.var_pop(b)))
-
-
-def correlation_long(df: DataFrame, cols) -> DataFrame:
-    """AGG-08 long form (a, b, r) for every pair a before b in ``cols`` order."""
-    cols = list(cols)
-    m = correlation_matrix(df, cols)
-    rows = [(cols[i], cols[j], None if np.isnan(m[i, j]) else float(m[i, j]))
-            for i, j in combinations(range(len(cols)), 2)]
-    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
+from kiln.functions.stats import known, qcol, quantiles, without_nan
+from kiln.operators.gram import correlation_long, correlation_matrix, pair_corr  # noqa: F401
 
 
 def variances(df: DataFrame, cols) -> dict[str, float | None]:
     """AGG-07 sample variance per column."""
-    row = df.agg(*[F.var_samp(qcol(c).cast("double")).alias(str(i)) for i, c in enumerate(cols)]).first()
+    row = df.agg(*[F.var_samp(known(qcol(c).cast("double"))).alias(str(i)) for i, c in enumerate(cols)]).first()
     return {c: row[str(i)] for i, c in enumerate(cols)}
 
 
@@ -134,6 +81,7 @@ def vif_filter(df: DataFrame, cols, threshold: float = 10.0) -> tuple[list[str],
     for the medians and one for the correlation matrix of the filled data.
     """
     cols = list(cols)
+    df = without_nan(df, cols)
     med = quantiles(df, cols, [0.5])
     filled = df.select(*[F.coalesce(qcol(c).cast("double"), F.lit(med[c][0])).alias(c)
                          for c in cols if med[c][0] is not None])
@@ -160,7 +108,7 @@ def vif_filter(df: DataFrame, cols, threshold: float = 10.0) -> tuple[list[str],
 def top_correlated(df: DataFrame, target: str, cols, n: int = 30) -> list[tuple[str, float]]:
     """SORT-02 / SEL-08: top-n columns by |corr with target| (target itself skipped)."""
     cols = [c for c in cols if c != target]
-    row = df.agg(*[pair_corr(qcol(c).cast("double"), qcol(target).cast("double")).alias(str(i))
+    row = df.agg(*[pair_corr(known(qcol(c).cast("double")), known(qcol(target).cast("double"))).alias(str(i))
                    for i, c in enumerate(cols)]).first()
     scored = [(c, abs(row[str(i)])) for i, c in enumerate(cols) if row[str(i)] is not None]
     scored.sort(key=lambda t: -t[1])
