@@ -151,6 +151,61 @@ def predictive_power_q(spark, d):
     return rounded(spark.createDataFrame(pps, "feature string, pps double"))
 
 
+LINES_SQL = """r AS (SELECT l_linenumber AS x, l_orderkey % 4 AS k, CASE WHEN l_linenumber % 2 = 0 THEN l_linestatus ELSE l_returnflag END AS y,
+  l_quantity * (1 + l_linenumber % 3) AS v FROM lineitem)"""
+
+
+def lines_frame(spark, d):
+    line = F.col("l_linenumber")
+    return table(spark, d, "lineitem").select(line.alias("x"), (F.col("l_orderkey") % 4).alias("k"), "l_tax",
+                                              F.when(line % 2 == 0, F.col("l_linestatus")).otherwise(F.col("l_returnflag")).alias("y"), (F.col("l_quantity") * (1 + line % 3)).alias("v"))
+
+
+@query("predictive_power_classes", f"""WITH {LINES_SQL},
+p AS (SELECT x, k, y AS said FROM (SELECT a.x, f.k, a.y, row_number() OVER (PARTITION BY a.x, f.k ORDER BY count(*) DESC, a.y) AS i
+  FROM r a JOIN (VALUES (0), (1), (2), (3)) f(k) ON a.k <> f.k GROUP BY a.x, f.k, a.y) WHERE i = 1),
+c AS (SELECT y, said, count(*) AS n FROM r JOIN p USING (x, k) GROUP BY ALL),
+f AS (SELECT sum(a.n * coalesce(2.0 * h.n / (a.n + coalesce(s.n, 0)), 0)) / sum(a.n) AS f1 FROM (SELECT y, sum(n) AS n FROM c GROUP BY y) a
+  LEFT JOIN (SELECT said AS y, sum(n) AS n FROM c GROUP BY said) s USING (y) LEFT JOIN (SELECT y, n FROM c WHERE y = said) h USING (y)),
+b AS (SELECT max(n) * (2.0 * max(n) / (max(n) + sum(n))) / sum(n) AS f1 FROM (SELECT count(*) AS n FROM r GROUP BY y))
+SELECT 'x' AS feature, round(greatest(0, (f.f1 - b.f1) / (1 - b.f1)), 6) AS pps FROM f, b""")
+def predictive_power_classes(spark, d):
+    """SEL-06 with given folds; at depth 6 a tree over seven values tells each value's commonest class."""
+    from kiln.operators.model_select import predictive_power
+    pps = predictive_power(lines_frame(spark, d), ["x"], "y", max_depth=6, fold="k")
+    return rounded(spark.createDataFrame(pps, "feature string, pps double"))
+
+
+@query("predictive_power_numbers", f"""WITH {LINES_SQL},
+p AS (SELECT a.x, f.k, avg(a.v) AS said FROM r a JOIN (VALUES (0), (1), (2), (3)) f(k) ON a.k <> f.k GROUP BY a.x, f.k)
+SELECT 'x' AS feature, round(greatest(0, 1 - (SELECT avg(abs(v - said)) FROM r JOIN p USING (x, k)) / (SELECT avg(abs(v - (SELECT median(v) FROM r))) FROM r)), 6) AS pps""")
+def predictive_power_numbers(spark, d):
+    """SEL-06 of a numeric target with given folds: each value's mean."""
+    from kiln.operators.model_select import predictive_power
+    pps = predictive_power(lines_frame(spark, d), ["x"], "v", max_depth=6, fold="k")
+    return rounded(spark.createDataFrame(pps, "feature string, pps double"))
+
+
+@query("rotate_columns", """WITH e AS (SELECT event_id, value, user_id, row_number() OVER (ORDER BY event_id) - 1 AS i, count(*) OVER () AS n FROM events)
+SELECT a.event_id, round(a.value, 6) AS value, round(b.value, 6) AS value_1, c.user_id::DOUBLE AS user_7 FROM e a JOIN e b ON b.i = (a.i + 1) % a.n JOIN e c ON c.i = (a.i + 7) % a.n""")
+def rotate_columns(spark, d):
+    """SEL-05's rotation: values of rows 1 and 7 places on, in one window."""
+    from kiln.operators.model_select import rotated
+    e = rotated(table(spark, d, "events"), ["value", "user_id"], [1, 7], order_by="event_id", buckets=1)
+    return rounded(e.select("event_id", "value", F.col("__r")[0][0].alias("value_1"), F.col("__r")[1][1].alias("user_7")))
+
+
+@query("softmax_importance")
+def softmax_importance(spark, d):
+    """SEL-07: gains of three-class softmax boosting over numbers of lineitem."""
+    from kiln.operators.histogram import softmax_boost
+    from kiln.operators.model_select import _prepare
+    feats = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate", "l_linestatus"]
+    base = _prepare(table(spark, d, "lineitem"), feats, "l_returnflag", True)
+    gains = softmax_boost(base, feats, 3, rounds=5)[0]
+    return rounded(spark.createDataFrame([(c, gains.get(c, 0.0)) for c in feats], "feature string, gain double"), 4)
+
+
 @query("sulov_select")
 def sulov_select_q(spark, d):
     """SEL-07: SULOV by mutual information (limit 0.70), then boosted-tree importances."""

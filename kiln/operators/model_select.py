@@ -1,38 +1,37 @@
-"""Model-based feature selection (SEL-05/06/07/09) on Spark ML.
+"""Model-based feature selection (SEL-05/06/07/09).
 
 * permutation importance: the fitted forest scores the table with one column
-  permuted.  The permutation is distributed: rows get a stable id, are hashed
-  into buckets, and inside each bucket the column's values are re-paired with
-  rows by two independent random ranks (a uniform permutation within every
-  bucket, computed by windows over bounded buckets and one equi-join).  No row
-  is sampled or dropped.
-* predictive power score: a decision tree per feature (``max_depth`` is a
-  parameter), 4 folds by a hash of the row (every row is in exactly one fold).
+  permuted.  Rows are put in a random order inside hash buckets (one shuffle) and
+  every column is rotated along it: a row takes a column's value from the row a few
+  places on, and a halo of copied rows closes each bucket's circle.  One rotation a
+  repeat serves all features, and one job scores them all.  No row is sampled or dropped.
+* predictive power score: a tree per feature (``max_depth`` is a parameter), 4 folds
+  by a hash of the row (every row is in exactly one fold, or in that of a given
+  column), all grown from one histogram pass (:mod:`kiln.operators.histogram`).
 * Features of any type take part: numbers, booleans and times as numbers, text by
-  the rank of its level's frequency when it has at most ``MOST_LEVELS`` levels,
-  else by a hash to ``HASHED_LEVELS`` codes.  Labels of a classification are
-  indexed, whatever their values.
+  the rank of its level's frequency, at any number of levels.  Labels of a
+  classification are indexed, whatever their values.
 * SULOV: mutual information from (bin, label) counts; of each pair with
-  |r| > limit the lower-MI feature goes; then boosted-tree importances.
+  |r| > limit the lower-MI feature goes; then boosted-tree importances, for more than
+  two classes by softmax boosting.
 * RFE: forest importances, drop the weakest until ``n`` remain.
 """
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier,
-                                       RandomForestClassifier)
-from pyspark.ml.evaluation import (MulticlassClassificationEvaluator,
-                                   RegressionEvaluator)
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor,
-                                   RandomForestRegressor)
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kiln.functions.names import semantic_type
-from kiln.functions.stats import qcol, quantiles
+from kiln.functions.stats import qcol, quantiles, without_nan
+from kiln.operators.histogram import feature_power, softmax_boost
 from kiln.session import materialize
 
 SEED = 42
@@ -47,11 +46,24 @@ def is_classification(df: DataFrame, target: str) -> bool:
 
 
 MOST_LEVELS = 256
-HASHED_LEVELS = 4096
+
+
+def level_ranks(df: DataFrame, c: str) -> DataFrame:
+    """``df`` with a text column as the rank of its level, 1 for the most frequent (ties by the level); nulls stay.
+    Up to ``MOST_LEVELS`` levels are an expression, more are a ranked table joined back."""
+    from kiln.operators.encode import _dense_codes
+    v = qcol(c).cast("string")
+    counts = df.where(v.isNotNull()).groupBy(v.alias("__lvl")).agg((-F.count(F.lit(1))).alias("__first"))
+    most = counts.orderBy("__first", "__lvl").limit(MOST_LEVELS + 1).collect()
+    if len(most) <= MOST_LEVELS:
+        at = F.array_position(F.array(*[F.lit(r["__lvl"]) for r in most]), v) if most else F.lit(None)
+        return df.withColumn(c, F.when(v.isNotNull(), at.cast("double")))
+    ranks = _dense_codes(counts)
+    return df.join(ranks, v == F.col("__lvl"), "left").withColumn(c, F.col("__code").cast("double") + 1.0).drop("__lvl", "__code")
 
 
 def encoded(df: DataFrame, features) -> DataFrame:
-    """``df`` with the features as doubles (nulls stay), by their type; see the module doc."""
+    """``df`` with the features as doubles (missing values null), by their type; see the module doc."""
     kinds = {c: semantic_type(df.schema[c].dataType) for c in features}
     text = [c for c in features if kinds[c] not in ("Numeric", "Boolean", "DateTime")]
     out = {}
@@ -60,22 +72,14 @@ def encoded(df: DataFrame, features) -> DataFrame:
             out[c] = F.unix_micros(qcol(c).cast("timestamp")).cast("double")
         elif c not in text:
             out[c] = qcol(c).cast("double")
-    if text:
-        sizes = df.agg(*[F.approx_count_distinct(qcol(c).cast("string")).alias(str(i)) for i, c in enumerate(text)]).first()
-        for i, c in enumerate(text):
-            v = qcol(c).cast("string")
-            if sizes[str(i)] <= MOST_LEVELS:
-                levels = df.where(v.isNotNull()).groupBy(v.alias("v")).count().orderBy(F.desc("count"), "v").limit(2 * MOST_LEVELS)
-                names = [r["v"] for r in levels.collect()]
-                at = F.array_position(F.array(*[F.lit(x) for x in names]), v)
-                out[c] = F.when(v.isNotNull(), at.cast("double")) if names else F.lit(None).cast("double")
-            else:
-                out[c] = F.pmod(F.xxhash64(v), F.lit(HASHED_LEVELS)).cast("double") + F.when(v.isNotNull(), 0.0)
-    return df.withColumns(out) if out else df
-
-
-def _prepare(df: DataFrame, features, target: str, clf: bool) -> DataFrame:
-    """Median-filled numeric features, label, and a hash of the row as id; checkpointed."""
+    df = without_nan(df.withColumns(out) if out else df, list(out))
+    for c in text:
+        df = level_ranks(df, c)
+    return df
+
+
+def _prepare(df: DataFrame, features, target: str, clf: bool, fold: str | None = None) -> DataFrame:
+    """Median-filled numeric features, label, a number that tells rows apart (``__rid``) and the given ``fold``; checkpointed."""
     src = df.where(qcol(target).isNotNull())
     if clf:  # labels -> 0..k-1 (StringIndexer: one distributed count, k labels)
         from pyspark.ml.feature import StringIndexer
@@ -83,11 +87,13 @@ def _prepare(df: DataFrame, features, target: str, clf: bool) -> DataFrame:
         src = StringIndexer(inputCol="__yt", outputCol="__y", stringOrderType="alphabetAsc").fit(src).transform(src)
     else:
         src = src.withColumn("__y", qcol(target).cast("double"))
-    src = src.withColumn("__rid", F.xxhash64(*[qcol(c) for c in df.columns]))
+    # equal rows differ by their place; the table is written once, so the number stays
+    src = src.withColumn("__rid", F.xxhash64(F.monotonically_increasing_id(), *[qcol(c) for c in df.columns]))
+    src = src.withColumn("__fold", (qcol(fold).cast("int") if fold else F.lit(None).cast("int")))
     src = encoded(src, features)
     med = quantiles(src, features, [0.5])
     cols = [F.coalesce(qcol(c), F.lit(med[c][0] if med[c][0] is not None else 0.0)).alias(c) for c in features]
-    return materialize(src.select(*cols, "__y", "__rid"))
+    return materialize(src.select(*cols, "__y", "__rid", "__fold"))
 
 
 def _forest(clf: bool, trees: int, seed: int = SEED):
@@ -95,41 +101,46 @@ def _forest(clf: bool, trees: int, seed: int = SEED):
             else RandomForestRegressor(numTrees=trees, seed=seed, labelCol="__y", featuresCol="__x"))
 
 
-def _score(pred: DataFrame, clf: bool) -> float:
-    if clf:
-        return MulticlassClassificationEvaluator(labelCol="__y", metricName="accuracy").evaluate(pred)
-    return RegressionEvaluator(labelCol="__y", metricName="r2").evaluate(pred)
+ROWS_PER_BUCKET = 200_000
 
 
-def permute_column(base: DataFrame, col: str, seed: int, buckets: int = 64) -> DataFrame:
-    """Replace ``col`` by a random permutation of its values within hash buckets
-    (callers size ``buckets`` so a bucket holds ~2M rows at most)."""
-    b = (F.xxhash64("__rid", F.lit(seed)) % buckets + buckets) % buckets
-    w1 = Window.partitionBy("__bk").orderBy(F.xxhash64("__rid", F.lit(seed + 1)), "__rid")
-    w2 = Window.partitionBy("__bk").orderBy(F.xxhash64("__rid", F.lit(seed + 2)), "__rid")
-    tagged = base.withColumn("__bk", b)
-    rows = tagged.drop(col).withColumn("__rk", F.row_number().over(w1))
-    vals = tagged.select("__bk", qcol(col).alias(col), F.row_number().over(w2).alias("__rk"))
-    return rows.join(vals, ["__bk", "__rk"]).drop("__bk", "__rk")
+def rotated(base: DataFrame, cols, shifts, seed: int = SEED, order_by: str | None = None, buckets: int | None = None) -> DataFrame:
+    """``base`` with ``__x`` (array of the columns) and ``__r``: for every shift the same array of the row so many places
+    on.  Places are a random order of the rows in each hash bucket of ``__rid`` (or that of ``order_by``), closed to a
+    circle: the first rows of a bucket are copied behind its last, so that one window gives every shift."""
+    row = F.col("__rid") if order_by is None else qcol(order_by)
+    n = buckets or max(1, -(-base.count() // ROWS_PER_BUCKET))
+    place = [F.xxhash64(row, F.lit(seed + 1)), row] if order_by is None else [row]
+    placed = base.withColumn("__x", F.array(*[qcol(c).cast("double") for c in cols])).withColumn("__bk", F.pmod(F.xxhash64(row, F.lit(seed)), F.lit(n)))
+    in_bucket = Window.partitionBy("__bk")
+    placed = placed.withColumn("__i", F.row_number().over(in_bucket.orderBy(*place))).withColumn("__n", F.count(F.lit(1)).over(in_bucket))
+    laps = F.floor((F.lit(max(shifts)) + F.col("__n") - F.col("__i")) / F.col("__n")).cast("int")
+    halo = placed.withColumn("__lap", F.explode(F.sequence(F.lit(0), laps)))
+    around = in_bucket.orderBy(F.col("__i") + F.col("__lap") * F.col("__n"))
+    out = halo.withColumn("__r", F.array(*[F.lead("__x", s).over(around) for s in shifts]))
+    return out.filter("__lap = 0").drop("__bk", "__i", "__n", "__lap")
 
 
 def permutation_importance(df: DataFrame, features, target: str, repeats: int = 3, trees: int = 50,
                            seed: int = SEED) -> list[tuple[str, float]]:
-    """SEL-05 mean score drop per feature (accuracy or R^2)."""
-    clf = is_classification(df, target)
+    """SEL-05 mean score drop per feature (accuracy or R^2); one job scores every feature and repeat."""
+    clf, features = is_classification(df, target), list(features)
     base = _prepare(df, features, target, clf)
-    asm = VectorAssembler(inputCols=list(features), outputCol="__x")
+    if base.isEmpty():
+        return [(c, 0.0) for c in features]
+    asm = VectorAssembler(inputCols=features, outputCol="__x")
     model = _forest(clf, trees, seed).fit(asm.transform(base))
-    ref = _score(model.transform(asm.transform(base)), clf)
-    buckets = max(64, -(-base.count() // 2_000_000))
-    out = []
-    for c in features:
-        drops = []
-        for r in range(repeats):
-            perm = permute_column(base, c, seed + 17 * r, buckets)
-            drops.append(ref - _score(model.transform(asm.transform(perm)), clf))
-        out.append((c, sum(drops) / len(drops)))
-    return out
+    turned = rotated(base, features, list(range(1, repeats + 1)), seed)
+    # variant -1 is the row as it is, variant j * repeats + r has feature j rotated by the r-th shift
+    variants = turned.select("__y", "__x", "__r", F.explode(F.sequence(F.lit(-1), F.lit(len(features) * repeats - 1))).alias("__v"))
+    j, r = F.floor(F.col("__v") / repeats).cast("int"), F.pmod(F.col("__v"), F.lit(repeats)).cast("int")
+    swapped = F.transform("__x", lambda x, i: F.when((F.col("__v") >= 0) & (i == j), F.col("__r")[r][i]).otherwise(x))
+    pred = model.transform(variants.select("__y", "__v", array_to_vector(swapped).alias("__x")))
+    y, p = F.col("__y"), F.col("prediction")
+    score = F.avg((y == p).cast("double")) if clf else 1 - F.try_divide(F.sum((y - p) ** 2), F.var_pop(y) * F.count(y))
+    got = {row["__v"]: row["s"] for row in pred.groupBy("__v").agg(score.alias("s")).collect()}
+    drop = [(got[-1] or 0.0) - (got[v] or 0.0) for v in range(len(features) * repeats)]
+    return [(c, sum(drop[i * repeats:(i + 1) * repeats]) / repeats) for i, c in enumerate(features)]
 
 
 def importance_filter(df: DataFrame, features, target: str, threshold: float = 0.02, **kw):
@@ -141,38 +152,19 @@ def importance_filter(df: DataFrame, features, target: str, threshold: float = 0
 
 
 def predictive_power(df: DataFrame, features, target: str, folds: int = 4, max_depth: int = 5,
-                     seed: int = SEED) -> list[tuple[str, float]]:
+                     seed: int = SEED, fold: str | None = None) -> list[tuple[str, float]]:
     """SEL-06 PPS per feature: regression 1 - MAE/MAE(median baseline);
     classification (F1w - F1w_base) / (1 - F1w_base) with the most common
-    class as baseline; both floored at 0."""
-    clf = is_classification(df, target)
-    base = _prepare(df, features, target, clf).withColumn("__fold", F.abs(F.xxhash64("__rid", F.lit(seed))) % folds)
-    out = []
-    for c in features:
-        asm = VectorAssembler(inputCols=[c], outputCol="__x")
-        data = asm.transform(base)
-        preds = []
-        for k in range(folds):
-            train, test = data.where(F.col("__fold") != k), data.where(F.col("__fold") == k)
-            est = (DecisionTreeClassifier(maxDepth=max_depth, seed=seed, labelCol="__y", featuresCol="__x") if clf
-                   else DecisionTreeRegressor(maxDepth=max_depth, seed=seed, labelCol="__y", featuresCol="__x"))
-            preds.append(est.fit(train).transform(test).select("__y", "prediction"))
-        pred = preds[0]
-        for p in preds[1:]:
-            pred = pred.unionByName(p)
-        if clf:
-            ev = MulticlassClassificationEvaluator(labelCol="__y", metricName="f1")
-            f1 = ev.evaluate(pred)
-            top = base.groupBy("__y").count().orderBy(F.desc("count"), "__y").first()["__y"]
-            f1_base = ev.evaluate(base.select("__y", F.lit(float(top)).alias("prediction")))
-            score = 0.0 if f1_base >= 1 else max(0.0, (f1 - f1_base) / (1 - f1_base))
-        else:
-            mae = RegressionEvaluator(labelCol="__y", metricName="mae").evaluate(pred)
-            med = quantiles(base, ["__y"], [0.5])["__y"][0]
-            mae_base = base.agg(F.avg(F.abs(F.col("__y") - F.lit(med)))).first()[0]
-            score = 0.0 if not mae_base else max(0.0, 1 - mae / mae_base)
-        out.append((c, score))
-    return out
+    class as baseline; both floored at 0, and 0 for a table without rows.
+    ``fold``: a column that holds each row's fold (0 to folds - 1), else a hash deals them."""
+    clf, features = is_classification(df, target), list(features)
+    base = _prepare(df, features, target, clf, fold)
+    if not features or base.isEmpty():
+        return [(c, 0.0) for c in features]
+    if fold is None:
+        base = base.withColumn("__fold", F.pmod(F.xxhash64("__rid", F.lit(seed)), F.lit(folds)).cast("int"))
+    median = None if clf else quantiles(base, ["__y"], [0.5])["__y"][0]
+    return list(zip(features, feature_power(base, features, clf, folds, max_depth, median)))
 
 
 def mutual_information(df: DataFrame, features, target: str, bins: int = 10) -> list[tuple[str, float]]:
@@ -198,21 +190,22 @@ def mutual_information(df: DataFrame, features, target: str, bins: int = 10) ->
                                                      F.explode(F.array(*parts)).alias("p")) \
         .select("y", "p.f", "p.b").where(F.col("b").isNotNull())
     joint = long.groupBy("f", "b", "y").count()
-    wf = Window.partitionBy("f")
-    mi = (joint.withColumn("n", F.sum("count").over(wf))
-          .withColumn("nb", F.sum("count").over(Window.partitionBy("f", "b")))
-          .withColumn("ny", F.sum("count").over(Window.partitionBy("f", "y")))
-          .groupBy("f").agg(F.sum(F.col("count") / F.col("n") *
-                                  F.log(F.col("count") * F.col("n") / (F.col("nb") * F.col("ny")))).alias("mi")))
-    got = {r["f"]: r["mi"] for r in mi.collect()}
-    return [(c, float(got.get(c, 0.0))) for c in features]
+    # sum over cells of c/n log(c n / (b y)) = (sum c log c - sum b log b - sum y log y) / n + log n: three partial aggregates
+    def entropy(counts: DataFrame) -> dict:
+        return {r["f"]: (r["s"], r["n"]) for r in counts.groupBy("f").agg(F.sum(F.col("count") * F.log("count")).alias("s"), F.sum("count").alias("n")).collect()}
+
+    cells = entropy(joint)
+    by_bin, by_label = (entropy(joint.groupBy("f", k).agg(F.sum("count").alias("count"))) for k in ("b", "y"))
+    got = {f: (s - by_bin[f][0] - by_label[f][0]) / n + math.log(n) for f, (s, n) in cells.items()}
+    return [(c, max(0.0, float(got.get(c, 0.0)))) for c in features]
 
 
 def sulov_select(df: DataFrame, features, target: str, limit: float = 0.70, trees: int = 20,
                  seed: int = SEED) -> tuple[list[str], list[tuple[str, float]]]:
     """SEL-07: SULOV (drop the lower-MI feature of each |r| > limit pair), then
     boosted trees on ``SUBSETS`` ever shorter tails of the list; a feature with
-    importance in any of them stays (forest when the classifier is not binary).  Returns (selected, [(feature, mi)])."""
+    importance in any of them stays.  More than two classes take softmax boosting, the
+    tails together.  Returns (selected, [(feature, mi)])."""
     from kiln.operators.select import correlation_matrix
     features = list(features)
     clf = is_classification(df, target)
@@ -228,18 +221,16 @@ def sulov_select(df: DataFrame, features, target: str, limit: float = 0.70, tree
     if len(keep) > 1:
         base = _prepare(df, keep, target, clf)
         n_classes = base.select("__y").distinct().count() if clf else 0
+        tails = [keep[at:] for at in range(0, len(keep), max(1, -(-len(keep) // SUBSETS)))]  # ever shorter tails of the list
         found = set()
-        for at in range(0, len(keep), max(1, -(-len(keep) // SUBSETS))):  # ever shorter tails of the list
-            part = keep[at:]
-            asm = VectorAssembler(inputCols=part, outputCol="__x").transform(base)
-            if clf and n_classes > 2:
-                est = RandomForestClassifier(numTrees=trees, seed=seed, labelCol="__y", featuresCol="__x")
-            elif clf:
-                est = GBTClassifier(maxIter=trees, seed=seed, labelCol="__y", featuresCol="__x")
-            else:
-                est = GBTRegressor(maxIter=trees, seed=seed, labelCol="__y", featuresCol="__x")
-            imp = est.fit(asm).featureImportances.toArray()
-            found |= {c for c, v in zip(part, imp) if v > 0}
+        if clf and n_classes > 2:
+            found = {c for gains in softmax_boost(base, keep, n_classes, tails, rounds=trees) for c in gains}
+        else:
+            for part in tails:
+                asm = VectorAssembler(inputCols=part, outputCol="__x").transform(base)
+                est = (GBTClassifier if clf else GBTRegressor)(maxIter=trees, seed=seed, labelCol="__y", featuresCol="__x")
+                imp = est.fit(asm).featureImportances.toArray()
+                found |= {c for c, v in zip(part, imp) if v > 0}
         keep = [c for c in keep if c in found] or keep[:1]
     return keep, sorted(mi.items(), key=lambda t: -t[1])
 
