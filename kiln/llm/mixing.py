@@ -182,7 +182,7 @@ def repeating(sources: DataFrame, resolution: int) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights: dict | None = None, block: int = BLOCK, resolution: int | None = None) -> DataFrame:
-    """The rows with slot and position: ordered by position, every prefix holds the target weights.
+    """The rows with slot and position (in place of columns of those names): ordered by position, every prefix holds the target weights.
 
     ``weights``: by source; by default the square root of its rows.  Weights are met as
     given, or rounded to shares of ``resolution`` slots.  Positions are unique
@@ -190,11 +190,13 @@ def mix(docs: DataFrame, weights: dict | None = None, block: int = BLOCK, resolu
     """
     sources = weighted(docs, weights, block)
     buckets = -(-(sources.agg(F.sum("n")).first()[0] or 0) // BUCKET_ROWS) or 1
-    rows = docs.withColumn("_bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)))
+    # the row is one struct, so its columns may have any name; rows without an id are told apart by their other columns
+    row = F.xxhash64(*docs.columns)
+    rows = docs.select("source", "doc_id", row.alias("_row_hash"), F.struct(*docs.columns).alias("_row"), F.pmod(row, F.lit(buckets)).alias("_bucket"))
     offsets = (rows.groupBy("source", "_bucket").agg(F.count("*").alias("_n"))
                .withColumn("_before", F.sum("_n").over(Window.partitionBy("source").orderBy("_bucket")) - F.col("_n"))
                .select(F.col("source").alias("_source"), F.col("_bucket").alias("_b"), "_before"))
-    within = Window.partitionBy("source", "_bucket").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64(*docs.columns))
+    within = Window.partitionBy("source", "_bucket").orderBy(F.xxhash64("doc_id"), "doc_id", "_row_hash")
     ranked = (rows.withColumn("_rank", F.row_number().over(within) - 1)
               .join(offsets, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_bucket") == F.col("_b")))
               .withColumn("_rank", F.col("_rank") + F.col("_before")).withColumn("_block", F.expr(f"_rank div {block}")))
@@ -207,7 +209,9 @@ def mix(docs: DataFrame, weights: dict | None = None, block: int = BLOCK, resolu
         phase = F.size(F.filter("firsts", lambda x: x <= F.col("_block"))) - 1
         ranked = ranked.withColumn("_phase", phase).withColumn("_turns", F.get("turns", F.col("_phase"))).withColumn("_k", F.col("_block") - F.get("firsts", F.col("_phase")))
         slot = F.get("starts", F.col("_phase")) + F.expr("_k div size(_turns)") * F.get("periods", F.col("_phase")) + F.get("_turns", F.expr("cast(_k % size(_turns) as int)"))
-    return ranked.withColumn("slot", slot.cast("long")).withColumn("position", F.col("slot") * block + F.col("_rank") % block).select(*docs.columns, "slot", "position")
+    placed = ranked.select("_row", slot.cast("long").alias("slot"), (slot.cast("long") * block + F.col("_rank") % block).alias("position"))
+    kept = [F.col("_row").getField(c).alias(c) for c in docs.columns if c not in ("slot", "position")]
+    return placed.select(*kept, "slot", "position")
 
 
 @query("op6_mixing")

@@ -10,6 +10,7 @@ from fractions import Fraction
 from pathlib import Path
 
 import brute
+from conftest import CLASHING
 import numpy as np
 import public_tokenizers
 import pytest
@@ -372,23 +373,38 @@ def test_pipeline_stages(spark, tokenizer):
     assert ids[2] == [k for k in ids[1] if not brute.contaminated(text[k], items)[3]]
     assert ids[2] == ids[3] == ids[4] and len(ids[2]) < len(text)
     assert all(x.columns == docs.columns for x in (clean, single, apart, mixed))
-    order = [r["doc_id"] for r in mixing.mix(apart).orderBy("position").collect()]
+    order = [r["doc_id"] for r in mixing.mix(apart.select("doc_id", "source", F.struct(*apart.columns).alias("row"))).orderBy("position").collect()]
     got = files.orderBy("start").collect()
     assert [r["doc_id"] for r in got] == order
     assert [r["ids_crc32"] for r in got] == [zlib.crc32(packed(ids_of(tokenizer, text[k]))) for k in order]
 
 
 def test_pipeline_of_awkward_rows(spark, docs, rows):
-    _, clean, single, apart, mixed, files = staged(spark, docs, SF)
+    names = ("_toxicity", "toxicity", "_text_hash", "of", "_k", "_slot", "_source", "_b", "_before", "_rank", "_bucket", "_row", "row", "n", "weight")
+    wide = docs.withColumns({c: F.concat_ws("|", F.lit(c), F.col("doc_id").cast("string")) for c in names})
+    _, clean, single, apart, mixed, files = staged(spark, wide, SF)
     left = [(r["doc_id"], r["text"]) for r in single.collect()]
-    assert all(x.columns == docs.columns for x in (clean, single, apart, mixed))
-    kept = [(r["doc_id"], r["text"]) for r in clean.collect()]
-    groups = {c for (k, t), (n, c) in zip(kept, brute.near(kept)) if k is not None and n}
-    alone = [k for (k, t), (n, _) in zip(kept, brute.near(kept)) if k is None or not n]
+    assert all(x.columns == wide.columns for x in (clean, single, apart, mixed))
+    for stage in (clean, single, apart, mixed):                                          # values, not names alone
+        for r in stage.collect():
+            assert all(r[c] == c + ("" if r["doc_id"] is None else f"|{r['doc_id']}") for c in names)
+            assert all(r[c] == "clash" for c in CLASHING if c not in names)
+    # a row without an id is known by its text: groups of linked documents, and equal rows once
+    kept = [(2 ** 62 + abs(hash(t)) // 4 if k is None else k, t) for k, t in ((r["doc_id"], r["text"]) for r in clean.collect())]
+    judged = brute.near(kept)
+    groups, alone = {c for n, c in judged if n}, [1 for n, _ in judged if not n]
     assert len(left) == len(groups) + len(alone)
     assert files.count() == mixed.count() == apart.count()
 
 
+def test_copies_without_an_id(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(None, text), (None, text), (None, text + " more"), (7, text), (None, "other " + text[::-1]), (None, None), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    left = corpus_pipeline.near_copies_out(spark, docs, SF).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in left), key=str) == sorted([(7, text), (None, "other " + text[::-1]), (None, None), (None, None)], key=str)
+
+
 def test_pipeline_of_nothing(spark, no_docs):
     assert corpus_pipeline.token_files(spark, corpus_pipeline.mixed(spark, corpus_pipeline.benchmark_out(
         spark, corpus_pipeline.near_copies_out(spark, corpus_pipeline.toxic_out(spark, no_docs, SF), SF), SF), SF), SF).count() == 0
