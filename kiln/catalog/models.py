@@ -97,6 +97,18 @@ SELECT count(DISTINCT label)::BIGINT AS k,
 FROM s"""
 
 
+@query("silhouette_euclidean", """WITH t AS (SELECT c_custkey AS i, c_mktsegment AS c, c_acctbal / 1000 AS x, c_nationkey AS y FROM customer),
+p AS (SELECT a.i, a.c, b.c AS o, sum(sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2)) AS s, count(*) AS n FROM t a CROSS JOIN t b GROUP BY ALL),
+r AS (SELECT i, max(CASE WHEN o = c THEN s / (n - 1) END) AS a, min(CASE WHEN o <> c THEN s / n END) AS b FROM p GROUP BY i)
+SELECT count(*)::BIGINT AS n, round(avg((b - a) / greatest(a, b)), 6) AS silhouette FROM r""")
+def silhouette_euclidean(spark, d):
+    """CLU-09 with Euclidean distances; clusters below the sample size are taken whole."""
+    from kiln.operators.silhouette import euclidean_silhouette
+    c = table(spark, d, "customer").select((F.col("c_acctbal") / 1000).alias("x"), F.col("c_nationkey").alias("y"), "c_mktsegment")
+    got = euclidean_silhouette(c, ["x", "y"], "c_mktsegment")
+    return rounded(spark.createDataFrame([(got["n"], got["silhouette"])], "n bigint, silhouette double"))
+
+
 @query("silhouette", SILHOUETTE_SQL)
 def silhouette_q(spark, d):
     """CLU-09: silhouette of the fixed labels (squared Euclidean, Spark's O(n k) form)."""

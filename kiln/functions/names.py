@@ -76,5 +76,9 @@ def align_schema(df: DataFrame, cols, fill=0) -> DataFrame:
 
 
 def as_entity(df: DataFrame, key: str | None) -> DataFrame:
-    """Drop the CSV index artefact; the key stays an ordinary column."""
-    return drop_columns(df, ["Unnamed: 0"])
+    """Drop the CSV index artefact and put the key, found under any case, first; Spark rows have no index."""
+    out = drop_columns(df, ["Unnamed: 0"])
+    if key is None:
+        return out
+    name = resolve_column(out, key)
+    return out.select(qcol(name), *[qcol(c) for c in out.columns if c != name])

@@ -256,8 +256,11 @@ def calinski_harabasz(df: DataFrame, cols, cluster: str = "cluster") -> DataFram
 
 
 def silhouette(labeled: DataFrame, cols, cluster: str = "cluster", metric: str = "squaredEuclidean") -> float:
-    """CLU-09: Spark's O(n k) silhouette (squared Euclidean or cosine).  The
-    exact Euclidean form needs every pair of rows, which we do not run."""
+    """CLU-09: Spark's O(n k) silhouette (squared Euclidean or cosine); ``euclidean`` is
+    that of :func:`kiln.operators.silhouette.euclidean_silhouette`, within its bound."""
+    if metric == "euclidean":
+        from kiln.operators.silhouette import euclidean_silhouette
+        return euclidean_silhouette(labeled, cols, cluster)["silhouette"]
     vec = assemble(labeled, cols)
     return ClusteringEvaluator(predictionCol=cluster, featuresCol="features",
                                distanceMeasure=metric).evaluate(vec)

@@ -276,12 +276,14 @@ def validate_strategy(strategy: dict, profile: DataFrame) -> list[str]:
     """Problems with a user-supplied feature strategy (empty list = valid)."""
     errs = []
     cols = {r["column"]: r for r in profile.collect()}
+    made: set[str] = set()                       # interactions are built in order, so a later one may use an earlier one
     for it in strategy.get("interaction_priorities", []):
         if it.get("logic") not in ("ratio", "multiplication"):
             errs.append(f"interaction {it.get('name')}: logic must be ratio or multiplication")
         for c in it.get("pair", []):
-            if c not in cols:
+            if c not in cols and c not in made:
                 errs.append(f"interaction {it.get('name')}: unknown column {c}")
+        made.add(it.get("name"))
     subj = strategy.get("subject_id")
     if subj and subj in cols and cols[subj]["is_unique"]:
         errs.append(f"subject_id {subj} is 1:1 with rows: not an entity key")

@@ -85,10 +85,12 @@ def clean(df: DataFrame, target: str, plan: dict, order_by: str | None = None,
 def generate_features(df: DataFrame, order_by: str | None = None, carry=()) -> DataFrame:
     """FE-09 feature frame: dates -> parts and pairwise day differences,
     numerics + pairwise minus/ratio, strings -> first-appearance codes.
-    ``carry`` columns pass through untouched (e.g. the target)."""
+    ``carry`` columns pass through untouched (e.g. the target).  Names are trimmed first."""
+    from kiln.functions.names import strip_names
     from kiln.operators.encode import factorize
     from kiln.operators.features import as_timestamp, elapsed_days
-    carry = [c for c in carry if c in df.columns]
+    df, order_by = strip_names(df), order_by.strip() if order_by else order_by
+    carry = [c for c in (x.strip() for x in carry) if c in df.columns]
     src = [c for c in df.columns if c not in carry]
     dates = [c for c in columns_like(src, "date", loose=True)]
     nums = [c for c in select_types(df.select(*[qcol(c) for c in src]), ("Numeric",)) if c not in dates]
@@ -116,8 +118,8 @@ def gold_features(silver: DataFrame, plan: dict, order_by: str | None = None) ->
     """plan: selected_features, base_columns, target_column, target_exists.
     Features are aligned to base_columns (absent -> 0), median-imputed and
     robust-scaled; the target stays in the same row (no positional zip)."""
-    from kiln.functions.names import align_schema
-    target = plan["target_column"]
+    from kiln.functions.names import align_schema, strip_names
+    silver, target = strip_names(silver), plan["target_column"].strip()
     has_target = bool(plan.get("target_exists")) and target in silver.columns
     base_cols = [c for c in plan["base_columns"] if c != target]
     eng = generate_features(silver, order_by, carry=[target] if has_target else [])

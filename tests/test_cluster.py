@@ -99,3 +99,24 @@ def test_segment_with_interactions_and_pca_scores_raw_rows(spark, tmp_path):
         assert got.columns == ["a", "b", "c", "cluster"]
         want = sorted(r["count"] for r in res["labeled"].groupBy("cluster").count().collect())
         assert sorted(r["count"] for r in got.groupBy("cluster").count().collect()) == want
+
+
+def test_euclidean_silhouette_within_its_bound(spark):
+    import numpy as np
+
+    from kiln.operators.silhouette import euclidean_silhouette
+    rng = np.random.default_rng(2)
+    x = np.concatenate([rng.normal(size=(m, 3)) + c for m, c in ((1500, 0), (400, 3), (60, -4))] + [[[50.0, 0, 0]]])
+    label = ["a"] * 1500 + ["b"] * 400 + ["c"] * 60 + ["alone"]
+    dist = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    member = np.array([[a == b for b in sorted(set(label))] for a in label], float)
+    sums, size, own = dist @ member, member.sum(axis=0), member.argmax(axis=1)
+    a = sums[range(len(x)), own] / np.maximum(size[own] - 1, 1)
+    b = np.where(member > 0, np.inf, sums / size).min(axis=1)
+    want = float(np.where(size[own] > 1, (b - a) / np.maximum(a, b), 0).mean())
+    df = spark.createDataFrame([(*map(float, v), c) for v, c in zip(x, label)] + [(1.0, None, 2.0, "a"), (1.0, float("nan"), 2.0, "b")], "x double, y double, z double, c string").repartition(3)
+    whole = euclidean_silhouette(df, ["x", "y", "z"], "c", epsilon=0.05)
+    assert whole["bound"] == 0 and abs(whole["silhouette"] - want) < 1e-6 and whole["n"] == len(x)
+    some = euclidean_silhouette(df, ["x", "y", "z"], "c", epsilon=0.25)
+    assert some["sampled"] < len(x) / 2 and abs(some["silhouette"] - want) < 0.05 < some["bound"]
+    assert euclidean_silhouette(df.filter("c = 'a'"), ["x", "y", "z"], "c")["silhouette"] is None

@@ -96,3 +96,11 @@ def test_titanic_silver_integrity(spark):
     assert res[("duplicates", "*")]["value"] == 0.0
     assert res[("conflicting_labels", "Survived")]["value"] == 0.0
     assert silver.where(F.col("Embarked") == "Missing").count() == 2
+
+
+def test_mall_euclidean_silhouette(spark):
+    from kiln.operators.silhouette import euclidean_silhouette
+    gold = pd.read_csv(f"{REF}/dataset/cleaned/mall_customers/gold_feature_engineered_data_labeled.csv")
+    feats = [c for c in gold.columns if c not in ("CustomerID", "Cluster")]
+    got = euclidean_silhouette(spark.createDataFrame(gold), feats, "Cluster")
+    assert got["bound"] == 0 and abs(got["silhouette"] - 0.4145104722) < 1e-6

@@ -59,3 +59,22 @@ def test_validate_strategy_and_gold_plan(spark):
     assert gp["selection_params"] == {"correlation_threshold": 0.9, "variance_threshold": 0.01,
                                       "force_keep": ["a_per_b"]}
     assert gp["preprocessing"]["scaler"] == "PowerTransformer" and gp["recommended_algorithm"] == "KMeans"
+
+
+def test_a_later_interaction_may_use_an_earlier_one(spark):
+    from kiln.operators.profile import profile
+    from kiln.plans.rules import validate_strategy
+    prof = profile(spark.createDataFrame([(1.0, 2.0), (3.0, 5.0)], "a double, b double"), with_mad=False)
+    made = {"pair": ["a", "b"], "logic": "ratio", "name": "a_per_b"}
+    later = {"pair": ["a_per_b", "a"], "logic": "multiplication", "name": "more"}
+    assert validate_strategy({"interaction_priorities": [made, later]}, prof) == []
+    assert validate_strategy({"interaction_priorities": [later, made]}, prof) == ["interaction more: unknown column a_per_b"]
+
+
+def test_entity_key_and_trimmed_names(spark):
+    from kiln.functions.names import as_entity
+    from kiln.plans.supervised import generate_features
+    df = spark.createDataFrame([(0, 5.0, "x"), (1, 7.0, "y")], "`Unnamed: 0` int, v double, Key string")
+    assert as_entity(df, "key").columns == ["Key", "v"] and as_entity(df, None).columns == ["v", "Key"]
+    wide = spark.createDataFrame([(1.0, 2.0, 1), (3.0, 4.0, 0)], "` a ` double, b double, ` y` int")
+    assert generate_features(wide, carry=[" y"]).columns == ["a", "b", "a_minus_b", "a_ratio_b", "y"]
