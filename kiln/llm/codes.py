@@ -38,7 +38,7 @@ from kiln.llm.common import query, sized, table, written
 SCALE, PARTS, ENTRIES, ROUNDS = 1024, 4, 256, 4
 LARGEST = 1 << 24                       # as an integer component
 BLOCK = 2048                            # vectors a task searches at once
-PAIRS = 1 << 18                         # candidate pairs whose distances are worked out at once
+PAIRS = 1 << 15                         # candidate pairs whose distances are worked out at once
 PROBES = 32
 
 
@@ -69,16 +69,20 @@ class Codebook:
 
     def best(self, x: np.ndarray, masks: np.ndarray):
         """Nearest of the masked entries (-1: none) and its squared distance, ties to the lower number."""
-        n = len(self.entries)
+        n, entries = len(self.entries), self.entries
         which, least = np.full(len(x), -1), np.full(len(x), np.iinfo(np.int64).max)
+        largest = int(max(np.abs(x).max(initial=0), np.abs(entries).max(initial=0)))
+        if x.shape[1] * (2 * largest) ** 2 < 1 << 53:             # doubles hold every such distance exactly
+            x, entries = x.astype(float), entries.astype(float)
         for at in range(0, len(x), max(1, PAIRS // n)):
             part = slice(at, at + max(1, PAIRS // n))
             held = np.unpackbits(masks[part].view(np.uint8).reshape(-1, self.words * 8), axis=1, bitorder="little")[:, :n]
             row, entry = np.nonzero(held)
             if not len(row):
                 continue
-            apart = x[part][row] - self.entries[entry]
-            far = np.einsum("ij,ij->i", apart, apart)
+            apart = x[part].take(row, axis=0, mode="clip")
+            apart -= entries.take(entry, axis=0, mode="clip")
+            far = np.einsum("ij,ij->i", apart, apart).astype(np.int64)
             first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
             low = np.minimum.reduceat(far, first)
             hit = np.flatnonzero(far == np.repeat(low, np.diff(np.r_[first, len(row)])))
@@ -158,9 +162,11 @@ def fit_codebooks(vectors: DataFrame, d: int, rounds: int = ROUNDS, entries: int
         for batch in batches:
             x = matrix(batch.column(0), d)
             number, _ = searched(found, x)
-            for p in range(PARTS):
-                np.add.at(total[p], number[:, p], x[:, p * m:(p + 1) * m])
-                count[p] += np.bincount(number[:, p], minlength=len(seeds))
+            for p in range(PARTS if len(x) else 0):
+                order = np.argsort(number[:, p], kind="stable")
+                held, first, n = np.unique(number[order, p], return_index=True, return_counts=True)
+                total[p, held] += np.add.reduceat(x[order, p * m:(p + 1) * m], first, axis=0)
+                count[p, held] += n
         part, entry = np.nonzero(count)
         yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(entry.astype(np.int32)), pa.array(count[part, entry])]
                                          + [pa.array(total[part, entry, j]) for j in range(m)], names=["part", "entry", "n", *names])
