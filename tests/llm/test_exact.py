@@ -132,16 +132,61 @@ def test_decontaminate(spark, docs, no_docs, rows):
 
 
 def test_licenses(spark, docs, no_docs):
-    texts = [None, "", "MIT", "Words.\nReleased under the MIT  License\nmore", "RELEASED UNDER THE MIT LICENSE! released under the mit license",
-             "a\n\n" + TEMPLATES[9][1].replace("it and/or", "it\nand/or").replace("version.", "versions.") + "\n\nb", "This work is licensed under the GNU General Public License, version 3."]
-    got = {r["doc_id"]: r for r in license_scan(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").withColumn("hits", F.lit(1))).collect()}
-    assert [got[i]["licenses"] for i in range(7)] == [[], [], [], ["MIT"], [], ["GPL-3.0"], ["GPL-3.0"]]
-    assert [h["unit"] for h in got[3]["hits"]] == [1] and got[3]["hits"][0]["dice"] == 1.0
-    n, same = len(bigrams(TEMPLATES[9][1])), 1
-    assert got[5]["hits"][-1]["dice"] == round(2 * (n - same) / (2 * n), 6)
+    by = {}
+    for name, text in TEMPLATES:
+        by.setdefault(name, []).append(text)
+    gpl, mit, mpl = by["GPL-3.0"][1], by["MIT"][-1], by["MPL-2.0"][-1]
+    texts = [(None, []), ("", []), ("MIT", []), ("Words.\nReleased under the MIT  License\nmore", ["MIT"]),
+             ("RELEASED UNDER THE MIT LICENSE! released under the mit license", ["MIT"]), ("a\n\n" + gpl.replace("it and/or", "it\nand/or").replace("version.", "versions.") + "\n\nb", ["GPL-3.0"]),
+             ("This work is licensed under the GNU General Public License, version 3.", ["GPL-3.0"]), ("Copyright 2020 A Person. Released under the MIT License.", ["MIT"]),
+             ("Copyright 2020 A Person Released under the MIT License.", ["MIT"]), ("The text above ends here. Licensed under CC BY-NC 4.0. More of it.", ["CC-BY-NC-4.0"]),
+             ("Licensed under the Apache License, Version 2.0. See LICENSE for details.", ["Apache-2.0"]), ("Licensed under the MIT License.", ["MIT"]), ("/*\n * " + mpl.replace(". ", ".\n * ") + "\n */", ["MPL-2.0"]),
+             ("MIT License\n\nCopyright (c) 2020 A Person\n\n" + mit + "\n\nint main() {}", ["MIT"]), ("Mixed: released under the MIT License, docs licensed under CC BY-NC 4.0.", ["CC-BY-NC-4.0", "MIT"]),
+             ("We write of the license and of the software under the sun, the mit and the public.", []), ("// " + by["ISC"][0].replace(", ", ",\n// "), ["ISC"]), (by["BSD-3-Clause"][1], ["BSD-3-Clause"]), (by["BSD-2-Clause"][0], ["BSD-2-Clause"])]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id bigint, text string").withColumn("hits", F.lit(1))
+    got = {r["doc_id"]: r for r in license_scan(df).collect()}
+    assert [got[i]["licenses"] for i in range(len(texts))] == [want for _, want in texts]
+    assert [(h["start"], h["end"], h["dice"]) for h in got[3]["hits"]] == [(1, 6, 1.0)] and [h["start"] for h in got[4]["hits"]] == [0, 5]
+    n = len(bigrams(gpl))
+    assert [h["dice"] for h in got[5]["hits"]] == [round(2 * (n - 1) / (2 * n - 1), 6)]
     assert license_scan(docs).count() == docs.count() and license_scan(no_docs).count() == 0
 
 
+def test_licenses_against_all_runs(spark):
+    """Every run of words compared with every template; edited notices among words of their own."""
+    rng, templates = np.random.default_rng(3), [*TEMPLATES[:12], ("X", "a b a b a c a b")]
+    vocabulary = sorted({w for _, t in templates for g in bigrams(t) for w in g.split()})
+    texts = ["a b a b a b a c a b a b a c a b a b"]
+    for _ in range(60):
+        words = []
+        for _ in range(3):
+            words += list(rng.choice(vocabulary, rng.integers(0, 6)))
+            notice = " ".join(bigrams(templates[rng.integers(len(templates))][1])).split()[::2]
+            for _ in range(rng.integers(0, 4)):
+                at = rng.integers(len(notice))
+                notice[at:at + rng.integers(0, 2)] = list(rng.choice(vocabulary, rng.integers(0, 2)))
+            words += notice
+        texts.append(" ".join(words))
+
+    def plain(text):
+        grams, per = bigrams(text), {}
+        for name, t in templates:
+            want = Counter(bigrams(t))
+            for i in range(len(grams)):
+                have = Counter()
+                for j in range(i, min(len(grams), i + 2 * want.total())):
+                    have[grams[j]] += 1
+                    if grams[i] in want and grams[j] in want:
+                        dice = round(2 * (have & want).total() / (j + 1 - i + want.total()), 6)
+                        if dice >= 0.8:
+                            per[i] = min(per.get(i, (0,)), (-dice, name, j + 1))
+        return [(i, e + 1, name, -d) for i, (d, name, e) in sorted(per.items())
+                if not any(o < e and i < x[2] and (x[0], o) < (d, i) for o, x in per.items())]
+
+    got = license_scan(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), templates).collect()
+    assert {r["doc_id"]: [tuple(h) for h in r["hits"]] for r in got} == {i: plain(t) for i, t in enumerate(texts)}
+
+
 @pytest.mark.parametrize("name", ["op3_license_scan", "op8_substring_dedup", "op10_decontaminate"])
 def test_oracles(spark, name):
     import duckdb
