@@ -4,7 +4,7 @@ A text is lower-cased, runs of anything but a-z and 0-9 become one space.  With
 in a run of words, t in a template and s shared (with repeats), Dice is 2 s / (n + t).  It
 reaches the threshold d only if s >= t d / (2 - d) and n <= t (2 - d) / d: the first bound
 leaves a text the templates of which it holds one of the t - s + 1 longest bigrams, the
-second ends the runs.  A run may start and end at any bigram it shares with the template,
+second ends the runs.  (Whether a text holds one is a hashed overlap of two arrays.)  A run may start and end at any bigram it shares with the template,
 so a notice is found in the middle of a line, over several lines or under a header.  Of
 the runs from one word on the best counts (ties: first license by name, shorter run), and
 a run is reported unless one that overlaps it is better (ties: the earlier one).  All of it
@@ -144,8 +144,8 @@ def runs(grams: Column, t: Column) -> Column:
         F.transform(m, lambda x, a: place(m, x, a)), lambda places: F.transform(places, lambda x, a: best(x, ends(places, x, a))))))
 
 
-def hits(plain: Column, templates: Column, threshold: float, longest: int) -> Column:
-    """The runs of a normalised text that are reported, in their order."""
+def hits(plain: Column, templates: Column, some: Column, threshold: float, longest: int) -> Column:
+    """The runs of a normalised text that are reported, in their order; ``some``: all templates' anchors."""
     def grams(words):
         return F.transform(F.sequence(F.lit(0), F.size(words) - 2), lambda i: F.concat_ws(" ", F.get(words, i), F.get(words, i + 1)))
 
@@ -156,25 +156,27 @@ def hits(plain: Column, templates: Column, threshold: float, longest: int) -> Co
         around = F.slice(r, F.greatest(a - longest, F.lit(0)) + 1, F.lit(2 * longest + 1))
         return ~F.exists(around, lambda o: (o["start"] < x["end"]) & (x["start"] < o["end"]) & ((o["d"] < x["d"]) | ((o["d"] == x["d"]) & (o["start"] < x["start"]))))
 
-    def among(fitting):
-        def found(g):
-            every = F.flatten(F.transform(fitting, lambda t: F.filter(F.coalesce(runs(g, t), F.array()), lambda x: x["d"] <= -threshold)))
-            one = let(F.array_sort(every), lambda r: F.filter(r, lambda x, a: first_of_start(r, x, a)))
-            kept = let(one, lambda r: F.filter(r, lambda x, a: unbeaten(r, x, a)))
-            return F.transform(kept, lambda x: F.struct(x["start"].alias("start"), (x["end"] + 1).alias("end"), x["license"].alias("license"), (-x["d"]).alias("dice")))
-        return let(grams(F.split(plain, " ")), found)
+    def among(g, fitting):
+        every = F.flatten(F.transform(fitting, lambda t: F.filter(F.coalesce(runs(g, t), F.array()), lambda x: x["d"] <= -threshold)))
+        one = let(F.array_sort(every), lambda r: F.filter(r, lambda x, a: first_of_start(r, x, a)))
+        kept = let(one, lambda r: F.filter(r, lambda x, a: unbeaten(r, x, a)))
+        return F.transform(kept, lambda x: F.struct(x["start"].alias("start"), (x["end"] + 1).alias("end"), x["license"].alias("license"), (-x["d"]).alias("dice")))
 
-    fitting = F.filter(templates, lambda t: F.exists(t["anchors"], lambda g: F.contains(plain, g)))
-    return let(fitting, lambda fit: F.when(F.size(fit) > 0, among(fit)))
+    def fitted(g):
+        fitting = F.filter(templates, lambda t: F.arrays_overlap(g, t["anchors"]))
+        return F.when(F.arrays_overlap(g, some), let(fitting, lambda fit: F.when(F.size(fit) > 0, among(g, fit))))
+
+    return let(F.split(plain, " "), lambda words: F.when(F.size(words) > 1, let(grams(words), fitted)))
 
 
 def license_scan(docs: DataFrame, templates=None, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document row: doc_id, hits (start and end in words, end excluded; license, dice) in
     the order of the text; licenses, each once by name."""
     templates = TEMPLATES if templates is None else templates
-    known, longest = prepared(templates, threshold), max(bounds(len(bigrams(text)), threshold)[1] for _, text in templates)
+    known, sizes = prepared(templates, threshold), {text: bounds(len(bigrams(text)), threshold) for _, text in templates}
+    some = F.array(*map(F.lit, sorted({g for text, (fewest, _) in sizes.items() for g in anchors(bigrams(text), fewest)})))
     plain = F.trim(F.regexp_replace(F.lower(F.coalesce(F.col("text").cast("string"), F.lit(""))), "[^a-z0-9]+", " "))
-    found = let(plain, lambda p: hits(p, known, threshold, longest))
+    found = let(plain, lambda p: hits(p, known, some, threshold, max(most for _, most in sizes.values())))
     empty = F.array().cast("array<struct<start:int,end:int,license:string,dice:double>>")
     return (docs.select("doc_id", F.coalesce(found, empty).alias("hits"))
             .select("doc_id", "hits", F.array_sort(F.array_distinct(F.transform("hits", lambda h: h["license"]))).alias("licenses")))
