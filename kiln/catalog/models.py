@@ -109,6 +109,22 @@ def silhouette_euclidean(spark, d):
     return rounded(spark.createDataFrame([(got["n"], got["silhouette"])], "n bigint, silhouette double"))
 
 
+LOF_SQL = """WITH t AS (SELECT c_custkey AS i, c_acctbal / 1000 AS x, c_nationkey AS y FROM customer),
+p AS (SELECT i, j, d FROM (SELECT a.i, b.i AS j, sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2) AS d FROM t a JOIN t b ON a.i <> b.i)
+  QUALIFY row_number() OVER (PARTITION BY i ORDER BY d, j) <= 20),
+f AS (SELECT i, max(d) AS far FROM p GROUP BY i),
+l AS (SELECT p.i, count(*) / sum(greatest(p.d, f.far)) AS own FROM p JOIN f ON f.i = p.j GROUP BY p.i)
+SELECT p.i AS c_custkey, round(avg(b.own) / any_value(a.own), 6) AS lof FROM p JOIN l a ON a.i = p.i JOIN l b ON b.i = p.j GROUP BY p.i"""
+
+
+@query("local_outliers", LOF_SQL)
+def local_outliers_q(spark, d):
+    """VAL-09: local outlier factor of every customer among its 20 nearest."""
+    from kiln.operators.neighbours import local_outliers
+    c = table(spark, d, "customer").select("c_custkey", (F.col("c_acctbal") / 1000).alias("x"), F.col("c_nationkey").alias("y"))
+    return rounded(local_outliers(c, ["x", "y"]).select("c_custkey", "lof"))
+
+
 @query("silhouette", SILHOUETTE_SQL)
 def silhouette_q(spark, d):
     """CLU-09: silhouette of the fixed labels (squared Euclidean, Spark's O(n k) form)."""

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from kiln.functions.names import select_types
 from kiln.functions.names import semantic_type
-from kiln.functions.stats import qcol, quantiles
+from kiln.functions.stats import known, qcol, quantiles
 
 # Default limits of the integrity checks and the null spellings.
 NULL_SPELLINGS = ["", "null", "none", "nan", "na", "n/a", "-", "?"]
@@ -22,23 +22,39 @@ SPECIAL_ONLY = r"^[^\p{L}\p{N}]+$"
 LIMITS = {"single_value": 1.0, "special_characters": 0.001, "mixed_nulls": 1.0,
           "mixed_types_low": 0.01, "mixed_types_high": 0.2, "string_mismatch": 0.0,
           "duplicates": 0.05, "string_length": 0.05, "conflicting_labels": 0.0,
-          "outliers": 0.05, "feature_correlation": 0.9, "feature_label_pps": 0.8}
+          "outliers": 0.05, "local_outliers": 0.05, "feature_correlation": 0.9, "feature_label_pps": 0.8}
 FENCE = 1.5
+SPARSE = 1.5        # a local outlier factor above it marks a row
 
 SCHEMA = "check string, column string, value double, limit double, passed boolean"
 
 
 def validate(df: DataFrame, label: str | None = None, limits: dict | None = None,
-             with_pps: bool = False, id_cols=()) -> DataFrame:
+             with_pps: bool = False, id_cols=(), with_local_outliers: bool = False) -> DataFrame:
     """Findings table.  With a ``label``: conflicting labels (VAL-08) and, when
     ``with_pps``, feature-label PPS < 0.8 (VAL-10) and identifier-label PPS
-    = 0 (VAL-11) from shallow-tree predictive power scores."""
+    = 0 (VAL-11) from shallow-tree predictive power scores.  With
+    ``with_local_outliers`` (it needs every row's exact neighbours): the share of
+    rows that lie sparser than their neighbours, numeric columns over their range."""
     from kiln.session import PassInput
     with PassInput(df) as src:
-        return _validate(src, label, limits, with_pps, id_cols)
+        return _validate(src, label, limits, with_pps, id_cols, with_local_outliers)
 
 
-def _validate(df: DataFrame, label, limits, with_pps, id_cols) -> DataFrame:
+def local_outlier_share(df: DataFrame, num) -> float:
+    """Share of local outliers among the rows with every numeric value; 0 without such rows."""
+    from kiln.operators.neighbours import local_outliers
+    value = {c: F.when(F.abs(x) < float("inf"), x) for c, x in ((c, known(qcol(c).cast("double"))) for c in num)}
+    ends = df.agg(*[f(value[c]).alias(f"{e}{i}") for i, c in enumerate(num) for e, f in (("low", F.min), ("high", F.max))]).first()
+    live = [(i, c) for i, c in enumerate(num) if ends[f"low{i}"] is not None]
+    if not live:
+        return 0.0
+    scaled = df.select(*[((value[c] - ends[f"low{i}"]) / ((ends[f"high{i}"] - ends[f"low{i}"]) or 1.0)).alias(f"x{i}") for i, c in live])
+    r = local_outliers(scaled, scaled.columns).agg(F.count("lof").alias("n"), F.count_if(F.col("lof") > SPARSE).alias("o")).first()
+    return r["o"] / r["n"] if r["n"] else 0.0
+
+
+def _validate(df: DataFrame, label, limits, with_pps, id_cols, with_local_outliers=False) -> DataFrame:
     lim = {**LIMITS, **(limits or {})}
     spark = df.sparkSession
     cols = [c for c in df.columns if c != label]
@@ -139,6 +155,10 @@ def _validate(df: DataFrame, label, limits, with_pps, id_cols) -> DataFrame:
             v = r[f"o{i}"] / r["__n"] if r["__n"] else 0.0
             rows.append(("outliers", c, v, lim["outliers"], v <= lim["outliers"]))
 
+    if num and with_local_outliers:
+        v = local_outlier_share(df, num)
+        rows.append(("local_outliers", "*", v, lim["local_outliers"], v <= lim["local_outliers"]))
+
     # VAL-12 feature-feature correlation
     if len(num) > 1:
         from kiln.operators.select import correlation_matrix
