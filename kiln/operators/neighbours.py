@@ -200,7 +200,8 @@ def nearest(points: DataFrame, k: int = K) -> DataFrame:
         return spark.createDataFrame([], "v string, near array<struct<d: double, m: string, w: bigint>>")
     pivots = np.array([r["x"] for r in points.orderBy("v").limit(min(PIVOTS, n // CELL + 1)).collect()], float)
     dealt = _dealt(points, pivots, k)
-    ordered = dealt.repartitionByRange(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), "cell", "r", "v").sortWithinPartitions("cell", "r", "v")
+    tasks = min(n // CELL + 1, max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    ordered = dealt.repartitionByRange(tasks, "cell", "r", "v").sortWithinPartitions("cell", "r", "v")
     held = materialize(_sliced(ordered, d, k))
     rings = {r["cell"]: (r["least"], r["most"]) for r in held.groupBy("cell").agg(F.min("r").alias("least"), F.max("r").alias("most")).collect()}
     slices = sized(held.groupBy("cell", "s").agg(F.min("r").alias("least"), F.max("r").alias("most")))
