@@ -143,6 +143,25 @@ def bisecting(spark, d):
     return out.select("c_custkey", F.col("cluster").cast("long"))
 
 
+@query("ward_ladder")
+def ward_ladder(spark, d):
+    """CLU-11: sum of squares within and Calinski-Harabasz of Ward's clusters of customers, k=2..10."""
+    from kiln.operators.agglomerative import fit_ward
+    tree = fit_ward(scaled_customer_features(spark, d), CUST_FEATS)
+    return rounded(spark.createDataFrame(tree.ladder(range(2, 11)), "k bigint, within double, score double"), 4)
+
+
+@query("ward_clusters", """WITH t AS (SELECT l_linenumber::DOUBLE AS x, l_orderkey % 2 AS g FROM lineitem),
+r AS (SELECT x + 1000 * (x % 3) + 1e6 * g AS v, x % 3 AS m, g FROM t)
+SELECT m::BIGINT AS third, g::BIGINT AS side, count(*)::BIGINT AS n, (row_number() OVER (ORDER BY count(*) DESC, min(v)) - 1)::BIGINT AS cluster FROM r GROUP BY ALL""")
+def ward_clusters(spark, d):
+    """CLU-11 on lines in six far groups: each is a cluster, the largest first."""
+    from kiln.operators.agglomerative import agglomerative
+    line = table(spark, d, "lineitem").select((F.col("l_linenumber") % 3).cast("long").alias("third"), (F.col("l_orderkey") % 2).cast("long").alias("side"), "l_linenumber")
+    _tree, out = agglomerative(line.withColumn("v", F.col("l_linenumber") + 1000 * F.col("third") + 1e6 * F.col("side")), ["v"], 6)
+    return rounded(out.groupBy("third", "side", "cluster").agg(F.count("*").alias("n")))
+
+
 @query("score_new")
 def score_new(spark, d):
     """SCO-01: fit clean + k-means on customers, name clusters with the segment

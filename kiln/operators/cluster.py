@@ -160,6 +160,12 @@ def fit_clusters(df: DataFrame, cols, algo: str = "KMeans", k: int | None = None
     probability; 1.0 for k-means) next to the input columns.  The k-means
     model is a persistable nearest-centre transformer (kiln ColumnRules)."""
     from kiln.operators.multikmeans import best_models, centroid_model, multi_kmeans
+    if algo == "Agglomerative":     # one tree for the whole sweep; the model is the tree
+        from kiln.operators.agglomerative import fit_ward
+        tree = fit_ward(df, cols)
+        curve = [(kk, within) for kk, within, _ in tree.ladder(ks)] if k is None else []
+        k = choose_k(curve, "KMeans") if k is None else k
+        return tree, tree.assign(df, cols, k).withColumn("certainty", F.lit(1.0)), curve
     vec = assemble(df, cols).persist(StorageLevel.MEMORY_AND_DISK)
     curve = []
     if algo == "GMM":
