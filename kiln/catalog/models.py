@@ -54,14 +54,75 @@ def kmeans_personas(spark, d):
 
 @query("gmm_certainty")
 def gmm_certainty(spark, d):
-    """DIM-01 + CLU-04/05/06: PCA(5) of the embeddings, GMM k by min BIC over 2..6, certainty."""
+    """DIM-01 + CLU-04/05/06: PCA(5) of the embeddings, GMM k by min BIC over 2..10, certainty."""
     from kiln.operators.cluster import fit_clusters, pca
     reduced, _ = pca(table(spark, d, "embeddings"), ["embedding"], components=5, keep=["vec_id"])
     cols = [f"PC{i}" for i in range(1, 6)]
-    _m, labeled, _curve = fit_clusters(reduced, cols, "GMM", ks=range(2, 7))
+    _m, labeled, _curve = fit_clusters(reduced, cols, "GMM")
     return rounded(labeled.select("vec_id", "cluster", "certainty"))
 
 
+STEP_START = ((0.4, (2.0, 6.0), (9.0, 1.0, 30.0)), (0.6, (6.0, 16.0), (12.0, -2.0, 40.0)))   # weight, mean, covariance
+
+MIXTURE_STEP_SQL = "WITH t AS (SELECT c_custkey AS i, c_acctbal / 1000 AS x, c_nationkey::DOUBLE AS y FROM customer), p AS (" + " UNION ALL ".join(
+    f"SELECT i, x, y, {c} AS c, ln({w}) - ln(2 * pi()) - 0.5 * ln({a * g - b * b}) - ({g} * (x - {mx}) ** 2 - 2 * ({b}) * (x - {mx}) * (y - {my})"
+    f" + {a} * (y - {my}) ** 2) / (2 * {a * g - b * b}) AS l FROM t" for c, (w, (mx, my), (a, b, g)) in enumerate(STEP_START)) + """),
+d AS (SELECT i, ln(sum(exp(l))) AS l FROM p GROUP BY i),
+r AS (SELECT p.x, p.y, p.c, exp(p.l - d.l) AS r FROM p JOIN d USING (i)),
+m AS (SELECT c, sum(r) AS n, sum(r * x) / sum(r) AS mx, sum(r * y) / sum(r) AS my FROM r GROUP BY c)
+SELECT m.c::BIGINT AS component, round(any_value(m.n) / (SELECT count(*) FROM t), 6) AS weight, round(any_value(m.mx), 6) AS mean_x, round(any_value(m.my), 6) AS mean_y,
+  round(sum(r * (x - m.mx) ** 2) / any_value(m.n) + 1e-6, 6) AS var_x, round(sum(r * (x - m.mx) * (y - m.my)) / any_value(m.n), 6) AS cov_xy,
+  round(sum(r * (y - m.my) ** 2) / any_value(m.n) + 1e-6, 6) AS var_y, round((SELECT avg(l) FROM d), 6) AS mean_log_likelihood
+FROM r JOIN m USING (c) GROUP BY m.c"""
+
+
+@query("mixture_step", MIXTURE_STEP_SQL)
+def mixture_step(spark, d):
+    """CLU-04: one E and M step of a two-component mixture of customers from given parameters."""
+    import numpy as np
+
+    from kiln.operators.cluster import assemble
+    from kiln.operators.mixtures import Mixture, em_step
+    c = table(spark, d, "customer").select((F.col("c_acctbal") / 1000).alias("x"), F.col("c_nationkey").cast("double").alias("y"))
+    start = Mixture(np.array([w for w, _m, _c in STEP_START]), np.array([m for _w, m, _c in STEP_START]),
+                    np.array([[[a, b], [b, g]] for _w, _m, (a, b, g) in STEP_START]))
+    got = em_step(assemble(c, ["x", "y"]), start)
+    rows = [(i, float(w), *map(float, mu), float(s[0, 0]), float(s[0, 1]), float(s[1, 1]), got.log_likelihood / got.n)
+            for i, (w, mu, s) in enumerate(zip(got.weights, got.means, got.covs))]
+    return rounded(spark.createDataFrame(rows, "component bigint, weight double, mean_x double, mean_y double, var_x double, "
+                                               "cov_xy double, var_y double, mean_log_likelihood double"))
+
+
+KMEANS_START = ((1.0, 4.0), (3.0, 20.0), (7.0, 12.0))
+
+
+def _kmeans_steps_sql(steps):
+    ctes = ["t AS (SELECT c_custkey AS i, c_acctbal / 1000 AS x, c_nationkey::DOUBLE AS y FROM customer)",
+            "k0(c, cx, cy) AS (VALUES " + ", ".join(f"({i}, {x}::DOUBLE, {y}::DOUBLE)" for i, (x, y) in enumerate(KMEANS_START)) + ")"]
+    for s in range(steps + 1):
+        ctes.append(f"a{s} AS (SELECT i, x, y, c, (x - cx) ** 2 + (y - cy) ** 2 AS d2 FROM t CROSS JOIN k{s} "
+                    "QUALIFY row_number() OVER (PARTITION BY i ORDER BY d2, c) = 1)")
+        ctes.append(f"k{s + 1} AS (SELECT c, avg(x) AS cx, avg(y) AS cy FROM a{s} GROUP BY c)")
+    return (f"WITH {', '.join(ctes)} SELECT k.c::BIGINT AS cluster, round(k.cx, 6) AS x, round(k.cy, 6) AS y, "
+            f"(SELECT count(*) FROM a{steps} a WHERE a.c = k.c)::BIGINT AS n, round((SELECT sum(d2) FROM a{steps}), 4) AS inertia FROM k{steps} k")
+
+
+@query("kmeans_steps", _kmeans_steps_sql(3))
+def kmeans_steps(spark, d):
+    """CLU-01: three Lloyd steps of three clusters of customers from given centres, and the rows nearest each."""
+    import numpy as np
+
+    from kiln.operators.cluster import assemble
+    from kiln.operators.multikmeans import centroid_model, multi_kmeans
+    c = table(spark, d, "customer").select((F.col("c_acctbal") / 1000).alias("x"), F.col("c_nationkey").cast("double").alias("y"))
+    vec = assemble(c, ["x", "y"])
+    centres, inertia = multi_kmeans(vec, [(3, 0)], max_iter=3, tol=-1.0, init={(3, 0): np.array(KMEANS_START)})[(3, 0)]
+    at = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(centres)], "cluster bigint, x double, y double")
+    near = centroid_model(centres, "features", "cluster").transform(vec).groupBy(F.col("cluster").cast("bigint").alias("cluster")).agg(
+        F.count("*").alias("n"))
+    return rounded(at.join(near, "cluster").withColumn("inertia", F.round(F.lit(inertia), 4)))
+
+
 @query("pca_retain")
 def pca_retain(spark, d):
     """DIM-01: components kept for 95 % variance; long form (vec_id, component, score)."""

@@ -58,4 +58,5 @@ class ColumnRules(Transformer, DefaultParamsReadable, DefaultParamsWritable):
 
 def _ensure_loaded():
     # rule families register on import
-    from kiln.operators import cluster, encode, features, impute, multikmeans, outliers, scale, transform  # noqa: F401
+    from kiln.operators import (cluster, encode, features, impute, mixtures, multikmeans, outliers,  # noqa: F401
+                                scale, transform)

@@ -1,9 +1,9 @@
 """Dimensionality reduction, clustering and personas (DIM-01/02, CLU-01..12).
 
 k-means (sweep and final fit) runs on the multi-model engine in
-``kiln.operators.multikmeans`` (every model advances in the same pass); the
-Spark ML ``KMeans`` path stays available as :func:`kmeans`.  Gaussian
-mixtures, bisecting k-means and PCA use Spark ML.  Everything around the
+``kiln.operators.multikmeans`` (every model advances in the same pass), Gaussian
+mixtures likewise on ``kiln.operators.mixtures``; the Spark ML paths stay available
+as :func:`kmeans` and :func:`gmm`.  Bisecting k-means and PCA use Spark ML.  Everything around the
 models -- k choice, BIC, certainty, personas, Calinski-Harabasz -- is
 DataFrame aggregation over (cluster, feature) groups with map-side combine.
 """
@@ -68,7 +68,8 @@ def kmeans(vec: DataFrame, k: int, seed: int = SEED, n_init: int = N_INIT, max_i
 
 
 def gmm(vec: DataFrame, k: int, seed: int = SEED, features: str = "features", max_iter: int = 100):
-    """CLU-04: Gaussian mixture, full covariance."""
+    """CLU-04 with Spark ML: Gaussian mixture, full covariance.  :func:`fit_clusters`
+    uses the multi-model engine instead."""
     return GaussianMixture(k=k, seed=seed, featuresCol=features, maxIter=max_iter, tol=1e-3).fit(vec)
 
 
@@ -112,18 +113,15 @@ def k_sweep(vec: DataFrame, algo: str = "KMeans", ks=K_RANGE, seed: int = SEED,
             features: str = "features", return_models: bool = False):
     """CLU-02: (k, inertia) for KMeans or (k, BIC) for GMM over ``ks``.
 
-    KMeans: all k x n_init models advance together, one pass per iteration
-    (kiln.operators.multikmeans); ``return_models`` also gives the best
-    centres per k so the chosen model needs no refit."""
+    All models advance together, one pass per iteration (kiln.operators.multikmeans,
+    kiln.operators.mixtures); ``return_models`` also gives the best centres or the
+    mixture per k so the chosen model needs no refit."""
     ks = list(ks)
     if algo == "GMM":
-        vec = vec.select(features).persist(StorageLevel.MEMORY_AND_DISK)
-        n = vec.count()
-        d = len(vec.first()[features]) if n else 0
-        models = _run_all(lambda k: gmm(vec, k, seed, features), ks, parallelism(vec.sparkSession))
-        vec.unpersist()
-        curve = [(k, bic(m, n, d)) for k, m in zip(ks, models)]
-        return (curve, dict(zip(ks, models))) if return_models else curve
+        from kiln.operators.mixtures import multi_gmm
+        models = multi_gmm(vec, ks, seed, features)
+        curve = [(k, models[k].bic) for k in ks]
+        return (curve, models) if return_models else curve
     from kiln.operators.multikmeans import best_models, multi_kmeans
     fits = multi_kmeans(vec, [(k, seed + s) for k in ks for s in range(n_init)], features)
     best = best_models(fits, ks)
@@ -131,11 +129,14 @@ def k_sweep(vec: DataFrame, algo: str = "KMeans", ks=K_RANGE, seed: int = SEED,
     return (curve, best) if return_models else curve
 
 
-def choose_k(curve, algo: str = "KMeans") -> int:
-    """Knee of the inertia curve (KMeans) or minimum BIC (GMM).  A BIC minimum
-    at the largest k tried usually means the sweep was too short: warn."""
+def choose_k(curve, algo: str = "KMeans", sizes: dict | None = None, min_cluster_size: int = 0):
+    """Knee of the inertia curve (KMeans) or minimum BIC (GMM).  With
+    ``min_cluster_size``, a k whose smallest cluster (``sizes``: {k: rows a cluster})
+    has fewer rows is left out; if that leaves none, the smallest k stands.  A BIC
+    minimum at the largest k tried usually means the sweep was too short: warn."""
     if algo == "GMM":
-        k = min(curve, key=lambda t: t[1])[0]
+        fit = [(k, v) for k, v in curve if not sizes or min(sizes[k]) >= min_cluster_size] or [min(curve)]
+        k = min(fit, key=lambda t: t[1])[0]
         if len(curve) > 1 and k == max(kk for kk, _ in curve):
             import warnings
             warnings.warn(f"BIC is lowest at the sweep boundary k={k}; consider a wider k range "
@@ -153,12 +154,13 @@ def relabel_by_size(df: DataFrame, cluster: str = "cluster") -> DataFrame:
 
 
 def fit_clusters(df: DataFrame, cols, algo: str = "KMeans", k: int | None = None,
-                 seed: int = SEED, n_init: int = N_INIT, ks=K_RANGE):
+                 seed: int = SEED, n_init: int = N_INIT, ks=K_RANGE, min_cluster_size: int = 0):
     """CLU-01..06: sweep (unless k given), choose k, fit; returns (model, labeled, curve).
 
     ``labeled`` has ``cluster`` (int) and ``certainty`` (max membership
-    probability; 1.0 for k-means) next to the input columns.  The k-means
-    model is a persistable nearest-centre transformer (kiln ColumnRules)."""
+    probability; 1.0 for k-means) next to the input columns.  The model is a
+    persistable transformer of column expressions (kiln ColumnRules).
+    ``min_cluster_size`` bars mixtures with a smaller cluster from the sweep's choice."""
     from kiln.operators.multikmeans import best_models, centroid_model, multi_kmeans
     if algo == "Agglomerative":     # one tree for the whole sweep; the model is the tree
         from kiln.operators.agglomerative import fit_ward
@@ -169,15 +171,14 @@ def fit_clusters(df: DataFrame, cols, algo: str = "KMeans", k: int | None = None
     vec = assemble(df, cols).persist(StorageLevel.MEMORY_AND_DISK)
     curve = []
     if algo == "GMM":
-        if k is None:  # the sweep's model for the chosen k is reused, not refitted
-            curve, fitted = k_sweep(vec, "GMM", ks=ks, seed=seed, return_models=True)
-            k = choose_k(curve, "GMM")
-            model = fitted[k]
+        curve, fitted = k_sweep(vec, "GMM", ks=ks if k is None else [k], seed=seed, return_models=True)
+        if k is None:
+            k = choose_k(curve, "GMM", {kk: m.sizes for kk, m in fitted.items()}, min_cluster_size)
         else:
-            model = gmm(vec, k, seed)
+            curve = []
+        model = fitted[k].model("features", "cluster")
         vec.unpersist()
-        out = model.transform(vec).withColumn("certainty", F.array_max(vector_to_array("probability")))
-        out = out.withColumnRenamed("prediction", "cluster").drop("features", "probability")
+        out = model.transform(vec).withColumn("certainty", F.array_max("probability")).drop("features", "probability")
         return model, out, curve
     if k is None:
         curve, best = k_sweep(vec, "KMeans", ks=ks, seed=seed, n_init=n_init, return_models=True)

@@ -4,12 +4,15 @@ The reference sweeps k = 2..10 with 10 restarts each: 90 models.  Fitting
 them one after the other costs ~90 x 20 passes over the data.  Here every
 pass serves all models at once:
 
-* seeding (k-means++): each pass adds one centre to every model that still
-  needs one.  A point is drawn with probability proportional to its squared
-  distance to the model's centres by an exponential race: key = E / D^2 with
-  E ~ Exp(1) from a hash of (row id, model, step); the point with the smallest
-  key per model wins -- a ``min_by`` aggregate, exact weighted sampling with
-  no sample of the data taken;
+* seeding (k-means||): one pass draws every model's first centre, each of
+  ``SEED_ROUNDS`` further passes draws 2k candidates for every model, one more
+  counts the points nearest each candidate, and the 1 + 4k weighted candidates
+  of a model (a size that k sets, not the data) are reclustered to k centres.  So
+  the passes are four, whatever k and the number of models.  Points are drawn
+  with probability proportional to their squared distance to the model's
+  candidates by an exponential race: key = E / D^2 with E ~ Exp(1) from a hash of
+  (row id, model, round); the smallest keys win -- exact weighted sampling
+  without replacement over all points;
 * Lloyd iterations: ``mapInPandas`` assigns each point to its nearest centre
   for every active model with numpy (one distance matrix per Arrow batch) and
   emits per-partition sums as (model, cluster, dim, value) rows; one
@@ -28,7 +31,7 @@ import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kiln.operators.base import ColumnRules, register
@@ -44,6 +47,10 @@ except Exception:  # noqa: BLE001 - older cloudpickle: ship kiln with --py-files
     pass
 
 EXP_SALT = 0x5bd1e995
+SEED_ROUNDS = 2       # rounds of 2k candidates after the first centre
+RACE_BUCKETS = 64     # lists of winners merged before the last one
+RECLUSTER_STEPS = 20  # Lloyd steps over a model's candidates
+CHUNK = 4096          # rows whose distances to all centres are held at once
 
 
 def _points(vec: DataFrame, features: str) -> tuple[DataFrame, int, np.ndarray]:
@@ -61,8 +68,13 @@ def _points(vec: DataFrame, features: str) -> tuple[DataFrame, int, np.ndarray]:
     return pts.persist(StorageLevel.MEMORY_AND_DISK), d, means
 
 
-def _xs(pdf: pd.DataFrame, d: int) -> np.ndarray:
-    return pdf[[f"x{j}" for j in range(d)]].to_numpy(dtype=np.float64)
+def _chunks(batches, d: int):
+    """(coordinates, row ids) of at most CHUNK rows."""
+    names = [f"x{j}" for j in range(d)]
+    for pdf in batches:
+        for i in range(0, len(pdf), CHUNK):
+            part = pdf.iloc[i:i + CHUNK]
+            yield part[names].to_numpy(dtype=np.float64), part["rid"].to_numpy().astype(np.int64).view(np.uint64)
 
 
 def _stack(centres: dict[int, np.ndarray]):
@@ -87,75 +99,107 @@ def _sq_dist(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     return np.maximum((x * x).sum(1)[:, None] - 2 * x @ c.T + (c * c).sum(1)[None, :], 0.0)
 
 
-def _seed_pass(pts: DataFrame, centres: dict[int, np.ndarray], need: list[int], step: int,
-               seeds: dict[int, int], d: int) -> dict[int, list[float]]:
-    """Pick one new centre for every model in ``need`` (k-means++ draw)."""
-    spark = pts.sparkSession
-    have = {m: centres[m] for m in need if m in centres and len(centres[m])}
-    bc = spark.sparkContext.broadcast((have, need, seeds, step))
+def _race(pts: DataFrame, cand: dict[int, np.ndarray], draw: dict[int, int], step: int,
+          seeds: dict[int, int], d: int) -> dict[int, np.ndarray]:
+    """``draw[m]`` new candidates for every model: the smallest keys of the race.  Each
+    task keeps its own ``draw[m]`` best, buckets of keys keep theirs, then one winner list a model."""
+    bc = pts.sparkSession.sparkContext.broadcast((cand, draw, seeds, step))
 
     def run(batches):
-        have_, need_, seeds_, step_ = bc.value
-        if have_:
-            ids, stacked, owner, _ = _stack(have_)
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            x = _xs(pdf, d)
-            rid = pdf["rid"].to_numpy().astype(np.int64).view(np.uint64)
-            if have_:
-                dist = _sq_dist(x, stacked)
-            rows = []
-            for m in need_:
-                e = -np.log(_uniform(rid, seeds_[m] * 1000003 + step_ * 7919 + EXP_SALT))
-                if m in have_:
+        cand_, draw_, seeds_, step_ = bc.value
+        stacked, owner = _stack(cand_)[1:3] if cand_ else (None, None)
+        best = {m: (np.zeros(0), np.zeros((0, d))) for m in draw_}
+        for x, rid in _chunks(batches, d):
+            dist = _sq_dist(x, stacked) if cand_ else None
+            for m, want in draw_.items():
+                key = -np.log(_uniform(rid, seeds_[m] * 1000003 + step_ * 7919 + EXP_SALT))
+                if m in cand_:
                     d2 = dist[:, owner == m].min(1)
                     with np.errstate(divide="ignore"):
-                        key = np.where(d2 > 0, e / d2, np.inf)
-                else:
-                    key = e
-                j = int(np.argmin(key))
-                if np.isfinite(key[j]):
-                    rows.append((m, float(key[j]), x[j].tolist()))
-            if rows:
-                yield pd.DataFrame(rows, columns=["m", "key", "x"])
-
-    partial = pts.mapInPandas(run, "m int, key double, x array<double>")
-    got = partial.groupBy("m").agg(F.min_by("x", "key").alias("x")).collect()
+                        key = np.where(d2 > 0, key / d2, np.inf)
+                keys, first = np.unique(np.concatenate([best[m][0], key]), return_index=True)
+                first = first[np.isfinite(keys)][:want]
+                best[m] = (keys[:len(first)], np.concatenate([best[m][1], x])[first])
+        rows = [(m, draw_[m], float(k), x.tolist()) for m, (ks, xs) in best.items() for k, x in zip(ks, xs)]
+        yield pd.DataFrame(rows, columns=["m", "want", "key", "x"])
+
+    won = pts.mapInPandas(run, "m int, want int, key double, x array<double>").dropDuplicates(["m", "key"])
+    for by in (["m", F.pmod(F.hash("key"), F.lit(RACE_BUCKETS))], ["m"]):
+        rank = F.row_number().over(Window.partitionBy(*by).orderBy("key"))
+        won = won.withColumn("rank", rank).where(F.col("rank") <= F.col("want")).drop("rank")
+    out: dict[int, list] = {}
+    for r in sorted(won.collect(), key=lambda r: (r["m"], r["key"])):   # models x draws rows
+        out.setdefault(r["m"], []).append(r["x"])
     bc.unpersist()
-    return {r["m"]: r["x"] for r in got}
+    return {m: np.array(xs) for m, xs in out.items()}
+
+
+def _recluster(cand: np.ndarray, weight: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """k centres of a model's weighted candidates: weighted k-means++, then Lloyd steps."""
+    cand, weight = cand[weight > 0], weight[weight > 0]
+    rng = np.random.default_rng(seed)
+    at = [int(rng.choice(len(cand), p=weight / weight.sum()))]
+    while len(at) < k:
+        mass = weight * _sq_dist(cand, cand[at]).min(1)
+        mass[at] = 0.0
+        if mass.sum() <= 0:      # fewer distinct points than k: repeat a centre
+            at.append(at[-1])
+        else:
+            at.append(int(rng.choice(len(cand), p=mass / mass.sum())))
+    centres = cand[at]
+    for _ in range(RECLUSTER_STEPS):
+        near = _sq_dist(cand, centres).argmin(1)
+        mass = np.bincount(near, weight, k)
+        sums = np.stack([np.bincount(near, weight * c, k) for c in cand.T], 1)
+        centres = np.where(mass[:, None] > 0, sums / np.maximum(mass, 1)[:, None], centres)
+    return centres
+
+
+def _seed(pts: DataFrame, models: dict[int, tuple[int, int]], seeds: dict[int, int], d: int) -> dict[int, np.ndarray]:
+    """Starting centres of all models (k-means||)."""
+    cand = _race(pts, {}, {m: 1 for m in models}, 0, seeds, d)
+    for step in range(1, SEED_ROUNDS + 1):
+        for m, new in _race(pts, cand, {m: 2 * k for m, (k, _s) in models.items()}, step, seeds, d).items():
+            cand[m] = np.concatenate([cand[m], new])
+    counts = _lloyd_pass(pts, cand, d, sums=False)
+    counts = counts[counts["c"] >= 0]
+    out = {}
+    for m, (k, _s) in models.items():
+        weight = np.zeros(len(cand[m]))
+        mine = counts[counts["m"] == m]
+        weight[mine["c"].to_numpy()] = mine["v"].to_numpy()
+        out[m] = _recluster(cand[m], weight, k, seeds[m] % 2 ** 32)
+    return out
 
 
-def _lloyd_pass(pts: DataFrame, centres: dict[int, np.ndarray], d: int):
-    """One assignment pass for all models: new sums/counts and inertia."""
+def _lloyd_pass(pts: DataFrame, centres: dict[int, np.ndarray], d: int, sums: bool = True):
+    """One assignment pass for all models: new sums (if wanted), counts and inertia."""
     spark = pts.sparkSession
     bc = spark.sparkContext.broadcast(centres)
 
     def run(batches):
         cs = bc.value
         ids, stacked, owner, local = _stack(cs)
-        sums = {m: np.zeros((len(cs[m]), d)) for m in ids}
+        total = {m: np.zeros((len(cs[m]), d)) for m in ids}
         cnts = {m: np.zeros(len(cs[m])) for m in ids}
         cost = {m: 0.0 for m in ids}
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            x = _xs(pdf, d)
+        for x, _rid in _chunks(batches, d):
             dist = _sq_dist(x, stacked)
             for m in ids:
-                cols = np.flatnonzero(owner == m)
-                sub = dist[:, cols]
+                sub = dist[:, owner == m]
                 a = sub.argmin(1)
                 cost[m] += float(sub[np.arange(len(a)), a].sum())
-                onehot = np.zeros((len(a), len(cols)))
-                onehot[np.arange(len(a)), a] = 1.0
-                sums[m] += onehot.T @ x
-                cnts[m] += onehot.sum(0)
+                cnts[m] += np.bincount(a, minlength=sub.shape[1])
+                if sums:
+                    onehot = np.zeros(sub.shape)
+                    onehot[np.arange(len(a)), a] = 1.0
+                    total[m] += onehot.T @ x
         out = []
         for m in ids:
             for c in range(len(cnts[m])):
                 out.append((m, c, -1, float(cnts[m][c])))
-                out.extend((m, c, j, float(v)) for j, v in enumerate(sums[m][c]))
+                if sums:
+                    out.extend((m, c, j, float(v)) for j, v in enumerate(total[m][c]))
             out.append((m, -1, -1, cost[m]))
         yield pd.DataFrame(out, columns=["m", "c", "j", "v"])
 
@@ -167,26 +211,25 @@ def _lloyd_pass(pts: DataFrame, centres: dict[int, np.ndarray], d: int):
 
 
 def multi_kmeans(vec: DataFrame, configs: list[tuple[int, int]], features: str = "features",
-                 max_iter: int = 300, tol: float = 1e-4) -> dict[tuple[int, int], tuple[np.ndarray, float]]:
-    """Fit k-means for every (k, seed) in ``configs`` together.
-    Returns {(k, seed): (centres, inertia)}."""
+                 max_iter: int = 300, tol: float = 1e-4,
+                 init: dict[tuple[int, int], np.ndarray] | None = None) -> dict[tuple[int, int], tuple[np.ndarray, float]]:
+    """Fit k-means for every (k, seed) in ``configs`` together, from the centres in ``init``
+    where given.  Returns {(k, seed): (centres, inertia)}."""
     pts, d, means = _points(vec, features)
+    init = None if init is None else {c: np.asarray(x, float) - means for c, x in init.items()}
+    fits = fit_points(pts, d, configs, max_iter, tol, init)
+    pts.unpersist()
+    return {c: (centres + means, inertia) for c, (centres, inertia) in fits.items()}
+
+
+def fit_points(pts: DataFrame, d: int, configs, max_iter: int = 300, tol: float = 1e-4, init=None):
+    """:func:`multi_kmeans` on centred points."""
     vr = pts.agg(*[F.var_pop(f"x{j}").alias(f"v{j}") for j in range(d)]).first()
     var = np.array([vr[f"v{j}"] or 0.0 for j in range(d)])
     thr = tol * float(var.mean()) if len(var) else 0.0
     models = dict(enumerate(configs))
     seeds = {m: s * 7919 + k for m, (k, s) in models.items()}
-    centres: dict[int, np.ndarray] = {m: np.zeros((0, d)) for m in models}
-    for step in range(max(k for k, _ in configs)):
-        need = [m for m, (k, _s) in models.items() if len(centres[m]) < k]
-        if not need:
-            break
-        picked = _seed_pass(pts, centres, need, step, seeds, d)
-        for m in need:
-            if m in picked:
-                centres[m] = np.vstack([centres[m], np.array(picked[m])[None, :]])
-            elif len(centres[m]):  # fewer distinct points than k: repeat a centre
-                centres[m] = np.vstack([centres[m], centres[m][-1:]])
+    centres = _seed(pts, models, seeds, d) if init is None else {m: init[c] for m, c in models.items()}
     active = set(models)
     inertia: dict[int, float] = {}
     for _it in range(max_iter):
@@ -212,8 +255,7 @@ def multi_kmeans(vec: DataFrame, configs: list[tuple[int, int]], features: str =
     agg = _lloyd_pass(pts, centres, d)
     for m in models:
         inertia[m] = float(agg[(agg["m"] == m) & (agg["c"] == -1)]["v"].sum())
-    pts.unpersist()
-    return {models[m]: (centres[m] + means, inertia[m]) for m in models}
+    return {models[m]: (centres[m], inertia[m]) for m in models}
 
 
 # ---------------------------------------------------------------- fitted model
