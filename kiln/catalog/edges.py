@@ -22,14 +22,36 @@ def quantiles_with_infinities(spark, d):
     return rounded(spark.createDataFrame(list(zip(PROBS, quantiles(li, ["x"], PROBS)["x"])), "p double, q double"))
 
 
-@query("distinct_large_ids", """SELECT 'k' AS "column", count(*)::BIGINT AS n, count(DISTINCT l_orderkey + 1152921504606846976)::BIGINT AS n_distinct FROM lineitem
-UNION ALL SELECT 'o', count(*), count(DISTINCT l_orderkey * 10 + l_linenumber + 1152921504606846976) FROM lineitem""")
+LARGE_IDS = {"k": ("lineitem", "l_orderkey"), "o": ("lineitem", "l_orderkey * 10 + l_linenumber"), "s": ("customer", "c_custkey")}
+
+
+@query("distinct_large_ids", " UNION ALL ".join(f"""SELECT '{c}' AS "column", sum(m)::BIGINT AS n, count(*)::BIGINT AS n_distinct, count_if(m = 1)::BIGINT AS n_unique,
+  count(*) = sum(m) AS is_unique, min(v)::VARCHAR AS lowest, max(v)::VARCHAR AS highest, (max(v) - min(v))::DOUBLE AS range,
+  count(*) = sum(m) AND max(v) - min(v) + 1 = count(*) AS is_sequence
+FROM (SELECT {x} + 1152921504606846976 AS v, count(*) AS m FROM {t} GROUP BY 1)""" for c, (t, x) in LARGE_IDS.items()))
 def distinct_large_ids(spark, d):
-    """PROF-05/06/07 on ids beyond 2**53."""
+    """PROF-05/06/07/10/12 and PLAN-01's sequence rule on ids beyond 2**53."""
     from kiln.operators.profile import profile
     big = F.lit(1152921504606846976)
     li = table(spark, d, "lineitem").select((F.col("l_orderkey") + big).alias("k"), (F.col("l_orderkey") * 10 + F.col("l_linenumber") + big).alias("o"))
-    return profile(li, with_mad=False).select("column", "n", "n_distinct")
+    s = table(spark, d, "customer").select((F.col("c_custkey") + big).alias("s"))
+    return profile(li, with_mad=False).unionByName(profile(s, with_mad=False)).select(
+        "column", "n", "n_distinct", "n_unique", "is_unique", "lowest", "highest", "range", "is_sequence")
+
+
+MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate"]
+
+
+@query("profile_ranges", " UNION ALL ".join(f"""SELECT '{c}' AS "column", round(max({c}) - min({c}), 6) AS range, round(sum({c}) / 1e6, 6) AS sum_millions,
+  round(var_samp({c}) / 1e3, 4) AS variance_thousands, count_if(isinf({c}))::BIGINT AS n_infinite, NULL::VARCHAR AS lowest, NULL::VARCHAR AS highest FROM lineitem""" for c in MEASURES[:4])
+       + """ UNION ALL SELECT 'l_shipdate', NULL, NULL, NULL, NULL, strftime(min(l_shipdate), '%Y-%m-%d %H:%M:%S'), strftime(max(l_shipdate), '%Y-%m-%d %H:%M:%S') FROM lineitem""")
+def profile_ranges(spark, d):
+    """PROF-10/12: range, sum, variance and infinities of numbers, least and greatest time."""
+    from kiln.operators.profile import profile
+    p = profile(table(spark, d, "lineitem").select(*MEASURES), with_mad=False)
+    time = F.col("type") == "DateTime"
+    return rounded(p.select("column", "range", (F.col("sum") / 1e6).alias("sum_millions"), F.round(F.col("variance") / 1e3, 4).alias("variance_thousands"),
+                            "n_infinite", F.when(time, F.col("lowest")).alias("lowest"), F.when(time, F.col("highest")).alias("highest")))
 
 
 KEYED_SQL = """(SELECT event_id, CASE WHEN user_id % 7 = 0 THEN NULL ELSE user_id END AS user_id,

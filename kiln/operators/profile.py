@@ -59,6 +59,10 @@ PROFILE_SCHEMA = T.StructType([
     T.StructField("n_zeros", T.LongType()),
     T.StructField("n_negative", T.LongType()),
     T.StructField("n_infinite", T.LongType()),
+    T.StructField("range", T.DoubleType()),
+    T.StructField("lowest", T.StringType()),
+    T.StructField("highest", T.StringType()),
+    T.StructField("is_sequence", T.BooleanType()),
 ])
 
 
@@ -85,7 +89,11 @@ def profile(df: DataFrame, exact_quantiles: bool = True, with_mad: bool = True,
     ``exact_distinct=False`` replaces the value-count shuffle by HyperLogLog
     sketches inside the moments pass (``approx_count_distinct(rsd)``):
     n_distinct is then approximate, n_unique and entropy are null and
-    is_unique means "distinct estimate within rsd of the count"."""
+    is_unique means "distinct estimate within rsd of the count".
+
+    ``lowest`` and ``highest`` are the least and greatest number or time as text of the
+    column's own type (``min`` and ``max`` are doubles, inexact beyond 2**53);
+    ``range`` and ``is_sequence`` (unique integers without a gap or a null) come from them."""
     from kiln.session import PassInput
     with PassInput(nan_to_null(df)) as src:
         return _profile(src, exact_quantiles, with_mad, exact_distinct, rsd)
@@ -105,6 +113,8 @@ def _profile(df: DataFrame, exact_quantiles: bool, with_mad: bool, exact_distinc
         aggs.append(F.count(c).alias(f"cnt{i}"))
         if not exact_distinct and types[i] != "Unsupported":
             aggs.append(F.approx_count_distinct(c, rsd).alias(f"hll{i}"))
+        if types[i] in ("Numeric", "DateTime"):
+            aggs += [F.min(c).cast("string").alias(f"lo{i}"), F.max(c).cast("string").alias(f"hi{i}")]
         if i in num_idx:
             x = c.cast("double")
             finite = F.when(~x.isin(float("inf"), float("-inf")), x)
@@ -183,6 +193,14 @@ def _profile(df: DataFrame, exact_quantiles: bool, with_mad: bool, exact_distinc
                 cv=(std / mean) if (std is not None and mean not in (None, 0.0)) else None,
                 mad=mad.get(f.name), n_zeros=m[f"z{i}"], n_negative=m[f"neg{i}"],
                 n_infinite=m[f"inf{i}"])
+            if rec["is_integral"] and cnt:
+                span = int(m[f"hi{i}"]) - int(m[f"lo{i}"])
+                rec.update(range=float(span), is_sequence=rec["is_unique"] and n == cnt and span + 1 == cnt)
+            elif rec["min"] is not None:
+                rec["range"] = _clean(rec["max"] - rec["min"])   # null where both are the same infinity
+        if types[i] in ("Numeric", "DateTime"):
+            rec.update(lowest=m[f"lo{i}"], highest=m[f"hi{i}"])
+        rec.setdefault("is_sequence", False)
         rows.append(tuple(rec.get(fl.name) for fl in PROFILE_SCHEMA.fields))
     return spark.createDataFrame(rows, PROFILE_SCHEMA)
 

@@ -43,8 +43,7 @@ def derive_policy(profile: DataFrame, overrides: dict | None = None) -> DataFram
     """Roles per column: (position, column, role) with role subject_id/garbage/protected."""
     p = profile
     idn = id_named()
-    seq_id = (F.col("is_integral") & F.col("is_unique") & (F.col("n_missing") == 0)
-              & (F.col("max") - F.col("min") + 1 == F.col("count")))
+    seq_id = F.col("is_sequence")
     low_ent = (F.col("type") == "Text") & (
         (F.col("n_distinct") <= 1)
         | (F.try_divide(F.col("entropy"), F.ln(F.col("n_distinct").cast("double"))) < LOW_ENTROPY))

@@ -46,3 +46,14 @@ def test_profile_approx_distinct(spark):
     p = {r["column"]: r for r in profile(df, exact_distinct=False).collect()}
     assert abs(p["id"]["n_distinct"] - 5000) <= 150 and p["id"]["is_unique"]
     assert p["m"]["n_distinct"] == 10 and not p["m"]["is_unique"] and p["m"]["n_unique"] is None
+
+
+def test_sequence_and_range_beyond_doubles(spark):
+    big = 2 ** 60
+    rows = [(big + i, big + i + (i == 9), float("inf") if i == 3 else float(i), None if i == 0 else i) for i in range(10)]
+    p = {r["column"]: r for r in profile(spark.createDataFrame(rows, "s long, gap long, v double, some int"), with_mad=False).collect()}
+    assert p["s"]["is_sequence"] and p["s"]["range"] == 9 and p["s"]["highest"] == str(big + 9)
+    assert not p["gap"]["is_sequence"] and not p["some"]["is_sequence"] and not p["v"]["is_sequence"]
+    assert p["v"]["range"] == float("inf") and p["v"]["n_infinite"] == 1 and p["some"]["range"] == 8
+    empty = profile(spark.createDataFrame([], "a long, t timestamp"), with_mad=False).collect()
+    assert all(not r["is_sequence"] and r["range"] is None and r["lowest"] is None for r in empty)
