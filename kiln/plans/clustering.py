@@ -128,7 +128,7 @@ def fit_gold(silver: DataFrame, plan: dict, clip: bool = True, scaler: str | Non
 
 def segment(df: DataFrame, strategy: dict | None = None, algo: str | None = None,
             policy_overrides: dict | None = None, k: int | None = None, clip: bool = True,
-            interactions_on: str = "unscaled") -> dict:
+            interactions_on: str = "unscaled", min_cluster_size: int = 0) -> dict:
     """The whole clustering path as one call (the reference's launch scripts):
     profile -> policy -> contract -> silver -> gold plan -> gold features ->
     k sweep / fit -> personas.  Every stage runs on Spark; the returned dict
@@ -137,7 +137,8 @@ def segment(df: DataFrame, strategy: dict | None = None, algo: str | None = None
     ``interactions_on="unscaled"`` (default) builds the strategy's interactions
     from the cleaned but not yet scaled columns, so ratios do not divide by
     scaled values that cross zero; ``"scaled"`` reproduces the reference, which
-    builds them from the scaled silver table."""
+    builds them from the scaled silver table.  ``min_cluster_size`` bars mixtures
+    with a smaller cluster from the sweep's choice (:func:`fit_clusters`)."""
     from kiln.operators.cluster import fit_clusters, personas
     from kiln.operators.profile import profile
     from kiln.plans.rules import contract_dict, derive_policy, plan_cleaning, plan_gold, policy_dict
@@ -160,7 +161,8 @@ def segment(df: DataFrame, strategy: dict | None = None, algo: str | None = None
     gold, gold_model, feats = fit_gold(silver, gold_plan, clip=clip,
                                        interactions_ready=interactions_on == "unscaled")
     algo_used = gold_plan["recommended_algorithm"]
-    model, labeled, curve = fit_clusters(gold, feats, "GMM" if algo_used == "GMM" else "KMeans", k=k)
+    model, labeled, curve = fit_clusters(gold, feats, "GMM" if algo_used == "GMM" else "KMeans", k=k,
+                                         min_cluster_size=min_cluster_size)
     return {"policy": policy, "contract": contract, "gold_plan": gold_plan, "silver": silver,
             "gold": gold, "features": feats, "curve": curve, "model": model, "labeled": labeled,
             "personas": personas(labeled, feats), "prep": PipelineModel(list(clean_model.stages)
