@@ -25,15 +25,19 @@ def _apply_log(spec: dict, df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.ln(qcol(c).cast("double")) for c in cols}) if cols else df
 
 
-def fit_log(df: DataFrame, cols) -> ColumnRules:
-    """Natural log; a column with a value <= 0 is rejected at fit time."""
+def fit_log(df: DataFrame, cols, outside: str = "error") -> ColumnRules:
+    """Natural log; a column with a value <= 0 is rejected at fit time.  ``outside="null"``
+    keeps its rows with null for the values that have no logarithm, counted in the step's ``n_outside``."""
+    if outside not in ("error", "null"):
+        raise ValueError(f"outside is 'error' or 'null', not {outside!r}")
     cols = [c for c in cols if c in df.columns]
+    n_outside = {}
     if cols:
-        row = df.agg(*[F.min(qcol(c)).alias(str(i)) for i, c in enumerate(cols)]).first()
-        bad = [c for i, c in enumerate(cols) if row[str(i)] is not None and row[str(i)] <= 0]
-        if bad:
-            raise ValueError(f"log transform needs strictly positive values: {bad}")
-    return ColumnRules.of("log", {"cols": cols})
+        row = df.agg(*[F.count_if(qcol(c) <= 0).alias(str(i)) for i, c in enumerate(cols)]).first()
+        n_outside = {c: row[str(i)] for i, c in enumerate(cols) if row[str(i)]}
+        if n_outside and outside == "error":
+            raise ValueError(f"log transform needs strictly positive values: {list(n_outside)}")
+    return ColumnRules.of("log", {"cols": cols, "n_outside": n_outside})
 
 
 # ---------------------------------------------------------------- Yeo-Johnson
