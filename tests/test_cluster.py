@@ -120,3 +120,15 @@ def test_euclidean_silhouette_within_its_bound(spark):
     some = euclidean_silhouette(df, ["x", "y", "z"], "c", epsilon=0.25)
     assert some["sampled"] < len(x) / 2 and abs(some["silhouette"] - want) < 0.05 < some["bound"]
     assert euclidean_silhouette(df.filter("c = 'a'"), ["x", "y", "z"], "c")["silhouette"] is None
+
+
+def test_points_of_one_part_are_dealt_to_every_core(spark):
+    from pyspark.sql import functions as F
+
+    from kiln.operators import multikmeans as K
+    from kiln.operators.cluster import assemble
+    vec = assemble(spark.range(400).selectExpr("cast(id % 7 as double) x", "cast(id as double) y").coalesce(1), ["x", "y"])
+    pts, _d, _means = K._points(vec, "features")
+    rows = [r["n"] for r in pts.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert len(rows) >= spark.sparkContext.defaultParallelism and max(rows) < 200
+    pts.unpersist()
