@@ -92,6 +92,21 @@ def test_yeo_johnson_lambda_is_mle(spark):
     assert abs(lam - (a + b) / 2) < 1e-4
 
 
+def test_yeo_johnson_passes_read_held_columns_and_merge_parts(spark, monkeypatch):
+    from kiln.operators import transform as T
+    from kiln.session import reads_cache
+    seen, real = [], T._yj_pass
+    monkeypatch.setattr(T, "CHUNK", 7)
+    monkeypatch.setattr(T, "_yj_pass", lambda df, *a: seen.append(reads_cache(df)) or real(df, *a))
+    x = [1e6 + float(v) for v in np.random.default_rng(5).lognormal(size=90)] + [None, float("nan"), float("inf")]
+    df = spark.createDataFrame([(v, 3.0) for v in x], "x double, c double").repartition(3)
+    assert fit_yeo_johnson(df, ["x", "c"]).params_dict["lambdas"]["c"] == 1.0
+    assert seen and all(seen)          # no pass repeats the steps before the fit
+    src = spark.createDataFrame([(float(v),) for v in range(-20, 40)], "x double").repartition(4)
+    for lam, ll in real(src, {"x": [-1.0, 0.0, 0.5, 2.0]})["x"]:
+        assert ll == pytest.approx(_llf(range(-20, 40), lam), rel=1e-12)
+
+
 def test_scalers_and_persistence(spark, tmp_path):
     df = spark.createDataFrame([(1.0, 5.0), (2.0, 5.0), (3.0, 5.0), (10.0, 5.0)], "x double, k double")
     rs = fit_robust_scale(df, ["x", "k"])
