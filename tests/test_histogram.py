@@ -185,3 +185,27 @@ def test_rotation_and_importance(spark):
     reg = dict(M.permutation_importance(spark.createDataFrame([(x, z, 3 * x + z / 100) for x, z, _ in rows], "x double, z double, y double"), ["x", "z"], "y", trees=8))
     assert reg["x"] > 0.5 and abs(reg["z"]) < 0.1
     assert M.permutation_importance(spark.createDataFrame([], "x double, y string"), ["x"], "y") == [("x", 0.0)]
+
+
+def test_rotation_of_one_bucket_is_cut_into_blocks(spark, monkeypatch):
+    monkeypatch.setattr(M, "ROWS_PER_BUCKET", 10)
+    n = 103
+    df = spark.createDataFrame([(i, float(i)) for i in range(n)], "i int, a double").repartition(3)
+    out = M.rotated(df, ["a"], [1, 7, 45], order_by="i", buckets=1)
+    got = out.select("i", "__r").collect()
+    assert sorted(r["i"] for r in got) == list(range(n))
+    assert all(r["__r"] == [[float((r["i"] + s) % n)] for s in (1, 7, 45)] for r in got)
+    assert "__blk" in next(line for line in out._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Window" in line)
+    tied = M.rotated(df.withColumn("k", F.lit(1)), ["a"], [1], order_by="k", buckets=1).collect()     # equal keys: one circle all the same
+    assert sorted(r["__r"][0][0] for r in tied) == [float(i) for i in range(n)]
+    by_rid = M.rotated(df.withColumn("__rid", F.xxhash64("i")), ["a"], [3], buckets=2).collect()
+    assert sorted(r["__r"][0][0] for r in by_rid) == [float(i) for i in range(n)]
+
+
+def test_sulov_passes_read_held_columns(spark, monkeypatch):
+    from kiln.session import reads_cache
+    seen, real = [], M.is_classification
+    monkeypatch.setattr(M, "is_classification", lambda df, t: seen.append((reads_cache(df), sorted(df.columns))) or real(df, t))
+    df = spark.createDataFrame([(float(i % 7), float(i % 3), i % 2, "wide") for i in range(60)], "a double, b double, y int, text string")
+    M.sulov_select(df, ["a", "b"], "y", trees=2)
+    assert seen == [(True, ["a", "b", "y"])] and not reads_cache(df)
