@@ -78,3 +78,25 @@ def test_entity_key_and_trimmed_names(spark):
     assert as_entity(df, "key").columns == ["Key", "v"] and as_entity(df, None).columns == ["v", "Key"]
     wide = spark.createDataFrame([(1.0, 2.0, 1), (3.0, 4.0, 0)], "` a ` double, b double, ` y` int")
     assert generate_features(wide, carry=[" y"]).columns == ["a", "b", "a_minus_b", "a_ratio_b", "y"]
+
+
+def test_gold_fits_read_held_silver(spark, monkeypatch):
+    from kiln.plans import supervised as S
+    from kiln.session import reads_cache
+    seen, real = [], S.fit_robust_scale
+    monkeypatch.setattr(S, "fit_robust_scale", lambda df, cols: seen.append(reads_cache(df)) or real(df, cols))
+    silver = spark.createDataFrame([(i, float(i), "ab"[i % 2], i % 3) for i in range(9)], "k int, v double, c string, y int")
+    out, _ = S.gold_features(silver, {"selected_features": ["v", "c"], "base_columns": ["v", "c"], "target_column": "y", "target_exists": True}, order_by="k")
+    assert seen == [True] and not reads_cache(silver) and out.count() == 9
+
+
+def test_few_levels_are_broadcast(spark, monkeypatch):
+    from kiln.operators import encode as E
+    df = spark.createDataFrame([(i, "cab"[i % 3] if i % 5 else None) for i in range(20)], "k int, c string")
+    plan = lambda out: out._jdf.queryExecution().optimizedPlan().toString()
+    few = E.factorize(df, ["c"], "k", suffix="_code")
+    assert "strategy=broadcast" in plan(few)
+    monkeypatch.setattr(E, "BROADCAST_LEVELS", 2)
+    many = E.factorize(df, ["c"], "k", suffix="_code")
+    assert "strategy=broadcast" not in plan(many)
+    assert sorted(few.collect()) == sorted(many.collect()) and few.where("k = 1").first()["c_code"] == 0
