@@ -27,14 +27,17 @@ from kiln.session import held
 @register("log")
 def _apply_log(spec: dict, df: DataFrame) -> DataFrame:
     cols = [c for c in spec["cols"] if c in df.columns]
-    return df.withColumns({c: F.ln(qcol(c).cast("double")) for c in cols}) if cols else df
+    x = {c: qcol(c).cast("double") for c in cols}
+    if spec.get("outside") == "limit":
+        return df.withColumns({c: F.when(v == 0, float("-inf")).when(v < 0, float("nan")).otherwise(F.ln(v)) for c, v in x.items()}) if cols else df
+    return df.withColumns({c: F.ln(v) for c, v in x.items()}) if cols else df
 
 
 def fit_log(df: DataFrame, cols, outside: str = "error") -> ColumnRules:
-    """Natural log; a column with a value <= 0 is rejected at fit time.  ``outside="null"``
-    keeps its rows with null for the values that have no logarithm, counted in the step's ``n_outside``."""
-    if outside not in ("error", "null"):
-        raise ValueError(f"outside is 'error' or 'null', not {outside!r}")
+    """Natural log; a column with a value <= 0 is rejected at fit time.  ``outside="limit"``
+    keeps its rows, -inf for 0 (the limit) and NaN below, counted in the step's ``n_outside``."""
+    if outside not in ("error", "limit"):
+        raise ValueError(f"outside is 'error' or 'limit', not {outside!r}")
     cols = [c for c in cols if c in df.columns]
     n_outside = {}
     if cols:
@@ -42,7 +45,7 @@ def fit_log(df: DataFrame, cols, outside: str = "error") -> ColumnRules:
         n_outside = {c: row[str(i)] for i, c in enumerate(cols) if row[str(i)]}
         if n_outside and outside == "error":
             raise ValueError(f"log transform needs strictly positive values: {list(n_outside)}")
-    return ColumnRules.of("log", {"cols": cols, "n_outside": n_outside})
+    return ColumnRules.of("log", {"cols": cols, "outside": outside, "n_outside": n_outside})
 
 
 # ---------------------------------------------------------------- Yeo-Johnson
