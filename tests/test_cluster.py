@@ -132,3 +132,46 @@ def test_points_of_one_part_are_dealt_to_every_core(spark):
     rows = [r["n"] for r in pts.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
     assert len(rows) >= spark.sparkContext.defaultParallelism and max(rows) < 200
     pts.unpersist()
+
+
+def test_cells_give_the_plain_assignment_and_open_few_points(monkeypatch):
+    import numpy as np
+
+    from kiln.operators import multikmeans as K
+    rng = np.random.default_rng(3)
+    tally, seen = K._tally, []
+    monkeypatch.setattr(K, "_tally", lambda total, x, *a: seen.append(x.shape[1]) or tally(total, x, *a))
+    for n, d, k in ((1, 2, 3), (33, 1, 4), (3000, 3, 41), (40_000, 3, 6), (40_000, 2, 1)):
+        x = rng.normal(0, 4, (n, d))
+        x[: n // 3] = np.round(x[: n // 3])                             # many equal points, and ties
+        models = {0: rng.normal(0, 4, (k, d)), 1: np.round(rng.normal(0, 3, (k, d))), 2: np.repeat(x[:1], k, 0)}
+        del seen[:]
+        got = K._assigned(*K._in_cells(x), models)
+        for m, c in models.items():
+            d2 = ((x[:, None] - c) ** 2).sum(2)
+            near = d2.argmin(1)
+            if m < 2:
+                assert abs(got[m][0][:, 0] - np.bincount(near, minlength=k)).sum() <= (d2 <= d2.min(1)[:, None] + 1e-9).sum() - n
+            else:
+                assert got[m][0][0, 0] == n                             # equal centres: the first
+            assert got[m][0][:, 0].sum() == n and np.allclose(got[m][0][:, 1:].sum(0), x.sum(0), atol=1e-8)
+            assert np.isclose(got[m][1], d2.min(1).sum(), rtol=1e-9, atol=1e-8)
+        if (n, k) == (40_000, 6):
+            K._assigned(*K._in_cells(x), {0: models[0]})
+            del seen[:]
+            K._assigned(*K._in_cells(x), {0: models[0]})
+            assert sum(seen) < n / 2
+
+
+def test_the_input_of_a_sweep_is_made_once(spark):
+    from kiln.operators.cluster import assemble, k_sweep
+    made = spark.sparkContext.accumulator(0)
+
+    def rows(batches):
+        for b in batches:
+            made.add(len(b))
+            yield b
+
+    df = spark.range(200, numPartitions=3).selectExpr("cast(id % 7 as double) x", "cast(id as double) y").mapInPandas(rows, "x double, y double")
+    assert len(k_sweep(assemble(df, ["x", "y"]), ks=[2, 3], n_init=2)) == 2
+    assert made.value == 200
