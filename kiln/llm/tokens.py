@@ -46,7 +46,7 @@ LONG_TEXT = 4 << 20
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 LETTER, MARK = "A-Za-zÀ-ÖØ-öø-ÿ", re.escape(".,!?;:*%&$#")
 #: Words, marks after a word, single line ends; else white space and what follows, up to the next white space.
-PIECE = re.compile(rf" ?[{LETTER}]+(?=[ \n{MARK}])|[{MARK}]+(?=[ \n])|\n(?=[{LETTER}])|[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
+PIECE = re.compile(rf" ?[{LETTER}]++(?=[ \n{MARK}])|[{MARK}]++(?=[ \n])|\n(?=[{LETTER}])|[{SPACE}]*+[^{SPACE}]++|[{SPACE}]++")
 SPACED_WORD = re.compile(rf" [{LETTER}]+").fullmatch
 RUN = 1000
 
@@ -67,8 +67,9 @@ class Encoder:
     def encoded(self, pieces: list[str]) -> dict[str, bytes]:
         """Packed ids of pieces.  Words with a leading space are encoded in runs, as a token
         never crosses from one to the next, and the ids are told apart by their sizes."""
-        words = [p for p in pieces if SPACED_WORD(p)]
-        others = [p for p in pieces if not SPACED_WORD(p)]
+        words, others = [], []
+        for p in pieces:
+            (words if SPACED_WORD(p) else others).append(p)
         out = {p: np.array(x.ids, np.uint32).tobytes() for p, x in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False))}
         runs = [words[at: at + RUN] for at in range(0, len(words), RUN)]
         for run, x in zip(runs, self.tokenizer.encode_batch_fast(["".join(r) for r in runs], add_special_tokens=False)):
@@ -80,18 +81,29 @@ class Encoder:
                 start = end
         return out
 
-    def join(self, texts: list[list[str]]) -> list[bytes]:
-        """Packed ids of texts that are cut to pieces; new pieces are remembered while there is room."""
-        new = list(set().union(*texts).difference(self.known))
-        self.known.update(self.encoded(new))
-        of = self.known.__getitem__
-        out = [b"".join(map(of, x)) for x in texts]
-        for piece in new[max(0, REMEMBERED - len(self.known) + len(new)):]:
-            del self.known[piece]
+    def join(self, texts) -> list[bytes]:
+        """Packed ids of texts that are cut to pieces; new pieces are remembered while there is room.
+        A text's pieces are looked up as they come, while they are in the core's cache; only new ones are kept."""
+        known, out, gaps = self.known, [], []
+        for pieces in texts:
+            ids = list(map(known.get, pieces))
+            if None in ids:
+                at = [i for i, x in enumerate(ids) if x is None]
+                gaps.append((len(out), at, [pieces[i] for i in at]))
+                out.append(ids)
+            else:
+                out.append(b"".join(ids))
+        new = self.encoded(list({p for _n, _at, missing in gaps for p in missing}))
+        for n, at, missing in gaps:
+            ids = out[n]
+            for i, piece in zip(at, missing):
+                ids[i] = new[piece]
+            out[n] = b"".join(ids)
+        known.update(islice(new.items(), max(0, REMEMBERED - len(known))))
         return out
 
     def packed(self, texts: list) -> list[bytes]:
-        return [ids + self.end for ids in self.join([PIECE.findall(t or "") for t in texts])]
+        return [ids + self.end for ids in self.join(PIECE.findall(t or "") for t in texts)]
 
     def long(self, text: str):
         """Packed ids of a long text, in parts."""
