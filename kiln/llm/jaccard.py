@@ -31,7 +31,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kiln.llm.common import query, sized, table, text_hash, written
@@ -43,7 +43,7 @@ HEAVY = 1 << 16
 LOCAL_USES = 4           # a token in so many sets of one buffer may be heavy
 BUFFER = 600_000       # tokens a task gathers before it writes them out
 CHUNK = 512              # members that a query is checked against at once
-TOKEN_BYTES = 6
+TOKEN_BITS = 40          # of a token, besides its bucket
 
 
 def sets(words: Words, part, size: int):
@@ -131,25 +131,26 @@ def least_shared(n, t: int, low=None, high=None):
 
 
 def prefixes(size: int, t: int, heavy: np.ndarray, buckets: int):
-    """Rows of packed (token, vertex) entries, by bucket of the token.  ``heavy`` has the heavy tokens, most used last."""
+    """Rows of packed (token, vertex) entries, by bucket of the token: the tokens' leading bits, vertex after
+    vertex, each vertex's id and number of tokens.  ``heavy`` has the heavy tokens, most used last."""
     order = np.argsort(heavy)
     ranked = heavy[order]
 
     def packed(entries):
-        token, v = (np.concatenate(x) for x in zip(*entries))
-        bucket = (mix(token) % np.uint64(buckets)).astype(np.int64)
+        token, v, n = (np.concatenate(x) for x in zip(*entries))
+        once = np.zeros(len(v), bool)
+        once[np.unique(v, return_index=True)[1]] = True                   # equal sets count once
+        token, v, n = token[np.repeat(once, n)], v[once], n[once]
+        bucket = (mix(token) % np.uint64(buckets)).astype(np.uint16 if buckets < 65536 else np.int64)
         by = np.argsort(bucket, kind="stable")
-        ends = np.searchsorted(bucket[by], np.arange(buckets + 1))
-        short, v = np.ascontiguousarray((token[by] >> np.uint64(16))[:, None].view(np.uint8)[:, :TOKEN_BYTES]), v[by]
-        some = np.flatnonzero(np.diff(ends))
-        names, place = np.unique(v, return_inverse=True)
-        rows = []
-        for i in some:
-            part = place[ends[i]: ends[i + 1]]
-            used = distinct(part)
-            at = np.searchsorted(used, part)
-            rows.append((short[ends[i]: ends[i + 1]].tobytes(), at.astype(np.uint16 if len(used) < 65536 else np.uint32).tobytes(), names[used].tobytes()))
-        return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *(pa.array([r[j] for r in rows], pa.binary()) for j in range(3))], names=["bucket", "tokens", "at", "names"])
+        bucket, at = bucket[by], np.repeat(np.arange(len(v)), n)[by]
+        short = np.ascontiguousarray((token[by] >> np.uint64(64 - TOKEN_BITS))[:, None].view(np.uint8)[:, :TOKEN_BITS // 8])
+        starts = np.flatnonzero(np.append(True, (bucket[1:] != bucket[:-1]) | (at[1:] != at[:-1])))
+        names, counts = v[at[starts]], np.diff(np.append(starts, len(at)))
+        some = distinct(bucket)
+        ends, runs = np.append(np.searchsorted(bucket, some), len(bucket)), np.append(np.searchsorted(bucket[starts], some), len(starts))
+        rows = [(short[ends[i]: ends[i + 1]].tobytes(), (x := counts[runs[i]: runs[i + 1]]).astype(np.uint8 if x.max() < 256 else np.uint32).tobytes(), names[runs[i]: runs[i + 1]].tobytes()) for i in range(len(some))]
+        return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *(pa.array([r[j] for r in rows], pa.binary()) for j in range(3))], names=["bucket", "tokens", "counts", "names"])
 
     def run(batches):
         words, held, waiting = Words(WHITE), [], 0
@@ -166,7 +167,7 @@ def prefixes(size: int, t: int, heavy: np.ndarray, buckets: int):
                     token = token[by]
                 keep = n - needed(n, t) + spare(n)
                 first = np.arange(len(token)) - np.repeat(np.cumsum(n) - n, n) < np.repeat(keep, n)
-                held.append((token[first], np.repeat(v, n)[first]))
+                held.append((token[first], v, np.minimum(n, keep)))
                 waiting += int(first.sum())
                 if waiting >= BUFFER:
                     yield packed(held)
@@ -177,16 +178,16 @@ def prefixes(size: int, t: int, heavy: np.ndarray, buckets: int):
 
 
 def shared_tokens(batches):
-    """(token, vertex) once each, for tokens of two vertices or more.  Equal tokens are in one task."""
+    """(token, vertex) once each, for tokens of two vertices or more, and the token's number of vertices.  Equal tokens are in one task."""
     token, vertex = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
     for batch in batches:
-        for short, at, names in zip(*(batch.column(x) for x in ("tokens", "at", "names"))):
-            raw = np.frombuffer(short.as_buffer(), np.uint8).reshape(-1, TOKEN_BYTES)
+        for bucket, short, counts, names in zip(*(batch.column(x) for x in ("bucket", "tokens", "counts", "names"))):
+            raw = np.frombuffer(short.as_buffer(), np.uint8).reshape(-1, TOKEN_BITS // 8)
             wide = np.zeros((len(raw), 8), np.uint8)
-            wide[:, :TOKEN_BYTES] = raw
-            token.append(wide.view(np.uint64)[:, 0])
-            place = np.frombuffer(at.as_buffer(), np.uint16 if len(at.as_buffer()) == 2 * len(raw) else np.uint32)
-            vertex.append(np.frombuffer(names.as_buffer(), np.int64)[place])
+            wide[:, :TOKEN_BITS // 8] = raw
+            token.append(wide.view(np.uint64)[:, 0] + np.uint64(bucket.as_py() << TOKEN_BITS))
+            names = np.frombuffer(names.as_buffer(), np.int64)
+            vertex.append(np.repeat(names, np.frombuffer(counts.as_buffer(), np.uint8 if len(counts.as_buffer()) == len(names) else np.uint32)))
     token, vertex = np.concatenate(token), np.concatenate(vertex)
     if not len(token):
         return
@@ -202,9 +203,11 @@ def shared_tokens(batches):
     new = np.ones(len(token), bool)
     new[1:] = (token[1:] != token[:-1]) | (vertex[1:] != vertex[:-1])
     token, vertex = token[new], vertex[new]
-    same = token[1:] == token[:-1]
-    some = np.append(same, False) | np.append(False, same)
-    yield pa.RecordBatch.from_arrays([pa.array(token[some].view(np.int64)), pa.array(vertex[some])], names=["token", "v"])
+    starts = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
+    uses = np.diff(np.append(starts, len(token)))
+    uses = np.repeat(uses, uses)
+    some = uses > 1
+    yield pa.RecordBatch.from_arrays([pa.array(token[some].view(np.int64)), pa.array(vertex[some]), pa.array(uses[some].astype(np.int32))], names=["token", "v", "uses"])
 
 
 class Chunk:
@@ -281,18 +284,18 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, threshold: float =
     vertices = rows.filter((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy("v").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"), F.first("n").alias("n")).withColumn("doc_id", F.col("first.doc_id"))
     heavy = (described.filter("is_token").groupBy("v").agg(F.sum("n").alias("uses")).orderBy(F.desc("uses"), "v").limit(HEAVY).toPandas())   # HEAVY rows at most
     heavy = heavy["v"].to_numpy(np.int64)[::-1].copy().view(np.uint64)
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shared = written(docs.filter(F.col("doc_id").isNotNull()).mapInArrow(prefixes(size, t, heavy, buckets), "bucket int, tokens binary, at binary, names binary")
-                     .repartition("bucket").mapInArrow(shared_tokens, "token bigint, v bigint"), "tokens")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shared = written(docs.filter(F.col("doc_id").isNotNull()).mapInArrow(prefixes(size, t, heavy, buckets), "bucket int, tokens binary, counts binary, names binary")
+                     .repartitionById(buckets, "bucket").mapInArrow(shared_tokens, "token bigint, v bigint, uses int"), "tokens")
 
-    uses = shared.groupBy("token").agg(F.log2(F.count("*")).alias("uses"))
-    alive = written(shared.join(uses, "token").groupBy("v").agg(F.count("*").alias("share"), F.sum("uses").alias("typical")).join(vertices, "v")
+    alive = written(shared.groupBy("v").agg(F.count("*").alias("share"), F.sum(F.log2("uses")).alias("typical")).join(vertices, "v")
                     .filter(F.col("share") >= least_shared(F.col("n"), t)).select("v", "n", "doc_id", (F.col("typical") / F.col("n")).alias("typical")), "alive")
-    tokens = written(shared.join(alive.select("v", "n", "typical"), "v"), "alive-tokens")
+    tokens = written(shared.select("token", "v").join(sized(alive.select("v", "typical")), "v"), "alive-tokens")
     texts = written(docs.join(sized(alive.select("v", "doc_id")), "doc_id").select("v", "text"), "texts")
 
-    led = tokens.groupBy("token").agg(F.max(F.struct("typical", "v")).alias("lead"))
-    groups = written(tokens.join(led, "token").groupBy("v", F.col("lead.typical").alias("typical"), F.col("lead.v").alias("g")).agg(F.count("*").alias("share"))
+    of_token = Window.partitionBy("token")
+    led = tokens.select("v", F.max(F.struct("typical", "v")).over(of_token).alias("lead"))
+    groups = written(led.groupBy("v", F.col("lead.typical").alias("typical"), F.col("lead.v").alias("g")).agg(F.count("*").alias("share"))
                      .groupBy("v").agg(F.max(F.struct("share", "typical", "g"))["g"].alias("g")), "groups")
     leaders = groups.select(F.col("g").alias("v"), "g", F.col("g").alias("component")).distinct()
     linked = written(links(groups.filter("v <> g").withColumn("component", F.col("v")), leaders, texts, size, t), "links")
@@ -302,10 +305,10 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, threshold: float =
     of_leader = members.select(F.col("v").alias("g"), F.col("component").alias("main"))
     kinds = (members.groupBy("g").agg(F.count("*").alias("size"), F.min("n").alias("low"), F.max("n").alias("high"), F.min("component").alias("one"), F.max("component").alias("other"))
              .join(of_leader, "g"))
-    rows_of = written(tokens.select("token", "v").join(members.join(kinds.select("g", "size"), "g"), "v"), "matrix")
-    matrix = rows_of.select("token", F.col("g").alias("to"), F.col("size").alias("to_size")).distinct()
-    smaller = F.struct("size", "g") <= F.struct(F.col("to_size").alias("size"), F.col("to").alias("g"))
-    asking = (rows_of.join(matrix, "token").filter(smaller).groupBy("v", "g", "component", "n", "to").agg(F.count("*").alias("share"))
+    rows_of = tokens.select("token", "v").join(sized(members.join(kinds.select("g", "size"), "g")), "v")
+    matrix = rows_of.withColumn("groups", F.collect_set(F.struct(F.col("size").alias("to_size"), F.col("g").alias("to"))).over(of_token))
+    smaller = F.struct("size", "g") <= F.struct("to_size", "to")
+    asking = (matrix.select("v", "g", "component", "n", "size", F.inline("groups")).filter(smaller).groupBy("v", "g", "component", "n", "to").agg(F.count("*").alias("share"))
               .join(kinds.select(F.col("g").alias("to"), "low", "high", "one", "other", "main"), "to")
               .filter(~((F.col("component") == F.col("one")) & (F.col("component") == F.col("other"))) & ((F.col("g") != F.col("to")) | (F.col("component") != F.col("main")))
                       & (F.col("low") * t <= F.col("n") * 100) & (F.col("n") * t <= F.col("high") * 100) & (F.col("share") >= least_shared(F.col("n"), t, F.col("low"), F.col("high"))))
