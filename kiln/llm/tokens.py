@@ -243,6 +243,8 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, order: tuple = ("
 
 def digests(folder: str):
     def run(batches):
+        worker_state().clear()                     # the encoder: all shards are written
+        give_back()
         for batch in batches:
             for name, start in zip(batch.column("name").to_pylist(), batch.column("start").to_pylist()):
                 ids, counts, sums = [], [], []

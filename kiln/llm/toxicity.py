@@ -28,10 +28,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kiln.llm.common import query, table, written
-from kiln.llm.words import WHITE, Words, distinct, mix
+from kiln.llm.words import WHITE, Words, distinct, give_back, mix
 
 BITS = 18
 SIZES = (3, 4, 5)
+SLICE = 1 << 18          # bytes of text at once: n-grams take some 300 times that
 SAMPLE = 40_000
 LEAST_Z = 3.0
 LEAST_RATIO = 1.0
@@ -48,7 +49,7 @@ class Grams:
 
     def slices(self, texts):
         """For each slice: texts' first index and number, (text, word) pairs once each, (word, bucket) pairs."""
-        for part in self.words.slices(texts):
+        for part in self.words.slices(texts, SLICE):
             _, first, word = np.unique(part.hashes, return_index=True, return_inverse=True)
             pairs = distinct(part.text_of() * max(1, len(first)) + word)
             yield (part.at, len(part), *np.divmod(pairs, max(1, len(first))), *self.buckets(part, first))
@@ -70,7 +71,7 @@ class Grams:
         for n in SIZES:
             grams = np.full(max(0, len(codes) - n + 1), n, np.uint64)
             for j in range(n):
-                grams = grams * STEP + codes[j: len(codes) - n + 1 + j]
+                grams = grams * STEP + codes[j: j + len(grams)]
             full = left[: len(grams)] >= n
             words.append(word[: len(grams)][full])
             found.append((mix(grams[full]) >> np.uint64(64 - BITS)).astype(np.int64))
@@ -87,6 +88,7 @@ def class_counts(batches):
             for label in (0, 1):
                 uses = np.bincount(pair_word[toxic[at + text] == label], minlength=int(word.max(initial=-1)) + 1)
                 counts[label] += np.bincount(bucket, uses[word], 1 << BITS)
+    give_back()
     some = np.flatnonzero(counts.any(axis=0))
     yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1), pa.int32()), *(pa.array(np.append(counts[i, some], texts[i])) for i in (0, 1))],
                                      names=["bucket", "negative", "positive"])
@@ -129,6 +131,7 @@ def scaled_features(ratio: np.ndarray):
                 lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), x) for x in (pa.array(np.concatenate(indices), pa.int32()), pa.array(np.concatenate(values).astype(float)))]
                 vectors = pa.StructArray.from_arrays([pa.array(np.zeros(n, np.int8)), pa.array(np.full(n, size, np.int32)), *lists], names)
                 yield pa.RecordBatch.from_arrays([batch.column("toxic").cast(pa.float64()), vectors], names=["label", "features"])
+        give_back()
     return run
 
 
@@ -143,6 +146,7 @@ def scores(weights: np.ndarray, intercept: float, column: str):
                 out.append(1 / (1 + np.exp(-np.clip(total, -700, 700))))
             if out:
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(out))], names=[*batch.schema.names, column])
+        give_back()
     return run
 
 

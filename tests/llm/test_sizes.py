@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
 
-from kiln.llm import jaccard
+from kiln.llm import jaccard, tokens, toxicity
+from kiln.llm.common import worker_state
 from kiln.llm.words import WHITE, Words
 
 
@@ -16,6 +18,36 @@ def texts_of(n, size, seed):
     return [" ".join(f"{rng.getrandbits(40):x}" for _ in range(size)) for _ in range(n)]
 
 
+def grams_of(texts):
+    found = {}
+    for at, n, text, pair_word, word, bucket in toxicity.Grams().slices(pa.array(texts)):
+        buckets = [np.sort(bucket[word == w]).tolist() for w in range(int(word.max(initial=-1)) + 1)]
+        for i, w in zip(text.tolist(), pair_word.tolist()):
+            found.setdefault(at + i, []).append(buckets[w])
+    return {i: sorted(x) for i, x in found.items()}
+
+
+def test_grams_take_memory_by_the_slice(monkeypatch):
+    texts = pa.array(texts_of(600, 200, 3))
+    assert texts.nbytes > 1 << 20
+    tracemalloc.start()
+    for x in toxicity.Grams().slices(texts):
+        pass
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 100 << 20
+    some = [None, "", " a", *texts_of(6, 30, 4), "a b a"]
+    whole = grams_of(some)
+    monkeypatch.setattr(toxicity, "SLICE", 1)
+    assert grams_of(some) == whole and len(whole) == 8
+
+
+def test_digests_give_up_the_encoder():
+    worker_state()["encoder"] = object()
+    assert list(tokens.digests("none")(iter([]))) == []
+    assert not worker_state()
+
+
 def test_prefix_rows_are_small_and_whole():
     fresh, base = texts_of(60, 300, 1), texts_of(3, 300, 2)
     texts = [*fresh, *base, *(b + " more" for b in base), *fresh[:30], "a b", None, ""]     # 30 copies
