@@ -20,6 +20,7 @@ table gives no shard; a document of 4 GiB of ids or more raises.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import zlib
@@ -48,6 +49,8 @@ LETTER, MARK = "A-Za-zÀ-ÖØ-öø-ÿ", re.escape(".,!?;:*%&$#")
 #: Words, marks after a word, single line ends; else white space and what follows, up to the next white space.
 PIECE = re.compile(rf" ?[{LETTER}]++(?=[ \n{MARK}])|[{MARK}]++(?=[ \n])|\n(?=[{LETTER}])|[{SPACE}]*+[^{SPACE}]++|[{SPACE}]++")
 SPACED_WORD = re.compile(rf" [{LETTER}]+").fullmatch
+#: Pieces that no token leaves where a line end comes before and after; longer ones need no run.
+LINE = re.compile(rf" ?[^{SPACE}]{{1,255}}").fullmatch
 RUN = 1000
 
 
@@ -57,6 +60,7 @@ class Encoder:
     def __init__(self, tokenizer: str, end_id: int):
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")              # Spark's tasks already fill the cores
         self.tokenizer = Tokenizer.from_str(tokenizer)
         self.end = struct.pack("<I", end_id)
         self.known: dict[str, bytes] = {}
@@ -64,23 +68,36 @@ class Encoder:
         for token, i in self.tokenizer.get_vocab().items():
             self.sizes[i] = len(token)
 
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def encoded(self, pieces: list[str]) -> dict[str, bytes]:
-        """Packed ids of pieces.  Words with a leading space are encoded in runs, as a token
-        never crosses from one to the next, and the ids are told apart by their sizes."""
-        words, others = [], []
+        """Packed ids of pieces, which are encoded in runs: words with a leading space as they are, as a
+        token never crosses from one to the next, others a line each; white space and long pieces alone."""
+        words, lines, others = [], [], []
         for p in pieces:
-            (words if SPACED_WORD(p) else others).append(p)
-        out = {p: np.array(x.ids, np.uint32).tobytes() for p, x in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False))}
-        runs = [words[at: at + RUN] for at in range(0, len(words), RUN)]
-        for run, x in zip(runs, self.tokenizer.encode_batch_fast(["".join(r) for r in runs], add_special_tokens=False)):
-            ids = np.array(x.ids, np.uint32)
-            ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(w.encode()) for w in run])) + 1
-            packed, start = ids.tobytes(), 0
-            for word, end in zip(run, (4 * ends).tolist()):
-                out[word] = packed[start:end]
-                start = end
+            (words if SPACED_WORD(p) else lines if LINE(p) else others).append(p)
+        out: dict[str, bytes] = {}
+        for some, apart in ((words, ""), (lines, "\n")):
+            runs = [some[at: at + RUN] for at in range(0, len(some), RUN)]
+            for run, ids in zip(runs, self.ids([apart + apart.join(r) for r in runs])):
+                if not self.told_apart(run, len(apart), ids, out):
+                    others += run
+        out.update(zip(others, (ids.tobytes() for ids in self.ids(others))))
         return out
 
+    def told_apart(self, run: list[str], gap: int, ids: np.ndarray, out: dict[str, bytes]) -> bool:
+        """Adds each piece's ids by the sizes of the tokens; false if tokens do not end where pieces do."""
+        sums = np.concatenate([[0], np.cumsum(self.sizes[ids])])
+        stops = np.cumsum([len(p.encode()) + gap for p in run])
+        begins = np.concatenate([[0], stops[:-1]]) + gap
+        starts, ends = np.searchsorted(sums, begins), np.searchsorted(sums, stops)
+        if sums[-1] != stops[-1] or (sums[starts] != begins).any() or (sums[ends] != stops).any():
+            return False
+        packed = ids.tobytes()
+        out.update((p, packed[start:end]) for p, start, end in zip(run, (4 * starts).tolist(), (4 * ends).tolist()))
+        return True
+
     def join(self, texts) -> list[bytes]:
         """Packed ids of texts that are cut to pieces; new pieces are remembered while there is room.
         A text's pieces are looked up as they come, while they are in the core's cache; only new ones are kept."""
