@@ -90,6 +90,29 @@ def test_gold_fits_read_held_silver(spark, monkeypatch):
     assert seen == [True] and not reads_cache(silver) and out.count() == 9
 
 
+def test_supervised_clean_runs_every_step(spark, tmp_path, monkeypatch):
+    import __spark_entry__ as E
+    from kiln.operators import model_select as M
+    scored, real = [], M.predictive_power
+    monkeypatch.setattr(M, "predictive_power", lambda df, feats, target, **kw: scored.append((list(feats), target)) or real(df, feats, target, **kw))
+    docs, labels = [], []
+    for i in range(300):                           # quality follows the number of words only
+        words = 1 + i % 30
+        docs.append((i, " ".join(["w"] * words), "en" if i % 2 else "de", "ab"[i // 150], i * 37 % 101))
+        labels.append((i, (i * 7919 >> 3) % 2, int(words > 15) if i else 1))    # document 0 disagrees with its copies
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(labels, "doc_id long, toxic int, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    out = E.queries()["supervised_clean"](spark, str(tmp_path))
+    assert scored == [(["n_chars", "n_words", "lang", "source", "toxic"], "quality")]
+    assert out.columns == ["n_words", "lang", "source", "quality"]              # n_chars and toxic tell nothing
+    seen = {(t.count("w"), lang, source, q) for (_, t, lang, source, _), (_, _, q) in zip(docs, labels)}
+    told = {}
+    for *key, q in seen:
+        told.setdefault(tuple(key), set()).add(q)
+    assert sorted(tuple(r) for r in out.collect()) == sorted(r for r in seen if len(told[r[:3]]) == 1)
+    assert len(seen) - out.count() == 2
+
+
 def test_few_levels_are_broadcast(spark, monkeypatch):
     from kiln.operators import encode as E
     df = spark.createDataFrame([(i, "cab"[i % 3] if i % 5 else None) for i in range(20)], "k int, c string")
